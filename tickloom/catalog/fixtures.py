@@ -20,7 +20,8 @@ from tickloom.schemas import DIM_COMMODITY, DIM_DATE, TICK_COLUMNS
 from tickloom.session import materialise, scratch_path
 from tickloom.sources import block_trades, status_log_from_orders, ticks_from_events
 
-ROWS_PER_ARCHIVE = 5000
+# No archive holds more lines than this, whatever the size of a source.
+ROWS_PER_ARCHIVE = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -141,18 +142,20 @@ def _write_archive(rows: pd.DataFrame, landing: str) -> pd.DataFrame:
     return pd.DataFrame({"file_id": [file_id]})
 
 
-def zip_landing(spark: SparkSession, sf_dir: str) -> str:
-    """The events as zipped logs of at most ROWS_PER_ARCHIVE lines each."""
+def zip_landing(spark: SparkSession, sf_dir: str) -> tuple[str, list[int]]:
+    """The events as zipped logs: their folder and the file ids, one per archive.
+
+    A source of two days is cut into archives of at most ROWS_PER_ARCHIVE consecutive events.
+    """
     landing = scratch_path(spark, "archives")
-    if "://" not in landing and not landing.startswith("file:"):
-        landing = f"file://{landing}"
-    target = landing.replace("file:/", "file:///", 1) if not landing.startswith("file://") else landing
-    source = (F.lit(6076) + F.floor(F.col("seq") / ROWS_PER_ARCHIVE)).cast("int")
-    lines = raw_ticks(spark, sf_dir).withColumn("source_id", source).select(
+    target = landing if landing.split("/")[0].endswith(":") else f"file:{landing}"
+    target = target.replace("file:/", "file:///", 1) if not target.startswith("file:///") else target
+    chunk = F.floor(F.col("seq") / ROWS_PER_ARCHIVE)
+    file_id = (F.col("source_id") + 16 * chunk).cast("int")
+    lines = raw_ticks(spark, sf_dir).withColumn("source_id", file_id).select(
         "source_id", "seq", _log_line().alias("line")
     )
     written = lines.groupBy("source_id").applyInPandas(
         lambda rows: _write_archive(rows, target), "file_id int"
     )
-    written.write.format("noop").mode("overwrite").save()
-    return landing
+    return landing, [row.file_id for row in written.collect()]

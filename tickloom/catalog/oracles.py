@@ -107,7 +107,9 @@ lines AS (
       WHEN 3 THEN 'missing code' END AS reason
   FROM whole)"""
 
-ARCHIVE = "CAST(6076 + seq // 5000 AS INT)"
+# The file id and the line number an event gets in the zipped logs.
+ARCHIVE = "CAST(source_id + 16 * (seq // 1000000) AS INT)"
+LINE_NUMBER = f"row_number() OVER (PARTITION BY {ARCHIVE} ORDER BY seq)"
 
 DIRTY = RAW + f""",
 dirty AS (
@@ -307,10 +309,11 @@ ORACLES = {
     "visible_facts": f"""WITH {TICKS}, stg AS ({distribution()}), loads AS (
         SELECT *, CAST(CASE WHEN source_id % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS load_id FROM stg)
       SELECT * REPLACE (Total_Volume + load_id AS Total_Volume) FROM loads""",
-    "read_tick_zips": f"""WITH {LINES} SELECT {ARCHIVE} AS source_id, Comm, Contract_Type, Trade_Date, Log_Time,
-             round(Price, 2) AS Price, Volume, seq % 5000 + 1 AS seq FROM lines WHERE reason IS NULL""",
-    "quarantine_zips": f"""WITH {LINES} SELECT {ARCHIVE} AS source_id, seq % 5000 + 1 AS seq, reason, line
-      FROM lines WHERE reason IS NOT NULL""",
+    "read_tick_zips": f"""WITH {LINES}, numbered AS (SELECT *, {LINE_NUMBER} AS n FROM lines)
+      SELECT {ARCHIVE} AS source_id, Comm, Contract_Type, Trade_Date, Log_Time,
+             round(Price, 2) AS Price, Volume, n AS seq FROM numbered WHERE reason IS NULL""",
+    "quarantine_zips": f"""WITH {LINES}, numbered AS (SELECT *, {LINE_NUMBER} AS n FROM lines)
+      SELECT {ARCHIVE} AS source_id, n AS seq, reason, line FROM numbered WHERE reason IS NOT NULL""",
     "read_tick_csv": f"""WITH {LINES} SELECT source_id, Comm, Contract_Type, Trade_Date, Log_Time,
              round(Price, 2) AS Price, Volume FROM lines WHERE reason IS NULL""",
     "quarantine_csv": f"""WITH {LINES} SELECT source_id, reason, line FROM lines WHERE reason IS NOT NULL""",

@@ -84,26 +84,27 @@ def block_trade_distribution(spark, sf_dir):
     return rollups.trade_distribution(fx.blocks(spark, sf_dir))
 
 
-def _thirds(df: DataFrame) -> list[DataFrame]:
-    return [df.filter(F.col("seq") % 3 == i) for i in range(3)]
+def _chunked(spark, sf_dir) -> DataFrame:
+    """The ticks with the number of their chunk; every chunk is rolled up by itself."""
+    return fx.ticks(spark, sf_dir).withColumn("chunk", F.floor(F.col("seq") / 1000))
 
 
 @query
 def merge_hourly(spark, sf_dir):
-    parts = [rollups.hourly_stats(part) for part in _thirds(fx.ticks(spark, sf_dir))]
-    return cents(rollups.merge_hourly(*parts))
+    stored = materialise(rollups.hourly_stats(_chunked(spark, sf_dir), also=["chunk"]), "partials")
+    return cents(rollups.merge_hourly(stored))
 
 
 @query
 def merge_session(spark, sf_dir):
-    parts = [rollups.session_partials(part) for part in _thirds(fx.ticks(spark, sf_dir))]
-    return cents(rollups.merge_session(*parts))
+    stored = materialise(rollups.session_partials(_chunked(spark, sf_dir), also=["chunk"]), "partials")
+    return cents(rollups.merge_session(stored))
 
 
 @query
 def merge_distribution(spark, sf_dir):
-    parts = [rollups.trade_distribution(part) for part in _thirds(fx.ticks(spark, sf_dir))]
-    return rollups.merge_distribution(*parts)
+    stored = materialise(rollups.trade_distribution(_chunked(spark, sf_dir), also=["chunk"]), "partials")
+    return rollups.merge_distribution(stored)
 
 
 @query
@@ -343,10 +344,8 @@ def load_star(spark, sf_dir):
 @query
 def load_files(spark, sf_dir):
     """Zipped logs through the whole load: ledger state and staged rows of every file."""
-    landing = fx.zip_landing(spark, sf_dir)
+    landing, ids = fx.zip_landing(spark, sf_dir)
     wh = load.Warehouse(spark, scratch_path(spark, "warehouse"))
-    last = fx.raw_ticks(spark, sf_dir).agg(F.max("seq")).first()[0]
-    ids = range(6076, 6077 + last // fx.ROWS_PER_ARCHIVE)
     status = load.load_files(spark, wh, f"{landing}/{{id}}.zip", ids, 1, list(TICK_COLUMNS))
     runs = wh.table("etl_job_logs").select(F.col("file_id").cast("int").alias("file_id"), "row_count")
     return status.join(runs, "file_id").select("file_id", "status", "retry_count", "row_count")
@@ -437,13 +436,13 @@ _PARSED = ("source_id", *TICK_COLUMNS)
 
 @query
 def read_tick_zips(spark, sf_dir):
-    good, _ = sources.split_bad_rows(sources.read_tick_zips(spark, f"{fx.zip_landing(spark, sf_dir)}/*.zip"))
+    good, _ = sources.split_bad_rows(sources.read_tick_zips(spark, f"{fx.zip_landing(spark, sf_dir)[0]}/*.zip"))
     return good.select(*_PARSED, "seq")
 
 
 @query
 def quarantine_zips(spark, sf_dir):
-    landing = fx.zip_landing(spark, sf_dir)
+    landing, _ = fx.zip_landing(spark, sf_dir)
     _, bad = sources.split_bad_rows(sources.read_tick_zips(spark, f"{landing}/*.zip", list(TICK_COLUMNS)))
     return bad
 
@@ -486,7 +485,7 @@ def hourly_stats_stream(spark, sf_dir):
 @query
 def ingest_stream(spark, sf_dir):
     """Archives picked up by a stream, in several micro-batches; the staged sessions."""
-    landing = fx.zip_landing(spark, sf_dir)
+    landing, _ = fx.zip_landing(spark, sf_dir)
     wh = load.Warehouse(spark, scratch_path(spark, "warehouse"))
     checkpoint = scratch_path(spark, "stream-checkpoint")
     run = streaming.ingest_stream(spark, landing, wh, checkpoint, list(TICK_COLUMNS), files_per_batch=1000)

@@ -9,6 +9,7 @@ Roll-ups that keep them can be merged again and still know which price came firs
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -39,12 +40,11 @@ def _merged_totals() -> list[Column]:
 
 
 def _tick_ends() -> list[Column]:
-    at = tick_order()
     return [
-        F.min_by("Price", at).alias("Open"),
-        F.max_by("Price", at).alias("Close"),
-        F.min(at).alias("Open_At"),
-        F.max(at).alias("Close_At"),
+        F.min_by("Price", "_at").alias("Open"),
+        F.max_by("Price", "_at").alias("Close"),
+        F.min("_at").alias("Open_At"),
+        F.max("_at").alias("Close_At"),
     ]
 
 
@@ -61,26 +61,25 @@ def _union(parts: tuple[DataFrame, ...]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _by_hour(ticks: DataFrame):
-    return ticks.withColumn("Hour", hour_of()).groupBy(*HOURLY_KEYS)
-
-
 # -- from ticks ----------------------------------------------------------------------
+# ``also`` adds group keys, such as the chunk of a roll-up that is stored to be merged later.
 
 
-def hourly_stats(ticks: DataFrame) -> DataFrame:
+def hourly_stats(ticks: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Volume, turnover, low and high per source, code, date and hour."""
-    return _by_hour(ticks).agg(*_tick_totals())
+    return ticks.withColumn("Hour", hour_of()).groupBy(*HOURLY_KEYS, *also).agg(*_tick_totals())
 
 
 def hourly_ohlc(ticks: DataFrame) -> DataFrame:
     """:func:`hourly_stats` with the first and last price of the hour."""
-    return _by_hour(ticks).agg(*_tick_totals(), *_tick_ends()).drop("Open_At", "Close_At")
+    keyed = ticks.withColumns({"Hour": hour_of(), "_at": tick_order()})
+    return keyed.groupBy(*HOURLY_KEYS).agg(*_tick_totals(), *_tick_ends()).drop("Open_At", "Close_At")
 
 
-def session_partials(ticks: DataFrame) -> DataFrame:
+def session_partials(ticks: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Session summary in its mergeable form."""
-    return ticks.groupBy(*SESSION_KEYS).agg(*_tick_totals(), *_tick_ends())
+    keyed = ticks.withColumn("_at", tick_order())
+    return keyed.groupBy(*SESSION_KEYS, *also).agg(*_tick_totals(), *_tick_ends())
 
 
 def session_summary(ticks: DataFrame) -> DataFrame:
@@ -91,11 +90,11 @@ def session_summary(ticks: DataFrame) -> DataFrame:
     return session_partials(ticks).drop("Open_At", "Close_At")
 
 
-def trade_distribution(ticks: DataFrame) -> DataFrame:
+def trade_distribution(ticks: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Trades and volume per source, code and trade-size class."""
     return (
         ticks.withColumn("Trader_Type", trader_type())
-        .groupBy(*DISTRIBUTION_KEYS)
+        .groupBy(*DISTRIBUTION_KEYS, *also)
         .agg(F.count("Volume").alias("Trade_Count"), F.sum("Volume").alias("Total_Volume"))
     )
 
@@ -131,7 +130,7 @@ def tick_cells(ticks: DataFrame) -> DataFrame:
     re-aggregations and the ticks are neither unzipped nor shuffled a second time.
     """
     return (
-        ticks.withColumns({"Hour": hour_of(), "Trader_Type": trader_type()})
+        ticks.withColumns({"Hour": hour_of(), "Trader_Type": trader_type(), "_at": tick_order()})
         .groupBy(*HOURLY_KEYS, "Trader_Type")
         .agg(F.count("Volume").alias("Trade_Count"), *_tick_totals(), *_tick_ends())
     )

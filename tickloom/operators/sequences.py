@@ -41,20 +41,25 @@ def number_rows(df: DataFrame, order: str, name: str, start: int | Column = 0) -
 def with_previous(df: DataFrame, key: str, order: str, value: str, name: str) -> DataFrame:
     """``lag(value)`` per key, for keys of any size.
 
-    ``order`` is a unique non-null column within the key. Each slice of a key looks back
-    inside itself; its first row takes the last value of the key's previous slice.
+    ``order`` is a unique column within the key; neither may be null. Each slice of a key
+    looks back inside itself, and its first row takes the last value of the key's previous
+    slice. Slices are consecutive ranges of (key, order), so fewer keys than there are slices
+    span two of them, and both broadcasts below have at most two rows per slice.
     """
     ranged = _sliced(df, [key, order], "ordered")
     within = Window.partitionBy(key, "_slice").orderBy(order)
     across = Window.partitionBy(key).orderBy("_slice")
+    extent = ranged.groupBy(key).agg(F.min("_slice").alias("_first"), F.max("_slice").alias("_last"))
+    spanning = extent.filter("_first < _last").select(key)
     carried = (
-        ranged.groupBy(key, "_slice")
-        .agg(F.max_by(value, order).alias("_last"))
-        .select(key, "_slice", F.lag("_last").over(across).alias("_carried"))
+        ranged.join(F.broadcast(spanning), key, "left_semi")
+        .groupBy(key, "_slice")
+        .agg(F.max_by(value, order).alias("_end"))
+        .select(key, "_slice", F.lag("_end").over(across).alias("_carried"))
     )
     return (
         ranged.withColumns({"_row": F.row_number().over(within), "_before": F.lag(value).over(within)})
-        .join(carried, [key, "_slice"])
+        .join(F.broadcast(carried), [key, "_slice"], "left")
         .withColumn(name, F.when(F.col("_row") == 1, F.col("_carried")).otherwise(F.col("_before")))
         .drop("_slice", "_row", "_before", "_carried")
     )

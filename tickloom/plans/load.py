@@ -7,7 +7,8 @@ either the previous load of a source or the whole new one.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -29,6 +30,13 @@ def _utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def _each(frames: dict[str, DataFrame], write: Callable[[str, DataFrame], None]) -> None:
+    """Run one write per table side by side; the tables do not depend on each other."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        for done in [pool.submit(write, name, df) for name, df in frames.items()]:
+            done.result()
+
+
 def stage_ticks(wh: Warehouse, ticks: DataFrame) -> DataFrame:
     """Roll usable ticks up into the staging tables, source by source replaced.
 
@@ -45,17 +53,19 @@ def stage_ticks(wh: Warehouse, ticks: DataFrame) -> DataFrame:
     reports = [quality.dq_report(df, name, by=["source_id"]) for name, df in rolled.items()]
     report = materialise(reduce(DataFrame.unionByName, reports), "quality")
     blocked = quality.blocked_sources(report)
-    for name, df in rolled.items():
-        wh.replace(name, df.join(blocked, "source_id", "left_anti"))
+    _each(rolled, lambda name, df: wh.replace(name, df.join(blocked, "source_id", "left_anti")))
     return report
 
 
 def sync_dims(wh: Warehouse, sessions: DataFrame) -> None:
     """Add the codes and dates of staged sessions; rows already there stay as they are."""
-    wh.append("dim_commodity", dims.new_commodities(wh.table("dim_commodity"), sessions))
-    known = wh.table("dim_trader_type")
-    wh.append("dim_trader_type", dims.new_keys(dims.trader_type_dim(wh.spark), known, "Trader_Type_Name"))
-    wh.append("dim_date", dims.new_dates(wh.table("dim_date"), sessions))
+    classes = dims.trader_type_dim(wh.spark)
+    added = {
+        "dim_commodity": dims.new_commodities(wh.table("dim_commodity"), sessions),
+        "dim_trader_type": dims.new_keys(classes, wh.table("dim_trader_type"), "Trader_Type_Name"),
+        "dim_date": dims.new_dates(wh.table("dim_date"), sessions),
+    }
+    _each(added, lambda name, df: None if df.isEmpty() else wh.append(name, df))
 
 
 def load_star(wh: Warehouse, load_id: int, sources: DataFrame | None = None) -> None:
@@ -77,8 +87,8 @@ def load_star(wh: Warehouse, load_id: int, sources: DataFrame | None = None) ->
             staged["stg_trade_distribution"], codes, types
         ),
     }
-    for name, df in loaded.items():
-        wh.append(name, df.withColumn("load_id", F.lit(load_id).cast("bigint")))
+    load_column = F.lit(load_id).cast("bigint")
+    _each(loaded, lambda name, df: wh.append(name, df.withColumn("load_id", load_column)))
 
 
 def visible_fact(wh: Warehouse, name: str) -> DataFrame:

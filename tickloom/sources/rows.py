@@ -9,6 +9,7 @@ depends on which columns a query happens to read.
 from __future__ import annotations
 
 import csv
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,18 +43,11 @@ def is_header(line) -> Column:
     return found
 
 
-def _cells(line: Column, columns: list[str]) -> Column:
-    """The line's cells as a struct of strings; ``_extra`` takes a surplus cell."""
-    fields = ", ".join(f"_{i} string" for i in range(len(columns))) + ", _extra string"
-    parsed = F.from_csv(line, fields, {"mode": "PERMISSIVE"})
-    wanted = []
-    for name in TICK_COLUMNS:
-        cell = parsed[f"_{columns.index(name)}"]
-        wanted.append(F.when(~cell.isin(*NA_TOKENS), cell).alias(name))
+def _surplus(parsed: Column, columns: list[str]) -> Column:
+    """True if the line has more cells than the header."""
+    line = F.col("line")
     commas = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
-    quoted = line.contains('"')
-    surplus = F.when(quoted, parsed["_extra"].isNotNull()).otherwise(commas >= len(columns))
-    return F.struct(*wanted, surplus.alias("_surplus"))
+    return F.when(line.contains('"'), parsed["_extra"].isNotNull()).otherwise(commas >= len(columns))
 
 
 def type_ticks(lines: DataFrame, layouts: list[str]) -> DataFrame:
@@ -62,28 +56,41 @@ def type_ticks(lines: DataFrame, layouts: list[str]) -> DataFrame:
     Adds the typed tick columns and ``reason``, null for a usable row. Lines of a file with
     another header are not guessed at: they get a reason and keep their text.
     """
-    lacking = {name for header in layouts for name in TICK_COLUMNS if name not in header_columns(header)}
+    named = [header_columns(header) for header in layouts]
+    lacking = {name for columns in named for name in TICK_COLUMNS if name not in columns}
     if lacking:
         raise ValueError(f"tick file header lacks {sorted(lacking)}")
-    cells = F.lit(None) if not layouts else None
-    for header in layouts:
-        parsed = _cells(F.col("line"), header_columns(header))
-        matches = F.col("header") == header
-        cells = F.when(matches, parsed) if cells is None else cells.when(matches, parsed)
-
-    rows = lines.filter(F.trim("line") != "").withColumn("_cells", cells)
-    typed = {name: F.col(f"_cells.{name}").try_cast(_TYPES[name]) for name in TICK_COLUMNS}
-    rows = rows.withColumns(typed)
+
+    # One parse per layout in a projection of its own; reading its fields there would have
+    # the parser run once per field.
+    parses, matches = {}, []
+    for i, (header, columns) in enumerate(zip(layouts, named)):
+        fields = ", ".join(f"_{n} string" for n in range(len(columns))) + ", _extra string"
+        matches.append(F.col("header") == header)
+        parses[f"_p{i}"] = F.when(matches[i], F.from_csv("line", fields, {"mode": "PERMISSIVE"}))
+    rows = lines.filter(F.trim("line") != "").withColumns(parses)
+
+    cells = {}
+    for name in TICK_COLUMNS:
+        found = [F.col(f"_p{i}")[f"_{columns.index(name)}"] for i, columns in enumerate(named)]
+        cell = F.coalesce(*found, F.lit(None).cast("string"))
+        cells[f"_{name}"] = F.when(~cell.isin(*NA_TOKENS), cell)
+    surplus = [m & _surplus(F.col(f"_p{i}"), c) for i, (m, c) in enumerate(zip(matches, named))]
+    cells["_surplus"] = F.coalesce(reduce(Column.__or__, surplus, F.lit(False)), F.lit(False))
+    cells["_known"] = F.coalesce(reduce(Column.__or__, matches, F.lit(False)), F.lit(False))
+    rows = rows.withColumns(cells)
+
+    rows = rows.withColumns({name: F.col(f"_{name}").try_cast(_TYPES[name]) for name in TICK_COLUMNS})
     unreadable = F.col("error").isNotNull() if "error" in rows.columns else F.lit(False)
     reason = (
         F.when(unreadable, UNREADABLE_ARCHIVE)
-        .when(F.col("_cells").isNull(), UNKNOWN_HEADER)
-        .when(F.col("_cells._surplus"), "too many fields")
+        .when(~F.col("_known"), UNKNOWN_HEADER)
+        .when(F.col("_surplus"), "too many fields")
         .when(
             F.col("Trade_Date").isNull() | F.col("Log_Time").isNull() | F.col("Volume").isNull(),
             "missing or non-numeric integer",
         )
-        .when(F.col("_cells.Price").isNotNull() & F.col("Price").isNull(), "non-numeric price")
+        .when(F.col("_Price").isNotNull() & F.col("Price").isNull(), "non-numeric price")
         .when(~F.col("Log_Time").between(0, MAX_LOG_TIME), "not a time of day")
         .when(F.col("Comm").isNull(), "missing code")
     )
