@@ -16,6 +16,12 @@ def _time_int(ts: Column) -> Column:
     return F.hour(ts) * 10000 + F.minute(ts) * 100 + F.second(ts)
 
 
+def _volume(props: str) -> Column:
+    """``k`` of a JSON object; one that holds nothing else is read without the JSON parser."""
+    only_k = F.regexp_extract(props, r'^\{\s*"k"\s*:\s*(-?\d+)\s*\}$', 1)
+    return F.coalesce(only_k.try_cast("bigint"), F.get_json_object(props, "$.k").cast("bigint"))
+
+
 def ticks_from_events(events: DataFrame) -> DataFrame:
     """An event log as ticks: two calendar days to a source, event id as row order."""
     ts = F.col("ts")
@@ -25,7 +31,7 @@ def ticks_from_events(events: DataFrame) -> DataFrame:
         _date_int(ts).alias("Trade_Date"),
         _time_int(ts).alias("Log_Time"),
         F.col("value").alias("Price"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("Volume"),
+        _volume("props").alias("Volume"),
         (F.lit(6076) + F.floor((F.dayofmonth(ts) - 1) / 2)).cast("int").alias("source_id"),
         F.col("event_id").alias("seq"),
     ).select(*TICK.names)

@@ -43,11 +43,11 @@ def is_header(line) -> Column:
     return found
 
 
-def _surplus(parsed: Column, columns: list[str]) -> Column:
-    """True if the line has more cells than the header."""
+def _surplus(extra: str, width: int) -> Column:
+    """True if the line has more cells than the ``width`` of its header."""
     line = F.col("line")
     commas = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
-    return F.when(line.contains('"'), parsed["_extra"].isNotNull()).otherwise(commas >= len(columns))
+    return F.when(line.contains('"'), F.col(extra).isNotNull()).otherwise(commas >= width)
 
 
 def type_ticks(lines: DataFrame, layouts: list[str]) -> DataFrame:
@@ -61,21 +61,21 @@ def type_ticks(lines: DataFrame, layouts: list[str]) -> DataFrame:
     if lacking:
         raise ValueError(f"tick file header lacks {sorted(lacking)}")
 
-    # One parse per layout in a projection of its own; reading its fields there would have
-    # the parser run once per field.
-    parses, matches = {}, []
+    # Each layout's parse sits in a generator of its own. From a projection, Catalyst would
+    # copy it into every filter above and run the parser many times per line.
+    rows, matches = lines.filter(F.trim("line") != ""), []
     for i, (header, columns) in enumerate(zip(layouts, named)):
-        fields = ", ".join(f"_{n} string" for n in range(len(columns))) + ", _extra string"
+        fields = ", ".join(f"_{i}_{n} string" for n in range(len(columns))) + f", _{i}_extra string"
         matches.append(F.col("header") == header)
-        parses[f"_p{i}"] = F.when(matches[i], F.from_csv("line", fields, {"mode": "PERMISSIVE"}))
-    rows = lines.filter(F.trim("line") != "").withColumns(parses)
+        parsed = F.when(matches[i], F.from_csv("line", fields, {"mode": "PERMISSIVE"}))
+        rows = rows.select("*", F.inline(F.array(parsed)))
 
     cells = {}
     for name in TICK_COLUMNS:
-        found = [F.col(f"_p{i}")[f"_{columns.index(name)}"] for i, columns in enumerate(named)]
+        found = [F.col(f"_{i}_{columns.index(name)}") for i, columns in enumerate(named)]
         cell = F.coalesce(*found, F.lit(None).cast("string"))
         cells[f"_{name}"] = F.when(~cell.isin(*NA_TOKENS), cell)
-    surplus = [m & _surplus(F.col(f"_p{i}"), c) for i, (m, c) in enumerate(zip(matches, named))]
+    surplus = [m & _surplus(f"_{i}_extra", len(c)) for i, (m, c) in enumerate(zip(matches, named))]
     cells["_surplus"] = F.coalesce(reduce(Column.__or__, surplus, F.lit(False)), F.lit(False))
     cells["_known"] = F.coalesce(reduce(Column.__or__, matches, F.lit(False)), F.lit(False))
     rows = rows.withColumns(cells)
