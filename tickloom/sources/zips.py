@@ -92,7 +92,7 @@ def unzip_ticks(archives: DataFrame, layouts: list[str], on_error: str = "raise"
     lines = archives.select("path", "content").mapInPandas(_line_reader(False), _LINES)
     lines = lines.withColumn("source_id", source_id_of(F.col("path")))
     if on_error == "raise":
-        readable = F.when(F.col("error").isNull(), F.col("line")).otherwise(F.raise_error("error"))
+        readable = F.when(F.col("error").isNull(), F.col("line")).otherwise(F.raise_error(F.col("error")))
         return type_ticks(lines.withColumn("line", readable), layouts)
     # An unreadable archive becomes one quarantined line that carries its path.
     lines = lines.withColumn("line", F.coalesce("error", "line"))
