@@ -56,7 +56,7 @@ def test_tables_that_were_never_written_are_empty(spark, tmp_path):
     wh = load.Warehouse(spark, str(tmp_path))
     assert wh.table("fact_hourly_stats").isEmpty() and load.visible_fact(wh, "fact_hourly_stats").isEmpty()
     with pytest.raises(ValueError):
-        wh.replace("fact_hourly_stats", wh.table("fact_hourly_stats"))
+        wh.replace("dim_date", wh.table("dim_date"))
 
 
 def succeed(wh, load_id, *ids):
@@ -119,13 +119,31 @@ def test_files_end_to_end(spark, tmp_path):
     assert as_set(fact, "source_id", "Open", "Close", "Total_Volume", "load_id") == {(1, 10.0, 12.0, 203, 1)}
 
     # File 2 is delivered again and reprocessed.
-    put(landing, 2, "A,F,20251202,090000,10,3", "C,F,20251202,090000,10,3")
+    put(landing, 2, "A,F,20251202,090000,15,3", "C,F,20251202,090000,10,3")
     wh.append("file_status_log", ledger.request_backfill(wh.table("file_status_log"), [2], utc_now()))
     assert as_set(ledger.pending_files(ledger.file_status(wh.table("file_status_log")))) == {(2,)}
     load.load_files(spark, wh, f"{landing}/{{id}}.zip", [2], 2, COLUMNS)
     fact = load.visible_fact(wh, "fact_session_summary")
     assert as_set(fact, "source_id", "load_id") == {(1, 1), (2, 2)}
     assert wh.table("dim_commodity").count() == 2
+    # The close of A went from 12 to 15.
+    last = wh.table("etl_job_logs").filter("run_id = '2'").first()
+    assert last.error_message == "WARNING stg_session_summary VOLATILITY (1)"
+
+    # The same load once more, as after a crash, changes no visible row.
+    before = as_set(fact)
+    load.load_star(wh, 2, spark.createDataFrame([(2,)], "source_id int"))
+    assert as_set(load.visible_fact(wh, "fact_session_summary")) == before
+    assert load.visible_fact(wh, "fact_session_summary").count() == 3
+
+
+def test_a_source_too_big_for_one_task_is_written_by_several(spark, conf, tmp_path):
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
+    hot = spark.range(300_000, numPartitions=6).selectExpr("if(id % 3 = 0, 1, id % 50 + 2) source_id", "uuid() v")
+    path = str(tmp_path / "t")
+    warehouse.replace_by_source(hot, path)
+    assert len(list((tmp_path / "t" / "source_id=1").glob("*.parquet"))) > 5
+    assert max(len(list(p.glob("*.parquet"))) for p in (tmp_path / "t").glob("source_id=[2-9]*")) < 5
 
 
 def test_a_load_that_raises_is_logged_as_failed(spark, tmp_path):

@@ -108,6 +108,21 @@ def test_header_without_a_tick_column_is_refused(spark, tmp_path):
         read_tick_zips(spark, path)
 
 
+def test_unusable_header_fails_its_own_file_only(spark, tmp_path):
+    archive(tmp_path / "1.zip", {"T.csv": "Comm,Price\nA,1\n"})
+    archive(tmp_path / "2.zip", {"T.csv": log(GOOD)})
+    good, bad = split_bad_rows(read_tick_zips(spark, f"{tmp_path}/*.zip", on_error="quarantine"))
+    assert as_set(good, "source_id") == {(2,)}
+    assert as_set(bad, "source_id", "reason", "line") == {(1, "unknown header", "A,1")}
+
+
+def test_plain_log_without_a_header_is_an_error(spark, tmp_path):
+    (tmp_path / "1.csv").write_text(log(GOOD))
+    (tmp_path / "2.csv").write_text(GOOD + "\n")
+    with pytest.raises(ValueError, match="1 files without a header"):
+        read_tick_csv(spark, str(tmp_path))
+
+
 def test_windows_line_ends_and_byte_order_mark(spark, tmp_path):
     text = "﻿" + "\r\n".join([HEADER, GOOD, ""])
     path = archive(tmp_path / "1.zip", {"T.csv": text.encode()})

@@ -107,3 +107,13 @@ def dq_volatility(session: DataFrame, pct: float = 0.20) -> DataFrame:
     moved = daily.withColumn("Prev_Close", F.lag("Close").over(by_date))
     change = F.try_divide(F.col("Close") - F.col("Prev_Close"), F.col("Prev_Close"))
     return moved.withColumn("Change", change).filter(F.abs("Change") > pct)
+
+
+def volatility_report(session: DataFrame, dataset: str, pct: float = 0.20) -> DataFrame:
+    """:func:`dq_volatility` as warning rows per source."""
+    moved = dq_volatility(session, pct).select("Comm", "Trade_Date")
+    flagged = session.select("source_id", "Comm", "Trade_Date").join(moved, ["Comm", "Trade_Date"], "left_semi")
+    return flagged.groupBy("source_id").agg(F.count("*").alias("violations")).select(
+        "source_id", F.lit(dataset).alias("dataset"), F.lit("VOLATILITY").alias("rule"),
+        F.lit(WARNING).alias("severity"), "violations",
+    )

@@ -30,10 +30,10 @@ def _utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def _each(frames: dict[str, DataFrame], write: Callable[[str, DataFrame], None]) -> None:
+def _each(tables: dict, write: Callable) -> None:
     """Run one write per table side by side; the tables do not depend on each other."""
-    with ThreadPoolExecutor(len(frames)) as pool:
-        for done in [pool.submit(write, name, df) for name, df in frames.items()]:
+    with ThreadPoolExecutor(len(tables)) as pool:
+        for done in [pool.submit(write, name, rows) for name, rows in tables.items()]:
             done.result()
 
 
@@ -60,12 +60,18 @@ def stage_ticks(wh: Warehouse, ticks: DataFrame) -> DataFrame:
 def sync_dims(wh: Warehouse, sessions: DataFrame) -> None:
     """Add the codes and dates of staged sessions; rows already there stay as they are."""
     classes = dims.trader_type_dim(wh.spark)
-    added = {
-        "dim_commodity": dims.new_commodities(wh.table("dim_commodity"), sessions),
-        "dim_trader_type": dims.new_keys(classes, wh.table("dim_trader_type"), "Trader_Type_Name"),
-        "dim_date": dims.new_dates(wh.table("dim_date"), sessions),
+    new_rows = {
+        "dim_commodity": lambda known: dims.new_commodities(known, sessions),
+        "dim_trader_type": lambda known: dims.new_keys(classes, known, "Trader_Type_Name"),
+        "dim_date": lambda known: dims.new_dates(known, sessions),
     }
-    _each(added, lambda name, df: None if df.isEmpty() else wh.append(name, df))
+
+    def extend(name: str, find: Callable[[DataFrame], DataFrame]) -> None:
+        rows = find(wh.table(name))
+        if not rows.isEmpty():
+            wh.append(name, rows)
+
+    _each(new_rows, extend)
 
 
 def load_star(wh: Warehouse, load_id: int, sources: DataFrame | None = None) -> None:
@@ -88,7 +94,7 @@ def load_star(wh: Warehouse, load_id: int, sources: DataFrame | None = None) ->
         ),
     }
     load_column = F.lit(load_id).cast("bigint")
-    _each(loaded, lambda name, df: wh.append(name, df.withColumn("load_id", load_column)))
+    _each(loaded, lambda name, df: wh.replace(name, df.withColumn("load_id", load_column)))
 
 
 def visible_fact(wh: Warehouse, name: str) -> DataFrame:
@@ -103,9 +109,10 @@ def load_files(
     """Load the archives of some file ids end to end; returns their ledger state.
 
     Unreadable archives and sources that break a blocker rule end as FAILED, the others as
-    SUCCESS. The file ids are the driver's own work list, one small row per file. Run it
-    again after a crash with the same ``load_id`` only if its facts were not written yet,
-    else with a new one: unfinished loads stay invisible.
+    SUCCESS. The file ids are the driver's own work list, one small row per file. After a
+    crash the same load can simply be run again: staging and facts are replaced partition by
+    partition, known dimension rows are not added twice, and an unfinished load is invisible.
+    One load runs at a time, as ids are given out from the highest one known.
     """
     ids = list(ids)
     started = started or _utc_now()
@@ -144,6 +151,7 @@ def _job_rows(
     """One job-log row per file with the staged rows it produced and its quality warnings."""
     staged = [wh.table(name).groupBy("source_id").agg(F.count("*").alias("row_count")) for name in STAGING]
     counts = reduce(DataFrame.unionByName, staged).groupBy("source_id").agg(F.sum("row_count").alias("row_count"))
+    report = report.unionByName(quality.volatility_report(wh.table("stg_session_summary"), "stg_session_summary"))
     warned = report.filter((F.col("severity") == quality.WARNING) & (F.col("violations") > 0))
     warnings = warned.groupBy("source_id").agg(F.concat_ws("; ", F.array_sort(F.collect_set(
         F.format_string("WARNING %s %s (%d)", "dataset", "rule", "violations")

@@ -20,7 +20,7 @@ def append_jdbc(df: DataFrame, url: str, table: str, batch_rows: int = 2000, **p
     df.write.jdbc(url, table, mode="append", properties={"batchsize": str(batch_rows), **properties})
 
 
-def replace_by_source(df: DataFrame, path: str, key: str = "source_id") -> None:
+def replace_by_source(df: DataFrame, path: str, keys: Sequence[str] = ("source_id",)) -> None:
     """Replace the rows of every source in ``df`` and keep all other sources.
 
     Only partitions that occur in ``df`` are overwritten, so a repeated load gives the same
@@ -28,10 +28,10 @@ def replace_by_source(df: DataFrame, path: str, key: str = "source_id") -> None:
     files and lets AQE split one that is too big for a task.
     """
     (
-        df.hint("rebalance", key)
+        df.hint("rebalance", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(key)
+        .partitionBy(*keys)
         .parquet(path)
     )
 
@@ -67,16 +67,14 @@ class Warehouse:
 
     def append(self, name: str, df: DataFrame) -> None:
         schema, partition_by = TABLES[name]
-        rows = df.select(*schema.names)
-        if partition_by:
-            rows = rows.hint("rebalance", *partition_by)
-        append_table(rows, self.path(name), partition_by)
+        append_table(df.select(*schema.names), self.path(name), partition_by)
 
     def replace(self, name: str, df: DataFrame) -> None:
+        """Replace the partitions that occur in ``df``: a source, for facts a source's load."""
         schema, partition_by = TABLES[name]
-        if partition_by != ("source_id",):
-            raise ValueError(f"{name} is not partitioned by source_id alone")
-        replace_by_source(df.select(*schema.names), self.path(name))
+        if not partition_by:
+            raise ValueError(f"{name} is not partitioned")
+        replace_by_source(df.select(*schema.names), self.path(name), partition_by)
 
     def mart(self, name: str, df: DataFrame) -> None:
         save_mart(df, self.path(name))

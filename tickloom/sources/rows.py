@@ -35,6 +35,12 @@ def header_columns(header: str) -> list[str]:
     return next(csv.reader([header.lstrip("﻿")]))
 
 
+def missing_columns(header: str) -> list[str]:
+    """Tick columns that a header line does not name."""
+    names = header_columns(header) if header.strip() else []
+    return [name for name in TICK_COLUMNS if name not in names]
+
+
 def is_header(line) -> Column:
     """True for a line that names every tick column."""
     found = F.lit(True)
@@ -56,10 +62,10 @@ def type_ticks(lines: DataFrame, layouts: list[str]) -> DataFrame:
     Adds the typed tick columns and ``reason``, null for a usable row. Lines of a file with
     another header are not guessed at: they get a reason and keep their text.
     """
-    named = [header_columns(header) for header in layouts]
-    lacking = {name for columns in named for name in TICK_COLUMNS if name not in columns}
+    lacking = {name for header in layouts for name in missing_columns(header)}
     if lacking:
         raise ValueError(f"tick file header lacks {sorted(lacking)}")
+    named = [header_columns(header) for header in layouts]
 
     # Each layout's parse sits in a generator of its own. From a projection, Catalyst would
     # copy it into every filter above and run the parser many times per line.

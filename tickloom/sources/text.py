@@ -30,17 +30,22 @@ def _lines(spark: SparkSession, paths, pattern: str) -> DataFrame:
     )
 
 
-def _layouts(spark: SparkSession, paths) -> dict[str, list[str]]:
+def _layouts(spark: SparkSession, paths, pattern: str) -> dict[str, list[str]]:
     """Header line -> files. One row per file, which the driver's file index holds anyway."""
     heads = (
-        spark.read.text(paths)
-        .filter(is_header(F.col("value")))
-        .select("value", "_metadata.file_path")
-        .distinct()
+        _lines(spark, paths, pattern)
+        .filter(is_header(F.col("line")))
+        .groupBy("file_path")
+        .agg(F.min_by("line", "seq").alias("header"))
     )
     found: dict[str, list[str]] = {}
+    headless = {unquote(path) for path in spark.read.text(paths).inputFiles()}
     for row in heads.collect():
-        found.setdefault(row.value, []).append(unquote(row.file_path))
+        path = unquote(row.file_path)
+        found.setdefault(row.header, []).append(path)
+        headless.discard(path)
+    if headless:
+        raise ValueError(f"{len(headless)} files without a header line, e.g. {min(headless)}")
     return found
 
 
@@ -50,12 +55,11 @@ def read_tick_csv(
     """Parsed lines of plain logs; feed to :func:`tickloom.sources.rows.split_bad_rows`.
 
     With ``columns``, the header all files share, the data is read once. Without it a first
-    scan finds the header of every file, and files are read layout by layout.
+    scan finds the header of every file, and files are read layout by layout. A file that has
+    none is an error.
     ``source_pattern`` names the file id in the path by its first group.
     """
-    layouts = {",".join(columns): paths} if columns else _layouts(spark, paths)
-    if not layouts:
-        raise ValueError(f"no header line in {paths}")
+    layouts = {",".join(columns): paths} if columns else _layouts(spark, paths, source_pattern)
     parts = []
     for header, files in layouts.items():
         lines = _lines(spark, files, source_pattern).withColumn("header", F.lit(header))

@@ -18,7 +18,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from tickloom.sources.rows import type_ticks
+from tickloom.sources.rows import missing_columns, type_ticks
 
 MEMBER_SUFFIXES = (".csv", ".txt")
 LINES_PER_BATCH = 50_000
@@ -109,8 +109,11 @@ def read_tick_zips(
     (2 GB at most) in the task that unzips it; the member itself is streamed in batches.
     ``seq`` is the line number. Give ``columns``, the feed's header, to read each archive
     once; without it a first pass collects the distinct header lines.
-    ``on_error="quarantine"`` keeps one unreadable archive from failing the others.
+    ``on_error="quarantine"`` keeps one unreadable archive, or one without the tick columns,
+    from failing the others.
     """
     archives = spark.read.format("binaryFile").load(paths)
     layouts = [",".join(columns)] if columns else zip_headers(archives)
+    if on_error != "raise":
+        layouts = [header for header in layouts if not missing_columns(header)]
     return unzip_ticks(archives, layouts, on_error)
