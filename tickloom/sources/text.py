@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,13 +39,13 @@ def _layouts(spark: SparkSession, paths, pattern: str) -> dict[str, list[str]]:
         .agg(F.min_by("line", "seq").alias("header"))
     )
     found: dict[str, list[str]] = {}
-    headless = {unquote(path) for path in spark.read.text(paths).inputFiles()}
+    # The two listings spell a file's scheme differently, its path alike.
+    headless = {urlparse(path).path: unquote(path) for path in spark.read.text(paths).inputFiles()}
     for row in heads.collect():
-        path = unquote(row.file_path)
-        found.setdefault(row.header, []).append(path)
-        headless.discard(path)
+        found.setdefault(row.header, []).append(unquote(row.file_path))
+        headless.pop(urlparse(row.file_path).path, None)
     if headless:
-        raise ValueError(f"{len(headless)} files without a header line, e.g. {min(headless)}")
+        raise ValueError(f"{len(headless)} files without a header line, e.g. {min(headless.values())}")
     return found
 
 
