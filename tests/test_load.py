@@ -1,4 +1,5 @@
 import os
+import random
 import statistics
 import zipfile
 from datetime import datetime, timezone
@@ -24,6 +25,18 @@ def put(folder, file_id, *lines, header=",".join(COLUMNS)):
         z.writestr("T.csv", "\n".join([header, *lines]) + "\n")
 
 
+def damage(folder, file_id):
+    """An archive whose last part is broken, far behind its first readable lines."""
+    dice = random.Random(1)
+    lines = [f"A,F,20251201,090000,{dice.random()},3" for _ in range(200_000)]
+    path = os.path.join(folder, f"{file_id}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("T.csv", "\n".join([",".join(COLUMNS), *lines]))
+    with open(path, "r+b") as f:
+        f.seek(os.path.getsize(path) - 5000)
+        f.write(b"\xff" * 2000)
+
+
 def test_sources_are_replaced_one_by_one(make_ticks, spark, tmp_path):
     path = str(tmp_path / "stg")
     first = rollups.session_summary(make_ticks(
@@ -105,16 +118,19 @@ def test_files_end_to_end(spark, tmp_path):
     put(landing, 3, "A,F,20251203,090000,0,3")
     (landing / "4.zip").write_bytes(b"junk")
     put(landing, 5, "x,y", header="a,b")
-    status = load.load_files(spark, wh, f"{landing}/{{id}}.zip", [1, 2, 3, 4, 5], 1, COLUMNS)
+    damage(landing, 6)
+    status = load.load_files(spark, wh, f"{landing}/{{id}}.zip", [1, 2, 3, 4, 5, 6], 1, COLUMNS)
     assert as_set(status, "file_id", "status", "retry_count") == {
         (1, "SUCCESS", 0), (2, "FAILED", 1), (3, "SUCCESS", 0), (4, "FAILED", 1), (5, "FAILED", 1),
+        (6, "FAILED", 1),
     }
     logged = {r.file_id: (r.status, r.row_count, r.error_message) for r in wh.table("etl_job_logs").collect()}
     # Two hours, one session, two classes.
     assert logged["1"] == ("SUCCESS", 5, None)
     assert logged["3"] == ("SUCCESS", 0, "WARNING EMPTY")
     assert logged["2"][2].endswith("NEGATIVE_TURNOVER") and logged["4"][2] == "unreadable archive"
-    assert logged["5"][2] == "unknown header"
+    assert logged["5"][2] == "unknown header" and logged["6"][2] == "unreadable archive"
+    assert wh.table("stg_session_summary").filter("source_id = 6").isEmpty()
     assert as_set(wh.table("quarantine").filter("source_id = 1"), "line") == {("A,F,bad,1,1,1",)}
     fact = load.visible_fact(wh, "fact_session_summary")
     assert as_set(fact, "source_id", "Open", "Close", "Total_Volume", "load_id") == {(1, 10.0, 12.0, 203, 1)}

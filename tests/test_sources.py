@@ -130,11 +130,20 @@ def test_windows_line_ends_and_byte_order_mark(spark, tmp_path):
     assert as_set(good, "Volume") == {(3,)} and bad.isEmpty()
 
 
-def test_long_members_are_read_in_batches(spark, tmp_path):
-    lines = [f"A,F,20251201,{i % 60:06d},1.0,{i % 9}" for i in range(120_000)]
+def test_long_members_are_read_in_blocks(spark, tmp_path):
+    lines = [f"A,F,20251201,{i % 60:06d},1.0,{i}" for i in range(120_000)]
     path = archive(tmp_path / "1.zip", {"T.csv": log(*lines)})
-    good, _ = split_bad_rows(read_tick_zips(spark, path, list(TICK_COLUMNS)))
-    assert good.selectExpr("count(*)", "count(distinct seq)", "min(seq)", "max(seq)").first()[:] == (120_000, 120_000, 1, 120_000)
+    good, bad = split_bad_rows(read_tick_zips(spark, path, list(TICK_COLUMNS)))
+    assert good.filter("seq = Volume + 1").count() == 120_000 and good.count() == 120_000
+    assert bad.isEmpty()
+
+
+def test_line_without_end_and_lines_longer_than_a_block(spark, tmp_path):
+    long = "A,F,bad," + "x" * 3_000_000
+    path = archive(tmp_path / "1.zip", {"T.csv": "\n" + log(GOOD, long, GOOD).rstrip("\n")})
+    good, bad = split_bad_rows(read_tick_zips(spark, path))
+    assert as_set(good, "seq") == {(1,), (3,)}
+    assert as_set(bad, "line", "seq") == {(long, 2)}
 
 
 @pytest.mark.parametrize("known", [True, False])

@@ -57,6 +57,21 @@ def stage_ticks(wh: Warehouse, ticks: DataFrame) -> DataFrame:
     return report
 
 
+def stage_lines(wh: Warehouse, parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """:func:`stage_ticks` for parsed files, with their bad lines kept in the quarantine.
+
+    Files that cannot be read to the end, or have an unknown header, are not staged at all.
+    Returns the quality report and those files with the reason.
+    """
+    # The parsed lines feed the roll-ups and the quarantine; unzip them once.
+    good, bad = split_bad_rows(materialise(parsed, "parsed"))
+    whole_file = F.col("reason").isin(UNREADABLE_ARCHIVE, UNKNOWN_HEADER)
+    # Stored, so that its few rows are known to be few when the ticks are joined to them.
+    unreadable = materialise(bad.filter(whole_file).select("source_id", "reason").distinct(), "unreadable")
+    wh.replace("quarantine", bad)
+    return stage_ticks(wh, good.join(unreadable, "source_id", "left_anti")), unreadable
+
+
 def sync_dims(wh: Warehouse, sessions: DataFrame) -> None:
     """Add the codes and dates of staged sessions; rows already there stay as they are."""
     classes = dims.trader_type_dim(wh.spark)
@@ -120,12 +135,8 @@ def load_files(
     wh.append("file_status_log", transitions(files, "PROCESSING", started, load_id=load_id, step=1))
     try:
         parsed = read_tick_zips(spark, tick_paths(template, ids), columns, on_error="quarantine")
-        # The parsed lines feed the roll-ups and the quarantine; unzip them once.
-        good, bad = split_bad_rows(materialise(parsed, "parsed"))
-        wh.replace("quarantine", bad)
-        report = stage_ticks(wh, good)
-        unreadable = bad.filter(F.col("reason").isin(UNREADABLE_ARCHIVE, UNKNOWN_HEADER))
-        failures = unreadable.select("source_id", "reason").unionByName(quality.blocked_sources(report))
+        report, unreadable = stage_lines(wh, parsed)
+        failures = unreadable.unionByName(quality.blocked_sources(report))
         failed = materialise(failures.groupBy("source_id").agg(F.min("reason").alias("reason")), "failed")
         done = files.withColumnRenamed("file_id", "source_id").join(failed, "source_id", "left_anti")
         load_star(wh, load_id, done)

@@ -1,9 +1,9 @@
 """From raw log lines to typed ticks and a quarantine.
 
-A line frame has ``source_id, seq, line, header``: the line as it stands in the file and
-the header line of that file, which fixes the column order. Lines are parsed one by one
-with ``from_csv`` into strings and cast afterwards, so whether a line counts as bad never
-depends on which columns a query happens to read.
+A line frame has ``source_id, seq, line, layout``: the line as it stands in the file and
+the number of the file's header among the known ones, which fixes the column order. Lines
+are parsed one by one with ``from_csv`` into strings and cast afterwards, so whether a line
+counts as bad never depends on which columns a query happens to read.
 """
 
 from __future__ import annotations
@@ -49,6 +49,14 @@ def is_header(line) -> Column:
     return found
 
 
+def layout_of(header: Column, layouts: list[str]) -> Column:
+    """Position of a header line in ``layouts``, null if it is none of them."""
+    position = F.lit(None).cast("int")
+    for i, known in enumerate(layouts):
+        position = F.when(header == known, F.lit(i)).otherwise(position)
+    return position
+
+
 def _surplus(extra: str, width: int) -> Column:
     """True if the line has more cells than the ``width`` of its header."""
     line = F.col("line")
@@ -57,10 +65,11 @@ def _surplus(extra: str, width: int) -> Column:
 
 
 def type_ticks(lines: DataFrame, layouts: list[str]) -> DataFrame:
-    """Parse line frames whose files have one of the header lines in ``layouts``.
+    """Parse a line frame whose ``layout`` numbers refer to the header lines in ``layouts``.
 
     Adds the typed tick columns and ``reason``, null for a usable row. Lines of a file with
-    another header are not guessed at: they get a reason and keep their text.
+    another header (a null ``layout``) are not guessed at: they get a reason and keep their text.
+    A true ``unreadable``, if the column is there, marks a file without lines.
     """
     lacking = {name for header in layouts for name in missing_columns(header)}
     if lacking:
@@ -69,11 +78,10 @@ def type_ticks(lines: DataFrame, layouts: list[str]) -> DataFrame:
 
     # Each layout's parse sits in a generator of its own. From a projection, Catalyst would
     # copy it into every filter above and run the parser many times per line.
-    rows, matches = lines.filter(F.trim("line") != ""), []
-    for i, (header, columns) in enumerate(zip(layouts, named)):
+    rows = lines.filter(F.trim("line") != "")
+    for i, columns in enumerate(named):
         fields = ", ".join(f"_{i}_{n} string" for n in range(len(columns))) + f", _{i}_extra string"
-        matches.append(F.col("header") == header)
-        parsed = F.when(matches[i], F.from_csv("line", fields, {"mode": "PERMISSIVE"}))
+        parsed = F.when(F.col("layout") == i, F.from_csv("line", fields, {"mode": "PERMISSIVE"}))
         rows = rows.select("*", F.inline(F.array(parsed)))
 
     cells = {}
@@ -81,16 +89,15 @@ def type_ticks(lines: DataFrame, layouts: list[str]) -> DataFrame:
         found = [F.col(f"_{i}_{columns.index(name)}") for i, columns in enumerate(named)]
         cell = F.coalesce(*found, F.lit(None).cast("string"))
         cells[f"_{name}"] = F.when(~cell.isin(*NA_TOKENS), cell)
-    surplus = [m & _surplus(f"_{i}_extra", len(c)) for i, (m, c) in enumerate(zip(matches, named))]
-    cells["_surplus"] = F.coalesce(reduce(Column.__or__, surplus, F.lit(False)), F.lit(False))
-    cells["_known"] = F.coalesce(reduce(Column.__or__, matches, F.lit(False)), F.lit(False))
+    surplus = [(F.col("layout") == i) & _surplus(f"_{i}_extra", len(c)) for i, c in enumerate(named)]
+    cells["_surplus"] = reduce(Column.__or__, surplus, F.lit(False))
     rows = rows.withColumns(cells)
 
     rows = rows.withColumns({name: F.col(f"_{name}").try_cast(_TYPES[name]) for name in TICK_COLUMNS})
-    unreadable = F.col("error").isNotNull() if "error" in rows.columns else F.lit(False)
+    unreadable = F.col("unreadable") if "unreadable" in rows.columns else F.lit(False)
     reason = (
         F.when(unreadable, UNREADABLE_ARCHIVE)
-        .when(~F.col("_known"), UNKNOWN_HEADER)
+        .when(F.col("layout").isNull(), UNKNOWN_HEADER)
         .when(F.col("_surplus"), "too many fields")
         .when(
             F.col("Trade_Date").isNull() | F.col("Log_Time").isNull() | F.col("Volume").isNull(),

@@ -62,7 +62,7 @@ def read_tick_csv(
     layouts = {",".join(columns): paths} if columns else _layouts(spark, paths, source_pattern)
     parts = []
     for header, files in layouts.items():
-        lines = _lines(spark, files, source_pattern).withColumn("header", F.lit(header))
+        lines = _lines(spark, files, source_pattern).withColumn("layout", F.lit(0))
         parts.append(type_ticks(lines.filter(F.col("line") != header), [header]))
     parsed = parts[0]
     for part in parts[1:]:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -18,10 +19,10 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from tickloom.sources.rows import missing_columns, type_ticks
+from tickloom.sources.rows import layout_of, missing_columns, type_ticks
 
 MEMBER_SUFFIXES = (".csv", ".txt")
-LINES_PER_BATCH = 50_000
+BLOCK_CHARS = 1 << 20
 SOURCE_PATTERN = r"(\d+)\.(?:zip|csv|txt)(?:/part-[^/]*)?$"
 
 #: What a ``binaryFile`` scan yields; a stream over archives needs it spelled out.
@@ -30,7 +31,8 @@ ZIP_SCHEMA = StructType([
     StructField("length", LongType()), StructField("content", BinaryType()),
 ])
 
-_LINES = "path string, seq bigint, line string, header string, error string"
+# A block is a run of whole lines of one member; ``start`` is the number of its first line.
+_BLOCKS = "path string, start bigint, block string, header string, error string"
 
 
 def tick_paths(template: str, ids: Iterable[int]) -> list[str]:
@@ -42,61 +44,92 @@ def source_id_of(path: Column, pattern: str = SOURCE_PATTERN) -> Column:
     return F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")).try_cast("int")
 
 
-def _lines_of(path: str, content: bytes, header_only: bool) -> Iterator[tuple]:
-    """``(seq, line, header, error)`` for each line below the header."""
-    try:
-        archive = zipfile.ZipFile(io.BytesIO(content))
-    except zipfile.BadZipFile:
-        yield 0, "", None, f"not a zip archive: {path}"
-        return
+def _line_blocks(text: io.TextIOBase) -> Iterator[str]:
+    """The rest of a text, cut into blocks of whole lines."""
+    pending: list[str] = []
+    while chunk := text.read(BLOCK_CHARS):
+        cut = chunk.rfind("\n")
+        if cut < 0:
+            pending.append(chunk)
+            continue
+        yield "".join([*pending, chunk[:cut]])
+        pending = [chunk[cut + 1:]]
+    if any(pending):
+        yield "".join(pending)
+
+
+def _blocks_of(path: str, content: bytes, header_only: bool) -> Iterator[tuple]:
+    """``(path, start, block, header, error)`` rows of one archive."""
+    archive = zipfile.ZipFile(io.BytesIO(content))
     member = next((name for name in archive.namelist() if name.endswith(MEMBER_SUFFIXES)), None)
     if member is None:
-        yield 0, "", None, f"no .csv or .txt member in {path}"
-        return
+        raise FileNotFoundError(f"no .csv or .txt member in {path}")
     with archive.open(member) as raw:
         text = io.TextIOWrapper(raw, encoding="utf-8-sig", errors="replace")
-        header = next((line for line in text if line.strip()), "").rstrip("\r\n")
+        while (header := text.readline()) and not header.strip():
+            pass
+        header = header.rstrip("\n")
         if header_only:
-            yield 0, "", header, None
+            yield path, 1, None, header, None
             return
-        for number, line in enumerate(text, start=1):
-            yield number, line.rstrip("\r\n"), header, None
+        start = 1
+        for block in _line_blocks(text):
+            yield path, start, block, header, None
+            start += block.count("\n") + 1
+
+
+def _blocks_or_error(path: str, content: bytes, header_only: bool) -> Iterator[tuple]:
+    """The archive's blocks; if it turns out to be damaged, a last row that says so."""
+    try:
+        yield from _blocks_of(path, content, header_only)
+    except (zipfile.BadZipFile, zlib.error, EOFError, OSError, RuntimeError) as error:
+        yield path, 0, None, None, f"{error or type(error).__name__}: {path}"
+
 
+def _block_reader(header_only: bool):
+    """A ``mapInArrow`` function that unzips archives block by block.
 
-def _line_reader(header_only: bool):
-    """A ``mapInPandas`` function that unzips member by member in bounded batches."""
+    Python only inflates and cuts at line ends; lines are split and parsed in the JVM.
+    """
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                rows = []
-                for row in _lines_of(path, content, header_only):
-                    rows.append((path, *row))
-                    if len(rows) == LINES_PER_BATCH:
-                        yield pd.DataFrame(rows, columns=["path", "seq", "line", "header", "error"])
-                        rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=["path", "seq", "line", "header", "error"])
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                for row in _blocks_or_error(path.as_py(), content.as_py(), header_only):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([value], kind) for value, kind in zip(row, _BLOCK_TYPES)], _BLOCK_NAMES
+                    )
 
     return read
 
 
+_BLOCK_TYPES = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string())
+_BLOCK_NAMES = ["path", "start", "block", "header", "error"]
+
+
 def zip_headers(archives: DataFrame) -> list[str]:
     """The distinct header lines of the archives; a feed has one, seldom two."""
-    heads = archives.select("path", "content").mapInPandas(_line_reader(True), _LINES)
+    heads = archives.select("path", "content").mapInArrow(_block_reader(True), _BLOCKS)
     return [row.header for row in heads.filter("header IS NOT NULL").select("header").distinct().collect()]
 
 
 def unzip_ticks(archives: DataFrame, layouts: list[str], on_error: str = "raise") -> DataFrame:
     """Parse a ``binaryFile`` frame, batch or streaming; see :func:`read_tick_zips`."""
-    lines = archives.select("path", "content").mapInPandas(_line_reader(False), _LINES)
-    lines = lines.withColumn("source_id", source_id_of(F.col("path")))
+    blocks = archives.select("path", "content").mapInArrow(_block_reader(False), _BLOCKS)
     if on_error == "raise":
-        readable = F.when(F.col("error").isNull(), F.col("line")).otherwise(F.raise_error(F.col("error")))
-        return type_ticks(lines.withColumn("line", readable), layouts)
-    # An unreadable archive becomes one quarantined line that carries its path.
-    lines = lines.withColumn("line", F.coalesce("error", "line"))
-    return type_ticks(lines, layouts)
+        text = F.when(F.col("error").isNull(), F.col("block")).otherwise(F.raise_error(F.col("error")))
+    else:
+        # An unreadable archive becomes one quarantined line that says why.
+        text = F.coalesce("error", "block")
+    # File-level columns are worked out per block, before it becomes lines.
+    lines = blocks.select(
+        source_id_of(F.col("path")).alias("source_id"),
+        layout_of(F.col("header"), layouts).alias("layout"),
+        F.col("error").isNotNull().alias("unreadable"),
+        "start",
+        F.posexplode(F.split(text, "\n", -1)).alias("_offset", "line"),
+    )
+    return type_ticks(lines.withColumn("seq", F.col("start") + F.col("_offset")), layouts)
 
 
 def read_tick_zips(
@@ -106,11 +139,12 @@ def read_tick_zips(
     :func:`tickloom.sources.rows.split_bad_rows`.
 
     An archive cannot be split, so it is the unit of parallelism, and Spark holds it whole
-    (2 GB at most) in the task that unzips it; the member itself is streamed in batches.
+    (2 GB at most) in the task that unzips it; the member itself is streamed in blocks.
     ``seq`` is the line number. Give ``columns``, the feed's header, to read each archive
     once; without it a first pass collects the distinct header lines.
     ``on_error="quarantine"`` keeps one unreadable archive, or one without the tick columns,
-    from failing the others.
+    from failing the others. A damaged archive may have given some lines before the damage
+    showed; leave its source out as a whole, as :mod:`tickloom.plans.load` does.
     """
     archives = spark.read.format("binaryFile").load(paths)
     layouts = [",".join(columns)] if columns else zip_headers(archives)

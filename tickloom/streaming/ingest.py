@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.plans.load import stage_ticks
+from tickloom.plans.load import stage_lines
 from tickloom.plans.warehouse import Warehouse
 from tickloom.schemas import TICK_COLUMNS
-from tickloom.session import materialise
-from tickloom.sources.rows import split_bad_rows
 from tickloom.sources.zips import ZIP_SCHEMA, unzip_ticks
 
 
@@ -28,10 +26,7 @@ def ingest_stream(
         archives = archives.option("maxFilesPerTrigger", files_per_batch)
 
     def roll_up(batch: DataFrame, _batch_id: int) -> None:
-        parsed = materialise(unzip_ticks(batch, [header], on_error="quarantine"), "stream")
-        good, bad = split_bad_rows(parsed)
-        wh.replace("quarantine", bad)
-        stage_ticks(wh, good)
+        stage_lines(wh, unzip_ticks(batch, [header], on_error="quarantine"))
 
     return (
         archives.load(landing)
