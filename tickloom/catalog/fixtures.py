@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import io
 import posixpath
+import sys
 import zipfile
 
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ from tickloom.schemas import DIM_COMMODITY, DIM_DATE, TICK_COLUMNS
 from tickloom.session import materialise, scratch_path
 from tickloom.sources import block_trades, status_log_from_orders, ticks_from_events
 
+register_pickle_by_value(sys.modules[__name__])
+
 # No archive holds more lines than this, whatever the size of a source.
 ROWS_PER_ARCHIVE = 1_000_000
 

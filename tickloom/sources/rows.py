@@ -2,14 +2,13 @@
 
 A line frame has ``source_id, seq, line, layout``: the line as it stands in the file and
 the number of the file's header among the known ones, which fixes the column order. Lines
-are parsed one by one with ``from_csv`` into strings and cast afterwards, so whether a line
-counts as bad never depends on which columns a query happens to read.
+are cut into cells one by one and cast afterwards, so whether a line counts as bad never
+depends on which columns a query happens to read.
 """
 
 from __future__ import annotations
 
 import csv
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,11 +56,22 @@ def layout_of(header: Column, layouts: list[str]) -> Column:
     return position
 
 
-def _surplus(extra: str, width: int) -> Column:
-    """True if the line has more cells than the ``width`` of its header."""
-    line = F.col("line")
-    commas = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
-    return F.when(line.contains('"'), F.col(extra).isNotNull()).otherwise(commas >= width)
+def _cells(line: Column, width: int) -> Column:
+    """The cells of a line, in order. Only a line with quotes needs the CSV parser; there the
+    array has one place more than ``width``, for a surplus cell."""
+    names = [f"_{n}" for n in range(width + 1)]
+    parsed = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE"})
+    # Inside the lambda the parsed line is a variable, so it is parsed once.
+    quoted = F.transform(F.array(parsed), lambda cells: F.array(*[cells[n] for n in names]))
+    return F.when(line.contains('"'), F.get(quoted, F.lit(0))).otherwise(F.split(line, ",", -1))
+
+
+def _by_layout(values: list[int]) -> Column:
+    """The value that belongs to the row's layout."""
+    chosen = F.lit(None).cast("int")
+    for i, value in enumerate(values):
+        chosen = F.when(F.col("layout") == i, F.lit(value)).otherwise(chosen)
+    return chosen
 
 
 def type_ticks(lines: DataFrame, layouts: list[str]) -> DataFrame:
@@ -75,35 +85,36 @@ def type_ticks(lines: DataFrame, layouts: list[str]) -> DataFrame:
     if lacking:
         raise ValueError(f"tick file header lacks {sorted(lacking)}")
     named = [header_columns(header) for header in layouts]
-
-    # Each layout's parse sits in a generator of its own. From a projection, Catalyst would
-    # copy it into every filter above and run the parser many times per line.
-    rows = lines.filter(F.trim("line") != "")
-    for i, columns in enumerate(named):
-        fields = ", ".join(f"_{i}_{n} string" for n in range(len(columns))) + f", _{i}_extra string"
-        parsed = F.when(F.col("layout") == i, F.from_csv("line", fields, {"mode": "PERMISSIVE"}))
-        rows = rows.select("*", F.inline(F.array(parsed)))
-
-    cells = {}
-    for name in TICK_COLUMNS:
-        found = [F.col(f"_{i}_{columns.index(name)}") for i, columns in enumerate(named)]
-        cell = F.coalesce(*found, F.lit(None).cast("string"))
-        cells[f"_{name}"] = F.when(~cell.isin(*NA_TOKENS), cell)
-    surplus = [(F.col("layout") == i) & _surplus(f"_{i}_extra", len(c)) for i, c in enumerate(named)]
-    cells["_surplus"] = reduce(Column.__or__, surplus, F.lit(False))
-    rows = rows.withColumns(cells)
-
-    rows = rows.withColumns({name: F.col(f"_{name}").try_cast(_TYPES[name]) for name in TICK_COLUMNS})
+    widths = [len(columns) for columns in named]
+
+    # Both generators are there to keep Catalyst from copying the parse and the casts into
+    # every filter and projection above them, where they would run many times per line.
+    split = F.explode(F.array(_cells(F.col("line"), max(widths, default=0)))).alias("_cells")
+    rows = lines.filter(F.trim("line") != "").select("*", split)
+    text = {
+        name: F.get("_cells", _by_layout([columns.index(name) for columns in named]))
+        for name in TICK_COLUMNS
+    }
+    typed = {
+        name: F.when(~cell.isin(*NA_TOKENS), cell) if _TYPES[name] == "string" else cell.try_cast(_TYPES[name])
+        for name, cell in text.items()
+    }
+    rows = rows.select("*", F.inline(F.array(F.struct(*[v.alias(k) for k, v in typed.items()]))))
+
+    width = _by_layout(widths)
+    surplus = F.when(F.col("line").contains('"'), F.get("_cells", width).isNotNull()).otherwise(
+        F.size("_cells") > width
+    )
     unreadable = F.col("unreadable") if "unreadable" in rows.columns else F.lit(False)
     reason = (
         F.when(unreadable, UNREADABLE_ARCHIVE)
         .when(F.col("layout").isNull(), UNKNOWN_HEADER)
-        .when(F.col("_surplus"), "too many fields")
+        .when(surplus, "too many fields")
         .when(
             F.col("Trade_Date").isNull() | F.col("Log_Time").isNull() | F.col("Volume").isNull(),
             "missing or non-numeric integer",
         )
-        .when(F.col("_Price").isNotNull() & F.col("Price").isNull(), "non-numeric price")
+        .when(F.col("Price").isNull() & ~text["Price"].isin(*NA_TOKENS), "non-numeric price")
         .when(~F.col("Log_Time").between(0, MAX_LOG_TIME), "not a time of day")
         .when(F.col("Comm").isNull(), "missing code")
     )

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -21,6 +23,9 @@ from pyspark.sql.types import (
 
 from tickloom.sources.rows import layout_of, missing_columns, type_ticks
 
+# The task-side functions travel inside the plan, so executors need not have this package.
+register_pickle_by_value(sys.modules[__name__])
+
 MEMBER_SUFFIXES = (".csv", ".txt")
 BLOCK_CHARS = 1 << 20
 SOURCE_PATTERN = r"(\d+)\.(?:zip|csv|txt)(?:/part-[^/]*)?$"
@@ -122,13 +127,15 @@ def unzip_ticks(archives: DataFrame, layouts: list[str], on_error: str = "raise"
         # An unreadable archive becomes one quarantined line that says why.
         text = F.coalesce("error", "block")
     # File-level columns are worked out per block, before it becomes lines.
-    lines = blocks.select(
+    blocks = blocks.select(
         source_id_of(F.col("path")).alias("source_id"),
         layout_of(F.col("header"), layouts).alias("layout"),
         F.col("error").isNotNull().alias("unreadable"),
         "start",
-        F.posexplode(F.split(text, "\n", -1)).alias("_offset", "line"),
+        text.alias("block"),
     )
+    each = F.posexplode(F.split("block", "\n", -1)).alias("_offset", "line")
+    lines = blocks.select("source_id", "layout", "unreadable", "start", each)
     return type_ticks(lines.withColumn("seq", F.col("start") + F.col("_offset")), layouts)
 
 
