@@ -99,6 +99,8 @@ def test_job_log(spark):
         ("SUCCESS", 2, 7, T0 + timedelta(minutes=1)), ("FAILED", 1, 0, T0),
     }
     assert as_set(rows, "file_id") == {("7",), (None,)}
+    numbered = ledger.with_log_id(rows.filter("status = 'SUCCESS'"))
+    assert as_set(numbered, "log_id", "row_count") == {(1, 3), (2, 4)}
 
 
 def test_only_current_loads_are_visible(spark):

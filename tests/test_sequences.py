@@ -9,7 +9,7 @@ def test_numbers_are_dense_and_ordered_over_many_slices(spark, conf):
     codes = [f"Brand#{i:05d}" for i in range(2000)]
     random.Random(1).shuffle(codes)
     df = spark.createDataFrame([(c,) for c in codes], "code string").repartition(5)
-    numbered = number_rows(df, "code", "id", 10)
+    numbered = number_rows(df, ["code"], "id", 10)
     assert numbered.columns == ["code", "id"]
     got = {r.code: r.id for r in numbered.collect()}
     assert got == {c: i for i, c in enumerate(sorted(codes), start=11)}

@@ -306,6 +306,10 @@ ORACLES = {
     "sla_report_local_time": sla(200, 18, 9),
     "job_report": f"""WITH {LEDGER} SELECT status, count(*) AS runs, CAST(sum(etl_sec) AS BIGINT) AS row_count,
              max(changed_at) AS last_run FROM log WHERE status IN ('SUCCESS', 'FAILED') GROUP BY status""",
+    "job_log_ids": f"""WITH {LEDGER} SELECT 'load_files' AS task_id, CAST(seq AS VARCHAR) AS run_id,
+             CAST(file_id AS VARCHAR) AS file_id, status, changed_at AS execution_time,
+             CAST(row_number() OVER (ORDER BY changed_at, CAST(seq AS VARCHAR)) AS INT) AS log_id
+      FROM log WHERE status IN ('SUCCESS', 'FAILED')""",
     "visible_facts": f"""WITH {TICKS}, stg AS ({distribution()}), loads AS (
         SELECT *, CAST(CASE WHEN source_id % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS load_id FROM stg)
       SELECT * REPLACE (Total_Volume + load_id AS Total_Volume) FROM loads""",

@@ -15,7 +15,7 @@ from tickloom import sources, streaming
 from tickloom.catalog import fixtures as fx
 from tickloom.operators import dims, facts, ledger, marts, quality, rollups, ticks
 from tickloom.plans import load, warehouse
-from tickloom.schemas import DIM_COMMODITY, DIM_TRADER_TYPE, TICK_COLUMNS
+from tickloom.schemas import DIM_COMMODITY, DIM_DATE, DIM_TRADER_TYPE, TICK_COLUMNS
 from tickloom.session import materialise, scratch_path
 
 QUERIES = {}
@@ -144,10 +144,8 @@ def dim_trader_type(spark, sf_dir):
 
 @query
 def dim_date(spark, sf_dir):
-    return dims.sync_date_dim(
-        spark.createDataFrame([], load.Warehouse(spark, "").table("dim_date").schema),
-        fx.blocks(spark, sf_dir).unionByName(fx.ticks(spark, sf_dir)),
-    )
+    rows = fx.blocks(spark, sf_dir).unionByName(fx.ticks(spark, sf_dir))
+    return dims.sync_date_dim(spark.createDataFrame([], DIM_DATE), rows)
 
 
 # -- facts and marts -------------------------------------------------------------------
@@ -412,6 +410,18 @@ def job_report(spark, sf_dir):
     ))
 
 
+@query
+def job_log_ids(spark, sf_dir):
+    """Every finished transition as a numbered job-log entry."""
+    runs = fx.status_log(spark, sf_dir).filter("status IN ('SUCCESS', 'FAILED')")
+    entries = runs.select(
+        F.lit("load_files").alias("task_id"), F.col("seq").cast("string").alias("run_id"),
+        F.col("file_id").cast("string").alias("file_id"), "status",
+        F.col("changed_at").alias("execution_time"),
+    )
+    return ledger.with_log_id(entries)
+
+
 @query
 def visible_facts(spark, sf_dir):
     """Three loads of every source: the first succeeds, the second for even sources only,

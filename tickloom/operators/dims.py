@@ -30,7 +30,7 @@ def new_commodities(existing: DataFrame, staging: DataFrame) -> DataFrame:
     """Codes of ``staging`` that have no id yet, numbered on from the highest id."""
     codes = new_keys(staging.select(F.col("Comm").alias("Comm_Code")), existing, "Comm_Code")
     highest = existing.agg(F.coalesce(F.max("Comm_id"), F.lit(0))).scalar()
-    return number_rows(codes, "Comm_Code", "Comm_id", highest).select(*DIM_COMMODITY.names)
+    return number_rows(codes, ["Comm_Code"], "Comm_id", highest).select(*DIM_COMMODITY.names)
 
 
 def sync_commodity_dim(existing: DataFrame, staging: DataFrame) -> DataFrame:

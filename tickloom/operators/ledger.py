@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import ledger_order
-from tickloom.operators.sequences import with_previous
+from tickloom.operators.sequences import number_rows, with_previous
 from tickloom.schemas import FILE_STATUS_LOG, JOB_LOG
 
 STATUSES = ("PENDING", "PROCESSING", "SUCCESS", "FAILED")
@@ -162,6 +162,14 @@ def job_entry(
     return spark.createDataFrame([row], JOB_LOG)
 
 
+def with_log_id(job_log: DataFrame) -> DataFrame:
+    """The job log with its entries numbered in the order they were made.
+
+    The log only grows at its end, so an entry keeps its number.
+    """
+    return number_rows(job_log, ["execution_time", "run_id", "file_id", "task_id"], "log_id")
+
+
 def job_report(job_log: DataFrame) -> DataFrame:
     """Runs, rows and last run by status."""
     return job_log.groupBy("status").agg(

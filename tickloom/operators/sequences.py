@@ -7,6 +7,8 @@ the rows, because a recomputed range exchange may draw its cuts elsewhere.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,19 +21,19 @@ def _sliced(df: DataFrame, by: list, label: str) -> DataFrame:
     return materialise(ranged.withColumn("_slice", F.spark_partition_id()), label)
 
 
-def number_rows(df: DataFrame, order: str, name: str, start: int | Column = 0) -> DataFrame:
-    """Consecutive numbers from ``start + 1`` in the order of a unique column.
+def number_rows(df: DataFrame, order: Sequence[str], name: str, start: int | Column = 0) -> DataFrame:
+    """Consecutive numbers from ``start + 1`` in the order of columns that are unique together.
 
     Rows are numbered inside their slice; the window that spans slices sees one row each.
     """
-    ranged = _sliced(df, [order], "numbered")
+    ranged = _sliced(df, [*order], "numbered")
     sizes = ranged.groupBy("_slice").agg(F.count("*").alias("_size"))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     start = start if isinstance(start, Column) else F.lit(start)
     # One row per slice, so the broadcast is bounded by the number of shuffle partitions.
     return (
-        ranged.withColumn("_row", F.row_number().over(Window.partitionBy("_slice").orderBy(order)))
+        ranged.withColumn("_row", F.row_number().over(Window.partitionBy("_slice").orderBy(*order)))
         .join(F.broadcast(offsets), "_slice")
         .withColumn(name, (start + F.col("_offset") + F.col("_row")).cast("int"))
         .drop("_slice", "_row", "_offset")
