@@ -28,6 +28,6 @@ def test_previous_value_of_a_key_that_spans_slices(spark, conf):
     shuffled = rows[:]
     dice.shuffle(shuffled)
     df = spark.createDataFrame(shuffled, "key int, pos bigint, value string").repartition(6)
-    out = with_previous(df, "key", "pos", "value", "before")
+    out = with_previous(df, "key", ["pos"], "value", "before")
     assert out.columns == ["key", "pos", "value", "before"]
     assert {r.pos: r.before for r in out.collect()} == expected

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tickloom.operators import dims, rollups
 from tickloom.operators.ticks import valid_ticks
 from tickloom.schemas import DIM_COMMODITY, DIM_DATE, TICK_COLUMNS
-from tickloom.session import materialise, scratch_path
+from tickloom.session import empty_frame, materialise, scratch_path
 from tickloom.sources import block_trades, status_log_from_orders, ticks_from_events
 
 register_pickle_by_value(sys.modules[__name__])
@@ -85,12 +85,12 @@ def dirty_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def commodity_dim(staging: DataFrame) -> DataFrame:
     """The commodity dimension of a staging table, stored like any dimension."""
-    empty = staging.sparkSession.createDataFrame([], DIM_COMMODITY)
+    empty = empty_frame(staging.sparkSession, DIM_COMMODITY)
     return materialise(dims.sync_commodity_dim(empty, staging), "dim_commodity")
 
 
 def date_dim(staging: DataFrame) -> DataFrame:
-    empty = staging.sparkSession.createDataFrame([], DIM_DATE)
+    empty = empty_frame(staging.sparkSession, DIM_DATE)
     return materialise(dims.sync_date_dim(empty, staging), "dim_date")
 
 

@@ -16,7 +16,7 @@ from tickloom.catalog import fixtures as fx
 from tickloom.operators import dims, facts, ledger, marts, quality, rollups, ticks
 from tickloom.plans import load, warehouse
 from tickloom.schemas import DIM_COMMODITY, DIM_DATE, DIM_TRADER_TYPE, TICK_COLUMNS
-from tickloom.session import materialise, scratch_path
+from tickloom.session import empty_frame, materialise, scratch_path
 
 QUERIES = {}
 EPOCH = datetime(2024, 2, 1)
@@ -119,7 +119,7 @@ def rollups_from_cells(spark, sf_dir):
 
 @query
 def dim_commodity(spark, sf_dir):
-    return dims.sync_commodity_dim(spark.createDataFrame([], DIM_COMMODITY), fx.coded_ticks(spark, sf_dir))
+    return dims.sync_commodity_dim(empty_frame(spark, DIM_COMMODITY), fx.coded_ticks(spark, sf_dir))
 
 
 @query
@@ -136,7 +136,7 @@ def dim_trader_type(spark, sf_dir):
     staging = rollups.trade_distribution(fx.blocks(spark, sf_dir))
     used = staging.groupBy("Trader_Type").agg(F.sum("Trade_Count").alias("Trade_Count"))
     seeded = dims.merge_new_keys(
-        spark.createDataFrame([], DIM_TRADER_TYPE), dims.trader_type_dim(spark), "Trader_Type_Name"
+        empty_frame(spark, DIM_TRADER_TYPE), dims.trader_type_dim(spark), "Trader_Type_Name"
     )
     labelled = seeded.join(used, F.col("Trader_Type") == F.col("Trader_Type_Name"), "left")
     return labelled.select("Trader_Type_id", "Trader_Type_Name", "Trade_Count")
@@ -145,7 +145,7 @@ def dim_trader_type(spark, sf_dir):
 @query
 def dim_date(spark, sf_dir):
     rows = fx.blocks(spark, sf_dir).unionByName(fx.ticks(spark, sf_dir))
-    return dims.sync_date_dim(spark.createDataFrame([], DIM_DATE), rows)
+    return dims.sync_date_dim(empty_frame(spark, DIM_DATE), rows)
 
 
 # -- facts and marts -------------------------------------------------------------------

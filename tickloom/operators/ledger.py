@@ -103,8 +103,8 @@ def illegal_transitions(log: DataFrame) -> DataFrame:
 
     A file with very many transitions is looked at slice by slice.
     """
-    keyed = log.select("file_id", "status", "changed_at", "seq", ledger_order().alias("_at"))
-    moves = with_previous(keyed, "file_id", "_at", "status", "prev_status")
+    changes = log.select("file_id", "status", "changed_at", "seq")
+    moves = with_previous(changes, "file_id", ["changed_at", "seq"], "status", "prev_status")
     legal = F.lit(False)
     for before, after in LEGAL_TRANSITIONS.items():
         known = F.col("prev_status").isNull() if before is None else F.col("prev_status") == before

@@ -40,23 +40,23 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str, start: int | Col
     )
 
 
-def with_previous(df: DataFrame, key: str, order: str, value: str, name: str) -> DataFrame:
+def with_previous(df: DataFrame, key: str, order: Sequence[str], value: str, name: str) -> DataFrame:
     """``lag(value)`` per key, for keys of any size.
 
-    ``order`` is a unique column within the key; neither may be null. Each slice of a key
-    looks back inside itself, and its first row takes the last value of the key's previous
-    slice. Slices are consecutive ranges of (key, order), so fewer keys than there are slices
+    The ``order`` columns are unique together within the key; none of them may be null. Each
+    slice of a key looks back inside itself, and its first row takes the last value of the
+    key's previous slice. Slices are consecutive ranges of (key, order), so fewer keys than there are slices
     span two of them, and both broadcasts below have at most two rows per slice.
     """
-    ranged = _sliced(df, [key, order], "ordered")
-    within = Window.partitionBy(key, "_slice").orderBy(order)
+    ranged = _sliced(df, [key, *order], "ordered")
+    within = Window.partitionBy(key, "_slice").orderBy(*order)
     across = Window.partitionBy(key).orderBy("_slice")
     extent = ranged.groupBy(key).agg(F.min("_slice").alias("_first"), F.max("_slice").alias("_last"))
     spanning = extent.filter("_first < _last").select(key)
     carried = (
         ranged.join(F.broadcast(spanning), key, "left_semi")
         .groupBy(key, "_slice")
-        .agg(F.max_by(value, order).alias("_end"))
+        .agg(F.max_by(value, F.struct(*order)).alias("_end"))
         .select(key, "_slice", F.lag("_end").over(across).alias("_carried"))
     )
     return (

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.schemas import TABLES
+from tickloom.session import empty_frame
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -63,7 +64,7 @@ class Warehouse:
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
 
     def append(self, name: str, df: DataFrame) -> None:
         schema, partition_by = TABLES[name]

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -47,6 +49,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/tickloom/{label}-{uuid.uuid4().hex}"
 
 
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    """A frame without rows that the optimizer knows to be empty.
+
+    ``createDataFrame([])`` is an RDD of unknown size to it, which spoils join planning.
+    """
+    columns = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields]
+    return spark.range(1).filter(F.lit(False)).select(*columns)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
