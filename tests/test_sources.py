@@ -64,6 +64,7 @@ BAD = {
     "A,F,20251201,090000,10.5,3.5": "missing or non-numeric integer",
     "A,F,20251201,NA,10.5,3": "missing or non-numeric integer",
     "A,F,20251201,090000,ten,3": "non-numeric price",
+    "A,F,-20251201,090000,10.5,3": "not a date",
     "A,F,20251201,-5,10.5,3": "not a time of day",
     ",F,20251201,090000,10.5,3": "missing code",
     "NA,F,20251201,090000,10.5,3": "missing code",
@@ -123,6 +124,14 @@ def test_plain_log_without_a_header_is_an_error(spark, tmp_path):
         read_tick_csv(spark, str(tmp_path))
 
 
+def test_quoted_cells(spark, tmp_path):
+    lines = ['"A,1","F",20251201,"090000",10.5,"3"', '"B ""x""",F,20251201,090000,,1', '"C",F,20251201,090000,1,2,3']
+    path = archive(tmp_path / "1.zip", {"T.csv": log(*lines)})
+    good, bad = split_bad_rows(read_tick_zips(spark, path))
+    assert as_set(good, "Comm", "Log_Time", "Price", "Volume") == {("A,1", 90000, 10.5, 3), ('B "x"', 90000, None, 1)}
+    assert as_set(bad, "reason") == {("too many fields",)}
+
+
 def test_windows_line_ends_and_byte_order_mark(spark, tmp_path):
     text = "﻿" + "\r\n".join([HEADER, GOOD, ""])
     path = archive(tmp_path / "1.zip", {"T.csv": text.encode()})

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import io
 import posixpath
+import re
 import sys
 import zipfile
 
@@ -152,8 +153,8 @@ def zip_landing(spark: SparkSession, sf_dir: str) -> tuple[str, list[int]]:
     A source of two days is cut into archives of at most ROWS_PER_ARCHIVE consecutive events.
     """
     landing = scratch_path(spark, "archives")
-    target = landing if landing.split("/")[0].endswith(":") else f"file:{landing}"
-    target = target.replace("file:/", "file:///", 1) if not target.startswith("file:///") else target
+    # Hadoop's spelling of the folder, in the form Arrow's file systems take.
+    target = re.sub(r"^file:/+", "file:///", landing).replace("s3a://", "s3://")
     chunk = F.floor(F.col("seq") / ROWS_PER_ARCHIVE)
     file_id = (F.col("source_id") + 16 * chunk).cast("int")
     lines = raw_ticks(spark, sf_dir).withColumn("source_id", file_id).select(

@@ -34,14 +34,15 @@ def scratch_root(spark: SparkSession) -> str:
     a machine-local folder would be gone with its executor.
     """
     context = spark.sparkContext
-    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="tickloom-")
     if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+            folder = tempfile.mkdtemp(prefix="tickloom-")
         context.setCheckpointDir(folder)
-    return folder.rstrip("/")
+    # Spark's own spelling, which names the file system.
+    return context.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

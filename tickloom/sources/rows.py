@@ -60,7 +60,7 @@ def _cells(line: Column, width: int) -> Column:
     """The cells of a line, in order. Only a line with quotes needs the CSV parser; there the
     array has one place more than ``width``, for a surplus cell."""
     names = [f"_{n}" for n in range(width + 1)]
-    parsed = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE"})
+    parsed = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE", "escape": '"'})
     # Inside the lambda the parsed line is a variable, so it is parsed once.
     quoted = F.transform(F.array(parsed), lambda cells: F.array(*[cells[n] for n in names]))
     return F.when(line.contains('"'), F.get(quoted, F.lit(0))).otherwise(F.split(line, ",", -1))
@@ -115,6 +115,7 @@ def type_ticks(lines: DataFrame, layouts: list[str]) -> DataFrame:
             "missing or non-numeric integer",
         )
         .when(F.col("Price").isNull() & ~text["Price"].isin(*NA_TOKENS), "non-numeric price")
+        .when(F.col("Trade_Date") < 0, "not a date")
         .when(~F.col("Log_Time").between(0, MAX_LOG_TIME), "not a time of day")
         .when(F.col("Comm").isNull(), "missing code")
     )
