@@ -139,7 +139,9 @@ def test_files_end_to_end(spark, tmp_path):
     put(landing, 2, "A,F,20251202,090000,15,3", "C,F,20251202,090000,10,3")
     wh.append("file_status_log", ledger.request_backfill(wh.table("file_status_log"), [2], utc_now()))
     assert as_set(ledger.pending_files(ledger.file_status(wh.table("file_status_log")))) == {(2,)}
-    load.load_files(spark, wh, f"{landing}/{{id}}.zip", [2], 2, COLUMNS)
+    done = load.load_pending(spark, wh, f"{landing}/{{id}}.zip", 2, columns=COLUMNS)
+    assert as_set(done, "file_id", "status") == {(2, "SUCCESS")}
+    assert load.load_pending(spark, wh, f"{landing}/{{id}}.zip", 3, columns=COLUMNS).isEmpty()
     fact = load.visible_fact(wh, "fact_session_summary")
     assert as_set(fact, "source_id", "load_id") == {(1, 1), (2, 2)}
     assert wh.table("dim_commodity").count() == 2
@@ -149,7 +151,7 @@ def test_files_end_to_end(spark, tmp_path):
 
     # The same load once more, as after a crash, changes no visible row.
     before = as_set(fact)
-    load.load_star(wh, 2, spark.createDataFrame([(2,)], "source_id int"))
+    load.load_star(wh, 2, [2])
     assert as_set(load.visible_fact(wh, "fact_session_summary")) == before
     assert load.visible_fact(wh, "fact_session_summary").count() == 3
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators import dims, facts, quality, rollups
-from tickloom.operators.ledger import file_status, job_entry, transitions, visible
+from tickloom.operators.ledger import file_status, job_entry, pending_files, transitions, visible
 from tickloom.operators.ticks import valid_ticks
 from tickloom.plans.warehouse import Warehouse
 from tickloom.session import materialise
@@ -72,6 +72,11 @@ def stage_lines(wh: Warehouse, parsed: DataFrame) -> tuple[DataFrame, DataFrame]
     return stage_ticks(wh, good.join(unreadable, "source_id", "left_anti")), unreadable
 
 
+def _staged(wh: Warehouse, name: str, ids: Iterable[int] | None) -> DataFrame:
+    rows = wh.table(name)
+    return rows if ids is None else rows.filter(F.col("source_id").isin(*ids))
+
+
 def sync_dims(wh: Warehouse, sessions: DataFrame) -> None:
     """Add the codes and dates of staged sessions; rows already there stay as they are."""
     classes = dims.trader_type_dim(wh.spark)
@@ -89,15 +94,17 @@ def sync_dims(wh: Warehouse, sessions: DataFrame) -> None:
     _each(new_rows, extend)
 
 
-def load_star(wh: Warehouse, load_id: int, sources: DataFrame | None = None) -> None:
+def load_star(
+    wh: Warehouse, load_id: int, ids: Iterable[int] | None = None, failed: DataFrame | None = None
+) -> None:
     """Dimensions, then the three facts, from staging.
 
-    ``sources`` limits the load to some ``source_id``s; by default every staged source is
-    loaded anew.
+    ``ids`` limits the load to some sources and reads only their partitions; by default every
+    staged source is loaded anew. Sources in ``failed`` are left out.
     """
-    staged = {name: wh.table(name) for name in STAGING}
-    if sources is not None:
-        staged = {name: df.join(sources, "source_id", "left_semi") for name, df in staged.items()}
+    staged = {name: _staged(wh, name, ids) for name in STAGING}
+    if failed is not None:
+        staged = {name: df.join(failed, "source_id", "left_anti") for name, df in staged.items()}
     sync_dims(wh, staged["stg_session_summary"])
 
     codes, types = wh.table("dim_commodity"), wh.table("dim_trader_type")
@@ -130,6 +137,8 @@ def load_files(
     One load runs at a time, as ids are given out from the highest one known.
     """
     ids = list(ids)
+    if not ids:
+        return file_status(wh.table("file_status_log")).filter(F.lit(False))
     started = started or _utc_now()
     files = spark.createDataFrame([(i,) for i in ids], "file_id int")
     wh.append("file_status_log", transitions(files, "PROCESSING", started, load_id=load_id, step=1))
@@ -138,8 +147,7 @@ def load_files(
         report, unreadable = stage_lines(wh, parsed)
         failures = unreadable.unionByName(quality.blocked_sources(report))
         failed = materialise(failures.groupBy("source_id").agg(F.min("reason").alias("reason")), "failed")
-        done = files.withColumnRenamed("file_id", "source_id").join(failed, "source_id", "left_anti")
-        load_star(wh, load_id, done)
+        load_star(wh, load_id, ids, failed)
     except Exception as error:
         sec = int((_utc_now() - started).total_seconds())
         wh.append("file_status_log", transitions(files, "FAILED", _utc_now(), sec, load_id, step=2))
@@ -151,17 +159,26 @@ def load_files(
     sec = int((finished - started).total_seconds())
     outcome = files.join(failed.withColumnRenamed("source_id", "file_id"), "file_id", "left")
     status = F.when(F.col("reason").isNull(), "SUCCESS").otherwise("FAILED")
-    wh.append("etl_job_logs", _job_rows(wh, outcome, report, load_id, finished))
+    wh.append("etl_job_logs", _job_rows(wh, ids, outcome, report, load_id, finished))
     wh.append("file_status_log", transitions(outcome, status, finished, sec, load_id, step=2))
     return file_status(wh.table("file_status_log")).join(files, "file_id", "left_semi")
 
 
+def load_pending(
+    spark: SparkSession, wh: Warehouse, template: str, load_id: int, n: int = 1,
+    columns: list[str] | None = None,
+) -> DataFrame:
+    """:func:`load_files` for the ``n`` pending files with the smallest ids; without any, no rows."""
+    chosen = pending_files(file_status(wh.table("file_status_log")), n)
+    return load_files(spark, wh, template, [row.file_id for row in chosen.collect()], load_id, columns)
+
+
 def _job_rows(
-    wh: Warehouse, outcome: DataFrame, report: DataFrame, load_id: int, at: datetime
+    wh: Warehouse, ids: list[int], outcome: DataFrame, report: DataFrame, load_id: int, at: datetime
 ) -> DataFrame:
     """One job-log row per file with the staged rows it produced and its quality warnings."""
-    staged = [wh.table(name).groupBy("source_id").agg(F.count("*").alias("row_count")) for name in STAGING]
-    counts = reduce(DataFrame.unionByName, staged).groupBy("source_id").agg(F.sum("row_count").alias("row_count"))
+    staged = [_staged(wh, name, ids).groupBy("source_id").agg(F.count("*").alias("n")) for name in STAGING]
+    counts = reduce(DataFrame.unionByName, staged).groupBy("source_id").agg(F.sum("n").alias("row_count"))
     report = report.unionByName(quality.volatility_report(wh.table("stg_session_summary"), "stg_session_summary"))
     warned = report.filter((F.col("severity") == quality.WARNING) & (F.col("violations") > 0))
     warnings = warned.groupBy("source_id").agg(F.concat_ws("; ", F.array_sort(F.collect_set(
