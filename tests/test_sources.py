@@ -51,9 +51,10 @@ def test_unreadable_archives_can_be_quarantined(spark, tmp_path):
     archive(tmp_path / "1.zip", {"readme.md": "x"})
     (tmp_path / "2.zip").write_bytes(b"not a zip")
     archive(tmp_path / "3.zip", {"T.csv": log(GOOD)})
+    archive(tmp_path / "4.zip", {"T.csv": "\n"})
     good, bad = split_bad_rows(read_tick_zips(spark, f"{tmp_path}/*.zip", on_error="quarantine"))
     assert as_set(good, "source_id") == {(3,)}
-    assert as_set(bad, "source_id", "reason") == {(1, "unreadable archive"), (2, "unreadable archive")}
+    assert as_set(bad, "source_id", "reason") == {(i, "unreadable archive") for i in (1, 2, 4)}
 
 
 BAD = {

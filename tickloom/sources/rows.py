@@ -77,8 +77,8 @@ def _by_layout(values: list[int]) -> Column:
 def type_ticks(lines: DataFrame, layouts: list[str]) -> DataFrame:
     """Parse a line frame whose ``layout`` numbers refer to the header lines in ``layouts``.
 
-    Adds the typed tick columns and ``reason``, null for a usable row. Lines of a file with
-    another header (a null ``layout``) are not guessed at: they get a reason and keep their text.
+    Gives the typed tick columns, and ``reason`` and ``line`` for a row that is not usable.
+    Lines of a file with another header (a null ``layout``) are not guessed at: all are bad.
     A true ``unreadable``, if the column is there, marks a file without lines.
     """
     lacking = {name for header in layouts for name in missing_columns(header)}
@@ -119,8 +119,9 @@ def type_ticks(lines: DataFrame, layouts: list[str]) -> DataFrame:
         .when(~F.col("Log_Time").between(0, MAX_LOG_TIME), "not a time of day")
         .when(F.col("Comm").isNull(), "missing code")
     )
+    # Only bad rows keep their text, or a stored copy would hold every tick twice.
     return rows.withColumn("reason", reason).select(
-        *TICK_COLUMNS, "source_id", "seq", "reason", "line"
+        *TICK_COLUMNS, "source_id", "seq", "reason", F.when(F.col("reason").isNotNull(), F.col("line")).alias("line")
     )
 
 

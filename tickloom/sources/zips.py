@@ -68,12 +68,14 @@ def _blocks_of(path: str, content: bytes, header_only: bool) -> Iterator[tuple]:
     archive = zipfile.ZipFile(io.BytesIO(content))
     member = next((name for name in archive.namelist() if name.endswith(MEMBER_SUFFIXES)), None)
     if member is None:
-        raise FileNotFoundError(f"no .csv or .txt member in {path}")
+        raise FileNotFoundError("no .csv or .txt member")
     with archive.open(member) as raw:
         text = io.TextIOWrapper(raw, encoding="utf-8-sig", errors="replace")
         while (header := text.readline()) and not header.strip():
             pass
         header = header.rstrip("\n")
+        if not header:
+            raise EOFError(f"{member} is empty")
         if header_only:
             yield path, 1, None, header, None
             return
