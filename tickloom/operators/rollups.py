@@ -123,7 +123,7 @@ def merge_distribution(*parts: DataFrame) -> DataFrame:
 # -- all three roll-ups from one pass over the ticks ------------------------------------
 
 
-def tick_cells(ticks: DataFrame) -> DataFrame:
+def tick_cells(ticks: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """The finest grain the three roll-ups share: source, code, date, hour and class.
 
     A load computes and stores these cells once; the roll-ups below are then small
@@ -131,7 +131,7 @@ def tick_cells(ticks: DataFrame) -> DataFrame:
     """
     return (
         ticks.withColumns({"Hour": hour_of(), "Trader_Type": trader_type(), "_at": tick_order()})
-        .groupBy(*HOURLY_KEYS, "Trader_Type")
+        .groupBy(*HOURLY_KEYS, "Trader_Type", *also)
         .agg(F.count("Volume").alias("Trade_Count"), *_tick_totals(), *_tick_ends())
     )
 

@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import dims, facts, quality, rollups
 from tickloom.operators.ledger import file_status, job_entry, pending_files, transitions, visible
-from tickloom.operators.ticks import valid_ticks
+from tickloom.operators.ticks import is_valid, valid_ticks
 from tickloom.plans.warehouse import Warehouse
+from tickloom.schemas import TICK_COLUMNS
 from tickloom.session import materialise
-from tickloom.sources.rows import UNKNOWN_HEADER, UNREADABLE_ARCHIVE, split_bad_rows
+from tickloom.sources.rows import UNKNOWN_HEADER, UNREADABLE_ARCHIVE
 from tickloom.sources.zips import read_tick_zips, tick_paths
 
 STAGING = ("stg_hourly_stats", "stg_session_summary", "stg_trade_distribution")
@@ -44,7 +45,10 @@ def stage_ticks(wh: Warehouse, ticks: DataFrame) -> DataFrame:
     violates a blocker rule is left out of all three tables. Returns the stored quality
     report, one row per source, table and rule.
     """
-    cells = materialise(rollups.tick_cells(valid_ticks(ticks)), "cells")
+    return _stage_cells(wh, materialise(rollups.tick_cells(valid_ticks(ticks)), "cells"))
+
+
+def _stage_cells(wh: Warehouse, cells: DataFrame) -> DataFrame:
     rolled = {
         "stg_hourly_stats": rollups.hourly_from_cells(cells),
         "stg_session_summary": rollups.session_from_cells(cells),
@@ -57,19 +61,31 @@ def stage_ticks(wh: Warehouse, ticks: DataFrame) -> DataFrame:
     return report
 
 
+def _cells_and_bad_lines(parsed: DataFrame) -> DataFrame:
+    """Cells of the valid ticks, and every bad line as a row of its own.
+
+    Reason, row number and text of a bad line are group keys, and null for a good one. So
+    both come out of the same aggregate, and files are unzipped and parsed a single time.
+    """
+    bad = F.col("reason").isNotNull()
+    blanked = {name: F.when(~bad, F.col(name)) for name in TICK_COLUMNS}
+    rows = parsed.withColumns({**blanked, "bad_seq": F.when(bad, F.col("seq"))})
+    return rollups.tick_cells(rows.filter(bad | is_valid()), also=("reason", "bad_seq", "line"))
+
+
 def stage_lines(wh: Warehouse, parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """:func:`stage_ticks` for parsed files, with their bad lines kept in the quarantine.
 
     Files that cannot be read to the end, or have an unknown header, are not staged at all.
     Returns the quality report and those files with the reason.
     """
-    # The parsed lines feed the roll-ups and the quarantine; unzip them once.
-    good, bad = split_bad_rows(materialise(parsed, "parsed"))
+    stored = materialise(_cells_and_bad_lines(parsed), "cells")
+    bad = stored.filter(F.col("reason").isNotNull())
     whole_file = F.col("reason").isin(UNREADABLE_ARCHIVE, UNKNOWN_HEADER)
-    # Stored, so that its few rows are known to be few when the ticks are joined to them.
     unreadable = materialise(bad.filter(whole_file).select("source_id", "reason").distinct(), "unreadable")
-    wh.replace("quarantine", bad)
-    return stage_ticks(wh, good.join(unreadable, "source_id", "left_anti")), unreadable
+    wh.replace("quarantine", bad.withColumnRenamed("bad_seq", "seq"))
+    cells = stored.filter(F.col("reason").isNull()).drop("reason", "bad_seq", "line")
+    return _stage_cells(wh, cells.join(unreadable, "source_id", "left_anti")), unreadable
 
 
 def _staged(wh: Warehouse, name: str, ids: Iterable[int] | None) -> DataFrame:
