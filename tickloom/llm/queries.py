@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tickloom.llm import mixing, packing, rans
+from pyspark.sql import functions as F
+
+from tickloom.llm import merkle, mixing, packing, quality_rules, rans, sharding
 
 QUERIES = {}
 ORACLES = {}
@@ -20,6 +22,13 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return quality_rules.judge(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @query
 def op2_mix_sources(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -62,6 +71,17 @@ FROM r
 """
 
 
+@query
+def op3_fingerprints(spark, sf_dir):
+    return merkle.compared(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op5_shards(spark, sf_dir):
+    rows = sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 @query
 def op9_token_files(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
