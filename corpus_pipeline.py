@@ -5,26 +5,51 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import mixing, packing
+from tickloom.llm import chosen_path, mixing, packing, quality_rules, toxicity
 from tickloom.session import materialise
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learn from the labelled documents of the corpus; documents found toxic go."""
+    corpus = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    return toxicity.clean(docs, toxicity.train(corpus, labels))
+
+
+def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the learned thresholds reject go."""
+    return quality_rules.accepted(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every class of near copies one document stays."""
+    return chosen_path.deduplicated(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each time the mix takes a document."""
     return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of windows of tokens, in the proportions of the mix."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("mixing", mix_sources), ("packing", pack)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality rules", apply_rules),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
 
-# The models and joins of the stages cannot be said in SQL; tests hold them against brute force.
+# A trained classifier and a tokenizer are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

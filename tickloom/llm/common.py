@@ -73,12 +73,20 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of every word, and for each text the number of words before it."""
+# ASCII letters and digits, and all that is not ASCII.
+IS_PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+IS_NO_LETTER = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of every word, and for each text the number of words before it.
+
+    ``gap`` marks the bytes that part words, white space unless told otherwise.
+    """
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    space = _IS_SPACE[data]
+    space = gap[data]
     before, after = np.empty(len(data), bool), np.empty(len(data), bool)
     before[0], before[1:] = True, space[:-1]
     after[-1], after[:-1] = True, space[1:]
@@ -130,6 +138,16 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out)
 
 
+def training_sample(labels: DataFrame, label: str, per_class: int) -> DataFrame:
+    """At most ``per_class`` rows of ``labels`` per value of ``label``, 0 and 1, the first by hash of ``doc_id``.
+
+    Rows without id or label, and all but one row of a repeated id, are left aside.
+    """
+    known = labels.filter(F.col("doc_id").isNotNull()).withColumn("_k", F.md5(F.col("doc_id").cast("string")))
+    part = lambda v: known.filter(F.col(label) == v).dropDuplicates(["doc_id"]).orderBy("_k").limit(per_class)
+    return part(0).unionByName(part(1)).dropDuplicates(["doc_id"]).drop("_k")
+
+
 def running_before(
     df: DataFrame, group: Sequence[str], key: str, amount: str, name: str, ties: Sequence[str] = (), digits: int = 3
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import functions as F
 
-from tickloom.llm import merkle, mixing, packing, quality_rules, rans, sharding
+from tickloom.llm import chosen_path, langid_crf, merkle, mil, mixing, packing, quality_rules, rans, sharding, toxicity
 
 QUERIES = {}
 ORACLES = {}
@@ -76,12 +76,41 @@ def op3_fingerprints(spark, sf_dir):
     return merkle.compared(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op4_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = langid_crf.train(docs.select("doc_id", "text", "lang"))
+    found = langid_crf.identify(docs.select("doc_id", "text"), model)
+    return found.withColumn("held_out", langid_crf.held_out())
+
+
 @query
 def op5_shards(spark, sf_dir):
     rows = sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+@query
+def op6_near_duplicates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return chosen_path.join(docs).select("doc_id", "class_id", "n_links", "n_text_links")
+
+
+@query
+def op7_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = mil.train(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return mil.score(docs, model, ["doc_id"]).withColumn("held_out", mil.held_out())
+
+
+@query
+def op8_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~toxicity.held_out())
+    chain = toxicity.train(docs, labels)
+    return toxicity.score(docs, chain, ["doc_id"]).withColumn("held_out", toxicity.held_out())
+
+
 @query
 def op9_token_files(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
