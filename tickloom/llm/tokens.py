@@ -1,32 +1,68 @@
 """Token ids of whole texts by a public tokenizer, a unit of text at a time.
 
 The tokenizers library encodes each distinct unit once per worker; a text is put together from
-its units. That gives the ids of encoding it whole, because neither tokenizer joins characters
-across the cuts used here, and a text where that is not certain is encoded whole.
+its units, for a batch of texts at once. That gives the ids of encoding it whole, because neither
+tokenizer joins characters across the cuts used here; a text where that is not certain is encoded
+whole. Units are told apart by a 64-bit hash and their length.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import zlib
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import bound_batches, slices, text_of, worker_state
+from tickloom.llm.common import bound_batches, mix, slices, span_hashes, text_bytes, text_of, word_spans, worker_state
 from tickloom.session import materialise
 
 # Units that a worker keeps; when there are more it starts anew.
-MOST_UNITS = 900_000
+MOST_UNITS = 1_500_000
 _TOGETHER = 256
+BATCH_BYTES = 6 << 20
+
+
+_STOPS, _LETTERS = np.zeros(256, bool), np.zeros(256, bool)
+_STOPS[[0x2C, 0x2E]] = True
+_LETTERS[[*range(65, 91), *range(97, 123)]] = True
+
+
+def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers ``begin, begin + 1, ...``, ``length`` of them, for every pair."""
+    ends = np.cumsum(length)
+    out = np.arange(ends[-1] if len(ends) else 0)
+    return out + np.repeat(begin - (ends - length), length)
+
+
+class Units:
+    """What a worker knows: unit hash to a place in one array of ids."""
+
+    def __init__(self):
+        self.place: dict[int, int] = {}
+        self.begin, self.length = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32)
+        self.ids, self.n, self.used = np.zeros(1 << 14, np.uint16), 0, 0
+
+    def add(self, coded: list[np.ndarray] | list[bytes]) -> np.ndarray:
+        """Store ids; returns their places."""
+        raw = np.frombuffer(b"".join(coded), "<u2")
+        sizes = np.fromiter((len(c) // 2 for c in coded), np.int64, len(coded))
+        while self.used + len(raw) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while self.n + len(coded) > len(self.begin):
+            self.begin, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.length))
+        places = np.arange(self.n, self.n + len(coded))
+        self.ids[self.used : self.used + len(raw)] = raw
+        self.begin[places], self.length[places] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.used, self.n = self.used + len(raw), self.n + len(coded)
+        return places
 
 
 class UnitEncoder:
-    """Base of the two tokenizers: how to cut a text, and how to encode many units at once."""
+    """Base of the two tokenizers: how to cut texts, and how to encode many units at once."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -36,34 +72,87 @@ class UnitEncoder:
         self.tokenizer.encode_special_tokens = True
         if self.tokenizer.get_vocab_size() > 65536:
             raise ValueError("token ids are kept in 16 bits")
-        self.known: dict[str, bytes] = {}
+        self.units = Units()
+        self.stops = {ord(c): ids for c, ids in zip(",.", self.whole([",", "."]), strict=True)}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def units(self, text: str) -> list[str] | None:
-        """The text in units, or None for a text to be encoded whole."""
+    def cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Begin and end of every unit, the number of units before each text, and which texts need encoding whole."""
         raise NotImplementedError
 
     def joined(self, units: list[str]) -> list[bytes]:
         raise NotImplementedError
 
-    def learn(self, wanted: set[str]) -> None:
-        new = list(wanted - self.known.keys())
-        if len(self.known) + len(new) > MOST_UNITS:
-            self.known.clear()
-            new = list(wanted)
-        for at in range(0, len(new), 1 << 14):
-            part = new[at : at + (1 << 14)]
-            self.known.update(zip(part, self.joined(part), strict=True))
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of every text as little-endian unsigned 16-bit integers."""
-        cut = [self.units(text) for text in texts]
-        self.learn(set(chain.from_iterable(units for units in cut if units)))
-        rest = iter(self.whole([t for t, units in zip(texts, cut, strict=True) if units is None]))
-        get = self.known.__getitem__
-        return [next(rest) if units is None else b"".join(map(get, units)) for units in cut]
+    def places(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where the ids of each unit are; units not known are encoded."""
+        hashes = self._hashes(data, starts, ends)
+        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        found = self._known(distinct)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            if len(self.units.place) + 2 * len(new) > MOST_UNITS:
+                self.units = Units()
+                new = np.arange(len(distinct))
+            new = new[np.argsort(first[new])]
+            found[new] = self._learn(data, starts[first[new]], ends[first[new]], distinct[new])
+        return found[back]
+
+    @staticmethod
+    def _hashes(data, starts, ends):
+        return mix(span_hashes(data, starts, ends) + (ends - starts).astype(np.uint64))
+
+    def _known(self, hashes: np.ndarray) -> np.ndarray:
+        return np.fromiter(map(self.units.place.get, hashes.tolist(), repeat(-1)), np.int64, len(hashes))
+
+    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Encode distinct units; a comma or full stop behind a letter is a token of its own."""
+        stop = (ends - starts > 2) & _STOPS[data[ends - 1]] & _LETTERS[data[ends - 2]]
+        bases = self._hashes(data, starts[stop], ends[stop] - 1)
+        there = self._known(bases)
+        wanted, at = np.unique(bases[there < 0], return_index=True)
+        wanted_at = np.flatnonzero(stop)[there < 0][at]
+        own = ~np.isin(wanted, hashes[~stop])
+        wanted, wanted_at = wanted[own], wanted_at[own]
+        spans = [*zip(starts[~stop].tolist(), ends[~stop].tolist(), strict=True),
+                 *zip(starts[wanted_at].tolist(), (ends[wanted_at] - 1).tolist(), strict=True)]
+        keys = np.concatenate([hashes[~stop], wanted])
+        for low in range(0, len(spans), 1 << 14):
+            part = [data[a:b].tobytes().decode() for a, b in spans[low : low + (1 << 14)]]
+            self.units.place.update(zip(keys[low : low + len(part)].tolist(), self.units.add(self.joined(part)).tolist(), strict=True))
+        units, place = self.units, self._known(bases)
+        marks = [self.stops[c] for c in data[ends[stop] - 1].tolist()]
+        begin, length = units.begin[place].tolist(), units.length[place].tolist()
+        composed = [units.ids[b : b + n].tobytes() + m for b, n, m in zip(begin, length, marks, strict=True)]
+        units.place.update(zip(hashes[stop].tolist(), units.add(composed).tolist(), strict=True))
+        return self._known(hashes)
+
+    def encode(self, texts: pa.Array, end: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each followed by ``end``, and where each text's ids begin."""
+        data, offsets = text_bytes(texts)
+        starts, ends, before, odd = self.cut(data, offsets)
+        doc = np.repeat(np.arange(len(texts)), np.diff(before))
+        keep = ~odd[doc]
+        place = self.places(data, starts[keep], ends[keep])
+        units = self.units
+        counts = np.bincount(doc[keep], minlength=len(texts))
+        base, base_n = units.used, units.n  # what is added from here on is dropped again
+        strange = np.flatnonzero(odd)
+        extra = units.add([*self.whole([texts[int(i)].as_py() for i in strange]), np.array(end, "<u2").tobytes()])
+        at = np.cumsum(counts)
+        # Behind the units of a text come its ids as a whole, if it has such, and the end.
+        spots = np.concatenate([at[strange], at])
+        values = np.concatenate([extra[:-1], np.full(len(at), extra[-1])])
+        order = np.argsort(np.concatenate([strange, np.arange(len(at))]), kind="stable")
+        place = np.insert(place, spots[order], values[order])
+        sizes = units.length[place]
+        ids = units.ids[_ranges(units.begin[place], sizes)]
+        heads = np.append(0, np.cumsum(sizes, dtype=np.int64))
+        texts_at = counts + 1 + odd
+        begins = heads[np.append(0, np.cumsum(texts_at))]
+        units.used, units.n = base, base_n
+        return ids, begins
 
     def _split(self, texts: list[str], groups: list[list[str]], cuts) -> list[bytes]:
         """The ids of each unit of each group; ``cuts`` finds begin and end of the units in a group's ids."""
@@ -79,63 +168,75 @@ class UnitEncoder:
         return out
 
 
+_BREAKS = np.zeros(256, bool)
+_BREAKS[[0x20, 0x0A]] = True
+_ASCII_SPACE = np.zeros(256, bool)
+_ASCII_SPACE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
+_SPACE_80 = np.zeros(256, bool)
+_SPACE_80[[*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF]] = True
+
+
 class ByteEncoder(UnitEncoder):
-    """Byte-level BPE: a space belongs to the word behind it, a line feed stands alone.
+    """Byte-level BPE: a space belongs to the word behind it, other white space stands apart.
 
-    A unit is a space or line feed with the characters up to the next one. Texts with runs of
-    white space, or other white space than these two, are encoded whole.
+    A unit begins at every space and line feed. A run of white space gives all but its last
+    character to one token, so a text is encoded whole if a unit begins inside such a run.
     """
 
-    runs = ("  ", "\n\n", " \n", "\n ")
-
     def __init__(self, path: str):
         super().__init__(path)
         self.opens = np.zeros(65536, bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.opens[number] = token[0] in "ĠĊ"  # space and line feed, as this vocabulary writes them
 
-    def units(self, text: str) -> list[str] | None:
-        if any(run in text for run in self.runs) or not text or text[0] in " \n" or text[-1] in " \n":
-            return None
-        first, *rest = text.replace("\n", " \n").split(" ")
-        if len(rest) + 1 != len(text.split()):  # white space of another kind
-            return None
-        # What stands before the first white space has a key that no other unit can have.
-        return [" " + first, *rest]
-
-    @staticmethod
-    def _written(unit: str) -> str:
-        return unit[1:] if unit[:1] == " " else unit if unit[:1] == "\n" else " " + unit
+    def cut(self, data, offsets):
+        breaks = _BREAKS[data]
+        at = np.flatnonzero(breaks)
+        one, two, three = (data[np.maximum(at - k, 0)] for k in (1, 2, 3))
+        after_space = _ASCII_SPACE[one]
+        wide = one >= 0x80
+        if wide.any():  # white space beyond ASCII
+            after_space |= wide & (
+                ((two == 0xC2) & ((one == 0xA0) | (one == 0x85)))
+                | ((three == 0xE2) & (((two == 0x80) & _SPACE_80[one]) | ((two == 0x81) & (one == 0x9F))))
+                | ((three == 0xE3) & (two == 0x80) & (one == 0x80)) | ((three == 0xE1) & (two == 0x9A) & (one == 0x80)))
+        doc = np.searchsorted(offsets, at, "right") - 1
+        after_space &= at > offsets[doc]
+        odd = np.zeros(len(offsets) - 1, bool)
+        odd[doc[after_space]] = True
+        begins = offsets[:-1][np.diff(offsets) > 0]
+        breaks[begins] = True
+        starts = np.flatnonzero(breaks)
+        return starts, np.append(starts[1:], len(data))[: len(starts)], np.searchsorted(starts, offsets), odd
 
     def joined(self, units: list[str]) -> list[bytes]:
-        plain = [u for u in units if u[:1] != " " and u.strip("\n")]
+        plain = [u for u in units if u[0] in " \n" and len(u) > 1 and u[1:].split() == [u[1:]]]
         groups = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
 
         def cuts(ids):
             begin = np.flatnonzero(self.opens[ids])
             return begin, np.append(begin[1:], len(ids))
 
-        found = dict(zip(plain, self._split(["".join(map(self._written, g)) for g in groups], groups, cuts), strict=True))
+        found = dict(zip(plain, self._split(["".join(g) for g in groups], groups, cuts), strict=True))
         other = [u for u in units if u not in found]
-        found.update(zip(other, self.whole([self._written(u) for u in other]), strict=True))
+        found.update(zip(other, self.whole(other), strict=True))
         return [found[u] for u in units]
 
 
 class WordEncoder(UnitEncoder):
     """BPE with word ends: white space parts words and carries no ids.
 
-    A unit is what stands between white space. Units without the digit 0 are encoded many at
-    once with a lone 0 between them.
+    A unit is what stands between ASCII white space. Units without the digit 0 are encoded many
+    at once with a lone 0 between them.
     """
 
-    odd = re.compile("[\x1c-\x1f]")  # white space to Python, but not to the tokenizer
-
     def __init__(self, path: str):
         super().__init__(path)
         (self.mark,) = self.tokenizer.encode("0", add_special_tokens=False).ids
 
-    def units(self, text: str) -> list[str] | None:
-        return None if self.odd.search(text) else text.split()
+    def cut(self, data, offsets):
+        starts, ends, before = word_spans(data, offsets)
+        return starts, ends, before, np.zeros(len(offsets) - 1, bool)
 
     def joined(self, units: list[str]) -> list[bytes]:
         plain = [u for u in units if "0" not in u]
@@ -158,16 +259,16 @@ def tokenize(docs: DataFrame, path: str, kind: type[UnitEncoder], end_id: int, c
     has the end id alone.
     """
     bound_batches(docs.sparkSession)
-    end = np.array([end_id], "<u2").tobytes()
 
     def encode(batches):
         encoder = worker_state(f"encoder {kind.__name__} {path}", lambda: kind(path))
         for whole in batches:
-            for batch in slices(whole, "_text"):
-                ids = [x + end for x in encoder.encode_all(batch.column("_text").to_pylist())]
+            for batch in slices(whole, "_text", BATCH_BYTES):
+                ids, begins = encoder.encode(batch.column("_text"), [end_id])
+                offsets = pa.py_buffer((2 * begins).astype(np.int32).tobytes())
+                coded = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, offsets, pa.py_buffer(ids.astype("<u2").tobytes())])
                 rest = [batch.column(c) for c in columns]
-                counts = pa.array([len(x) // 2 for x in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(ids, pa.binary()), counts], [*columns, "ids", "n_tokens"])
+                yield pa.RecordBatch.from_arrays([*rest, coded, pa.array(np.diff(begins))], [*columns, "ids", "n_tokens"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema.fields)
     coded = docs.select(*columns, text_of().alias("_text")).mapInArrow(encode, f"{kinds}, ids binary, n_tokens long")
