@@ -52,8 +52,8 @@ class Rounds:
         whole = np.floor(grant / self.burst).astype(np.int64) * self.burst
         return np.where((rounds > 0) & (grant >= self.totals[queue]), self.totals[queue], np.minimum(whole, self.totals[queue]))
 
-    def place(self, queue: int, bursts: np.ndarray) -> np.ndarray:
-        """Where in the stream bursts of a queue begin."""
+    def place(self, queue: np.ndarray, bursts: np.ndarray) -> np.ndarray:
+        """Where in the stream bursts of queues begin."""
         upto = np.minimum((bursts + 1) * self.burst, self.totals[queue])
         time = upto / self.weights[queue]
         guess = np.ceil(np.interp(time, self.times, self.granted_by) / self.window).astype(np.int64)
@@ -63,36 +63,46 @@ class Rounds:
         while (early := (rounds > 1) & (self.served(rounds - 1, queue) >= upto)).any():
             rounds = rounds - early
         distinct, back = np.unique(rounds, return_inverse=True)
-        base = np.empty(len(distinct), np.int64)
-        step = max(1, (1 << 20) // len(self.totals))
+        order = np.argsort(back, kind="stable")
+        cuts = np.searchsorted(back[order], np.arange(len(distinct) + 1))
+        base = np.empty(len(rounds), np.int64)
+        step = max(1, (1 << 19) // len(self.totals))
         for at in range(0, len(distinct), step):
             part = distinct[at : at + step, None]
             before, after = self.served(part - 1, slice(None)), self.served(part, slice(None))
-            base[at : at + step] = before.sum(1) + (after - before)[:, :queue].sum(1)
-        return base[back] + bursts * self.burst - self.served(rounds - 1, queue)
+            turn = np.cumsum(after - before, 1) - (after - before) + before.sum(1)[:, None]
+            which = order[cuts[at] : cuts[min(at + step, len(distinct))]]
+            base[which] = turn[back[which] - at, queue[which]]
+        return base + bursts * self.burst - self.served(rounds - 1, queue)
 
 
-def pieces_of(schedule: Rounds, queue: int, start: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin (in the document), length and place in the stream of a document's pieces.
+def ranges(begin: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``begin, begin + 1, ...``, ``count`` of them, for every pair, and the pair each belongs to."""
+    which = np.repeat(np.arange(len(count)), count)
+    ends = np.cumsum(count)
+    return np.arange(len(which)) + np.repeat(begin - (ends - count), count), which
 
-    The document is ``length`` tokens of its queue from ``start`` on. No piece crosses a window;
-    neighbours in both document and stream are one piece.
+
+def pieces_of(schedule: Rounds, queue: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Document, begin in it, length and place in the stream of the pieces of documents.
+
+    A document is ``length`` tokens of its queue from ``start`` on, one at least. No piece crosses
+    a window; neighbours in both document and stream are one piece.
     """
     burst, window = schedule.burst, schedule.window
-    bursts = np.arange(start // burst, (start + length - 1) // burst + 1)
-    place = schedule.place(queue, bursts)
-    begin = np.maximum(bursts * burst, start)
-    end = np.minimum((bursts + 1) * burst, start + length)
+    bursts, doc = ranges(start // burst, (start + length - 1) // burst - start // burst + 1)
+    place = schedule.place(queue[doc], bursts)
+    begin = np.maximum(bursts * burst, start[doc])
+    end = np.minimum((bursts + 1) * burst, (start + length)[doc])
     place = place + begin - bursts * burst
-    joins = np.append(False, place[1:] == place[:-1] + (end - begin)[:-1])
+    joins = np.append(False, (place[1:] == place[:-1] + (end - begin)[:-1]) & (doc[1:] == doc[:-1]))
     heads = np.flatnonzero(~joins)
-    begin, place, size = begin[heads], place[heads], np.add.reduceat(end - begin, heads)
-    n = (place + size - 1) // window - place // window + 1
-    which = np.repeat(np.arange(len(n)), n)
-    turn = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-    low = np.maximum(place[which], (place[which] // window + turn) * window)
-    high = np.minimum((place + size)[which], (place[which] // window + turn + 1) * window)
-    return begin[which] + low - place[which] - start, high - low, low
+    size = np.add.reduceat(end - begin, heads)
+    begin, place, doc = begin[heads], place[heads], doc[heads]
+    turn, which = ranges(place // window, (place + size - 1) // window - place // window + 1)
+    low = np.maximum(place[which], turn * window)
+    high = np.minimum((place + size)[which], (turn + 1) * window)
+    return doc[which], begin[which] + low - place[which] - start[doc[which]], high - low, low
 
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -125,31 +135,28 @@ def pack(tokens: DataFrame, columns: list[str], weights: dict | None = None, win
     narrow = tokens.select("row", "source", "n_tokens").join(F.broadcast(queues), F.col("source").eqNullSafe(F.col("_source")), "left")
     narrow = narrow.select("row", "n_tokens", F.coalesce("_queue", rest).alias("_queue"), F.md5(F.col("row").cast("string")).alias("_key"))
     starts = running_before(narrow, ["_queue"], "_key", "n_tokens", "_start", ["row"]).select(F.col("row").alias("_row"), "_queue", "_start")
-    placed = tokens.join(starts, F.col("row") == F.col("_row")).select(*columns, "ids", "_queue", "_start")
+    placed = tokens.join(starts, F.col("row") == F.col("_row")).select(*columns, "ids", "n_tokens", F.col("_queue").cast("long"), "_start")
 
     def cut(batches):
         for batch in batches:
-            which, out, crcs, parts = [], [], [], []
-            for i, (ids, queue, start) in enumerate(zip(
-                batch.column("ids"), batch.column("_queue").to_pylist(), batch.column("_start").to_pylist(), strict=True
-            )):
-                ids = np.frombuffer(ids.as_buffer(), "<u2")
-                begin, length, place = pieces_of(schedule, queue, start, len(ids))
-                raw = memoryview(ids.astype("<u4").tobytes())
-                spans = list(zip(begin.tolist(), (begin + length).tolist(), strict=True))
-                crcs += [zlib.crc32(raw[4 * a : 4 * b]) for a, b in spans]
-                if with_ids:
-                    parts += [ids[a:b].tobytes() for a, b in spans]
-                which.append(np.full(len(begin), i))
-                out.append((begin, length, np.full(len(begin), len(ids)), place // window, place % window))
-            if not which:
+            if not batch.num_rows:
                 continue
-            taken = batch.select(columns).take(pa.array(np.concatenate(which)))
-            begin, length, n, sequence, offset = (pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out, strict=True))
-            arrays = [*taken.columns, begin, length, pa.array(crcs, pa.int64()), n, sequence, offset]
+            raw = b"".join(batch.column("ids").to_pylist())
+            ids = np.frombuffer(raw, "<u2")
+            n = batch.column("n_tokens").to_numpy()
+            starts, queues_ = batch.column("_start").to_numpy(), batch.column("_queue").to_numpy()
+            doc, begin, length, place = pieces_of(schedule, queues_, starts, n)
+            wide = memoryview(ids.astype("<u4").tobytes())
+            first = (np.cumsum(n) - n)[doc] + begin
+            spans = list(zip(first.tolist(), (first + length).tolist(), strict=True))
+            crcs = pa.array([zlib.crc32(wide[4 * a : 4 * b]) for a, b in spans], pa.int64())
+            taken = batch.select(columns).take(pa.array(doc))
+            numbers = (pa.array(c.astype(np.int64)) for c in (n[doc], place // window, place % window))
+            arrays = [*taken.columns, pa.array(begin), pa.array(length), crcs, *numbers]
             names = [*columns, *[c.split()[0] for c in PIECES.split(", ")]]
             if with_ids:
-                arrays, names = [*arrays, pa.array(parts, pa.binary())], [*names, "ids"]
+                arrays.append(pa.array([raw[2 * a : 2 * b] for a, b in spans], pa.binary()))
+                names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.select(*columns).schema.fields)
