@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import running_before, text_of, word_count
+from tickloom.llm.common import SPACE, running_before, text_of, word_count
 from tickloom.session import materialise
 
 WEIGHTS = (3, 1, 2)
@@ -51,33 +51,31 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, percent: int = S
     return rows.select("source", "source_size", "weight", target.alias("target"))
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with ``size`` (words; null text none), ``source_size``, ``target``, ``epochs`` and ``part``.
+def mix(docs: DataFrame, carry: Sequence[str] = (), **options) -> DataFrame:
+    """``doc_id``, ``source``, ``carry``, ``size`` (words; null text none), ``source_size``, ``target``, ``epochs``, ``part``.
 
     The mix takes a document ``epochs`` times whole and then its first ``part`` words. Within a
     source, documents stand in the order of the hash of ``doc_id``; the epoch that is not whole
     takes them up to the exact budget, the whole words of the target, and cuts the one there.
     Repeated ids are ordered by a hash of the text; rows alike in both may swap places. A null
     source is a source of its own; sources without words, and empty tables, have nothing taken.
-    Columns of ``docs`` with these names are replaced.
     """
-    own = ("size", "source_size", "target", "epochs", "part")
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    rows = docs.drop(*own).withColumns({"size": word_count(), "_key": key})
+    rows = docs.select("doc_id", "source", *carry, word_count().alias("size"), key.alias("_key"), F.xxhash64(text_of()).alias("_tie"))
     # Counting words is the costly part; the sums of the sources are stored, a row each.
     sums = materialise(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "source-sizes")
     aims = targets(sums, **options).select(F.col("source").alias("_source"), "source_size", "target")
-    placed = running_before(rows, ["source"], "_key", "size", "_before", [F.xxhash64(text_of())])
+    placed = running_before(rows, ["source"], "_key", "size", "_before", ["_tie"])
     placed = placed.join(aims, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rest = budget - F.col("epochs") * F.col("source_size") - F.col("_before")
     return placed.withColumn("epochs", epochs).withColumn(
         "part", F.least(F.col("size"), F.greatest(F.lit(0), rest)).cast("long")
-    ).drop("_key", "_before")
+    ).drop("_key", "_tie", "_before")
 
 
-def taken() -> F.Column:
+def taken() -> Column:
     return F.col("epochs") * F.col("size") + F.col("part")
 
 
@@ -87,16 +85,16 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     A document cut at the budget has its first words, with single spaces between them. ``n_chars``
     is counted anew where there is such a column.
     """
-    from tickloom.llm.common import SPACE
-
-    rows = mix(docs, **options)
-    whole = F.col("epochs") + F.when(F.col("part") == F.col("size"), F.sign("part").cast("long")).otherwise(F.lit(0))
+    whole = docs.select("doc_id", "text", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    rows = mix(whole, ["text", "_doc"], **options)
+    full = F.col("epochs") + F.when(F.col("part") == F.col("size"), F.sign("part").cast("long")).otherwise(F.lit(0))
     cut = (F.col("part") > 0) & (F.col("part") < F.col("size"))
-    copies = F.concat(F.array_repeat(F.lit(False), whole.cast("int")), F.array_repeat(F.lit(True), cut.cast("int")))
+    copies = F.concat(F.array_repeat(F.lit(False), full.cast("int")), F.array_repeat(F.lit(True), cut.cast("int")))
     rows = rows.withColumn("_cut", F.explode(copies))
     words = F.array_remove(F.split(text_of(), SPACE), "")
-    text = F.when(F.col("_cut"), F.array_join(F.slice(words, 1, F.greatest(F.lit(1), F.col("part")).cast("int")), " ")).otherwise(F.col("text"))
-    rows = rows.withColumn("text", text)
+    begin = F.array_join(F.slice(words, 1, F.greatest(F.lit(1), F.col("part")).cast("int")), " ")
+    rows = rows.withColumn("text", F.when(F.col("_cut"), begin).otherwise(F.col("text")))
+    anew = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+        anew["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[anew.get(c, F.col("_doc").getField(c)).alias(c) for c in docs.columns])

@@ -29,6 +29,70 @@ def op1_quality_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+ORACLES["op1_quality_rules"] = r"""
+WITH t AS (
+    SELECT doc_id, lang, source, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
+    FROM documents
+), g AS (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) AS n
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM t)
+), r AS (
+    SELECT doc_id, sum(least(3, step)) AS n_repeat_words
+    FROM (SELECT doc_id, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 3) AS step FROM g WHERE n > 1)
+    GROUP BY doc_id
+), c AS (
+    SELECT t.doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words,
+           CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+           CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+           CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+           CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+           CAST(len(regexp_extract_all(text, '\p{Lu}')) AS BIGINT) AS n_capitals,
+           CAST(len(regexp_extract_all(text, '[!?]')) AS BIGINT) AS n_marks
+    FROM t LEFT JOIN r USING (doc_id)
+), v AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           [coalesce(n_symbols * 1000 // nullif(word_chars, 0), 0), coalesce(n_dup_lines * 1000 // nullif(n_lines, 0), 0),
+            coalesce(n_repeat_words * 1000 // nullif(n_words, 0), 0), coalesce(n_capitals * 1000 // nullif(word_chars, 0), 0),
+            coalesce(n_marks * 1000 // nullif(word_chars, 0), 0), coalesce(word_chars * 100 // nullif(n_words, 0), 0)] AS vs
+    FROM c
+), p AS (
+    SELECT lang, source, s, vs[s] AS x FROM (SELECT lang, source, vs, unnest(range(1, 7)) AS s FROM v WHERE NOT base_failed)
+), h AS (
+    SELECT lang, source, s, (x >> greatest(0, length(bin(x)) - 7)) << greatest(0, length(bin(x)) - 7) AS b, count(*) AS n
+    FROM p GROUP BY ALL
+), m AS (
+    SELECT 1 AS level, lang, source, s, b, n FROM h
+    UNION ALL SELECT 2, lang, NULL, s, b, sum(n) FROM h GROUP BY lang, s, b
+    UNION ALL SELECT 3, NULL, NULL, s, b, sum(n) FROM h GROUP BY s, b
+), u AS (
+    SELECT *, sum(n) OVER (PARTITION BY level, lang, source, s ORDER BY b) AS upto,
+           sum(n) OVER (PARTITION BY level, lang, source, s) AS docs FROM m
+), q AS (
+    SELECT level, lang, source, s, max(docs) AS docs, min(b) FILTER (4 * upto >= docs) AS q1, min(b) FILTER (4 * upto >= 3 * docs) AS q3
+    FROM u GROUP BY level, lang, source, s
+), f AS (
+    SELECT level, lang, source, s, docs, q1 - 3 * greatest(q3 - q1, ([20, 150, 100, 60, 20, 60])[s]) AS low,
+           q3 + 3 * greatest(q3 - q1, ([20, 150, 100, 60, 20, 60])[s]) AS high
+    FROM q
+), k AS (
+    SELECT o.lang, o.source, o.s,
+           CASE WHEN o.docs >= 400 THEN o.low WHEN l.docs >= 400 THEN l.low ELSE a.low END AS low,
+           CASE WHEN o.docs >= 400 THEN o.high WHEN l.docs >= 400 THEN l.high ELSE a.high END AS high
+    FROM f o JOIN f l ON l.level = 2 AND l.s = o.s AND l.lang IS NOT DISTINCT FROM o.lang
+    JOIN f a ON a.level = 3 AND a.s = o.s WHERE o.level = 1
+), bad AS (
+    SELECT DISTINCT doc_id FROM (SELECT doc_id, lang, source, vs, unnest(range(1, 7)) AS s FROM v) d
+    JOIN k ON k.s = d.s AND k.lang IS NOT DISTINCT FROM d.lang AND k.source IS NOT DISTINCT FROM d.source
+    WHERE d.vs[d.s] > k.high OR (d.s = 6 AND d.vs[d.s] < k.low)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept
+FROM v
+"""
+
+
 @query
 def op2_mix_sources(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -76,6 +140,47 @@ def op3_fingerprints(spark, sf_dir):
     return merkle.compared(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+ORACLES["op3_fingerprints"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, lead(doc_id) OVER (ORDER BY doc_id) AS after, min(doc_id) OVER () AS first FROM documents
+), e AS (
+    SELECT d.doc_id, d.text, n.text AS next, length(d.text) AS n,
+           substr(d.text, 1, length(d.text) - length(d.text) // 2) || substr(n.text, 1, length(d.text) // 2) AS edited
+    FROM d JOIN d n ON n.doc_id = coalesce(d.after, d.first)
+), x AS (
+    SELECT DISTINCT text FROM (SELECT text FROM e UNION ALL SELECT edited FROM e)
+), l AS (
+    SELECT text, list_transform(string_split(text, chr(10)), lambda l: list_transform(
+        regexp_extract_all(l, '[^,.;:!?\n]{1,64}[,.;:!?]*|[,.;:!?]+'), lambda p: md5(p))) AS lines
+    FROM x
+), p AS (
+    SELECT text, list_transform(lines, lambda hs: {
+        'node': sha256(coalesce(array_to_string(hs, ''), '')),
+        'shown': coalesce(array_to_string(list_transform(hs, lambda h: substr(to_base64(unhex(h)), 1, 4)), ' '), '')}) AS ps
+    FROM l
+), s AS (
+    SELECT text,
+           string_split(regexp_replace(array_to_string(list_transform(ps, lambda p: p.node || CASE WHEN p.node < '2' THEN '|' ELSE ';' END), ''), '\|$', ''), '|') AS nodes,
+           string_split(regexp_replace(array_to_string(list_transform(ps, lambda p: p.shown || CASE WHEN p.node < '2' THEN '|' ELSE ';' END), ''), '\|$', ''), '|') AS shown
+    FROM p
+), f AS (
+    SELECT text, sha256(array_to_string(list_transform(nodes, lambda n: sha256(n)), '')) || ' ' || array_to_string(
+        list_transform(range(1, len(nodes) + 1), lambda i: substr(sha256(nodes[i]), 1, 8) || ':' || shown[i]), '|') AS print
+    FROM s
+), g AS (
+    SELECT text, print, list_filter(list_distinct(regexp_split_to_array(substr(print, 66), '[0-9a-f]{8}:|[ ;|]')), lambda c: c <> '') AS pieces FROM f
+), r AS (
+    SELECT e.doc_id, e.n, e.edited, a, b, c FROM e JOIN g a ON a.text = e.text JOIN g b ON b.text = e.edited JOIN g c ON c.text = e.next
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256, a.print AS fingerprint, b.print AS edited_fingerprint,
+       CASE WHEN substr(a.print, 1, 64) = substr(b.print, 1, 64) THEN 1.0::DOUBLE WHEN len(a.pieces) + len(b.pieces) = 0 THEN 0.0::DOUBLE
+            ELSE CAST(len(list_intersect(a.pieces, b.pieces)) AS DOUBLE) * 2 / CAST(len(a.pieces) + len(b.pieces) AS DOUBLE) END AS near_edited,
+       CASE WHEN substr(a.print, 1, 64) = substr(c.print, 1, 64) THEN 1.0::DOUBLE WHEN len(a.pieces) + len(c.pieces) = 0 THEN 0.0::DOUBLE
+            ELSE CAST(len(list_intersect(a.pieces, c.pieces)) AS DOUBLE) * 2 / CAST(len(a.pieces) + len(c.pieces) AS DOUBLE) END AS near_next
+FROM r
+"""
+
+
 @query
 def op4_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
