@@ -33,6 +33,7 @@ BUCKETS = 1 << 13
 WIDTH, GATE = 16, 8
 PER_CLASS = 1200
 EPOCHS = 8
+LEAST_STEPS = 300  # a small sample is gone through more often
 BATCH = 64
 THRESHOLD = 0.3
 
@@ -151,7 +152,7 @@ def fit(texts: pa.Array, y: np.ndarray, prior: float, epochs: int = EPOCHS) -> M
     t = 0
     groups = [np.arange(i, min(i + BATCH, len(y))) for i in range(0, len(y), BATCH)]
     bags = [bags_of(texts.take(pa.array(g))) for g in groups]
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-LEAST_STEPS // len(groups)))):
         for i in rng.permutation(len(groups)):
             t += 1
             for k, g in model.gradients(bags[i], y[groups[i]]).items():
