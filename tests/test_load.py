@@ -121,14 +121,19 @@ def test_files_end_to_end(spark, tmp_path):
     damage(landing, 6)
     status = load.load_files(spark, wh, f"{landing}/{{id}}.zip", [1, 2, 3, 4, 5, 6], 1, COLUMNS)
     assert as_set(status, "file_id", "status", "retry_count") == {
-        (1, "SUCCESS", 0), (2, "FAILED", 1), (3, "SUCCESS", 0), (4, "FAILED", 1), (5, "FAILED", 1),
+        (1, "SUCCESS", 0), (2, "SUCCESS", 0), (3, "SUCCESS", 0), (4, "FAILED", 1), (5, "FAILED", 1),
         (6, "FAILED", 1),
     }
-    logged = {r.file_id: (r.status, r.row_count, r.error_message) for r in wh.table("etl_job_logs").collect()}
+    entries = wh.table("etl_job_logs").collect()
+    assert sorted(r.log_id for r in entries) == list(range(1, len(entries) + 1))
+    logged = {r.file_id: (r.status, r.row_count, r.error_message) for r in entries if r.task_id == "load_files"}
+    breaches = {r.file_id: r.error_message for r in entries if r.task_id == "sla"}
+    assert all(breaches[i] == "SLA CRITICAL: failed" for i in "456")
     # Two hours, one session, two classes.
     assert logged["1"] == ("SUCCESS", 5, None)
     assert logged["3"] == ("SUCCESS", 0, "WARNING EMPTY")
-    assert logged["2"][2].endswith("NEGATIVE_TURNOVER") and logged["4"][2] == "unreadable archive"
+    assert logged["2"] == ("SUCCESS", 0, "WARNING EMPTY") and logged["4"][2] == "unreadable archive"
+    assert as_set(wh.table("quarantine").filter("source_id = 2"), "reason") == {("negative volume",)}
     assert logged["5"][2] == "unknown header" and logged["6"][2] == "unreadable archive"
     assert wh.table("stg_session_summary").filter("source_id = 6").isEmpty()
     assert as_set(wh.table("quarantine").filter("source_id = 1"), "line") == {("A,F,bad,1,1,1",)}
@@ -146,7 +151,7 @@ def test_files_end_to_end(spark, tmp_path):
     assert as_set(fact, "source_id", "load_id") == {(1, 1), (2, 2)}
     assert wh.table("dim_commodity").count() == 2
     # The close of A went from 12 to 15.
-    last = wh.table("etl_job_logs").filter("run_id = '2'").first()
+    last = wh.table("etl_job_logs").filter("run_id = '2' AND task_id = 'load_files'").first()
     assert last.error_message == "WARNING stg_session_summary VOLATILITY (1)"
 
     # The same load once more, as after a crash, changes no visible row.
@@ -167,14 +172,52 @@ def test_a_source_too_big_for_one_task_is_written_by_several(spark, conf, tmp_pa
     assert statistics.median(files.values()) == 1
 
 
-def test_a_load_that_raises_is_logged_as_failed(spark, tmp_path):
-    wh = load.Warehouse(spark, str(tmp_path))
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        load.load_files(spark, wh, f"{tmp_path}/none/{{id}}.zip", [1], 1, COLUMNS)
+def test_an_absent_file_fails_alone(spark, tmp_path):
+    wh, landing = load.Warehouse(spark, str(tmp_path / "wh")), tmp_path / "in"
+    landing.mkdir()
+    put(landing, 1, "A,F,20251201,090000,10,3")
+    status = load.load_files(spark, wh, f"{landing}/{{id}}.zip", [1, 2], 1, COLUMNS)
+    assert as_set(status, "file_id", "status") == {(1, "SUCCESS"), (2, "FAILED")}
+    status = load.load_files(spark, wh, f"{landing}/{{id}}.zip", [3], 2, COLUMNS)
+    assert as_set(status, "file_id", "status") == {(3, "FAILED")}
+    assert as_set(wh.table("etl_job_logs").filter("status = 'FAILED'"), "file_id", "error_message") == {("2", "no file"), ("3", "no file")}
+    assert ledger.illegal_transitions(wh.table("file_status_log")).isEmpty()
+
+
+def test_a_load_that_raises_is_logged_as_failed(spark, tmp_path, monkeypatch):
+    wh = load.Warehouse(spark, str(tmp_path / "wh"))
+    put(tmp_path, 1, "A,F,20251201,090000,10,3")
+    monkeypatch.setattr(load, "load_star", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        load.load_files(spark, wh, f"{tmp_path}/{{id}}.zip", [1], 1, COLUMNS)
     assert as_set(ledger.file_status(wh.table("file_status_log")), "file_id", "status") == {(1, "FAILED")}
     assert as_set(wh.table("etl_job_logs"), "status") == {("FAILED",)}
 
 
+def test_a_crashed_load_can_be_run_again(spark, tmp_path):
+    wh = load.Warehouse(spark, str(tmp_path / "wh"))
+    put(tmp_path, 1, "A,F,20251201,090000,10,3")
+    files = spark.createDataFrame([(1,)], "file_id int")
+    for step, status in enumerate(("PENDING", "PROCESSING")):
+        wh.append("file_status_log", ledger.transitions(files, status, datetime(2025, 1, 1), step=step))
+    load.load_files(spark, wh, f"{tmp_path}/{{id}}.zip", [1], 1, COLUMNS)
+    log = wh.table("file_status_log").orderBy("changed_at", "seq").select("status").collect()
+    assert [r.status for r in log] == ["PENDING", "PROCESSING", "FAILED", "PENDING", "PROCESSING", "SUCCESS"]
+    assert ledger.illegal_transitions(wh.table("file_status_log")).isEmpty()
+
+
+def test_a_delivery_without_rows_leaves_none_of_the_one_before(spark, tmp_path):
+    wh = load.Warehouse(spark, str(tmp_path / "wh"))
+    put(tmp_path, 1, "A,F,20251201,090000,10,3", "broken")
+    load.load_files(spark, wh, f"{tmp_path}/{{id}}.zip", [1], 1, COLUMNS)
+    assert load.visible_fact(wh, "fact_session_summary").count() == 1 and wh.table("quarantine").count() == 1
+    put(tmp_path, 1, "A,F,20251201,090000,0,3")
+    load.load_files(spark, wh, f"{tmp_path}/{{id}}.zip", [1], 2, COLUMNS)
+    last = wh.table("etl_job_logs").filter("run_id = '2' AND task_id = 'load_files'").first()
+    assert (last.row_count, last.error_message) == (0, "WARNING EMPTY")
+    assert load.visible_fact(wh, "fact_session_summary").isEmpty() and wh.table("quarantine").isEmpty()
+
+
 def test_stream_picks_up_only_new_archives(spark, tmp_path):
     wh, landing = load.Warehouse(spark, str(tmp_path / "wh")), tmp_path / "in"
     landing.mkdir()

@@ -67,6 +67,11 @@ BAD = {
     "A,F,20251201,090000,ten,3": "non-numeric price",
     "A,F,-20251201,090000,10.5,3": "not a date",
     "A,F,20251201,-5,10.5,3": "not a time of day",
+    "A,F,20251201,93015123,10.5,3": "not a time of day",
+    "A,F,20251201,999999,10.5,3": "not a time of day",
+    "A,F,20251201,250000,10.5,3": "not a time of day",
+    "A,F,20251201,096000,10.5,3": "not a time of day",
+    "A,F,20251201,090000,10.5,-3": "negative volume",
     ",F,20251201,090000,10.5,3": "missing code",
     "NA,F,20251201,090000,10.5,3": "missing code",
 }
@@ -106,8 +111,8 @@ def test_short_row_that_lacks_only_optional_cells_is_good(spark, tmp_path):
 
 def test_header_without_a_tick_column_is_refused(spark, tmp_path):
     path = archive(tmp_path / "1.zip", {"T.csv": "Comm,Price\nA,1\n"})
-    with pytest.raises(ValueError, match="lacks"):
-        read_tick_zips(spark, path)
+    with pytest.raises(Exception, match="lacks"):
+        read_tick_zips(spark, path).collect()
 
 
 def test_unusable_header_fails_its_own_file_only(spark, tmp_path):
@@ -173,6 +178,38 @@ def test_plain_logs_of_several_layouts(spark, tmp_path):
     assert bad.isEmpty()
 
 
+def test_a_path_without_an_id_is_an_error(spark, tmp_path):
+    archive(tmp_path / "LOG.zip", {"T.csv": log(GOOD)})
+    archive(tmp_path / "20251201123456.zip", {"T.csv": log(GOOD)})
+    for name in ("LOG.zip", "20251201123456.zip"):
+        with pytest.raises(Exception, match="no file id"):
+            read_tick_zips(spark, str(tmp_path / name)).collect()
+
+
+def test_undecodable_bytes_are_quarantined(spark, tmp_path):
+    text = log(GOOD).encode() + b"A\xff,F,20251201,090000,10.5,3\n"
+    good, bad = split_bad_rows(read_tick_zips(spark, archive(tmp_path / "1.zip", {"T.csv": text})))
+    assert as_set(good, "Comm") == {("A",)} and as_set(bad, "reason") == {("undecodable bytes",)}
+
+
+def test_plain_logs_are_read_by_their_own_header(spark, tmp_path):
+    swapped = "Comm,Contract_Type,Trade_Date,Log_Time,Volume,Price"
+    (tmp_path / "1.csv").write_text(log("A,F,20251201,090000,3,10", header=swapped))
+    (tmp_path / "2.csv").write_text("B,F,20251201,090000,10,3\n")
+    good, bad = split_bad_rows(read_tick_csv(spark, str(tmp_path), list(TICK_COLUMNS)))
+    assert as_set(good, "Comm", "Price", "Volume") == {("A", 10.0, 3), ("B", 10.0, 3)} and bad.isEmpty()
+
+
+def test_rows_of_a_folder_of_parts_have_numbers_of_their_own(spark, tmp_path):
+    folder = tmp_path / "7.csv"
+    folder.mkdir()
+    for part in range(3):
+        (folder / f"part-{part}").write_text("".join(f"A,F,20251201,090000,1,{part * 10 + i}\n" for i in range(10)))
+    good, _ = split_bad_rows(read_tick_csv(spark, str(folder), list(TICK_COLUMNS)))
+    rows = good.orderBy("seq").select("Volume", "seq").collect()
+    assert [r.Volume for r in rows] == list(range(30)) and len({r.seq for r in rows}) == 30
+
+
 def test_row_numbers_follow_file_order_across_splits(spark, conf, tmp_path):
     conf("spark.sql.files.maxPartitionBytes", "4000")
     conf("spark.sql.files.openCostInBytes", "100")

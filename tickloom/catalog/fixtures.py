@@ -25,9 +25,6 @@ from tickloom.sources import block_trades, status_log_from_orders, ticks_from_ev
 
 register_pickle_by_value(sys.modules[__name__])
 
-# No archive holds more lines than this, whatever the size of a source.
-ROWS_PER_ARCHIVE = 1_000_000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -105,19 +102,27 @@ def staged(df: DataFrame) -> DataFrame:
 LOG_HEADER = ",".join(TICK_COLUMNS)
 
 
-def _log_line() -> list:
-    """The cells of a log line; some lines broken by rule."""
+def _log_line(mended: bool = False) -> list:
+    """A log line; some lines broken by rule, unless ``mended``."""
     kind = F.col("seq") % 50
     price = F.format_string("%.2f", "Price")
     line = F.concat_ws(
         ",", "Comm", "Contract_Type", F.col("Trade_Date").cast("string"),
         F.lpad(F.col("Log_Time").cast("string"), 6, "0"), price, F.col("Volume").cast("string"),
     )
+    at = lambda time: F.concat_ws(
+        ",", "Comm", "Contract_Type", F.col("Trade_Date").cast("string"), F.lit(time), price, F.lit("1"))
+    if mended:
+        return line
     return (
         F.when(kind == 0, F.concat(line, F.lit(",surplus")))
         .when(kind == 1, F.concat_ws(",", "Comm", "Contract_Type", F.col("Trade_Date").cast("string")))
         .when(kind == 2, F.concat_ws(",", "Comm", "Contract_Type", F.lit("yesterday"), F.lit("090000"), price, F.lit("1")))
         .when(kind == 3, F.concat(F.lit("NA"), F.substring(line, F.length("Comm") + 1, F.length(line))))
+        .when(kind == 4, at("93015123"))
+        .when(kind == 5, at("999999"))
+        .when(kind == 6, at("250000"))
+        .when(kind == 7, F.concat_ws(",", "Comm", "Contract_Type", F.col("Trade_Date").cast("string"), F.lit("090000"), price, F.lit("-3")))
         .otherwise(line)
     )
 
@@ -130,9 +135,21 @@ def csv_landing(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def _write_archive(rows: pd.DataFrame, landing: str) -> pd.DataFrame:
+def _put(uri: str, content: bytes) -> None:
     from pyarrow import fs
 
+    filesystem, path = fs.FileSystem.from_uri(uri)
+    filesystem.create_dir(posixpath.dirname(path), recursive=True)
+    with filesystem.open_output_stream(path) as out:
+        out.write(content)
+
+
+def _arrow_uri(path: str) -> str:
+    """Hadoop's spelling of a path, in the form Arrow's file systems take."""
+    return re.sub(r"^file:/+", "file:///", path).replace("s3a://", "s3://")
+
+
+def _write_archive(rows: pd.DataFrame, template: str) -> pd.DataFrame:
     file_id = int(rows["source_id"].iloc[0])
     rows = rows.sort_values("seq")
     buffer = io.BytesIO()
@@ -140,27 +157,30 @@ def _write_archive(rows: pd.DataFrame, landing: str) -> pd.DataFrame:
         archive.writestr(zipfile.ZipInfo("readme.md"), "not a log")
         body = "\n".join([LOG_HEADER, *rows["line"]]) + "\n"
         archive.writestr(zipfile.ZipInfo(f"{file_id}.csv"), body, zipfile.ZIP_DEFLATED)
-    filesystem, folder = fs.FileSystem.from_uri(landing)
-    filesystem.create_dir(folder, recursive=True)
-    with filesystem.open_output_stream(posixpath.join(folder, f"{file_id}.zip")) as out:
-        out.write(buffer.getvalue())
+    _put(template.format(id=file_id), buffer.getvalue())
     return pd.DataFrame({"file_id": [file_id]})
 
 
-def zip_landing(spark: SparkSession, sf_dir: str) -> tuple[str, list[int]]:
-    """The events as zipped logs: their folder and the file ids, one per archive.
+def write_archives(ticks: DataFrame, template: str, mended: bool = False) -> list[int]:
+    """Ticks as zipped logs, one archive per source at its path; returns the ids, as many as archives."""
+    target = _arrow_uri(template)
+    lines = ticks.select("source_id", "seq", _log_line(mended).alias("line"))
+    written = lines.groupBy("source_id").applyInPandas(lambda rows: _write_archive(rows, target), "file_id int")
+    return [row.file_id for row in written.collect()]
+
 
-    A source of two days is cut into archives of at most ROWS_PER_ARCHIVE consecutive events.
-    """
+def write_damaged(spark: SparkSession, path: str) -> None:
+    """A file that is no archive."""
+    target = _arrow_uri(path)
+
+    def write(rows: pd.DataFrame) -> pd.DataFrame:
+        _put(target, b"no archive")
+        return rows
+
+    spark.range(1).groupBy("id").applyInPandas(write, "id long").collect()
+
+
+def zip_landing(spark: SparkSession, sf_dir: str, name: str = "{id}.zip") -> tuple[str, list[int]]:
+    """The events as zipped logs: their folder and the file ids, one archive per source."""
     landing = scratch_path(spark, "archives")
-    # Hadoop's spelling of the folder, in the form Arrow's file systems take.
-    target = re.sub(r"^file:/+", "file:///", landing).replace("s3a://", "s3://")
-    chunk = F.floor(F.col("seq") / ROWS_PER_ARCHIVE)
-    file_id = (F.col("source_id") + 16 * chunk).cast("int")
-    lines = raw_ticks(spark, sf_dir).withColumn("source_id", file_id).select(
-        "source_id", "seq", _log_line().alias("line")
-    )
-    written = lines.groupBy("source_id").applyInPandas(
-        lambda rows: _write_archive(rows, target), "file_id int"
-    )
-    return landing, [row.file_id for row in written.collect()]
+    return landing, write_archives(raw_ticks(spark, sf_dir), f"{landing}/{name}")

@@ -99,16 +99,24 @@ lines AS (
       WHEN 1 THEN Comm || ',F,' || Trade_Date
       WHEN 2 THEN Comm || ',F,yesterday,090000,' || printf('%.2f', Price) || ',1'
       WHEN 3 THEN 'NA' || substr(good, length(Comm) + 1)
+      WHEN 4 THEN Comm || ',F,' || Trade_Date || ',93015123,' || printf('%.2f', Price) || ',1'
+      WHEN 5 THEN Comm || ',F,' || Trade_Date || ',999999,' || printf('%.2f', Price) || ',1'
+      WHEN 6 THEN Comm || ',F,' || Trade_Date || ',250000,' || printf('%.2f', Price) || ',1'
+      WHEN 7 THEN Comm || ',F,' || Trade_Date || ',090000,' || printf('%.2f', Price) || ',-3'
       ELSE good END AS line,
     CASE seq % 50
       WHEN 0 THEN 'too many fields'
       WHEN 1 THEN 'missing or non-numeric integer'
       WHEN 2 THEN 'missing or non-numeric integer'
-      WHEN 3 THEN 'missing code' END AS reason
+      WHEN 3 THEN 'missing code'
+      WHEN 4 THEN 'not a time of day'
+      WHEN 5 THEN 'not a time of day'
+      WHEN 6 THEN 'not a time of day'
+      WHEN 7 THEN 'negative volume' END AS reason
   FROM whole)"""
 
 # The file id and the line number an event gets in the zipped logs.
-ARCHIVE = "CAST(source_id + 16 * (seq // 1000000) AS INT)"
+ARCHIVE = "source_id"
 LINE_NUMBER = f"row_number() OVER (PARTITION BY {ARCHIVE} ORDER BY seq)"
 
 DIRTY = RAW + f""",
@@ -283,6 +291,38 @@ ORACLES = {
         SELECT source_id, count(*) AS n FROM ({distribution("good")}) GROUP BY 1)
       SELECT source_id AS file_id, 'SUCCESS' AS status, CAST(0 AS BIGINT) AS retry_count,
              CAST(sum(n) AS BIGINT) AS row_count FROM counts GROUP BY source_id""",
+    "load_files_nested": f"""WITH {LINES}, good AS (
+        SELECT * REPLACE ({ARCHIVE} AS source_id) FROM lines WHERE reason IS NULL AND Price > 0),
+      counts AS (
+        SELECT source_id, count(*) AS n FROM ({hourly("good")}) GROUP BY 1 UNION ALL
+        SELECT source_id, count(*) AS n FROM ({session("good")}) GROUP BY 1 UNION ALL
+        SELECT source_id, count(*) AS n FROM ({distribution("good")}) GROUP BY 1)
+      SELECT source_id AS file_id, 'SUCCESS' AS status, CAST(0 AS BIGINT) AS retry_count,
+             CAST(sum(n) AS BIGINT) AS row_count FROM counts GROUP BY source_id""",
+    "load_pending_files": f"""WITH {RAW} SELECT DISTINCT source_id AS file_id, 'SUCCESS' AS status, CAST(0 AS BIGINT) AS illegal FROM raw
+      UNION ALL SELECT 9999, 'FAILED', 0""",
+    "reload_files": f"""WITH {RAW}, good AS (SELECT * FROM raw WHERE Price > 0 AND source_id % 4 = 3), counts AS (
+        SELECT source_id, count(*) AS n FROM ({hourly("good")}) GROUP BY 1 UNION ALL
+        SELECT source_id, count(*) AS n FROM ({session("good")}) GROUP BY 1 UNION ALL
+        SELECT source_id, count(*) AS n FROM ({distribution("good")}) GROUP BY 1),
+      seen AS (SELECT source_id, count(DISTINCT Comm) AS n FROM good GROUP BY 1)
+      SELECT s.source_id AS file_id, CAST(coalesce((SELECT sum(n) FROM counts c WHERE c.source_id = s.source_id), 0) AS BIGINT) AS row_count,
+             s.source_id % 4 = 1 AS empty, CAST(0 AS BIGINT) AS quarantined,
+             CAST(coalesce((SELECT n FROM seen WHERE seen.source_id = s.source_id), 0) AS BIGINT) AS visible_sessions
+      FROM (SELECT DISTINCT source_id FROM raw WHERE source_id % 2 = 1) s""",
+    "job_log": f"""WITH {RAW} SELECT CAST(row_number() OVER (ORDER BY source_id) AS BIGINT) AS log_id, '1' AS run_id, CAST(source_id AS VARCHAR) AS file_id
+      FROM (SELECT DISTINCT source_id FROM raw) UNION ALL
+      SELECT count(DISTINCT source_id) + 1, '0', 'late' FROM raw""",
+    "load_checks": """SELECT * FROM (VALUES
+        ('fact_session_summary', 'PRIMARY_KEY'), ('fact_session_summary', 'FOREIGN_KEY_Comm_id'), ('fact_session_summary', 'FOREIGN_KEY_Date_id'),
+        ('fact_hourly_stats', 'PRIMARY_KEY'), ('fact_hourly_stats', 'FOREIGN_KEY_Comm_id'), ('fact_hourly_stats', 'FOREIGN_KEY_Date_id'),
+        ('fact_trade_distribution', 'PRIMARY_KEY'), ('fact_trade_distribution', 'FOREIGN_KEY_Comm_id'),
+        ('fact_trade_distribution', 'FOREIGN_KEY_Trader_Type_id')) r(dataset, rule),
+      (SELECT 'BLOCKER' AS severity, CAST(0 AS BIGINT) AS violations)""",
+    "ingest_ledger": f"""WITH {LINES}, good AS (SELECT * FROM lines WHERE reason IS NULL AND Price > 0),
+      seen AS (SELECT source_id, count(DISTINCT Comm) AS n FROM good GROUP BY 1)
+      SELECT source_id AS file_id, 'SUCCESS' AS status, CAST(n AS BIGINT) AS visible_sessions FROM seen
+      UNION ALL SELECT 9999, 'FAILED', 0""",
     "file_status": f"WITH {LEDGER} {STATUS.format(log='log')}",
     "pending_files": f"""WITH {LEDGER}, s AS ({STATUS.format(log='log')})
       SELECT file_id FROM s WHERE status = 'PENDING' ORDER BY file_id LIMIT 10""",

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom import sources, streaming
@@ -339,14 +339,78 @@ def load_star(spark, sf_dir):
     return cents(marts.with_commodity_code(fact, wh.table("dim_commodity"))).drop("Comm_id")
 
 
+def _loaded(spark, sf_dir, name):
+    landing, ids = fx.zip_landing(spark, sf_dir, name)
+    wh = load.Warehouse(spark, scratch_path(spark, "warehouse"))
+    status = load.load_files(spark, wh, f"{landing}/{name}", ids, 1, list(TICK_COLUMNS))
+    return status, wh, landing, ids
+
+
+def _runs(wh, load_id=1):
+    log = wh.table("etl_job_logs").filter((F.col("task_id") == "load_files") & (F.col("run_id") == str(load_id)))
+    return log.withColumn("file_id", F.col("file_id").cast("int"))
+
+
 @query
 def load_files(spark, sf_dir):
     """Zipped logs through the whole load: ledger state and staged rows of every file."""
+    status, wh, _, _ = _loaded(spark, sf_dir, "{id}.zip")
+    return status.join(_runs(wh).select("file_id", "row_count"), "file_id").select(
+        "file_id", "status", "retry_count", "row_count")
+
+
+@query
+def load_files_nested(spark, sf_dir):
+    """The same, with the file id in the folder and one name for all archives."""
+    status, wh, _, _ = _loaded(spark, sf_dir, "{id}/LOG.zip")
+    visible = load.visible_fact(wh, "fact_session_summary").select(F.col("source_id").alias("file_id")).distinct()
+    return status.join(_runs(wh).select("file_id", "row_count"), "file_id").join(visible, "file_id", "left_semi").select(
+        "file_id", "status", "retry_count", "row_count")
+
+
+@query
+def load_pending_files(spark, sf_dir):
+    """Pending files through the load, one of them absent: only that one fails, and all moves are legal."""
     landing, ids = fx.zip_landing(spark, sf_dir)
     wh = load.Warehouse(spark, scratch_path(spark, "warehouse"))
-    status = load.load_files(spark, wh, f"{landing}/{{id}}.zip", ids, 1, list(TICK_COLUMNS))
-    runs = wh.table("etl_job_logs").select(F.col("file_id").cast("int").alias("file_id"), "row_count")
-    return status.join(runs, "file_id").select("file_id", "status", "retry_count", "row_count")
+    files = spark.createDataFrame([(i,) for i in [*ids, 9999]], "file_id int")
+    wh.append("file_status_log", ledger.transitions(files, "PENDING", EPOCH))
+    status = load.load_pending(spark, wh, f"{landing}/{{id}}.zip", 1, len(ids) + 1, list(TICK_COLUMNS))
+    illegal = ledger.illegal_transitions(wh.table("file_status_log")).agg(F.count("*").alias("illegal"))
+    return status.select("file_id", "status").join(F.broadcast(illegal))
+
+
+@query
+def reload_files(spark, sf_dir):
+    """All sources, then the odd ones once more: some emptied, some mended. What the second delivery left."""
+    _, wh, landing, ids = _loaded(spark, sf_dir, "{id}.zip")
+    odd = [i for i in ids if i % 2]
+    price = F.when(F.col("source_id") % 4 == 1, F.lit(0.0)).otherwise(F.col("Price"))
+    again = fx.raw_ticks(spark, sf_dir).filter("source_id % 2 = 1").withColumn("Price", price)
+    fx.write_archives(again, f"{landing}/{{id}}.zip", mended=True)
+    status = load.load_files(spark, wh, f"{landing}/{{id}}.zip", odd, 2, list(TICK_COLUMNS))
+    runs = _runs(wh, 2).select("file_id", "row_count", F.coalesce(F.col("error_message") == "WARNING EMPTY", F.lit(False)).alias("empty"))
+    count = lambda df, name: df.groupBy(F.col("source_id").alias("file_id")).agg(F.count("*").alias(name))
+    rows = status.select("file_id").join(runs, "file_id")
+    rows = rows.join(count(wh.table("quarantine"), "quarantined"), "file_id", "left")
+    rows = rows.join(count(load.visible_fact(wh, "fact_session_summary"), "visible_sessions"), "file_id", "left")
+    return rows.fillna(0, ["quarantined", "visible_sessions"])
+
+
+@query
+def job_log(spark, sf_dir):
+    """The stored numbers of the job log, after an entry that comes late with an early time."""
+    _, wh, _, _ = _loaded(spark, sf_dir, "{id}.zip")
+    wh.log_jobs(ledger.job_entry(spark, "FAILED", EPOCH, task_id="load_files", run_id="0", file_id="late"))
+    return wh.table("etl_job_logs").filter("task_id = 'load_files'").select(
+        F.row_number().over(Window.orderBy("log_id")).cast("bigint").alias("log_id"), "run_id", "file_id")
+
+
+@query
+def load_checks(spark, sf_dir):
+    """Primary and foreign keys of the facts of a load."""
+    _, wh, _, _ = _loaded(spark, sf_dir, "{id}.zip")
+    return load.load_checks(wh, 1)
 
 
 # -- ledger ----------------------------------------------------------------------------
@@ -492,12 +556,27 @@ def hourly_stats_stream(spark, sf_dir):
     return cents(streaming.read_upserts(spark, path))
 
 
-@query
-def ingest_stream(spark, sf_dir):
-    """Archives picked up by a stream, in several micro-batches; the staged sessions."""
+def _streamed(spark, sf_dir, damaged=False):
     landing, _ = fx.zip_landing(spark, sf_dir)
+    if damaged:
+        fx.write_damaged(spark, f"{landing}/9999.zip")
     wh = load.Warehouse(spark, scratch_path(spark, "warehouse"))
     checkpoint = scratch_path(spark, "stream-checkpoint")
-    run = streaming.ingest_stream(spark, landing, wh, checkpoint, list(TICK_COLUMNS), files_per_batch=1000)
+    run = streaming.ingest_stream(spark, landing, wh, checkpoint, list(TICK_COLUMNS), files_per_batch=5)
     run.awaitTermination()
-    return cents(wh.table("stg_session_summary"))
+    return wh
+
+
+@query
+def ingest_stream(spark, sf_dir):
+    """Archives picked up by a stream, in micro-batches of five files; the staged sessions."""
+    return cents(_streamed(spark, sf_dir).table("stg_session_summary"))
+
+
+@query
+def ingest_ledger(spark, sf_dir):
+    """Ledger and visible sessions after the stream, with a damaged archive among the others."""
+    wh = _streamed(spark, sf_dir, damaged=True)
+    seen = load.visible_fact(wh, "fact_session_summary").groupBy(F.col("source_id").alias("file_id")).agg(F.count("*").alias("visible_sessions"))
+    status = ledger.file_status(wh.table("file_status_log")).select("file_id", "status")
+    return status.join(seen, "file_id", "left").fillna(0, ["visible_sessions"])

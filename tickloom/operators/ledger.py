@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import ledger_order
 from tickloom.operators.sequences import number_rows, with_previous
-from tickloom.schemas import FILE_STATUS_LOG, JOB_LOG
+from tickloom.schemas import FILE_STATUS_LOG, JOB_ENTRY
 
 STATUSES = ("PENDING", "PROCESSING", "SUCCESS", "FAILED")
 FIRST_FILE_ID = 6076
@@ -92,6 +92,21 @@ def seed_next(log: DataFrame, at: datetime, seed: int = FIRST_FILE_ID - 1) -> Da
     return transitions(next_file_id(log, seed), "PENDING", at)
 
 
+def opening_moves(files: DataFrame, log: DataFrame, at: datetime, load_id: int) -> DataFrame:
+    """The ledger rows that bring every file of a load to PROCESSING by legal steps.
+
+    A file that is not PENDING is requested first; one that a crashed load left PROCESSING has
+    failed before that.
+    """
+    now = file_status(log).select("file_id", F.col("status").alias("_now"))
+    known = files.select("file_id").distinct().join(now, "file_id", "left")
+    crashed = known.filter("_now = 'PROCESSING'")
+    asked = known.filter("_now IS NULL OR _now <> 'PENDING'")
+    rows = transitions(crashed, "FAILED", at, step=0)
+    rows = rows.unionByName(transitions(asked, "PENDING", at, step=1))
+    return rows.unionByName(transitions(known, "PROCESSING", at, load_id=load_id, step=2))
+
+
 def request_backfill(log: DataFrame, ids: list[int], at: datetime) -> DataFrame:
     """PENDING rows that send known files through the load again."""
     known = log.filter(F.col("file_id").isin(*ids)).select("file_id").distinct()
@@ -152,6 +167,19 @@ def visible(fact: DataFrame, log: DataFrame) -> DataFrame:
     return fact.join(current_loads(log), ["source_id", "load_id"], "left_semi")
 
 
+def sla_breaches(
+    log: DataFrame, load_id: int, at: datetime, max_sec: int = 120, deadline_hour: int = 8, timezone: str = "UTC"
+) -> DataFrame:
+    """Job-log entries, tagged ``SLA``, for the runs of a load that :func:`sla_report` does not pass."""
+    runs = sla_report(log.filter(F.col("load_id") == load_id), max_sec, deadline_hour, timezone)
+    why = F.concat_ws(", ", F.when(F.col("status") == "FAILED", "failed"), F.when(F.col("too_slow"), "too slow"), F.when(F.col("too_late"), "too late"))
+    return runs.filter("level <> 'PASS'").select(
+        F.lit("manual").alias("dag_id"), F.lit("sla").alias("task_id"), F.lit(str(load_id)).alias("run_id"),
+        F.col("file_id").cast("string").alias("file_id"), "level", F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz").alias("execution_time"),
+        F.lit(0).cast("bigint").alias("row_count"), F.concat(F.lit("SLA "), "level", F.lit(": "), why).alias("error_message"),
+    ).withColumnRenamed("level", "status").select(*JOB_ENTRY.names)
+
+
 def job_entry(
     spark: SparkSession, status: str, at: datetime, dag_id: str = "manual", task_id: str = "manual",
     run_id: str = "manual", file_id=None, row_count: int = 0, error_message: str | None = None,
@@ -159,15 +187,18 @@ def job_entry(
     """One job-log row."""
     file_id = None if file_id is None else str(file_id)
     row = (dag_id, task_id, run_id, file_id, status, at, row_count, error_message)
-    return spark.createDataFrame([row], JOB_LOG)
+    return spark.createDataFrame([row], JOB_ENTRY)
 
 
-def with_log_id(job_log: DataFrame) -> DataFrame:
-    """The job log with its entries numbered in the order they were made.
+def with_log_id(entries: DataFrame, after: int = 0) -> DataFrame:
+    """Job-log entries with numbers from ``after + 1`` on, in the order they were made.
 
-    The log only grows at its end, so an entry keeps its number.
+    Numbers are stored with the entries they were given to (:meth:`Warehouse.log_jobs`), so a
+    late entry takes the next number and moves no other. Entries alike in all but their text
+    are ordered by that.
     """
-    return number_rows(job_log, ["execution_time", "run_id", "file_id", "task_id"], "log_id")
+    order = ["execution_time", "run_id", "file_id", "task_id", "status", "row_count", "error_message"]
+    return number_rows(entries, [c for c in order if c in entries.columns], "log_id", start=after)
 
 
 def job_report(job_log: DataFrame) -> DataFrame:

@@ -56,13 +56,14 @@ def dq_report(df: DataFrame, dataset: str, by: Sequence[str] = ()) -> DataFrame:
 def enforce(report: DataFrame) -> DataFrame:
     """Raise if a blocker is violated, else return the violated warnings.
 
-    A report has a few rows per dataset; only the violated blockers reach the driver, and
-    no more than twenty of them.
+    A report may have a row per source. The error shows the first twenty violated blockers and
+    says how many there are in all.
     """
     broken = report.filter((F.col("severity") == BLOCKER) & (F.col("violations") > 0))
-    shown = broken.select("dataset", "rule", "violations").take(20)
+    shown = broken.select("dataset", "rule", "violations").orderBy("dataset", "rule", F.desc("violations")).take(20)
     if shown:
-        raise QualityError("; ".join(f"{r.dataset}: {r.rule} ({r.violations})" for r in shown))
+        listed = "; ".join(f"{r.dataset}: {r.rule} ({r.violations})" for r in shown)
+        raise QualityError(f"{broken.count()} blockers violated: {listed}")
     return report.filter((F.col("severity") == WARNING) & (F.col("violations") > 0))
 
 
@@ -91,6 +92,18 @@ def dq_foreign_key(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None
     return used.join(dim.select(F.col(dim_key).alias(key)), key, "left_anti")
 
 
+def key_report(fact: DataFrame, dataset: str, keys: Sequence[str], dims: dict[str, DataFrame]) -> DataFrame:
+    """Unique and foreign keys of a fact as report rows; ``dims`` names the dimension of each foreign key."""
+    def row(rule, counts):
+        return counts.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("violations")).select(
+            F.lit(dataset).alias("dataset"), F.lit(rule).alias("rule"), F.lit(BLOCKER).alias("severity"), "violations")
+
+    report = row("PRIMARY_KEY", dq_unique(fact, keys))
+    for key, dim in dims.items():
+        report = report.unionByName(row(f"FOREIGN_KEY_{key}", dq_foreign_key(fact, dim, key)))
+    return report
+
+
 def dq_missing_dim(staging: DataFrame, commodities: DataFrame) -> DataFrame:
     """Staged codes that the commodity dimension does not know."""
     return dq_foreign_key(staging, commodities, "Comm", "Comm_Code")

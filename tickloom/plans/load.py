@@ -16,14 +16,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators import dims, facts, quality, rollups
-from tickloom.operators.ledger import file_status, job_entry, pending_files, transitions, visible
+from tickloom.operators.ledger import (
+    file_status,
+    job_entry,
+    opening_moves,
+    pending_files,
+    sla_breaches,
+    transitions,
+    visible,
+)
 from tickloom.operators.ticks import is_valid, valid_ticks
-from tickloom.plans.warehouse import Warehouse
+from tickloom.plans.warehouse import Warehouse, absent_files
 from tickloom.schemas import TICK_COLUMNS
 from tickloom.session import materialise
-from tickloom.sources.rows import UNKNOWN_HEADER, UNREADABLE_ARCHIVE
-from tickloom.sources.zips import read_tick_zips, tick_paths
+from tickloom.sources.rows import READ_SECONDS, UNKNOWN_HEADER, UNREADABLE_ARCHIVE
+from tickloom.sources.zips import pattern_of, read_tick_zips, tick_paths
 
+ABSENT = "no file"
 STAGING = ("stg_hourly_stats", "stg_session_summary", "stg_trade_distribution")
 
 
@@ -73,24 +82,37 @@ def _cells_and_bad_lines(parsed: DataFrame) -> DataFrame:
     return rollups.tick_cells(rows.filter(bad | is_valid()), also=("reason", "bad_seq", "line"))
 
 
-def stage_lines(wh: Warehouse, parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+def stage_lines(
+    wh: Warehouse, parsed: DataFrame, loaded: Iterable[int] = ()
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """:func:`stage_ticks` for parsed files, with their bad lines kept in the quarantine.
 
     Files that cannot be read to the end, or have an unknown header, are not staged at all.
-    Returns the quality report and those files with the reason.
+    ``loaded`` are the sources of these files: what is staged or in quarantine of theirs from an
+    earlier delivery goes, also where the new one has nothing. Returns the quality report, the
+    failed files with the reason, and the seconds it took to read each file, if ``parsed`` says.
     """
     stored = materialise(_cells_and_bad_lines(parsed), "cells")
     bad = stored.filter(F.col("reason").isNotNull())
+    timed = bad.filter(F.col("reason") == READ_SECONDS).select(
+        "source_id", F.ceil(F.col("line").cast("double")).cast("int").alias("sec"))
     whole_file = F.col("reason").isin(UNREADABLE_ARCHIVE, UNKNOWN_HEADER)
     unreadable = materialise(bad.filter(whole_file).select("source_id", "reason").distinct(), "unreadable")
-    wh.replace("quarantine", bad.withColumnRenamed("bad_seq", "seq"))
+    loaded = [*loaded]
+    for name in ("quarantine", *STAGING):
+        wh.clear(name, loaded)
+    wh.replace("quarantine", bad.filter(F.col("reason") != READ_SECONDS).withColumnRenamed("bad_seq", "seq"))
     cells = stored.filter(F.col("reason").isNull()).drop("reason", "bad_seq", "line")
-    return _stage_cells(wh, cells.join(unreadable, "source_id", "left_anti")), unreadable
+    return _stage_cells(wh, cells.join(unreadable, "source_id", "left_anti")), unreadable, timed
 
 
 def _staged(wh: Warehouse, name: str, ids: Iterable[int] | None) -> DataFrame:
     rows = wh.table(name)
-    return rows if ids is None else rows.filter(F.col("source_id").isin(*ids))
+    if ids is None:
+        return rows
+    # A join prunes the partitions as a list in the filter would, however long the list.
+    wanted = wh.spark.createDataFrame([(i,) for i in ids], "source_id int")
+    return rows.join(wanted, "source_id", "left_semi")
 
 
 def sync_dims(wh: Warehouse, sessions: DataFrame) -> None:
@@ -135,51 +157,100 @@ def load_star(
     _each(loaded, lambda name, df: wh.replace(name, df.withColumn("load_id", load_column)))
 
 
+KEYS = {
+    "fact_session_summary": (("source_id", "Comm_id"), ("Comm_id", "Date_id")),
+    "fact_hourly_stats": (("source_id", "Comm_id", "Date_id", "Hour"), ("Comm_id", "Date_id")),
+    "fact_trade_distribution": (("source_id", "Comm_id", "Trader_Type_id"), ("Comm_id", "Trader_Type_id")),
+}
+
+
+def load_checks(wh: Warehouse, load_id: int) -> DataFrame:
+    """Primary and foreign keys of the facts that a load wrote, as report rows; all are blockers."""
+    dims_ = {"Comm_id": "dim_commodity", "Date_id": "dim_date", "Trader_Type_id": "dim_trader_type"}
+    reports = []
+    for name, (keys, foreign) in KEYS.items():
+        rows = wh.table(name).filter(F.col("load_id") == load_id)
+        reports.append(quality.key_report(rows, name, keys, {k: wh.table(dims_[k]) for k in foreign}))
+    return reduce(DataFrame.unionByName, reports)
+
+
 def visible_fact(wh: Warehouse, name: str) -> DataFrame:
     """A fact as readers should see it."""
     return visible(wh.table(name), wh.table("file_status_log"))
 
 
-def load_files(
-    spark: SparkSession, wh: Warehouse, template: str, ids: Iterable[int], load_id: int,
-    columns: list[str] | None = None, started: datetime | None = None,
+def load_archives(
+    wh: Warehouse, ids: list[int], parsed: DataFrame | None, load_id: int, started: datetime, absent: Iterable[int] = (),
 ) -> DataFrame:
-    """Load the archives of some file ids end to end; returns their ledger state.
+    """Load parsed archives of the file ids end to end, and log it; returns their ledger state.
 
-    Unreadable archives and sources that break a blocker rule end as FAILED, the others as
-    SUCCESS. The file ids are the driver's own work list, one small row per file. After a
-    crash the same load can simply be run again: staging and facts are replaced partition by
-    partition, known dimension rows are not added twice, and an unfinished load is invisible.
-    One load runs at a time, as ids are given out from the highest one known.
+    ``absent`` ids have no file and end as FAILED; ``parsed`` is None if no id has one. The keys
+    of the facts are checked before the ledger makes them visible.
     """
-    ids = list(ids)
-    if not ids:
-        return file_status(wh.table("file_status_log")).filter(F.lit(False))
-    started = started or _utc_now()
+    spark = wh.spark
     files = spark.createDataFrame([(i,) for i in ids], "file_id int")
-    wh.append("file_status_log", transitions(files, "PROCESSING", started, load_id=load_id, step=1))
+    log = materialise(wh.table("file_status_log"), "ledger")
+    wh.append("file_status_log", opening_moves(files, log, started, load_id))
+    missing = spark.createDataFrame([(i, ABSENT) for i in absent], "source_id int, reason string")
+    report = timed = None
     try:
-        parsed = read_tick_zips(spark, tick_paths(template, ids), columns, on_error="quarantine")
-        report, unreadable = stage_lines(wh, parsed)
-        failures = unreadable.unionByName(quality.blocked_sources(report))
+        failures = missing
+        if parsed is not None:
+            report, unreadable, timed = stage_lines(wh, parsed, [i for i in ids if i not in set(absent)])
+            failures = failures.unionByName(unreadable).unionByName(quality.blocked_sources(report))
         failed = materialise(failures.groupBy("source_id").agg(F.min("reason").alias("reason")), "failed")
-        load_star(wh, load_id, ids, failed)
+        if parsed is not None:
+            load_star(wh, load_id, ids, failed)
+            quality.enforce(load_checks(wh, load_id))
     except Exception as error:
-        sec = int((_utc_now() - started).total_seconds())
-        wh.append("file_status_log", transitions(files, "FAILED", _utc_now(), sec, load_id, step=2))
-        wh.append("etl_job_logs", job_entry(
-            spark, "FAILED", _utc_now(), run_id=str(load_id), error_message=str(error)
-        ))
+        finished = _utc_now()
+        wh.append("file_status_log", transitions(files, "FAILED", finished, 0, load_id, step=3))
+        wh.log_jobs(job_entry(spark, "FAILED", finished, run_id=str(load_id), error_message=str(error)))
         raise
     finished = _utc_now()
-    sec = int((finished - started).total_seconds())
     outcome = files.join(failed.withColumnRenamed("source_id", "file_id"), "file_id", "left")
+    if timed is not None:
+        outcome = outcome.join(timed.groupBy("source_id").agg(F.sum("sec").cast("int").alias("sec")).withColumnRenamed("source_id", "file_id"), "file_id", "left")
+    else:
+        outcome = outcome.withColumn("sec", F.lit(0))
     status = F.when(F.col("reason").isNull(), "SUCCESS").otherwise("FAILED")
-    wh.append("etl_job_logs", _job_rows(wh, ids, outcome, report, load_id, finished))
-    wh.append("file_status_log", transitions(outcome, status, finished, sec, load_id, step=2))
+    if report is not None:
+        wh.log_jobs(_job_rows(wh, ids, outcome.drop("sec"), report, load_id, finished))
+    else:
+        wh.log_jobs(_failed_rows(outcome, load_id, finished))
+    wh.append("file_status_log", transitions(outcome, status, finished, F.coalesce("sec", F.lit(0)), load_id, step=3))
+    wh.log_jobs(sla_breaches(materialise(wh.table("file_status_log"), "ledger"), load_id, finished))
     return file_status(wh.table("file_status_log")).join(files, "file_id", "left_semi")
 
 
+def load_files(
+    spark: SparkSession, wh: Warehouse, template: str, ids: Iterable[int], load_id: int,
+    columns: list[str] | None = None, started: datetime | None = None,
+) -> DataFrame:
+    """Load the archives of some file ids end to end; returns their ledger state.
+
+    The template names an id's path, such as ``/landing/{id}/LOG.zip``, and thereby the id of a
+    path. Absent and unreadable archives, and sources that break a blocker rule, end as FAILED,
+    the others as SUCCESS. Every file takes the legal steps of the ledger: one that is not
+    PENDING is requested first. ``etl_sec`` is the time the file's own task took to read it.
+    The file ids are the driver's own work list, one small row per file. After a
+    crash the same load can simply be run again: staging and facts are replaced source by
+    source, known dimension rows are not added twice, and an unfinished load is invisible.
+    One load runs at a time, as ids are given out from the highest one known.
+    """
+    ids = list(dict.fromkeys(ids))
+    if not ids:
+        return file_status(wh.table("file_status_log")).filter(F.lit(False))
+    paths = dict(zip(ids, tick_paths(template, ids), strict=True))
+    gone = absent_files(spark, paths.values())
+    absent = [i for i in ids if paths[i] in gone]
+    parsed = None
+    if len(absent) < len(ids):
+        there = [paths[i] for i in ids if paths[i] not in gone]
+        parsed = read_tick_zips(spark, there, columns, "quarantine", pattern_of(template), timings=True)
+    return load_archives(wh, ids, parsed, load_id, started or _utc_now(), absent)
+
+
 def load_pending(
     spark: SparkSession, wh: Warehouse, template: str, load_id: int, n: int = 1,
     columns: list[str] | None = None,
@@ -192,7 +263,7 @@ def load_pending(
 def _job_rows(
     wh: Warehouse, ids: list[int], outcome: DataFrame, report: DataFrame, load_id: int, at: datetime
 ) -> DataFrame:
-    """One job-log row per file with the staged rows it produced and its quality warnings."""
+    """One job-log row per file with the rows that this load staged of it, and its quality warnings."""
     staged = [_staged(wh, name, ids).groupBy("source_id").agg(F.count("*").alias("n")) for name in STAGING]
     counts = reduce(DataFrame.unionByName, staged).groupBy("source_id").agg(F.sum("n").alias("row_count"))
     report = report.unionByName(quality.volatility_report(wh.table("stg_session_summary"), "stg_session_summary"))
@@ -217,3 +288,12 @@ def _job_rows(
         F.when(failed, F.lit(0)).otherwise(F.coalesce("row_count", F.lit(0))).cast("bigint").alias("row_count"),
         F.coalesce("reason", empty, "warning").alias("error_message"),
     )
+
+
+def _failed_rows(outcome: DataFrame, load_id: int, at: datetime) -> DataFrame:
+    """Job-log rows of a load without any file."""
+    return outcome.select(
+        F.lit("manual").alias("dag_id"), F.lit("load_files").alias("task_id"), F.lit(str(load_id)).alias("run_id"),
+        F.col("file_id").cast("string").alias("file_id"), F.lit("FAILED").alias("status"),
+        F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz").alias("execution_time"),
+        F.lit(0).cast("bigint").alias("row_count"), F.col("reason").alias("error_message"))

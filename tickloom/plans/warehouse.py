@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tickloom.operators.ledger import with_log_id
 from tickloom.schemas import TABLES
 from tickloom.session import empty_frame
 
@@ -47,6 +49,17 @@ def save_mart_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
+def absent_files(spark: SparkSession, paths: Iterable[str]) -> set[str]:
+    """Those of the paths at which the file system has nothing; one look per path."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def missing(path: str) -> bool:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        return not where.getFileSystem(conf).exists(where)
+
+    return {path for path in paths if missing(path)}
+
+
 class Warehouse:
     """Named tables below ``root``; a table that was never written reads as empty."""
 
@@ -77,5 +90,21 @@ class Warehouse:
             raise ValueError(f"{name} is not partitioned")
         replace_by_source(df.select(*schema.names), self.path(name), partition_by)
 
+    def clear(self, name: str, sources: Iterable[int]) -> None:
+        """Remove the rows of sources from a table partitioned by source first.
+
+        For sources that are about to be loaded again: what they no longer have must not stay.
+        """
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for source in sources:
+            where = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/source_id={int(source)}")
+            where.getFileSystem(conf).delete(where, True)
+
+    def log_jobs(self, entries: DataFrame) -> None:
+        """Append job-log entries, numbered from the highest number on. One writer at a time."""
+        last = self.table("etl_job_logs").agg(F.max("log_id")).first()[0] or 0
+        numbered = with_log_id(entries, last)
+        self.append("etl_job_logs", numbered.withColumn("log_id", F.col("log_id").cast("bigint")))
+
     def mart(self, name: str, df: DataFrame) -> None:
         save_mart(df, self.path(name))

@@ -79,13 +79,16 @@ FILE_STATUS_LOG = _schema(
     ("etl_sec", INT), ("seq", LONG), ("load_id", LONG),
 )
 
+# ``log_id`` is given out when an entry is appended, and stays.
 JOB_LOG = _schema(
-    ("dag_id", STR), ("task_id", STR), ("run_id", STR), ("file_id", STR), ("status", STR),
+    ("log_id", LONG), ("dag_id", STR), ("task_id", STR), ("run_id", STR), ("file_id", STR), ("status", STR),
     ("execution_time", TimestampNTZType()), ("row_count", LONG), ("error_message", STR),
 )
 
 QUARANTINE = _schema(("source_id", INT), ("seq", LONG), ("reason", STR), ("line", STR))
 
+JOB_ENTRY = StructType(JOB_LOG.fields[1:])
+
 #: name -> (schema, partition columns)
 TABLES = {
     "stg_hourly_stats": (STG_HOURLY_STATS, ("source_id",)),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,7 @@ def scratch_root(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
                 raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
             folder = tempfile.mkdtemp(prefix="tickloom-")
         context.setCheckpointDir(folder)

@@ -1,9 +1,12 @@
 """From raw log lines to typed ticks and a quarantine.
 
-A line frame has ``source_id, seq, line, layout``: the line as it stands in the file and
-the number of the file's header among the known ones, which fixes the column order. Lines
+A line frame has ``source_id, seq, line, positions, width``: the line as it stands in the file,
+where the tick columns stand in the file's header, and how many columns that has. Lines
 are cut into cells one by one and cast afterwards, so whether a line counts as bad never
 depends on which columns a query happens to read.
+
+A usable line has a date, a volume of zero or more, a price that is a number or missing, and a
+time of day: ``HHMMSS`` with hours below 24, minutes and seconds below 60.
 """
 
 from __future__ import annotations
@@ -13,7 +16,6 @@ import csv
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.ordering import MAX_LOG_TIME
 from tickloom.schemas import TICK, TICK_COLUMNS
 
 # Cell contents that mean "missing" (the default list of pandas.read_csv).
@@ -25,6 +27,8 @@ NA_TOKENS = (
 # Reasons that concern a whole file; every other reason concerns one line.
 UNREADABLE_ARCHIVE = "unreadable archive"
 UNKNOWN_HEADER = "unknown header"
+# Not a fault: the row of an archive that says how many seconds its task took to read it.
+READ_SECONDS = "seconds to read"
 
 _TYPES = {field.name: field.dataType.simpleString() for field in TICK.fields}
 
@@ -40,60 +44,38 @@ def missing_columns(header: str) -> list[str]:
     return [name for name in TICK_COLUMNS if name not in names]
 
 
-def is_header(line) -> Column:
-    """True for a line that names every tick column."""
-    found = F.lit(True)
-    for name in TICK_COLUMNS:
-        found = found & line.contains(name)
-    return found
-
-
-def layout_of(header: Column, layouts: list[str]) -> Column:
-    """Position of a header line in ``layouts``, null if it is none of them."""
-    position = F.lit(None).cast("int")
-    for i, known in enumerate(layouts):
-        position = F.when(header == known, F.lit(i)).otherwise(position)
-    return position
-
+def positions_of(header: str) -> list[int] | None:
+    """Where the tick columns stand in a header line; None if it lacks one."""
+    names = header_columns(header) if header.strip() else []
+    return [names.index(name) for name in TICK_COLUMNS] if not missing_columns(header) else None
 
-def _cells(line: Column, width: int) -> Column:
-    """The cells of a line, in order. Only a line with quotes needs the CSV parser; there the
-    array has one place more than ``width``, for a surplus cell."""
-    names = [f"_{n}" for n in range(width + 1)]
-    parsed = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE", "escape": '"'})
-    # Inside the lambda the parsed line is a variable, so it is parsed once.
-    quoted = F.transform(F.array(parsed), lambda cells: F.array(*[cells[n] for n in names]))
-    return F.when(line.contains('"'), F.get(quoted, F.lit(0))).otherwise(F.split(line, ",", -1))
 
+def _cells(line: Column) -> Column:
+    """The cells of a line, in order; quoted cells may hold commas and doubled quotes.
 
-def _by_layout(values: list[int]) -> Column:
-    """The value that belongs to the row's layout."""
-    chosen = F.lit(None).cast("int")
-    for i, value in enumerate(values):
-        chosen = F.when(F.col("layout") == i, F.lit(value)).otherwise(chosen)
-    return chosen
+    Quotes that do not pair up have no meaning.
+    """
+    outside = F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
+    bare = F.transform(outside, lambda cell: F.when(
+        cell.rlike('^".*"$'), F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
+    ).otherwise(cell))
+    paired = line.contains('"') & (F.regexp_count(line, F.lit('"')) % 2 == 0)
+    return F.when(paired, bare).otherwise(F.split(line, ",", -1))
 
 
-def type_ticks(lines: DataFrame, layouts: list[str]) -> DataFrame:
-    """Parse a line frame whose ``layout`` numbers refer to the header lines in ``layouts``.
+def type_ticks(lines: DataFrame) -> DataFrame:
+    """Parse a line frame.
 
     Gives the typed tick columns, and ``reason`` and ``line`` for a row that is not usable.
-    Lines of a file with another header (a null ``layout``) are not guessed at: all are bad.
-    A true ``unreadable``, if the column is there, marks a file without lines.
+    Lines of a file with an unusable header (null ``positions``) are not guessed at: all are bad.
+    A ``note``, if that column is there, is the reason of a row that is no line of a file.
     """
-    lacking = {name for header in layouts for name in missing_columns(header)}
-    if lacking:
-        raise ValueError(f"tick file header lacks {sorted(lacking)}")
-    named = [header_columns(header) for header in layouts]
-    widths = [len(columns) for columns in named]
-
     # Both generators are there to keep Catalyst from copying the parse and the casts into
     # every filter and projection above them, where they would run many times per line.
-    split = F.explode(F.array(_cells(F.col("line"), max(widths, default=0)))).alias("_cells")
+    split = F.explode(F.array(_cells(F.col("line")))).alias("_cells")
     rows = lines.filter(F.trim("line") != "").select("*", split)
     text = {
-        name: F.get("_cells", _by_layout([columns.index(name) for columns in named]))
-        for name in TICK_COLUMNS
+        name: F.get("_cells", F.get("positions", F.lit(i))) for i, name in enumerate(TICK_COLUMNS)
     }
     typed = {
         name: F.when(~cell.isin(*NA_TOKENS), cell) if _TYPES[name] == "string" else cell.try_cast(_TYPES[name])
@@ -101,24 +83,24 @@ def type_ticks(lines: DataFrame, layouts: list[str]) -> DataFrame:
     }
     rows = rows.select("*", F.inline(F.array(F.struct(*[v.alias(k) for k, v in typed.items()]))))
 
-    width = _by_layout(widths)
-    surplus = F.when(F.col("line").contains('"'), F.get("_cells", width).isNotNull()).otherwise(
-        F.size("_cells") > width
-    )
-    unreadable = F.col("unreadable") if "unreadable" in rows.columns else F.lit(False)
+    time = F.col("Log_Time")
+    time_of_day = (time >= 0) & (time < 240000) & (time % 10000 < 6000) & (time % 100 < 60)
     reason = (
-        F.when(unreadable, UNREADABLE_ARCHIVE)
-        .when(F.col("layout").isNull(), UNKNOWN_HEADER)
-        .when(surplus, "too many fields")
+        F.when(F.col("positions").isNull(), UNKNOWN_HEADER)
+        .when(F.col("line").contains("\ufffd"), "undecodable bytes")
+        .when(F.size("_cells") > F.col("width"), "too many fields")
         .when(
-            F.col("Trade_Date").isNull() | F.col("Log_Time").isNull() | F.col("Volume").isNull(),
+            F.col("Trade_Date").isNull() | time.isNull() | F.col("Volume").isNull(),
             "missing or non-numeric integer",
         )
         .when(F.col("Price").isNull() & ~text["Price"].isin(*NA_TOKENS), "non-numeric price")
         .when(F.col("Trade_Date") < 0, "not a date")
-        .when(~F.col("Log_Time").between(0, MAX_LOG_TIME), "not a time of day")
+        .when(~time_of_day, "not a time of day")
+        .when(F.col("Volume") < 0, "negative volume")
         .when(F.col("Comm").isNull(), "missing code")
     )
+    if "note" in rows.columns:
+        reason = F.when(F.col("note").isNotNull(), F.col("note")).otherwise(reason)
     # Only bad rows keep their text, or a stored copy would hold every tick twice.
     return rows.withColumn("reason", reason).select(
         *TICK_COLUMNS, "source_id", "seq", "reason", F.when(F.col("reason").isNotNull(), F.col("line")).alias("line")

@@ -2,51 +2,53 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote, urlparse
+import sys
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.cloudpickle import register_pickle_by_value
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.sources.rows import is_header, type_ticks
-from tickloom.sources.zips import SOURCE_PATTERN, source_id_of
+from tickloom.sources.rows import header_columns, missing_columns, positions_of, type_ticks
+from tickloom.sources.zips import SOURCE_PATTERN, _open, source_id_of
+
+register_pickle_by_value(sys.modules[__name__])
 
 # monotonically_increasing_id() keeps the row number within the partition in the low bits.
 _ROW_BITS = (1 << 33) - 1
+_HEADS = "file string, length bigint, header string, positions array<int>, width int"
 
 
-def _lines(spark: SparkSession, paths, pattern: str) -> DataFrame:
-    """Lines with their file and a ``seq`` that follows file order.
+def _first_line(path: str) -> str:
+    """The first line of a file that is not blank."""
+    with _open(path) as source:
+        taken = b""
+        while True:
+            more = source.read(1 << 16)
+            taken += more
+            head = taken.lstrip(b"\xef\xbb\xbf \t\r\n")
+            if not more or b"\n" in head:
+                return head.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", "replace")
 
-    ``seq`` adds the row number within the scan partition to the byte offset of the split.
-    A partition never holds more bytes than one full split, so row numbers of one split stay
-    below the offset of the next split of the same file.
-    """
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))
-    return (
-        spark.read.text(paths)
-        .select(F.col("value").alias("line"), "_metadata.file_path", "_metadata.file_block_start")
-        .select("line", "file_path", (F.col("file_block_start") + row).alias("seq"))
-        .withColumn("source_id", source_id_of(F.col("file_path"), pattern))
-    )
 
+def _heads(spark: SparkSession, paths, columns: list[str] | None) -> DataFrame:
+    """One row per file: its length, and the place of the columns by its own header, or by
+    ``columns`` if it has none. Tasks read the beginnings of the files only."""
 
-def _layouts(spark: SparkSession, paths, pattern: str) -> dict[str, list[str]]:
-    """Header line -> files. One row per file, which the driver's file index holds anyway."""
-    heads = (
-        _lines(spark, paths, pattern)
-        .filter(is_header(F.col("line")))
-        .groupBy("file_path")
-        .agg(F.min_by("line", "seq").alias("header"))
-    )
-    found: dict[str, list[str]] = {}
-    # The two listings spell a file's scheme differently, its path alike.
-    headless = {urlparse(path).path: unquote(path) for path in spark.read.text(paths).inputFiles()}
-    for row in heads.collect():
-        found.setdefault(row.header, []).append(unquote(row.file_path))
-        headless.pop(urlparse(row.file_path).path, None)
-    if headless:
-        raise ValueError(f"{len(headless)} files without a header line, e.g. {min(headless.values())}")
-    return found
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            files = batch.column("path").to_pylist()
+            found = [(line, positions_of(line), len(header_columns(line or " "))) for line in map(_first_line, files)]
+            given = (None, positions_of(",".join(columns)), len(columns)) if columns else (None, None, None)
+            header, positions, width = zip(*[row if row[1] else given for row in found], strict=True) if files else ((), (), ())
+            yield pa.RecordBatch.from_arrays([
+                pa.array(files), batch.column("length"), pa.array(header, pa.string()),
+                pa.array(positions, pa.list_(pa.int32())), pa.array(width, pa.int32()),
+            ], ["file", "length", "header", "positions", "width"])
+
+    files = spark.read.format("binaryFile").load(paths).select("path", "length")
+    return files.mapInArrow(look, _HEADS)
 
 
 def read_tick_csv(
@@ -54,17 +56,29 @@ def read_tick_csv(
 ) -> DataFrame:
     """Parsed lines of plain logs; feed to :func:`tickloom.sources.rows.split_bad_rows`.
 
-    With ``columns``, the header all files share, the data is read once. Without it a first
-    scan finds the header of every file, and files are read layout by layout. A file that has
-    none is an error.
-    ``source_pattern`` names the file id in the path by its first group.
+    Each file is read by its own header. A file without one, such as a later part of a folder,
+    has the given ``columns``; without these it is an error.
+    ``source_pattern`` names the file id in the path by its first group. ``seq`` follows the order
+    of the files of a source by path, and of the lines in them.
     """
-    layouts = {",".join(columns): paths} if columns else _layouts(spark, paths, source_pattern)
-    parts = []
-    for header, files in layouts.items():
-        lines = _lines(spark, files, source_pattern).withColumn("layout", F.lit(0))
-        parts.append(type_ticks(lines.filter(F.col("line") != header), [header]))
-    parsed = parts[0]
-    for part in parts[1:]:
-        parsed = parsed.unionByName(part)
-    return parsed
+    if columns and missing_columns(",".join(columns)):
+        raise ValueError(f"tick file header lacks {missing_columns(','.join(columns))}")
+    heads = _heads(spark, paths, columns)
+    if not columns:
+        n, example = heads.filter("positions IS NULL").agg(F.count("*"), F.min("file")).first()
+        if n:
+            raise ValueError(f"{n} files without a header line, e.g. {example}")
+    plain = lambda path: F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^[a-z0-9]+:/+", "/")
+    # A row number stays below the offset of the next split, as a partition never holds more
+    # bytes than one full split. The lengths of a source's earlier files come on top.
+    earlier = Window.partitionBy("source_id").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    heads = heads.withColumn("source_id", source_id_of(F.col("file"), source_pattern)).select(
+        F.regexp_replace("file", "^[a-z0-9]+:/+", "/").alias("_file"), "source_id", "header", "positions", "width",
+        F.coalesce(F.sum("length").over(earlier), F.lit(0)).alias("_before"))
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))
+    lines = spark.read.text(paths).select(
+        F.col("value").alias("line"), plain(F.col("_metadata.file_path")).alias("_path"),
+        (F.col("_metadata.file_block_start") + row).alias("_at"))
+    lines = lines.join(heads, F.col("_path") == F.col("_file"))
+    is_header = F.coalesce(F.ltrim(F.regexp_replace("line", "^\ufeff", "")) == F.col("header"), F.lit(False))
+    return type_ticks(lines.filter(~is_header).withColumn("seq", F.col("_before") + F.col("_at")))

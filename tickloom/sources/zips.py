@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import io
+import re
 import sys
+import time
 import zipfile
 import zlib
 from collections.abc import Iterable, Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
@@ -21,7 +24,14 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from tickloom.sources.rows import layout_of, missing_columns, type_ticks
+from tickloom.sources.rows import (
+    READ_SECONDS,
+    UNREADABLE_ARCHIVE,
+    header_columns,
+    missing_columns,
+    positions_of,
+    type_ticks,
+)
 
 # The task-side functions travel inside the plan, so executors need not have this package.
 register_pickle_by_value(sys.modules[__name__])
@@ -37,7 +47,13 @@ ZIP_SCHEMA = StructType([
 ])
 
 # A block is a run of whole lines of one member; ``start`` is the number of its first line.
-_BLOCKS = "path string, start bigint, block string, header string, error string"
+# ``positions`` and ``width`` describe the member's header. A row without block but with a
+# ``note`` says what became of the archive: ``value`` is the error, or the seconds it took.
+_BLOCKS = {
+    "path": ("string", pa.string()), "start": ("bigint", pa.int64()), "block": ("string", pa.string()),
+    "positions": ("array<int>", pa.list_(pa.int32())), "width": ("int", pa.int32()),
+    "note": ("string", pa.string()), "value": ("string", pa.string()),
+}
 
 
 def tick_paths(template: str, ids: Iterable[int]) -> list[str]:
@@ -45,8 +61,15 @@ def tick_paths(template: str, ids: Iterable[int]) -> list[str]:
     return [template.format(id=i) for i in ids]
 
 
+def pattern_of(template: str) -> str:
+    """The pattern that finds a file id in the paths of a template."""
+    return re.escape(template.split("/", 3)[-1] if "://" in template else template.lstrip("/")).replace(r"\{id\}", r"(\d+)", 1).replace(r"\{id\}", r"\d+") + "$"
+
+
 def source_id_of(path: Column, pattern: str = SOURCE_PATTERN) -> Column:
-    return F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")).try_cast("int")
+    """The file id in a path; a path that gives none, or none that is an INT, is an error."""
+    found = F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")).try_cast("int")
+    return F.coalesce(found, F.raise_error(F.concat(F.lit("no file id in "), path)).cast("int"))
 
 
 def _line_blocks(text: io.TextIOBase) -> Iterator[str]:
@@ -63,100 +86,110 @@ def _line_blocks(text: io.TextIOBase) -> Iterator[str]:
         yield "".join(pending)
 
 
-def _blocks_of(path: str, content: bytes, header_only: bool) -> Iterator[tuple]:
-    """``(path, start, block, header, error)`` rows of one archive."""
-    archive = zipfile.ZipFile(io.BytesIO(content))
-    member = next((name for name in archive.namelist() if name.endswith(MEMBER_SUFFIXES)), None)
-    if member is None:
-        raise FileNotFoundError("no .csv or .txt member")
-    with archive.open(member) as raw:
-        text = io.TextIOWrapper(raw, encoding="utf-8-sig", errors="replace")
-        while (header := text.readline()) and not header.strip():
-            pass
-        header = header.rstrip("\n")
-        if not header:
-            raise EOFError(f"{member} is empty")
-        if header_only:
-            yield path, 1, None, header, None
-            return
-        start = 1
-        for block in _line_blocks(text):
-            yield path, start, block, header, None
-            start += block.count("\n") + 1
-
-
-def _blocks_or_error(path: str, content: bytes, header_only: bool) -> Iterator[tuple]:
-    """The archive's blocks; if it turns out to be damaged, a last row that says so."""
+def _open(path: str):
+    """A file of the shared file system, for reading at any place."""
+    from pyarrow import fs
+
+    # Hadoop's spelling of a path, in the form Arrow's file systems take.
+    uri = re.sub(r"^file:/+", "file:///", quote(path, safe="/:")).replace("s3a://", "s3://")
+    filesystem, inner = fs.FileSystem.from_uri(uri)
+    return filesystem.open_input_file(inner)
+
+
+def _blocks_of(path: str, columns: list[str] | None) -> Iterator[tuple]:
+    """The blocks of one archive; only the part of it that is being read is held."""
+    with _open(path) as source, zipfile.ZipFile(source) as archive:
+        member = next((name for name in archive.namelist() if name.endswith(MEMBER_SUFFIXES)), None)
+        if member is None:
+            raise FileNotFoundError("no .csv or .txt member")
+        with archive.open(member) as raw:
+            text = io.TextIOWrapper(raw, encoding="utf-8-sig", errors="replace")
+            while (header := text.readline()) and not header.strip():
+                pass
+            header = header.rstrip("\r\n")
+            if not header:
+                raise EOFError(f"{member} is empty")
+            known = columns is None or header_columns(header) == columns
+            positions, width = positions_of(header) if known else None, len(header_columns(header))
+            if positions is None and columns is None:
+                yield path, 0, None, None, None, LACKING, f"tick file header lacks {missing_columns(header)}: {path}"
+            start = 1
+            for block in _line_blocks(text):
+                yield path, start, block, positions, width, None, None
+                start += block.count("\n") + 1
+
+
+LACKING = "header lacks"
+
+
+def _all_blocks(path: str, columns: list[str] | None) -> Iterator[tuple]:
+    """The blocks of an archive, an error if it turns out to be damaged, and the seconds it took."""
+    started = time.perf_counter()
     try:
-        yield from _blocks_of(path, content, header_only)
-    except (zipfile.BadZipFile, zlib.error, EOFError, OSError, RuntimeError) as error:
-        yield path, 0, None, None, f"{error or type(error).__name__}: {path}"
+        yield from _blocks_of(path, columns)
+    except (zipfile.BadZipFile, zlib.error, EOFError, OSError, RuntimeError, pa.ArrowException) as error:
+        yield path, 0, None, None, None, UNREADABLE_ARCHIVE, f"{error or type(error).__name__}: {path}"
+    yield path, 0, None, None, None, READ_SECONDS, f"{time.perf_counter() - started:.3f}"
 
 
-def _block_reader(header_only: bool):
-    """A ``mapInArrow`` function that unzips archives block by block.
+def _block_reader(columns: list[str] | None):
+    """A ``mapInArrow`` function that opens archives by path and unzips them block by block.
 
     Python only inflates and cuts at line ends; lines are split and parsed in the JVM.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content")):
-                for row in _blocks_or_error(path.as_py(), content.as_py(), header_only):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([value], kind) for value, kind in zip(row, _BLOCK_TYPES)], _BLOCK_NAMES
-                    )
+            for path in batch.column("path").to_pylist():
+                for row in _all_blocks(path, columns):
+                    arrays = [pa.array([value], kind) for value, (_, kind) in zip(row, _BLOCKS.values(), strict=True)]
+                    yield pa.RecordBatch.from_arrays(arrays, [*_BLOCKS])
 
     return read
 
 
-_BLOCK_TYPES = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string())
-_BLOCK_NAMES = ["path", "start", "block", "header", "error"]
-
-
-def zip_headers(archives: DataFrame) -> list[str]:
-    """The distinct header lines of the archives; a feed has one, seldom two."""
-    heads = archives.select("path", "content").mapInArrow(_block_reader(True), _BLOCKS)
-    return [row.header for row in heads.filter("header IS NOT NULL").select("header").distinct().collect()]
-
-
-def unzip_ticks(archives: DataFrame, layouts: list[str], on_error: str = "raise") -> DataFrame:
-    """Parse a ``binaryFile`` frame, batch or streaming; see :func:`read_tick_zips`."""
-    blocks = archives.select("path", "content").mapInArrow(_block_reader(False), _BLOCKS)
+def unzip_ticks(
+    archives: DataFrame, columns: list[str] | None = None, on_error: str = "raise",
+    pattern: str = SOURCE_PATTERN, timings: bool = False,
+) -> DataFrame:
+    """Parse the archives at the paths of a frame, batch or streaming; see :func:`read_tick_zips`."""
+    schema = ", ".join(f"{name} {kind}" for name, (kind, _) in _BLOCKS.items())
+    blocks = archives.select("path").mapInArrow(_block_reader(columns), schema)
+    fault = F.col("note").isin(UNREADABLE_ARCHIVE, LACKING)
+    value = F.when(fault, F.raise_error(F.col("value"))).otherwise(F.col("value")) if on_error == "raise" else F.col("value")
+    # An unreadable archive becomes one quarantined line that says why; the lines below an
+    # unusable header say so themselves.
+    shown = F.col("note").isNull() | (F.col("note") == UNREADABLE_ARCHIVE)
     if on_error == "raise":
-        text = F.when(F.col("error").isNull(), F.col("block")).otherwise(F.raise_error(F.col("error")))
-    else:
-        # An unreadable archive becomes one quarantined line that says why.
-        text = F.coalesce("error", "block")
+        shown = shown | (F.col("note") == LACKING)
+    if timings:
+        shown = shown | (F.col("note") == READ_SECONDS)
     # File-level columns are worked out per block, before it becomes lines.
-    blocks = blocks.select(
-        source_id_of(F.col("path")).alias("source_id"),
-        layout_of(F.col("header"), layouts).alias("layout"),
-        F.col("error").isNotNull().alias("unreadable"),
-        "start",
-        text.alias("block"),
+    blocks = blocks.filter(shown).select(
+        source_id_of(F.col("path"), pattern).alias("source_id"), "positions", "width", "note", "start",
+        F.coalesce(value, F.col("block")).alias("block"),
     )
     each = F.posexplode(F.split("block", "\n", -1)).alias("_offset", "line")
-    lines = blocks.select("source_id", "layout", "unreadable", "start", each)
-    return type_ticks(lines.withColumn("seq", F.col("start") + F.col("_offset")), layouts)
+    lines = blocks.select("source_id", "positions", "width", "note", "start", each)
+    return type_ticks(lines.withColumn("seq", F.col("start") + F.col("_offset")))
 
 
 def read_tick_zips(
-    spark: SparkSession, paths, columns: list[str] | None = None, on_error: str = "raise"
+    spark: SparkSession, paths, columns: list[str] | None = None, on_error: str = "raise",
+    pattern: str = SOURCE_PATTERN, timings: bool = False,
 ) -> DataFrame:
-    """Parsed lines of zipped logs with ``source_id`` from the file name; feed to
+    """Parsed lines of zipped logs with ``source_id`` from the path; feed to
     :func:`tickloom.sources.rows.split_bad_rows`.
 
-    An archive cannot be split, so it is the unit of parallelism, and Spark holds it whole
-    (2 GB at most) in the task that unzips it; the member itself is streamed in blocks.
-    ``seq`` is the line number. Give ``columns``, the feed's header, to read each archive
-    once; without it a first pass collects the distinct header lines.
+    An archive cannot be split, so it is the unit of parallelism. Its task opens it by path in
+    the shared file system and streams the member in blocks, so its size does not matter, and
+    each archive is opened once. ``seq`` is the line number. The order of columns comes from each
+    file's own header; with ``columns``, a file with another header is kept aside.
     ``on_error="quarantine"`` keeps one unreadable archive, or one without the tick columns,
     from failing the others. A damaged archive may have given some lines before the damage
     showed; leave its source out as a whole, as :mod:`tickloom.plans.load` does.
+    ``pattern`` finds the file id by its first group. ``timings`` adds a row per archive with the
+    seconds it took, under the reason ``READ_SECONDS``.
     """
     archives = spark.read.format("binaryFile").load(paths)
-    layouts = [",".join(columns)] if columns else zip_headers(archives)
-    if on_error != "raise":
-        layouts = [header for header in layouts if not missing_columns(header)]
-    return unzip_ticks(archives, layouts, on_error)
+    return unzip_ticks(archives, columns, on_error, pattern, timings)

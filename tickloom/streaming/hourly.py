@@ -6,8 +6,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.functions import turnover
+from tickloom.functions import hour_of, turnover
 
 KEYS = ("source_id", "Comm", "Trade_Date", "Hour")
 
@@ -27,12 +28,15 @@ def event_time() -> Column:
 def hourly_stats_stream(ticks: DataFrame, lateness: str = "1 day") -> DataFrame:
     """Hourly statistics in event time; the state of an hour goes once ``lateness`` has passed.
 
-    Trade date stays a key of its own: a night session can trade past midnight.
+    Trade date stays a key of its own: a night session can trade past midnight. The hour is the
+    one that the batch roll-up gives. Ticks that come later than ``lateness`` are left out;
+    :func:`late_ticks` counts them.
     """
     windowed = (
         ticks.withColumns({"_at": event_time(), "Turnover": turnover()})
         .withWatermark("_at", lateness)
-        .groupBy("source_id", "Comm", "Trade_Date", F.window("_at", "1 hour").alias("_window"))
+        .withColumn("Hour", hour_of())
+        .groupBy("source_id", "Comm", "Trade_Date", "Hour", F.window("_at", "1 hour").alias("_window"))
         .agg(
             F.sum("Volume").alias("Total_Volume"),
             F.sum("Turnover").alias("Total_Turnover"),
@@ -40,8 +44,17 @@ def hourly_stats_stream(ticks: DataFrame, lateness: str = "1 day") -> DataFrame:
             F.max("Price").alias("High"),
         )
     )
-    hour = F.floor(F.unix_seconds("_window.start") / 3600) % 24
-    return windowed.withColumn("Hour", hour.cast("int")).drop("_window")
+    return windowed.drop("_window")
+
+
+def late_ticks(query: StreamingQuery) -> int:
+    """Rows that the watermark has left out so far, by the progress the query keeps.
+
+    A tick counts once per partial aggregate it would have joined, so this is the number of
+    late groups per batch, and 0 only if nothing was late.
+    """
+    states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
+    return sum(int(state["numRowsDroppedByWatermark"]) for state in states)
 
 
 def upsert_sink(path: str) -> Callable[[DataFrame, int], None]:

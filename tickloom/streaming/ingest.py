@@ -5,32 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.plans.load import stage_lines
+from tickloom.plans.load import _utc_now, load_archives
 from tickloom.plans.warehouse import Warehouse
-from tickloom.schemas import TICK_COLUMNS
-from tickloom.sources.zips import ZIP_SCHEMA, unzip_ticks
+from tickloom.sources.zips import SOURCE_PATTERN, ZIP_SCHEMA, source_id_of, unzip_ticks
 
 
 def ingest_stream(
     spark: SparkSession, landing: str, wh: Warehouse, checkpoint: str,
     columns: list[str] | None = None, files_per_batch: int | None = None,
+    first_load_id: int = 1, pattern: str = SOURCE_PATTERN,
 ) -> StreamingQuery:
-    """Roll every archive that is new since the last run up into the staging tables.
+    """Load every archive that is new since the last run: staging, facts, ledger and job log.
 
-    An archive is one source and lands in one micro-batch, and staging is replaced source by
-    source, so a batch that is replayed after a failure leaves the same tables.
+    An archive is one source and lands in one micro-batch, which is a load of its own, with the
+    load id ``first_load_id`` plus the number of the batch. All is replaced source by source, so
+    a batch that is replayed after a failure leaves the same tables.
     """
-    header = ",".join(columns or TICK_COLUMNS)
     archives = spark.readStream.format("binaryFile").schema(ZIP_SCHEMA).option("pathGlobFilter", "*.zip")
     if files_per_batch:
         archives = archives.option("maxFilesPerTrigger", files_per_batch)
 
-    def roll_up(batch: DataFrame, _batch_id: int) -> None:
-        stage_lines(wh, unzip_ticks(batch, [header], on_error="quarantine"))
+    def load(batch: DataFrame, batch_id: int) -> None:
+        started = _utc_now()
+        # One row per archive of the batch, the work list of the load.
+        ids = sorted({row[0] for row in batch.select(source_id_of(batch["path"], pattern)).collect()})
+        if ids:
+            parsed = unzip_ticks(batch, columns, "quarantine", pattern, timings=True)
+            load_archives(wh, ids, parsed, first_load_id + batch_id, started)
 
     return (
         archives.load(landing)
-        .writeStream.foreachBatch(roll_up)
+        .select("path")
+        .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
