@@ -299,6 +299,20 @@ ORACLES = {
         SELECT source_id, count(*) AS n FROM ({distribution("good")}) GROUP BY 1)
       SELECT source_id AS file_id, 'SUCCESS' AS status, CAST(0 AS BIGINT) AS retry_count,
              CAST(sum(n) AS BIGINT) AS row_count FROM counts GROUP BY source_id""",
+    "marts_from_facts": f"""{SESSION_STAR}
+      SELECT 'Comm_change' AS mart, Comm_Code AS label, Total_Volume, {PCT} AS measure FROM fact JOIN codes USING (Comm_id)
+      UNION ALL SELECT 'hourly_stats', CAST({HOUR} AS VARCHAR), CAST(sum(Volume) AS BIGINT), round(sum(Price * Volume), 2) FROM ticks GROUP BY 2
+      UNION ALL SELECT 'Trader_Types', {CLASS}, CAST(sum(Volume) AS BIGINT), CAST(count(Volume) AS DOUBLE) FROM ticks GROUP BY 2""",
+    "movers_from_facts": f"""{SESSION_STAR}, moved AS (SELECT Comm_Code AS Comm, source_id, {PCT} AS Pct_Change FROM fact JOIN codes USING (Comm_id))
+      SELECT * FROM (SELECT Comm, Pct_Change, 'up' AS side FROM moved ORDER BY Pct_Change DESC NULLS LAST, Comm, source_id LIMIT 10)
+      UNION ALL SELECT * FROM (SELECT Comm, Pct_Change, 'down' FROM moved ORDER BY Pct_Change ASC NULLS FIRST, Comm, source_id LIMIT 10)""",
+    "hourly_fact_by_year": f"""WITH {TICKS} SELECT CAST(Trade_Date // 10000 AS INT) AS "year", {HOUR} AS Hour,
+             CAST(sum(Volume) AS BIGINT) AS Total_Volume, round(sum(Price * Volume), 2) AS Total_Turnover FROM ticks GROUP BY ALL""",
+    "request_backfill": f"""WITH {LEDGER} SELECT file_id, CASE WHEN file_id IN (1, 2, 4, 5, 7) THEN TIMESTAMP '2030-01-01' ELSE updated_at END AS updated_at
+      FROM ({STATUS.format(log='log')}) WHERE status = 'PENDING' OR file_id IN (1, 2, 4, 5, 7)""",
+    "dq_enforced": f"""SELECT dataset, rule, severity, violations, b.blockers FROM ({dq()}) r,
+      (SELECT CAST(count(*) AS BIGINT) AS blockers FROM ({dq()}) x WHERE severity = 'BLOCKER' AND violations > 0) b
+      WHERE severity = 'WARNING' AND violations > 0""",
     "load_pending_files": f"""WITH {RAW} SELECT DISTINCT source_id AS file_id, 'SUCCESS' AS status, CAST(0 AS BIGINT) AS illegal FROM raw
       UNION ALL SELECT 9999, 'FAILED', 0""",
     "reload_files": f"""WITH {RAW}, good AS (SELECT * FROM raw WHERE Price > 0 AND source_id % 4 = 3), counts AS (
@@ -317,7 +331,8 @@ ORACLES = {
         ('fact_session_summary', 'PRIMARY_KEY'), ('fact_session_summary', 'FOREIGN_KEY_Comm_id'), ('fact_session_summary', 'FOREIGN_KEY_Date_id'),
         ('fact_hourly_stats', 'PRIMARY_KEY'), ('fact_hourly_stats', 'FOREIGN_KEY_Comm_id'), ('fact_hourly_stats', 'FOREIGN_KEY_Date_id'),
         ('fact_trade_distribution', 'PRIMARY_KEY'), ('fact_trade_distribution', 'FOREIGN_KEY_Comm_id'),
-        ('fact_trade_distribution', 'FOREIGN_KEY_Trader_Type_id')) r(dataset, rule),
+        ('fact_trade_distribution', 'FOREIGN_KEY_Trader_Type_id'), ('dim_commodity', 'PRIMARY_KEY_Comm_Code'),
+        ('dim_commodity', 'PRIMARY_KEY_Comm_id'), ('dim_date', 'PRIMARY_KEY_Date_id')) r(dataset, rule),
       (SELECT 'BLOCKER' AS severity, CAST(0 AS BIGINT) AS violations)""",
     "ingest_ledger": f"""WITH {LINES}, good AS (SELECT * FROM lines WHERE reason IS NULL AND Price > 0),
       seen AS (SELECT source_id, count(DISTINCT Comm) AS n FROM good GROUP BY 1)

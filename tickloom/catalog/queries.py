@@ -254,6 +254,19 @@ def session_trend(spark, sf_dir):
 # -- quality -------------------------------------------------------------------------
 
 
+@query
+def dq_enforced(spark, sf_dir):
+    """Warnings of the planted staging once its blockers are out of the way, and how many blockers stopped it before."""
+    report = quality.dq_report(fx.dirty_staging(spark, sf_dir), "stg_hourly_stats")
+    try:
+        quality.enforce(report)
+        blockers = 0
+    except quality.QualityError as error:
+        blockers = int(str(error).split()[0])
+    passed = quality.enforce(report.filter("severity = 'WARNING'"))
+    return passed.withColumn("blockers", F.lit(blockers).cast("bigint"))
+
+
 @query
 def dq_report(spark, sf_dir):
     return quality.dq_report(fx.dirty_staging(spark, sf_dir), "stg_hourly_stats")
@@ -351,6 +364,45 @@ def _runs(wh, load_id=1):
     return log.withColumn("file_id", F.col("file_id").cast("int"))
 
 
+def _starred(spark, sf_dir):
+    """Facts, dimensions and ledger of all ticks, loaded once."""
+    wh = load.Warehouse(spark, scratch_path(spark, "warehouse"))
+    load.stage_ticks(wh, fx.ticks(spark, sf_dir))
+    load.load_star(wh, 1)
+    files = wh.table("stg_session_summary").select(F.col("source_id").alias("file_id")).distinct()
+    wh.append("file_status_log", ledger.transitions(files, "SUCCESS", EPOCH, 1, 1, step=1))
+    return wh
+
+
+@query
+def marts_from_facts(spark, sf_dir):
+    """The three marts, built in one call from the stored, visible facts; a row of each as label and totals."""
+    found = load.build_marts(_starred(spark, sf_dir))
+    volume = F.col("Total_Volume").cast("bigint").alias("Total_Volume")
+    turnover = F.round("Total_Turnover", 2).alias("measure")
+    return (
+        found["Comm_change"].select(F.lit("Comm_change").alias("mart"), F.col("Comm").alias("label"), volume, F.col("Pct_Change").alias("measure"))
+        .unionByName(found["hourly_stats"].select(F.lit("hourly_stats").alias("mart"), F.col("Hour").cast("string").alias("label"), volume, turnover))
+        .unionByName(found["Trader_Types"].select(
+            F.lit("Trader_Types").alias("mart"), F.col("Trader_Type").alias("label"), volume, F.col("Total_Count").cast("double").alias("measure")))
+    )
+
+
+@query
+def movers_from_facts(spark, sf_dir):
+    """The largest rises and falls over the visible session facts."""
+    found = load.build_marts(_starred(spark, sf_dir))
+    return found["top_gainers"].withColumn("side", F.lit("up")).unionByName(found["top_losers"].withColumn("side", F.lit("down")))
+
+
+@query
+def hourly_fact_by_year(spark, sf_dir):
+    """The hourly fact as stored, read by its year partition."""
+    fact = load.visible_fact(_starred(spark, sf_dir), "fact_hourly_stats")
+    return cents(fact.groupBy("year", "Hour").agg(
+        F.sum("Total_Volume").alias("Total_Volume"), F.sum("Total_Turnover").alias("Total_Turnover")))
+
+
 @query
 def load_files(spark, sf_dir):
     """Zipped logs through the whole load: ledger state and staged rows of every file."""
@@ -448,6 +500,14 @@ def seed_and_backfill(spark, sf_dir):
     return ledger.file_status(extended)
 
 
+@query
+def request_backfill(spark, sf_dir):
+    """The ledger after known files, and one that is not, are requested again."""
+    log = fx.status_log(spark, sf_dir)
+    asked = ledger.request_backfill(log, [1, 2, 4, 5, 7, -1], datetime(2030, 1, 1))
+    return ledger.file_status(log.unionByName(asked)).filter("status = 'PENDING'").select("file_id", "updated_at")
+
+
 @query
 def illegal_transitions(spark, sf_dir):
     return ledger.illegal_transitions(fx.status_log(spark, sf_dir))

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.operators import dims, facts, quality, rollups
+from tickloom.operators import dims, facts, marts, quality, rollups
 from tickloom.operators.ledger import (
     file_status,
     job_entry,
@@ -165,12 +165,15 @@ KEYS = {
 
 
 def load_checks(wh: Warehouse, load_id: int) -> DataFrame:
-    """Primary and foreign keys of the facts that a load wrote, as report rows; all are blockers."""
+    """Keys of the facts that a load wrote and of the dimensions, as report rows; all are blockers."""
     dims_ = {"Comm_id": "dim_commodity", "Date_id": "dim_date", "Trader_Type_id": "dim_trader_type"}
     reports = []
     for name, (keys, foreign) in KEYS.items():
         rows = wh.table(name).filter(F.col("load_id") == load_id)
         reports.append(quality.key_report(rows, name, keys, {k: wh.table(dims_[k]) for k in foreign}))
+    for name, keys in (("dim_commodity", ["Comm_Code"]), ("dim_commodity", ["Comm_id"]), ("dim_date", ["Date_id"])):
+        report = quality.key_report(wh.table(name), name, keys, {})
+        reports.append(report.withColumn("rule", F.concat("rule", F.lit(f"_{keys[0]}"))))
     return reduce(DataFrame.unionByName, reports)
 
 
@@ -179,6 +182,21 @@ def visible_fact(wh: Warehouse, name: str) -> DataFrame:
     return visible(wh.table(name), wh.table("file_status_log"))
 
 
+def build_marts(wh: Warehouse) -> dict[str, DataFrame]:
+    """Write the three marts and the movers from the facts that readers see; returns them by name."""
+    sessions, codes = visible_fact(wh, "fact_session_summary"), wh.table("dim_commodity")
+    coded = marts.with_commodity_code(sessions, codes)
+    found = {
+        "Comm_change": marts.comm_change(sessions, codes),
+        "hourly_stats": marts.hourly_profile(visible_fact(wh, "fact_hourly_stats")),
+        "Trader_Types": marts.trader_type_totals(visible_fact(wh, "fact_trade_distribution"), wh.table("dim_trader_type")),
+        "top_gainers": marts.top_gainers(coded),
+        "top_losers": marts.top_losers(coded),
+    }
+    _each(found, lambda name, df: wh.mart(f"marts/{name}", df))
+    return {name: wh.spark.read.parquet(wh.path(f"marts/{name}")) for name in found}
+
+
 def load_archives(
     wh: Warehouse, ids: list[int], parsed: DataFrame | None, load_id: int, started: datetime, absent: Iterable[int] = (),
 ) -> DataFrame:
@@ -201,7 +219,11 @@ def load_archives(
         failed = materialise(failures.groupBy("source_id").agg(F.min("reason").alias("reason")), "failed")
         if parsed is not None:
             load_star(wh, load_id, ids, failed)
-            quality.enforce(load_checks(wh, load_id))
+            unknown = quality.dq_missing_dim(_staged(wh, "stg_session_summary", ids), wh.table("dim_commodity"))
+            unknown = unknown.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("violations")).select(
+                F.lit("stg_session_summary").alias("dataset"), F.lit("MISSING_CODE").alias("rule"),
+                F.lit(quality.BLOCKER).alias("severity"), "violations")
+            quality.enforce(load_checks(wh, load_id).unionByName(unknown))
     except Exception as error:
         finished = _utc_now()
         wh.append("file_status_log", transitions(files, "FAILED", finished, 0, load_id, step=3))
