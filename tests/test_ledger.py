@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 from conftest import as_set, plan_of
 
 from tickloom.operators import ledger
-from tickloom.schemas import FILE_STATUS_LOG, JOB_LOG
+from tickloom.schemas import FILE_STATUS_LOG, JOB_ENTRY
 
 T0 = datetime(2025, 12, 1, 7, 0)
 
@@ -94,7 +94,7 @@ def test_job_log(spark):
     rows = ledger.job_entry(spark, "SUCCESS", T0, file_id=7, row_count=3).unionByName(
         ledger.job_entry(spark, "SUCCESS", T0 + timedelta(minutes=1), row_count=4)
     ).unionByName(ledger.job_entry(spark, "FAILED", T0, error_message="boom"))
-    assert rows.schema == JOB_LOG
+    assert rows.schema == JOB_ENTRY
     assert as_set(ledger.job_report(rows)) == {
         ("SUCCESS", 2, 7, T0 + timedelta(minutes=1)), ("FAILED", 1, 0, T0),
     }

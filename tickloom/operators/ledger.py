@@ -116,10 +116,16 @@ def request_backfill(log: DataFrame, ids: list[int], at: datetime) -> DataFrame:
 def illegal_transitions(log: DataFrame) -> DataFrame:
     """Status changes the state machine does not allow.
 
-    A file with very many transitions is looked at slice by slice.
+    A file with very many transitions is looked at slice by slice. A status that is none of
+    STATUSES shows as UNKNOWN in the row after it. Status and order travel as numbers.
     """
-    changes = log.select("file_id", "status", "changed_at", "seq")
-    moves = with_previous(changes, "file_id", ["changed_at", "seq"], "status", "prev_status")
+    names = F.array(*map(F.lit, STATUSES))
+    changes = log.select(
+        "file_id", "status", "changed_at", "seq",
+        F.array_position(names, F.col("status")).cast("int").alias("_code"), ledger_order().alias("_at"))
+    moves = with_previous(changes, "file_id", ["changed_at", "seq"], "_code", "_prev", "_at")
+    before = F.when(F.col("_prev") > 0, F.get(names, F.col("_prev") - 1)).when(F.col("_prev") == 0, "UNKNOWN")
+    moves = moves.withColumn("prev_status", before)
     legal = F.lit(False)
     for before, after in LEGAL_TRANSITIONS.items():
         known = F.col("prev_status").isNull() if before is None else F.col("prev_status") == before

@@ -40,25 +40,28 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str, start: int | Col
     )
 
 
-def with_previous(df: DataFrame, key: str, order: Sequence[str], value: str, name: str) -> DataFrame:
+def with_previous(
+    df: DataFrame, key: str, order: Sequence[str], value: str, name: str, at: str | None = None
+) -> DataFrame:
     """``lag(value)`` per key, for keys of any size.
 
     The ``order`` columns are unique together within the key; none of them may be null. Each
     slice of a key looks back inside itself, and its first row takes the last value of the
-    key's previous slice. Slices are consecutive ranges of (key, order), so fewer keys than there are slices
-    span two of them, and both broadcasts below have at most two rows per slice.
+    key's previous slice. One aggregate gives the last value of every key in every slice. Slices
+    are consecutive ranges of (key, order), so fewer keys than there are slices span two of
+    them, and the broadcast has at most two rows per slice.
+
+    ``at`` names a column of numbers in the same order as ``order``. With it, and a numeric
+    ``value``, the aggregate hashes; without, it sorts.
     """
     ranged = _sliced(df, [key, *order], "ordered")
     within = Window.partitionBy(key, "_slice").orderBy(*order)
     across = Window.partitionBy(key).orderBy("_slice")
-    extent = ranged.groupBy(key).agg(F.min("_slice").alias("_first"), F.max("_slice").alias("_last"))
-    spanning = extent.filter("_first < _last").select(key)
-    carried = (
-        ranged.join(F.broadcast(spanning), key, "left_semi")
-        .groupBy(key, "_slice")
-        .agg(F.max_by(value, F.struct(*order)).alias("_end"))
-        .select(key, "_slice", F.lag("_end").over(across).alias("_carried"))
-    )
+    ends = ranged.groupBy(key, "_slice").agg(F.max_by(value, at or F.struct(*order)).alias("_end"))
+    carried = ends.select(
+        key, "_slice", F.lag("_end").over(across).alias("_carried"),
+        F.count("*").over(Window.partitionBy(key)).alias("_slices"),
+    ).filter("_slices > 1").drop("_slices")
     return (
         ranged.withColumns({"_row": F.row_number().over(within), "_before": F.lag(value).over(within)})
         .join(F.broadcast(carried), [key, "_slice"], "left")
