@@ -22,7 +22,7 @@ HEADLINE = (
     "comm_change", "top_gainers", "top_losers", "hourly_profile", "trader_type_totals", "volume_share",
     "session_leaderboard", "volume_spikes", "session_trend", "dq_report", "dq_volatility",
     "replace_by_source", "load_star", "file_status", "illegal_transitions", "sla_report",
-    "read_tick_zips", "read_tick_csv", "hourly_stats_stream",
+    "read_tick_zips", "read_tick_csv", "hourly_stats_stream", "load_files", "ingest_stream",
 )
 
 
