@@ -21,9 +21,9 @@ from tickloom.llm.common import bound_batches, mix, slices, span_hashes, text_by
 from tickloom.session import materialise
 
 # Units that a worker keeps; when there are more it starts anew.
-MOST_UNITS = 1_500_000
+MOST_UNITS = 800_000
 _TOGETHER = 256
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 4 << 20
 
 
 _STOPS, _LETTERS = np.zeros(256, bool), np.zeros(256, bool)
