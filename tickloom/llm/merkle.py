@@ -119,17 +119,19 @@ def compared(docs: DataFrame) -> DataFrame:
     come last. Of several rows with the next id, the one with the least text hash is taken. A
     document alone is followed by itself. An empty table gives no rows.
     """
-    rows = docs.select(*_key(), text_of().alias("_text"))
+    first = F.row_number().over(Window.partitionBy("_null", "_id").orderBy("_h"))
+    rows = docs.select(*_key(), text_of().alias("_text"), F.xxhash64(text_of()).alias("_h")).withColumn("_rank", first)
     text = F.col("_text")
     n = F.char_length(text)
     half = F.floor(n / 2).cast("int")
-    left = rows.select(
+    # Both sides number the rows of an id, and neither says so in a way that lets the optimizer
+    # cut one of them down before the shuffle: so they share a single shuffle of the texts by id.
+    # What a document hands to the one before it, half as many characters and its fingerprint,
+    # is shuffled once more.
+    left = rows.filter("_rank >= 1").select(
         "_null", "_id", n.cast("long").alias("n_chars"), half.alias("_half"),
         F.substring(text, F.lit(1), n - half).alias("_begin"), fingerprint(text).alias("fingerprint"))
-    # The texts are shuffled by id once, for both sides; what a document hands to the one before
-    # it, half as many characters and its fingerprint, is shuffled once more.
-    first = F.row_number().over(Window.partitionBy("_null", "_id").orderBy(F.xxhash64(text)))
-    right = rows.withColumn("_rank", first).filter("_rank = 1").join(predecessors(docs), ["_null", "_id"])
+    right = rows.filter(F.least("_rank", F.lit(2)) == 1).join(predecessors(docs), ["_null", "_id"])
     right = right.select(
         F.col("_prev_null").alias("_null"), F.col("_prev_id").alias("_id"),
         F.substring(text, F.lit(1), F.col("_need")).alias("_end"), fingerprint(text).alias("_next"))
