@@ -1,11 +1,17 @@
-import os
-import sys
+"""Documents for the tests of the text operators."""
+
+import random
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+WORDS = "amber basin cedar delta ember fjord grove haven inlet jetty knoll ledge marsh north oasis plain quarry ridge shoal tundra".split()
+
 
-from conftest_llm import prose  # noqa: E402
+def prose(seed, n, line=12):
+    """``n`` words in sentences and lines, the same for the same seed."""
+    r = random.Random(seed)
+    words = [r.choice(WORDS) + r.choice(["", "", "s", "ed", "ing"]) for _ in range(n)]
+    return "\n".join(" ".join(words[i : i + line]) + "." for i in range(0, n, line))
 
 
 @pytest.fixture(scope="module")

@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from conftest_llm import prose
+from documents_llm import no_documents, odd_documents, prose  # noqa: F401
 
 from tickloom.llm import chosen_path
 

@@ -1,4 +1,5 @@
 import pytest
+from documents_llm import no_documents, odd_documents  # noqa: F401
 from pyspark.sql import functions as F
 
 from tickloom.llm import mixing

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest_llm import prose
+from documents_llm import no_documents, odd_documents, prose  # noqa: F401
 from pyspark.sql import functions as F
 
 from tickloom.llm import langid_crf, mil, toxicity

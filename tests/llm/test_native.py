@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest_llm import prose
+from documents_llm import no_documents, odd_documents, prose  # noqa: F401
 from pyspark.sql import functions as F
 
 from tickloom.llm import merkle, quality_rules, sharding

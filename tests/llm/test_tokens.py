@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from documents_llm import no_documents, odd_documents  # noqa: F401
 
 from tickloom.llm import packing, rans
 from tickloom.llm.tokens import ByteEncoder, WordEncoder
