@@ -30,10 +30,10 @@ SIMILARITY = 0.8
 RECALL = 0.9995
 BINS = 128
 BRANCH = 1.25
-SMALL = 40
+SMALL = 2000
 DEPTH = 7
 # Of a pivot: estimates from which a set is tied to it, and from which it goes no further.
-TIED, ABSORBED = 0.42, 0.8
+TIED, ABSORBED = 0.35, 0.68
 BLOCK_TEXTS, BLOCK_TOKENS = 2000, 1_000_000
 
 
@@ -140,6 +140,32 @@ def _min_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return label
 
 
+def _close_pairs(sketch: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of members of one bucket whose sketches leave a link possible, all pairs compared."""
+    some = (sketch != 0).astype(np.float32)
+    size = some.sum(1)
+    firsts, seconds = [], []
+    step = max(1, (1 << 20) // len(sketch))
+    for at in range(0, len(sketch), step):
+        rows = slice(at, at + step)
+        same = np.zeros((len(sketch[rows]), len(sketch)), np.uint8)
+        for k in range(BINS):
+            same += sketch[rows, k][:, None] == sketch[:, k][None, :]
+        used = size[rows][:, None] + size[None, :] - some[rows] @ some.T
+        close = same - (BINS - used) >= _least(used) * used
+        close &= np.minimum(tokens[rows][:, None], tokens[None, :]) >= SIMILARITY * np.maximum(tokens[rows][:, None], tokens[None, :])
+        i, j = np.nonzero(close)
+        keep = i + at < j
+        firsts.append(i[keep] + at)
+        seconds.append(j[keep])
+    return np.concatenate(firsts), np.concatenate(seconds)
+
+
+def _least(used: np.ndarray) -> np.ndarray:
+    """The estimate from which a link is possible: four and a half standard errors below its similarity."""
+    return SIMILARITY - 4.5 * np.sqrt(SIMILARITY * (1 - SIMILARITY) / np.maximum(used, 1))
+
+
 def _small_links(buckets: DataFrame) -> DataFrame:
     """``(a, b)``: ties between the members of small buckets whose sketches leave a link possible."""
 
@@ -155,21 +181,24 @@ def _small_links(buckets: DataFrame) -> DataFrame:
             sketch = np.frombuffer(b"".join(flat.field("sketch").to_pylist()), np.uint8).reshape(-1, BINS)
             size = np.diff(cuts)
             first, second = [], []
-            for m in np.unique(size):
+            for m in np.unique(size[size <= 64]):  # small ones, those of one size at once
                 i, j = np.triu_indices(m, 1)
                 base = cuts[:-1][size == m]
-                first.append((base[:, None] + i).ravel())
-                second.append((base[:, None] + j).ravel())
-            first, second = np.concatenate(first), np.concatenate(second)
-            near = np.minimum(tokens[first], tokens[second]) >= SIMILARITY * np.maximum(tokens[first], tokens[second])
-            first, second = first[near], second[near]
-            keep = np.zeros(len(first), bool)
-            for at in range(0, len(first), 1 << 16):
-                part = slice(at, at + (1 << 16))
-                value, used = likeness(sketch[first[part]], sketch[second[part]])
-                # Four and a half standard errors below the similarity asked for.
-                keep[part] = value >= SIMILARITY - 4.5 * np.sqrt(SIMILARITY * (1 - SIMILARITY) / np.maximum(used, 1))
-            label = _min_labels(len(node), first[keep], second[keep])
+                a, b = (base[:, None] + i).ravel(), (base[:, None] + j).ravel()
+                near = np.minimum(tokens[a], tokens[b]) >= SIMILARITY * np.maximum(tokens[a], tokens[b])
+                a, b = a[near], b[near]
+                for at in range(0, len(a), 1 << 16):
+                    x, y = a[at : at + (1 << 16)], b[at : at + (1 << 16)]
+                    value, used = likeness(sketch[x], sketch[y])
+                    close = value >= _least(used)
+                    first.append(x[close])
+                    second.append(y[close])
+            for low, m in zip(cuts[:-1][size > 64], size[size > 64], strict=True):
+                a, b = _close_pairs(sketch[low : low + m], tokens[low : low + m])
+                first.append(a + low)
+                second.append(b + low)
+            first, second = (np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in (first, second))
+            label = _min_labels(len(node), first, second)
             tied = np.flatnonzero(label != np.arange(len(node)))
             yield pa.RecordBatch.from_arrays([pa.array(node[label[tied]]), pa.array(node[tied])], ["a", "b"])
 
@@ -370,7 +399,8 @@ def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     bound_batches(spark)
     rows = _prepare(docs, runs_for(recall))
     # One node per text. Copies are put together before the shuffle.
-    keys = materialise(rows.groupBy("key").agg(F.min("row").alias("node"), F.count("*").alias("times"), F.min("doc_id").alias("least")), "texts")
+    by_id = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
+    keys = materialise(rows.groupBy("key").agg(F.min("row").alias("node"), F.count("*").alias("times"), F.min(by_id).alias("first")), "texts")
     sets = rows.join(keys.select(F.col("node").alias("row"), "node"), "row").select("node", "tokens", "sketch", "paths")
     groups = materialise(components(candidates(sets)), "groups")
     # Components in tasks: small ones many to a task, large ones as pairs of blocks.
@@ -398,9 +428,9 @@ def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     counts = checked.groupBy("node").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
     roots = components(checked.select(F.col("root").alias("a"), F.col("node").alias("b")).filter("a <> b"))
     whole = keys.join(counts, "node", "left").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    firsts = whole.groupBy("root").agg(F.min("least").alias("class_id"), F.min_by("node", F.struct(F.col("least").isNull(), "least", "node")).alias("first"))
+    firsts = whole.groupBy("root").agg(F.min("first").alias("_first"))
     whole = whole.join(firsts, "root").select(
-        F.col("key").alias("_key"), "class_id", "first", "node",
+        F.col("key").alias("_key"), F.col("_first.id").alias("class_id"), F.col("_first.row").alias("first"),
         (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_text_links"))
     result = rows.select("row", "doc_id", "key").join(whole, F.col("key") == F.col("_key"))
     return result.select("doc_id", "class_id", "n_links", "n_text_links", (F.col("row") == F.col("first")).alias("is_first"), "key")
