@@ -138,13 +138,13 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out)
 
 
-def training_sample(labels: DataFrame, label: str, per_class: int) -> DataFrame:
-    """At most ``per_class`` rows of ``labels`` per value of ``label``, 0 and 1, the first by hash of ``doc_id``.
+def training_sample(labels: DataFrame, label: str, per_class: tuple[int, int]) -> DataFrame:
+    """At most so many rows of ``labels`` with ``label`` 0 and with 1, the first by hash of ``doc_id``.
 
     Rows without id or label, and all but one row of a repeated id, are left aside.
     """
     known = labels.filter(F.col("doc_id").isNotNull()).withColumn("_k", F.md5(F.col("doc_id").cast("string")))
-    part = lambda v: known.filter(F.col(label) == v).dropDuplicates(["doc_id"]).orderBy("_k").limit(per_class)
+    part = lambda v: known.filter(F.col(label) == v).dropDuplicates(["doc_id"]).orderBy("_k").limit(per_class[v])
     return part(0).unionByName(part(1)).dropDuplicates(["doc_id"]).drop("_k")
 
 

@@ -178,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     known = labels.filter(~held_out() & F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality"))
     prior = known.agg(F.avg("quality")).first()[0]
     # At most two rows per document allowed for: the ids of the sample.
-    sample = training_sample(known, "quality", per_class)
+    sample = training_sample(known, "quality", (per_class, per_class))
     chosen = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(sample), "doc_id")
     got = chosen.select("text", "quality", F.md5(F.col("doc_id").cast("string")).alias("k")).toArrow()
     got = got.sort_by([("k", "ascending"), ("text", "ascending")])

@@ -35,11 +35,11 @@ CATEGORIES = {
     "contempt": ("pathetic", "worthless", "trash", "scum", "disgusting"),
 }
 PREFIXES = (4, 5, 6)
-PER_CLASS = 2500
+PER_CLASS = (2500, 1500)  # not toxic, toxic
 MOST_FEATURES = 4096
 LEAST_DOCUMENTS = 4
 FOLDS = 4
-THRESHOLD = 0.5
+THRESHOLD = 0.2
 
 
 def doc_features(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -127,12 +127,14 @@ class Chain:
         return out
 
 
-def fit_chain(rows: Rows, keys: np.ndarray, labels: dict[str, np.ndarray], folds: np.ndarray) -> Chain:
+def fit_chain(rows: Rows, keys: np.ndarray, labels: dict[str, np.ndarray], folds: np.ndarray, thinner: float = 1.0) -> Chain:
+    """``thinner``: how much rarer the labels are in the corpus than in the sample; the constants follow."""
     earlier, weights = np.zeros((rows.n, 0)), []
     everyone = np.ones(rows.n, bool)
     for y in labels.values():
         extra = _logit(earlier)
         weights.append(fit_linear(rows, extra, y, everyone))
+        weights[-1][-1] += _logit(y.mean() * thinner) - _logit(y.mean())
         unseen = np.zeros(rows.n)
         for fold in range(FOLDS):
             inside = folds == fold
@@ -143,14 +145,16 @@ def fit_chain(rows: Rows, keys: np.ndarray, labels: dict[str, np.ndarray], folds
     return Chain(list(labels), keys, weights)
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Chain | None:
-    """Fit on at most ``per_class`` labelled documents of either kind; None without any toxic one.
+def train(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = PER_CLASS) -> Chain | None:
+    """Fit on at most ``per_class`` labelled documents of the two kinds; None without any toxic one.
 
     Features are taken from tasks; the driver sees those of the sample only. The features kept
     occur in ``LEAST_DOCUMENTS`` documents of the sample and tell the kinds apart best.
     """
     bound_batches(docs.sparkSession)
-    sample = training_sample(labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")), "toxic", per_class)
+    labels = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    prior = labels.filter(F.col("toxic").isin(0, 1)).agg(F.avg("toxic")).first()[0]
+    sample = training_sample(labels, "toxic", per_class)
 
     def extract(batches):
         for whole in batches:
@@ -172,25 +176,32 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Cha
     if not len(toxic) or not toxic.any():
         return None
     parts = [np.frombuffer(b, np.uint64) for b in got.column("features").to_pylist()]
+    folds = got.column("doc_id").to_numpy() % FOLDS
+    del got
+    pa.default_memory_pool().release_unused()
+    seeds = {name: np.array([seed_hash(w) for w in words], np.uint64) for name, words in CATEGORIES.items()}
+    classes = {name: toxic * np.array([np.isin(s, p).any() for p in parts]) for name, s in seeds.items()}
+    # Most features are rare. Counting the low bits of their hashes, never too few, rules those
+    # out before the exact count, which would else take most of the driver's memory.
+    low = np.uint64((1 << 22) - 1)
+    rough = np.zeros(1 << 22, np.uint16)
+    for p in parts:
+        rough[np.unique(p & low)] += 1
+    least = min(LEAST_DOCUMENTS, len(toxic))
+    parts = [p[rough[p & low] >= least] for p in parts]
     doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     keys, feature = np.unique(np.concatenate(parts), return_inverse=True)
     seen, bad = np.bincount(feature), np.bincount(feature, toxic[doc])
     rate = toxic.mean()
     gain = (bad - seen * rate) ** 2 / (seen * rate * (1 - rate) + 1e-9)
-    gain[seen < min(LEAST_DOCUMENTS, len(toxic))] = -1
+    gain[seen < least] = -1
     chosen = np.sort(np.argsort(-gain, kind="stable")[:MOST_FEATURES])
     chosen = chosen[gain[chosen] > 0]
     place = np.full(len(keys), -1)
     place[chosen] = np.arange(len(chosen))
     inside = place[feature] >= 0
     rows = Rows(doc[inside], place[feature[inside]], len(parts), max(1, len(chosen)))
-    classes = {}
-    for name, words in CATEGORIES.items():
-        seeds = np.array([seed_hash(w) for w in words], np.uint64)
-        has = np.array([np.isin(seeds, p).any() for p in parts])
-        classes[name] = toxic * has
-    folds = got.column("doc_id").to_numpy() % FOLDS
-    return fit_chain(rows, keys[chosen], classes | {"toxic": toxic}, folds)
+    return fit_chain(rows, keys[chosen], classes | {"toxic": toxic}, folds, prior / rate)
 
 
 def score(docs: DataFrame, chain: Chain | None, columns: list[str]) -> DataFrame:
