@@ -153,22 +153,17 @@ def running_before(
 ) -> DataFrame:
     """Add ``name``: the sum of ``amount`` over the rows of the group that come before this one.
 
-    ``key`` is a hexadecimal hash, which orders the rows; its first ``digits`` cut a group into
+    The ``group`` columns are never null. ``key`` is a hexadecimal hash, which orders the rows; its first ``digits`` cut a group into
     ranges of about equal size, however large the group is. Each range is sorted and summed in its
     own task, and only the sums of the ranges are added up across them. Rows with one key share a
     range and are ordered by ``ties``; rows alike in those too may swap places.
     """
     cut = df.withColumn("_range", F.substring(key, 1, digits))
+    place = [*group, "_range"]
     across = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    bases = (
-        cut.groupBy(*group, "_range").agg(F.sum(amount).alias("_sum"))
-        .select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], F.col("_range").alias("_r"),
-                F.coalesce(F.sum("_sum").over(across), F.lit(0)).alias("_base"))
-    )
-    within = Window.partitionBy(*group, "_range").orderBy(key, *ties).rowsBetween(Window.unboundedPreceding, -1)
+    bases = cut.groupBy(*place).agg(F.sum(amount).alias("_sum"))
+    bases = bases.select(*place, F.coalesce(F.sum("_sum").over(across), F.lit(0)).alias("_base"))
+    within = Window.partitionBy(*place).orderBy(key, *ties).rowsBetween(Window.unboundedPreceding, -1)
+    # The join is on what the window is partitioned by, so the rows are shuffled once.
     inside = cut.withColumn("_inside", F.coalesce(F.sum(amount).over(within), F.lit(0)))
-    same = F.col("_range") == F.col("_r")
-    for i, c in enumerate(group):
-        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
-    helpers = ["_range", "_inside", "_base", "_r", *[f"_g{i}" for i in range(len(group))]]
-    return inside.join(bases, same).withColumn(name, F.col("_base") + F.col("_inside")).drop(*helpers)
+    return inside.join(bases, place).withColumn(name, F.col("_base") + F.col("_inside")).drop("_range", "_inside", "_base")

@@ -62,17 +62,21 @@ def mix(docs: DataFrame, carry: Sequence[str] = (), **options) -> DataFrame:
     """
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     rows = docs.select("doc_id", "source", *carry, word_count().alias("size"), key.alias("_key"), F.xxhash64(text_of()).alias("_tie"))
-    # Counting words is the costly part; the sums of the sources are stored, a row each.
+    rows = rows.withColumn("_group", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")))
+    if not carry:
+        # Counting words is the costly part; without texts to carry, the counts are stored.
+        rows = materialise(rows, "word-counts")
+    # The sums of the sources, a row each, serve several windows.
     sums = materialise(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "source-sizes")
     aims = targets(sums, **options).select(F.col("source").alias("_source"), "source_size", "target")
-    placed = running_before(rows, ["source"], "_key", "size", "_before", ["_tie"])
+    placed = running_before(rows, ["_group"], "_key", "size", "_before", ["_tie"])
     placed = placed.join(aims, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rest = budget - F.col("epochs") * F.col("source_size") - F.col("_before")
     return placed.withColumn("epochs", epochs).withColumn(
         "part", F.least(F.col("size"), F.greatest(F.lit(0), rest)).cast("long")
-    ).drop("_key", "_tie", "_before")
+    ).drop("_key", "_tie", "_before", "_group")
 
 
 def taken() -> Column:

@@ -142,7 +142,9 @@ def judge(docs: DataFrame, carry: list[str] = ()) -> DataFrame:
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     # The counts are stored: both the sketches and the join read them.
     rows = materialise(counts.withColumn("base_failed", failed), "quality-signals")
-    limits = thresholds(sketch(rows.filter(~F.col("base_failed"))))
+    # A row per language and source. Stored, its size is known when the join is planned: while it is
+    # below the limit for broadcasts, the rows are not shuffled.
+    limits = materialise(thresholds(sketch(rows.filter(~F.col("base_failed")))), "thresholds")
     joined = rows.join(limits, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
     good = ~F.col("base_failed")
     for s in SIGNALS:
