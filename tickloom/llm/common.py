@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator, Sequence
@@ -56,6 +57,15 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 2 * CHUNK_BYTES) -> I
         stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
         yield batch.slice(at, stop - at)
         at = stop
+    give_back()
+
+
+def give_back() -> None:
+    """Return memory that is free to the system: a worker lives on, idle, beside later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def text_bytes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:

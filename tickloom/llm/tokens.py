@@ -64,6 +64,8 @@ class Units:
 class UnitEncoder:
     """Base of the two tokenizers: how to cut texts, and how to encode many units at once."""
 
+    most_units = MOST_UNITS
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -92,7 +94,7 @@ class UnitEncoder:
         found = self._known(distinct)
         new = np.flatnonzero(found < 0)
         if len(new):
-            if len(self.units.place) + 2 * len(new) > MOST_UNITS:
+            if len(self.units.place) + 2 * len(new) > self.most_units:
                 self.units = Units()
                 new = np.arange(len(distinct))
             new = new[np.argsort(first[new])]
