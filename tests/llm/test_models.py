@@ -145,3 +145,25 @@ def test_toxic_documents_are_caught_and_clean_ones_left(spark, spoken_ill):
     extra = spoken_ill.withColumn("is_toxic", F.lit("mine")).withColumn("_text", F.lit(1))
     kept = toxicity.clean(extra, chain)
     assert kept.columns == extra.columns and kept.filter("toxic = 1").count() <= 10 and kept.filter("toxic = 0").count() == 400
+
+
+def test_rarer_labels_move_the_reported_probabilities_only():
+    r = np.random.default_rng(6)
+    n, width = 400, 12
+    on = r.random((n, width)) < 0.3
+    toxic = (on[:, :3].sum(1) >= 2).astype(float)
+    labels = {"insult": toxic * on[:, 0], "contempt": toxic * on[:, 1], "toxic": toxic}
+    rows = toxicity.Rows(*np.nonzero(on), n, width)
+    keys, folds = np.arange(width, dtype=np.uint64), np.arange(n) % toxicity.FOLDS
+    even, rare = (toxicity.fit_chain(rows, keys, labels, folds, thinner) for thinner in (1.0, 0.2))
+    odds = lambda p: np.log(p / (1 - p))
+    moved = odds(rare.predict(rows)) - odds(even.predict(rows))
+    for i, y in enumerate(labels.values()):
+        assert np.allclose(moved[:, i], odds(0.2 * y.mean()) - odds(y.mean()), atol=1e-6)
+
+
+def test_held_out_toxic_documents_are_caught_where_the_sample_is_bounded(spark, spoken_ill):
+    labels = spoken_ill.filter(~toxicity.held_out()).select("doc_id", "toxic")
+    got = toxicity.score(spoken_ill, toxicity.train(spoken_ill, labels, (30, 60)), ["doc_id", "toxic"])
+    unseen = got.filter(toxicity.held_out() & (F.col("toxic") == 1)).collect()
+    assert sum(r["is_toxic"] for r in unseen) >= 0.9 * len(unseen)

@@ -100,11 +100,12 @@ def fit_linear(rows: Rows, extra: np.ndarray, y: np.ndarray, use: np.ndarray, st
 
 @dataclass
 class Chain:
-    """``keys``: hashes of the features, sorted; ``weights``: a row per category."""
+    """``keys``: hashes of the features, sorted; ``weights``: a row per category; ``shifts``: from the sample's log-odds to the corpus's."""
 
     names: list[str]
     keys: np.ndarray
     weights: list[np.ndarray]
+    shifts: list[float]
 
     def __post_init__(self):
         self.maybe = np.zeros(1 << 20, bool)
@@ -119,22 +120,23 @@ class Chain:
         return docs[same], at[same]
 
     def predict(self, rows: Rows) -> np.ndarray:
-        """A column of probabilities per category."""
-        out = np.zeros((rows.n, 0))
-        for w in self.weights:
-            p = _sigmoid(rows.times(w[: rows.width]) + _logit(out) @ w[rows.width : -1] + w[-1])
-            out = np.column_stack([out, p])
+        """A column of probabilities per category. Along the chain go those of the sample, as in training."""
+        fed, out = np.zeros((rows.n, 0)), np.zeros((rows.n, 0))
+        for w, shift in zip(self.weights, self.shifts, strict=True):
+            score = rows.times(w[: rows.width]) + _logit(fed) @ w[rows.width : -1] + w[-1]
+            fed = np.column_stack([fed, _sigmoid(score)])
+            out = np.column_stack([out, _sigmoid(score + shift)])
         return out
 
 
 def fit_chain(rows: Rows, keys: np.ndarray, labels: dict[str, np.ndarray], folds: np.ndarray, thinner: float = 1.0) -> Chain:
-    """``thinner``: how much rarer the labels are in the corpus than in the sample; the constants follow."""
-    earlier, weights = np.zeros((rows.n, 0)), []
+    """``thinner``: how much rarer the labels are in the corpus than in the sample; reported probabilities follow."""
+    earlier, weights, shifts = np.zeros((rows.n, 0)), [], []
     everyone = np.ones(rows.n, bool)
     for y in labels.values():
         extra = _logit(earlier)
         weights.append(fit_linear(rows, extra, y, everyone))
-        weights[-1][-1] += _logit(y.mean() * thinner) - _logit(y.mean())
+        shifts.append(float(_logit(y.mean() * thinner) - _logit(y.mean())))
         unseen = np.zeros(rows.n)
         for fold in range(FOLDS):
             inside = folds == fold
@@ -142,7 +144,7 @@ def fit_chain(rows: Rows, keys: np.ndarray, labels: dict[str, np.ndarray], folds
             p = _sigmoid(rows.times(w[: rows.width]) + extra @ w[rows.width : -1] + w[-1])
             unseen[inside] = p[inside]
         earlier = np.column_stack([earlier, unseen])
-    return Chain(list(labels), keys, weights)
+    return Chain(list(labels), keys, weights, shifts)
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = PER_CLASS) -> Chain | None:
