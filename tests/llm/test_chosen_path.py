@@ -77,6 +77,17 @@ def test_classes_and_links_against_all_pairs(spark, monkeypatch):
     assert sorted([(r["doc_id"], r["class_id"], r["n_links"]) for r in again], key=key) == want
 
 
+def test_blocks_without_members_add_no_links(spark, monkeypatch):
+    rows = []
+    for g in range(12):  # a few long near copies, most blocks of theirs empty
+        words = prose(2000 + g, 150).split()
+        rows += [(len(rows) + k, " ".join([*words[:-1], f"end{k}"])) for k in range(2 + g % 2)]
+    monkeypatch.setattr(chosen_path, "BLOCK_TOKENS", 100)
+    got = chosen_path.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in got) == by_brute_force(rows)
+    assert all(r["n_text_links"] == r["n_links"] for r in got)
+
+
 def test_one_document_of_each_class_stays(odd_documents, no_documents):
     kept = chosen_path.deduplicated(odd_documents)
     assert kept.columns == odd_documents.columns

@@ -359,6 +359,7 @@ def _verify(rows: DataFrame) -> DataFrame:
         order = np.lexsort((table.column("node").to_numpy(), comp))
         table, comp = table.take(pa.array(order)), comp[order]
         node, times, side = (table.column(c).to_numpy() for c in ("node", "times", "side"))
+        cross = table.column("cross").to_numpy(zero_copy_only=False)
         texts = table.column("text").combine_chunks()
         out = []
         cuts = np.flatnonzero(np.append(True, comp[1:] != comp[:-1]))
@@ -366,6 +367,8 @@ def _verify(rows: DataFrame) -> DataFrame:
             # A row of the corpus that is there twice is one text.
             keep = low + np.flatnonzero(np.append(True, node[low + 1 : high] != node[low : high - 1]))
             s, n, t = side[keep], node[keep], times[keep]
+            if cross[low] and s.min() == s.max():  # two blocks, one of them empty
+                continue
             found = linked(texts.take(pa.array(keep)), s)
             left = np.flatnonzero(s == 0)
             right = np.flatnonzero(s == 1)
@@ -377,7 +380,7 @@ def _verify(rows: DataFrame) -> DataFrame:
             if both:
                 links, count = links + np.bincount(b, t[a], len(n)), count + np.bincount(b, minlength=len(n))
             out.append((n, n[label], links.astype(np.int64), count))
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)]
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)] or [np.zeros(0, np.int64)] * 4
         return pa.table(columns, ["node", "root", "links", "texts"])
 
     return rows.groupBy("task").applyInArrow(check, "node long, root long, links long, texts long")
@@ -420,11 +423,12 @@ def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     placed = placed.select(
         "node", "comp", "times", "key", F.col("doc_id").alias("_doc"),
         F.coalesce(task, F.concat_ws(":", "comp", "pair.i", "pair.j")).alias("task"),
+        (F.col("pair.i") != F.col("pair.j")).alias("cross"),
         ((F.col("pair.i") != F.col("pair.j")) & (F.col("block") == F.col("pair.j"))).cast("int").alias("side"))
     text = text_of()
     texts = docs.select(F.col("doc_id").cast("long").alias("_d"), F.md5(text).alias("_key"), text.alias("text"))
     texts = placed.join(texts, (F.col("key") == F.col("_key")) & F.col("_doc").eqNullSafe(F.col("_d")))
-    checked = materialise(_verify(texts.select("task", "comp", "node", "times", "side", "text")), "links")
+    checked = materialise(_verify(texts.select("task", "comp", "node", "times", "cross", "side", "text")), "links")
     counts = checked.groupBy("node").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
     roots = components(checked.select(F.col("root").alias("a"), F.col("node").alias("b")).filter("a <> b"))
     whole = keys.join(counts, "node", "left").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
