@@ -88,6 +88,28 @@ def test_blocks_without_members_add_no_links(spark, monkeypatch):
     assert all(r["n_text_links"] == r["n_links"] for r in got)
 
 
+def test_pairs_of_common_shingles_are_found_through_many_splits(spark, monkeypatch):
+    r = np.random.default_rng(11)
+    universe = r.integers(1, 1 << 62, 1600).astype(np.uint64)
+    sets = []
+    for _ in range(1000):  # a set and four fifths of it, each token in a quarter of all sets
+        whole = r.choice(universe, 400, replace=False)
+        sets += [np.sort(whole), np.sort(whole[:320])]
+    tokens, before = np.concatenate(sets), np.append(0, np.cumsum([len(x) for x in sets]))
+    paths = chosen_path._paths(tokens, before, chosen_path.runs_for(chosen_path.RECALL))
+    rows = [(i, len(x), k.tobytes(), p.tolist()) for i, (x, k, p) in enumerate(zip(sets, chosen_path.sketches(tokens, before), paths, strict=True))]
+    monkeypatch.setattr(chosen_path, "SMALL", 3)
+    ties = chosen_path.candidates(spark.createDataFrame(rows, "node long, tokens long, sketch binary, paths array<bigint>"))
+    root = {g["node"]: g["root"] for g in chosen_path.components(ties).collect()}
+    missed = sum(root.get(i, i) != root.get(i + 1, i + 1) for i in range(0, len(rows), 2))
+    assert missed <= 2 and len(set(root.values())) > 900
+
+
+def test_runs_follow_from_all_splits():
+    assert chosen_path.missed(chosen_path.runs_for(chosen_path.RECALL), chosen_path.DEPTH - 1) <= 1 - chosen_path.RECALL
+    assert chosen_path.missed(8, 0) < 0.0005 < chosen_path.missed(8, 1) < chosen_path.missed(8, 6)
+
+
 def test_one_document_of_each_class_stays(odd_documents, no_documents):
     kept = chosen_path.deduplicated(odd_documents)
     assert kept.columns == odd_documents.columns

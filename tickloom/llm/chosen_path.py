@@ -4,7 +4,7 @@ A set follows a path by sampling some of its tokens with a hash that all sets sh
 have a token in common, and sample it, come into the bucket of that token. Small buckets are
 compared by brute force, on sketches. A bucket that is too large is split again on further
 sampled tokens. The runs, each with hash functions of its own, are as many as the target recall
-asks for. What the sketches leave as possible links is put into connected components, and the
+asks for if every bucket is split to the last level. What the sketches leave as possible links is put into connected components, and the
 exact similarity of all pairs in a component is then worked out, in blocks.
 
 In a large bucket its first set is a pivot. All that may be near the pivot is tied to it, and what
@@ -32,19 +32,35 @@ BINS = 128
 BRANCH = 1.25
 SMALL = 2000
 DEPTH = 7
-# Of a pivot: estimates from which a set is tied to it, and from which it goes no further.
-TIED, ABSORBED = 0.35, 0.68
+# The estimate of the similarity to a pivot from which a set goes no further.
+ABSORBED = 0.68
 BLOCK_TEXTS, BLOCK_TOKENS = 2000, 1_000_000
 
 
-def runs_for(recall: float, similarity: float = SIMILARITY) -> int:
-    """Runs after which a pair has met in some bucket with the given probability.
+def missed(runs: int, splits: int, similarity: float = SIMILARITY) -> float:
+    """Probability that a pair meets in no bucket after ``runs`` runs whose buckets are split ``splits`` times more.
 
     In one run the pair samples a Poisson number of common tokens, at the least similarity and
-    the least favourable sizes 1 on average: one set holds the other.
+    the least favourable sizes ``similarity * BRANCH`` on average: one set holds the other. Each of
+    its buckets that is split leads to a Poisson number of common finer ones. All runs use the same
+    sketches, so the mean goes over the bins in which these agree.
     """
-    expected = similarity * BRANCH
-    return math.ceil(math.log(1 - recall) / math.log(math.exp(-expected)))
+    total = 0.0
+    for same in range(BINS + 1):
+        odds = math.comb(BINS, same) * similarity**same * (1 - similarity) ** (BINS - same)
+        alive = 1.0
+        for _ in range(splits):
+            alive = -math.expm1(-BRANCH / SIMILARITY * same / BINS * alive)
+        total += odds * math.exp(-runs * similarity * BRANCH * alive)
+    return total
+
+
+def runs_for(recall: float, similarity: float = SIMILARITY) -> int:
+    """Runs after which a pair has met with the given probability, also where all its buckets are split to the last level."""
+    runs = 1
+    while missed(runs, DEPTH - 1, similarity) > 1 - recall:
+        runs += 1
+    return runs
 
 
 def shingles(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -214,8 +230,10 @@ def _split_large(rows: DataFrame, level: int) -> DataFrame:
                 continue
             path, node, pivot = (batch.column(c).to_numpy() for c in ("path", "node", "pivot"))
             own, other = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("sketch", "pivot_sketch"))
-            value, _ = likeness(own, other)
-            tied = (value >= TIED) & (node != pivot)
+            value, used = likeness(own, other)
+            # What may link to a set that goes no further has a bin in common with the pivot
+            # wherever that set has, but for the bins in which a link can differ.
+            tied = (value >= _least(used) - (1 - ABSORBED)) & (node != pivot)
             rest = np.flatnonzero((value < ABSORBED) & (node != pivot))
             filled = own[rest] != 0
             # A bin and its byte stand for a token; the rate is higher as fewer of these are shared.
