@@ -6,13 +6,15 @@ whole table, so that filters, quality rules and quarantine have something to fin
 
 from __future__ import annotations
 
-import io
+import contextlib
+import itertools
 import posixpath
 import re
 import sys
 import zipfile
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,23 +151,39 @@ def _arrow_uri(path: str) -> str:
     return re.sub(r"^file:/+", "file:///", path).replace("s3a://", "s3://")
 
 
-def _write_archive(rows: pd.DataFrame, template: str) -> pd.DataFrame:
-    file_id = int(rows["source_id"].iloc[0])
-    rows = rows.sort_values("seq")
-    buffer = io.BytesIO()
-    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-        archive.writestr(zipfile.ZipInfo("readme.md"), "not a log")
-        body = "\n".join([LOG_HEADER, *rows["line"]]) + "\n"
-        archive.writestr(zipfile.ZipInfo(f"{file_id}.csv"), body, zipfile.ZIP_DEFLATED)
-    _put(template.format(id=file_id), buffer.getvalue())
-    return pd.DataFrame({"file_id": [file_id]})
+def _write_archives(batches, template: str):
+    """Batches of (source_id, line), sources together, as archives written line by line; the ids of those written."""
+    from pyarrow import fs
+
+    with contextlib.ExitStack() as opened:
+        member, now = None, None
+        for batch in batches:
+            ids = batch.column("source_id").to_pylist()
+            lines = batch.column("line").to_pylist()
+            for file_id, rows in itertools.groupby(zip(ids, lines, strict=True), key=lambda pair: pair[0]):
+                if member is None or file_id != now:
+                    opened.close()
+                    now = file_id
+                    filesystem, path = fs.FileSystem.from_uri(template.format(id=file_id))
+                    filesystem.create_dir(posixpath.dirname(path), recursive=True)
+                    out = opened.enter_context(filesystem.open_output_stream(path))
+                    archive = opened.enter_context(zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED))
+                    archive.writestr(zipfile.ZipInfo("readme.md"), "not a log")
+                    info = zipfile.ZipInfo(f"{file_id}.csv")
+                    info.compress_type = zipfile.ZIP_DEFLATED
+                    member = opened.enter_context(archive.open(info, "w", force_zip64=True))
+                    member.write(f"{LOG_HEADER}\n".encode())
+                    yield pa.RecordBatch.from_arrays([pa.array([file_id], pa.int32())], ["file_id"])
+                member.write("".join(line + "\n" for _, line in rows).encode())
 
 
 def write_archives(ticks: DataFrame, template: str, mended: bool = False) -> list[int]:
     """Ticks as zipped logs, one archive per source at its path; returns the ids, as many as archives."""
     target = _arrow_uri(template)
     lines = ticks.select("source_id", "seq", _log_line(mended).alias("line"))
-    written = lines.groupBy("source_id").applyInPandas(lambda rows: _write_archive(rows, target), "file_id int")
+    # Sorted by Spark, which spills; a task holds one batch of lines.
+    lines = lines.repartition("source_id").sortWithinPartitions("source_id", "seq").select("source_id", "line")
+    written = lines.mapInArrow(lambda batches: _write_archives(batches, target), "file_id int")
     return [row.file_id for row in written.collect()]
 
 
