@@ -5,9 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pyspark.sql import functions as F
-
-from tickloom.llm import chosen_path, langid_crf, merkle, mil, mixing, packing, quality_rules, rans, sharding, toxicity
+from tickloom.llm import chosen_path, langid_crf, merkle, mil, mixing, packing, quality_rules, rans, sharding, toxicity, whitening
 
 QUERIES = {}
 ORACLES = {}
@@ -227,3 +225,9 @@ def op9_token_files(spark, sf_dir):
 def op10_pack(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(rows, whitening.fit(rows))
