@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tickloom.llm import chosen_path, langid_crf, merkle, mil, mixing, packing, quality_rules, rans, sharding, toxicity, whitening
+from tickloom.llm import chosen_path, langid_crf, merkle, mil, mixing, packing, quality_rules, rans, sharding, spelling, toxicity, whitening
 
 QUERIES = {}
 ORACLES = {}
@@ -227,6 +227,50 @@ def op10_pack(spark, sf_dir):
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+@query
+def op12_spelling(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ORACLES["op12_spelling"] = r"""
+WITH RECURSIVE crc AS (
+    SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1))) ORDER BY i) AS t
+    FROM range(256) r(i)
+), runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{7,}')) AS run FROM documents
+), lowered AS (
+    SELECT CAST(doc_id AS VARCHAR) AS id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+    FROM runs GROUP BY ALL
+), hashed AS (
+    SELECT run, times, xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(range(1, CAST(length(hex(encode(id || ':' || run))) // 2 + 1 AS BIGINT)),
+            lambda i: CAST('0x' || substr(hex(encode(id || ':' || run)), 2 * i - 1, 2) AS BIGINT))),
+        lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]))) AS h
+    FROM lowered, crc
+), damaged AS (
+    SELECT times, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed
+), v AS (
+    SELECT word, CAST(sum(times) AS BIGINT) AS n FROM damaged WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2
+), gaps AS (
+    SELECT word, n, i, CASE WHEN i = 0 THEN word ELSE substr(word, 1, i - 1) || substr(word, i + 1) END AS gap
+    FROM (SELECT word, n, unnest(range(0, length(word) + 1)) AS i FROM v)
+), near AS (
+    SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b USING (gap)
+    WHERE a.word <> b.word AND (a.i = b.i OR a.i = 0 OR b.i = 0)
+), best AS (
+    SELECT word, count(*) AS n_near, max(other_n) AS most FROM near GROUP BY word
+), forms AS (
+    SELECT v.word, v.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CASE WHEN most >= 10 * v.n THEN most END AS form_n,
+           CASE WHEN most >= 10 * v.n THEN (SELECT min(other) FROM near WHERE near.word = v.word AND other_n = most) END AS form
+    FROM v LEFT JOIN best USING (word)
+), paths AS (
+    SELECT word, word AS root, form FROM forms
+    UNION ALL SELECT p.word, f.word, f.form FROM paths p JOIN forms f ON f.word = p.form
+)
+SELECT f.word, f.form, p.root, f.n, f.n_near, f.form_n FROM forms f JOIN paths p ON p.word = f.word AND p.form IS NULL
+"""
+
+
 @query
 def op13_whitening(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
