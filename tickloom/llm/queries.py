@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tickloom.llm import chosen_path, langid_crf, merkle, mil, mixing, packing, quality_rules, rans, sharding, spelling, toxicity, whitening
+from tickloom.llm import chosen_path, langid_crf, merkle, mil, mixing, packing, quality_rules, rans, recompression, sharding, spelling, toxicity, whitening
 
 QUERIES = {}
 ORACLES = {}
@@ -227,6 +227,32 @@ def op10_pack(spark, sf_dir):
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+@query
+def op11_repeated_passages(spark, sf_dir):
+    rows = recompression.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op11_repeated_passages"] = r"""
+WITH t AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), w AS (
+    SELECT doc_id, i, md5(array_to_string(ws[i : i + 49], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM t)
+), f AS (
+    SELECT h, min(doc_id) AS first FROM w GROUP BY h
+), c AS (
+    SELECT DISTINCT doc_id, j FROM (SELECT doc_id, unnest(range(i, i + 50)) AS j FROM w JOIN f USING (h) WHERE first < doc_id)
+), p AS (
+    SELECT doc_id, unnest(range(1, len(ws) + 1)) AS j, unnest(ws) AS word FROM t
+), k AS (
+    SELECT p.doc_id, string_agg(word, ' ' ORDER BY j) AS kept FROM p ANTI JOIN c USING (doc_id, j) GROUP BY p.doc_id
+)
+SELECT t.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce((SELECT count(*) FROM c WHERE c.doc_id = t.doc_id), 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN k USING (doc_id)
+"""
+
+
 @query
 def op12_spelling(spark, sf_dir):
     return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
