@@ -4,15 +4,16 @@ A sequence of words is rewritten round by round: a run of equal symbols becomes
 pairs of a left and a right symbol do, the sides being dealt by hash anew in every round. A symbol's name
 is a hash of what it stands for, so all tasks give equal content one name, whatever is around it.
 Equal windows of words therefore agree in all symbols but those at their ends, which might
-still join something outside. Round by round these end symbols are taken off; the ones taken off and the
-few left in the last round spell the window, and the least of those left is its *anchor*.
+still join something outside. Round by round these end symbols are taken off; the ones taken off and those
+left in the last round spell the window. Of those left, the neighbours with the least hash are its *anchor*:
+a window's anchor does not depend on its surroundings, and windows that overlap mostly share it.
 
 Spark's rounds work on the symbols: all documents' anchors are counted by name, and those in one document
 only are done with. Neighbouring windows with one anchor form a block. Blocks are compared by name and
 content over all documents; a block that also begins in a smaller document is a repeat as a whole, so a
 long repeat takes few rows, and a passage that very many documents share one row per task. Only where a
-name goes with several contents, at the edges of repeats, single windows are compared. Contents are compared by 128 bits,
-half from symbols and half from a polynomial over the words.
+name goes with several contents, at the edges of repeats, single windows are compared. Both are told apart by
+128 bits: a block by its name and its content, a window by its spelling and a polynomial over its words.
 
 Defined results: a null text has no words; a null id counts as larger than any other, and rows with
 the same id do not remove each other's words; a text shorter than the window keeps all. Texts of any
@@ -33,8 +34,11 @@ from tickloom.llm.common import bound_batches, mix, slices, span_hashes, text_by
 from tickloom.session import materialise
 
 WINDOW = 50
-# A window takes its anchor in the last round that leaves it this many symbols.
-FEW = 3
+# Three rounds leave about 16 of 50 words' symbols. More make anchors longer but windows share them less: with five
+# rounds there were twice as many blocks. An anchor is JOINT neighbouring symbols, about twelve words. A window
+# that would be left with fewer than FEW (runs, short periods) takes its anchor a round earlier.
+ROUNDS, JOINT = 3, 5
+FEW = JOINT + 2
 # Windows worked on at once.
 CHUNK = 1 << 17
 _A, _B, _K = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
@@ -115,19 +119,27 @@ def parse(words: np.ndarray, starts: np.ndarray, width: int = WINDOW) -> tuple[n
     symbols, begin, live = words, np.arange(len(words)), np.arange(len(starts))
     left, right, spelled, level = starts, starts + width, np.zeros(len(starts), np.uint64), 0
     while len(live):
-        symbols_, begin_, left_, right_, spelled_ = _contract(symbols, begin, left, right, spelled, level)
-        done = right_ - left_ < FEW
+        if level < ROUNDS:
+            symbols_, begin_, left_, right_, spelled_ = _contract(symbols, begin, left, right, spelled, level)
+        done = (right_ - left_ < FEW) if level < ROUNDS else np.ones(len(live), bool)
         at, low, high, text = live[done], left[done], right[done], spelled[done]
-        best, where = symbols[low], low
+        # Neighbouring symbols by one hash; the least hash in the window is its anchor.
+        joint = symbols.copy()
+        for step in range(1, JOINT):
+            joint[:-step] = mix(joint[:-step] * _A + symbols[step:] * _B)
+        short = high - low < JOINT  # of a narrow window: then all symbols together
+        best, where = np.where(short, _ONE, joint[low]), low
         for step in range(int((high - low).max(initial=0))):
             inside = low + step < high
             here = np.where(inside, low + step, low)
-            value = symbols[here]
-            text = np.where(inside, text * _K + mix(value), text)
-            less = value < best
-            best, where = np.where(less, value, best), np.where(less, here, where)
+            text = np.where(inside, text * _K + mix(symbols[here]), text)
+            best = np.where(short & inside, best * _K + mix(symbols[here]), best)
+            less = (joint[here] < best) & (low + step + JOINT <= high)
+            best, where = np.where(less, joint[here], best), np.where(less, here, where)
         anchor[at], place[at], spelling[at] = best, begin[where], mix(text + _salt(level))
         rest = ~done
+        if not rest.any():
+            break
         symbols, begin, left, right, spelled, live = symbols_, begin_, left_[rest], right_[rest], spelled_[rest], live[rest]
         level += 1
     return anchor, place, spelling
@@ -159,8 +171,8 @@ def _window_starts(before: np.ndarray, width: int) -> np.ndarray:
 
 
 def blocks(words: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
-    """Runs of neighbouring windows with one anchor: its name, two hashes of all their words, the first window, their number."""
-    out = [[], [], [], [], []]
+    """Runs of neighbouring windows with one anchor: its name, a hash of all their words, the first window, their number."""
+    out = [[], [], [], []]
     for low in range(0, len(starts), CHUNK):
         part = starts[low : low + CHUNK]
         base = part[0]
@@ -173,16 +185,14 @@ def blocks(words: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarra
         last = np.append(first[1:], len(part)) - 1
         size = (last - first + 1).astype(np.uint64)
         # The first and the last window of a block cover its words, as both hold the anchor.
-        for store, values in zip(out, (name[first], mix(spelling[first] * _A + spelling[last] * _B + size),
-                                       mix(other[first] * _A + other[last] * _B + size), part[first] + base, size.astype(np.int64)), strict=True):
+        content = mix(spelling[first] * _A + mix(spelling[last] * _B + size)) ^ mix(other[first] * _K + mix(other[last] * _A + size))
+        for store, values in zip(out, (name[first], content, part[first] + base, size.astype(np.int64)), strict=True):
             store.append(values)
-    kinds = (np.uint64, np.uint64, np.uint64, np.int64, np.int64)
+    kinds = (np.uint64, np.uint64, np.int64, np.int64)
     return tuple(np.concatenate(x) if x else np.zeros(0, kind) for x, kind in zip(out, kinds, strict=True))
 
 
-_SIGNED = lambda x: pa.array(x.view(np.int64))
-_IDS = "rank bigint, text_key bigint"
-_BLOCK = ["name", "spelled", "hashed"]
+_signed = lambda x: pa.array(x.view(np.int64))
 
 
 def _find_blocks(width: int):
@@ -190,18 +200,18 @@ def _find_blocks(width: int):
         for whole in batches:
             for batch in slices(whole, "text"):
                 _, _, _, before, words = _words(batch.column("text"))
-                name, spelled, hashed, first, size = blocks(words, _window_starts(before, width), width)
+                name, content, first, size = blocks(words, _window_starts(before, width), width)
                 text = np.searchsorted(before, first, "right") - 1
                 ids = [batch.column(c).take(pa.array(text)) for c in ("rank", "text_key")]
                 yield pa.RecordBatch.from_arrays(
-                    [*map(_SIGNED, (name, spelled, hashed)), *ids, pa.array(first - before[text]), pa.array(size.astype(np.int32))],
-                    [*_BLOCK, "rank", "text_key", "first", "size"])
+                    [_signed(name), _signed(content), *ids, pa.array((first - before[text]).astype(np.int32)), pa.array(size.astype(np.int32))],
+                    ["name", "content", "rank", "text_key", "first", "size"])
 
     return run
 
 
 def _find_windows(width: int):
-    """Single windows of listed blocks: ``listed`` has name and hashes of a block, its first window and their number."""
+    """Single windows of the blocks in ``listed``, each with its first window and their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -213,7 +223,8 @@ def _find_windows(width: int):
                 size = np.asarray(entries.field("size")).astype(np.int64)
                 of = np.repeat(np.arange(len(size)), size)
                 step = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
-                starts = np.asarray(entries.field("first"))[of] + before[owner][of] + step
+                position = np.asarray(entries.field("first")).astype(np.int64)[of] + step
+                starts = position + before[owner][of]
                 for low in range(0, len(starts), CHUNK):
                     part = slice(low, low + CHUNK)
                     # Only the words that these windows cover are rewritten.
@@ -223,15 +234,36 @@ def _find_windows(width: int):
                     covered = np.cumsum(used[:-1]) > 0
                     at = (np.cumsum(covered) - 1)[starts[part]]
                     _, _, spelling = parse(words[covered], at, width)
-                    rows = pa.array(of[part])
-                    yield pa.RecordBatch.from_arrays([
-                        *[entries.field(c).take(rows) for c in _BLOCK], batch.column("rank").take(pa.array(owner[of[part]])),
-                        pa.array(step[part].astype(np.int32)), _SIGNED(spelling), _SIGNED(polynomial(words[covered], at, width)),
-                    ], [*_BLOCK, "rank", "step", "window", "window_hash"])
+                    ids = [batch.column(c).take(pa.array(owner[of[part]])) for c in ("rank", "text_key")]
+                    yield pa.RecordBatch.from_arrays(
+                        [_signed(spelling), _signed(polynomial(words[covered], at, width)), *ids, pa.array(position[part].astype(np.int32))],
+                        ["window", "window_hash", "rank", "text_key", "first"])
 
     return run
 
 
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Overlapping and adjacent spans of a text as one."""
+    for batch in batches:
+        lists = batch.column("spans")
+        owner = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(lists.offsets)))
+        entries = lists.flatten()
+        begin, end = (np.asarray(entries.field(c)).astype(np.int64) for c in ("begin", "end"))
+        order = np.lexsort((begin, owner))
+        owner, begin, end = owner[order], begin[order], end[order]
+        # Furthest end so far within a text: owners are kept apart by a stride beyond every end.
+        stride = int(end.max(initial=0)) + 1
+        reach = np.maximum.accumulate(end + owner * stride) if len(end) else end
+        new = np.ones(len(end), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (begin[1:] + owner[1:] * stride > reach[:-1])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(end)) - 1
+        offsets = np.searchsorted(owner[first], np.arange(batch.num_rows + 1))
+        spans = pa.StructArray.from_arrays([pa.array(begin[first]), pa.array((reach - owner * stride)[last])], ["begin", "end"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("rank"), batch.column("text_key"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans)], ["rank", "text_key", "spans"])
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without the words that ``spans`` cover."""
     for whole in batches:
@@ -272,31 +304,32 @@ def _ranked(docs: DataFrame, key: str) -> DataFrame:
 def repeats(docs: DataFrame, key: str = "doc_id", width: int = WINDOW) -> DataFrame:
     """``rank, text_key, spans``: of each text the spans of words in windows that begin in a document with a smaller id, too.
 
-    ``rank`` is the id (the largest long for a null), ``text_key`` a hash that tells texts with one id apart. Spans may overlap.
+    ``rank`` is the id (the largest long for a null), ``text_key`` a hash that tells texts with one id apart.
     """
     bound_batches(docs.sparkSession)
     ranked = _ranked(docs, key).select("rank", "text_key", "text")
-    schema = f"name bigint, spelled bigint, hashed bigint, {_IDS}, first bigint, size int"
-    found = materialise(ranked.mapInArrow(_find_blocks(width), schema), "blocks")
-    # First round over all documents: names that more than one document has.
+    ids = "rank bigint, text_key bigint"
+    found = materialise(ranked.mapInArrow(_find_blocks(width), f"name bigint, content bigint, {ids}, first int, size int"), "blocks")
+    # First round over all documents: names that more than one document has. The lists that follow are stored, so
+    # Spark knows their size when it plans the join; the large side stays in place where they are small.
     shared = found.groupBy("name").agg(F.min("rank").alias("_least"), F.max("rank").alias("_most")).filter("_least < _most").select("name")
     found = materialise(found.join(materialise(shared, "shared-names"), "name", "left_semi"), "shared-blocks")
     # Second: contents of a name, and the least document of each.
-    contents = materialise(found.groupBy(*_BLOCK).agg(F.min("rank").alias("_least")), "contents")
+    contents = materialise(found.groupBy("name", "content").agg(F.min("rank").alias("_least")), "contents")
     several = contents.groupBy("name").agg(F.count("*").alias("_n")).filter("_n > 1").select("name")
-    found = found.join(contents, _BLOCK)
-    span = lambda first, size: F.struct(first.alias("begin"), (first + size + (width - 1)).alias("end"))
+    found = found.join(contents, ["name", "content"])
+    span = lambda first, size: F.struct(first.cast("bigint").alias("begin"), (first + size + (width - 1)).cast("bigint").alias("end"))
     whole = found.filter("rank > _least").select("rank", "text_key", span(F.col("first"), F.col("size")).alias("span"))
-    # Third: where contents differ, windows of the first block of each.
-    edges = materialise(found.filter("rank = _least").drop("_least").join(several, "name", "left_semi"), "edges")
-    listed = edges.dropDuplicates(_BLOCK).groupBy("rank", "text_key").agg(F.collect_list(F.struct(*_BLOCK, "first", "size")).alias("listed"))
-    texts = ranked.join(materialise(listed, "edge-lists"), ["rank", "text_key"]).select("rank", "text", "listed")
-    windows = materialise(texts.mapInArrow(
-        _find_windows(width), "name bigint, spelled bigint, hashed bigint, rank bigint, step int, window bigint, window_hash bigint"), "windows")
+    # Third: where contents differ, the windows of the blocks that come first with theirs.
+    edges = found.filter("rank = _least").join(several, "name", "left_semi")
+    listed = edges.groupBy("rank", "text_key").agg(F.collect_set(F.struct("first", "size")).alias("listed"))
+    texts = ranked.join(materialise(listed, "edges"), ["rank", "text_key"]).select("rank", "text_key", "text", "listed")
+    windows = materialise(texts.mapInArrow(_find_windows(width), f"window bigint, window_hash bigint, {ids}, first int"), "windows")
     least = windows.groupBy("window", "window_hash").agg(F.min("rank").alias("_least"), F.max("rank").alias("_most")).filter("_least < _most")
-    hits = windows.join(least, ["window", "window_hash"]).filter("_least < rank").select(*_BLOCK, "step")
-    single = edges.join(hits, _BLOCK).select("rank", "text_key", span(F.col("first") + F.col("step"), F.lit(1)).alias("span"))
-    return whole.unionByName(single).groupBy("rank", "text_key").agg(F.collect_set("span").alias("spans"))
+    hits = windows.join(materialise(least.drop("_most"), "least"), ["window", "window_hash"]).filter("_least < rank")
+    spans = whole.unionByName(hits.select("rank", "text_key", span(F.col("first"), F.lit(1)).alias("span")))
+    together = spans.groupBy("rank", "text_key").agg(F.collect_set("span").alias("spans"))
+    return together.mapInArrow(_merge, f"{ids}, spans array<struct<begin: bigint, end: bigint>>")
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", width: int = WINDOW) -> DataFrame:
