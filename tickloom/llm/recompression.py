@@ -301,6 +301,18 @@ def _ranked(docs: DataFrame, key: str) -> DataFrame:
     return docs.select(F.col(key).alias("_key"), rank.alias("rank"), F.xxhash64(text_of()).alias("text_key"), text_of().alias("text"))
 
 
+def _join(left: DataFrame, right: DataFrame, keys: list[str], total: int, how: str = "inner") -> DataFrame:
+    """Join with a frame that has each key once, and in ``_n`` how many of the ``total`` rows on the left have it.
+
+    Keys with more than a thousandth of the rows would each be one task's work. There are fewer than a thousand
+    of them, whatever the size of the tables, so their part of the right side is broadcast, and the rows
+    stay where they are. All others are shuffled, always: plans are the same at every size.
+    """
+    hot, cold = right.filter(F.col("_n") > total / 1000).drop("_n"), right.filter(F.col("_n") <= total / 1000).drop("_n")
+    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return left.join(F.broadcast(hot), keys, how).unionByName(rest.join(cold.hint("merge"), keys, how))
+
+
 def repeats(docs: DataFrame, key: str = "doc_id", width: int = WINDOW) -> DataFrame:
     """``rank, text_key, spans``: of each text the spans of words in windows that begin in a document with a smaller id, too.
 
@@ -310,23 +322,24 @@ def repeats(docs: DataFrame, key: str = "doc_id", width: int = WINDOW) -> DataFr
     ranked = _ranked(docs, key).select("rank", "text_key", "text")
     ids = "rank bigint, text_key bigint"
     found = materialise(ranked.mapInArrow(_find_blocks(width), f"name bigint, content bigint, {ids}, first int, size int"), "blocks")
-    # First round over all documents: names that more than one document has. The lists that follow are stored, so
-    # Spark knows their size when it plans the join; the large side stays in place where they are small.
-    shared = found.groupBy("name").agg(F.min("rank").alias("_least"), F.max("rank").alias("_most")).filter("_least < _most").select("name")
-    found = materialise(found.join(materialise(shared, "shared-names"), "name", "left_semi"), "shared-blocks")
+    # First round over all documents: names that more than one document has.
+    least_most = (F.min("rank").alias("_least"), F.max("rank").alias("_most"), F.count("*").alias("_n"))
+    shared = materialise(found.groupBy("name").agg(*least_most).filter("_least < _most").select("name", "_n"), "shared-names")
+    found = materialise(_join(found, shared, ["name"], found.count(), "left_semi"), "shared-blocks")
     # Second: contents of a name, and the least document of each.
-    contents = materialise(found.groupBy("name", "content").agg(F.min("rank").alias("_least")), "contents")
-    several = contents.groupBy("name").agg(F.count("*").alias("_n")).filter("_n > 1").select("name")
-    found = found.join(contents, ["name", "content"])
+    total = found.count()
+    contents = materialise(found.groupBy("name", "content").agg(F.min("rank").alias("_least"), F.count("*").alias("_n")), "contents")
+    several = contents.groupBy("name").agg(F.count("*").alias("_contents"), F.sum("_n").alias("_n")).filter("_contents > 1").select("name", "_n")
+    found = _join(found, contents, ["name", "content"], total)
     span = lambda first, size: F.struct(first.cast("bigint").alias("begin"), (first + size + (width - 1)).cast("bigint").alias("end"))
     whole = found.filter("rank > _least").select("rank", "text_key", span(F.col("first"), F.col("size")).alias("span"))
     # Third: where contents differ, the windows of the blocks that come first with theirs.
-    edges = found.filter("rank = _least").join(several, "name", "left_semi")
+    edges = _join(found.filter("rank = _least"), materialise(several, "several"), ["name"], total, "left_semi")
     listed = edges.groupBy("rank", "text_key").agg(F.collect_set(F.struct("first", "size")).alias("listed"))
-    texts = ranked.join(materialise(listed, "edges"), ["rank", "text_key"]).select("rank", "text_key", "text", "listed")
+    texts = ranked.join(materialise(listed, "edges").hint("merge"), ["rank", "text_key"]).select("rank", "text_key", "text", "listed")
     windows = materialise(texts.mapInArrow(_find_windows(width), f"window bigint, window_hash bigint, {ids}, first int"), "windows")
-    least = windows.groupBy("window", "window_hash").agg(F.min("rank").alias("_least"), F.max("rank").alias("_most")).filter("_least < _most")
-    hits = windows.join(materialise(least.drop("_most"), "least"), ["window", "window_hash"]).filter("_least < rank")
+    least = windows.groupBy("window", "window_hash").agg(*least_most).filter("_least < _most").drop("_most")
+    hits = _join(windows, materialise(least, "least"), ["window", "window_hash"], windows.count()).filter("_least < rank")
     spans = whole.unionByName(hits.select("rank", "text_key", span(F.col("first"), F.lit(1)).alias("span")))
     together = spans.groupBy("rank", "text_key").agg(F.collect_set("span").alias("spans"))
     return together.mapInArrow(_merge, f"{ids}, spans array<struct<begin: bigint, end: bigint>>")
@@ -335,6 +348,6 @@ def repeats(docs: DataFrame, key: str = "doc_id", width: int = WINDOW) -> DataFr
 def without_repeats(docs: DataFrame, key: str = "doc_id", width: int = WINDOW) -> DataFrame:
     """``<key>, kept, n_words, n_removed`` for every row: its words that are not part of such a window, joined by one space."""
     spans = materialise(repeats(docs, key, width), "spans")
-    rows = _ranked(docs, key).join(spans, ["rank", "text_key"], "left").select("_key", "text", "spans")
+    rows = _ranked(docs, key).join(spans.hint("merge"), ["rank", "text_key"], "left").select("_key", "text", "spans")
     kind = docs.schema[key].dataType.simpleString()
     return rows.mapInArrow(_cut, f"key {kind}, kept string, n_words bigint, n_removed bigint").withColumnRenamed("key", key)
