@@ -11,7 +11,7 @@ T0 = datetime(2025, 12, 1, 7, 0)
 
 def log(spark, *rows):
     """(file_id, status, minutes after T0, etl_sec) rows in order."""
-    full = [(f, s, T0 + timedelta(minutes=m), sec, i, None) for i, (f, s, m, sec) in enumerate(rows)]
+    full = [(f, s, T0 + timedelta(minutes=m), sec, i, None, None, None) for i, (f, s, m, sec) in enumerate(rows)]
     return spark.createDataFrame(full, FILE_STATUS_LOG)
 
 
@@ -108,4 +108,18 @@ def test_only_current_loads_are_visible(spark):
                                  "source_id int, load_id bigint, v string")
     full = [(1, "SUCCESS", T0, 0, 0, 1), (1, "SUCCESS", T0, 0, 1, 2), (2, "SUCCESS", T0, 0, 0, 1),
             (2, "FAILED", T0, 0, 1, 2), (3, "PROCESSING", T0, 0, 0, 1)]
-    assert as_set(ledger.visible(fact, spark.createDataFrame(full, FILE_STATUS_LOG)), "v") == {("new",), ("a",)}
+    assert as_set(ledger.visible(fact, spark.createDataFrame([(*row, None, None) for row in full], FILE_STATUS_LOG)), "v") == {("new",), ("a",)}
+
+
+def test_states_fold_in_any_order_and_grouping(spark):
+    """Partial states of random parts of a log, folded in two steps, are the fold of the log."""
+    dice = random.Random(3)
+    full = [(dice.randrange(9), dice.choice(ledger.STATUSES), T0 + timedelta(minutes=dice.randrange(40)), dice.randrange(99), i, i % 7,
+             dice.choice([None, f"{i % 7}-x"]), None) for i in range(200)]
+    whole = spark.createDataFrame(full, FILE_STATUS_LOG)
+    parts = [ledger.fold_states(ledger.transition_states(whole.filter(f"seq % 3 = {k}"))) for k in range(3)]
+    folded = ledger.fold_states(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    assert as_set(folded) == as_set(ledger.fold_states(ledger.transition_states(whole)))
+    assert as_set(ledger.status_of(folded)) == as_set(ledger.file_status(whole))
+    assert as_set(folded.filter("ok_at IS NOT NULL").select("file_id", "load_id")) == as_set(
+        ledger.current_loads(whole).select("source_id", "load_id"))

@@ -338,6 +338,21 @@ ORACLES = {
       seen AS (SELECT source_id, count(DISTINCT Comm) AS n FROM good GROUP BY 1)
       SELECT source_id AS file_id, 'SUCCESS' AS status, CAST(n AS BIGINT) AS visible_sessions FROM seen
       UNION ALL SELECT 9999, 'FAILED', 0""",
+    "rerun_load": f"""WITH {RAW}, kept AS (SELECT source_id, count(DISTINCT Comm) AS n, sum(Volume) AS v FROM raw WHERE Price > 0 AND source_id % 2 = 0 GROUP BY 1)
+      SELECT source_id AS file_id, 'SUCCESS' AS status, CAST(1 AS BIGINT) AS retry_count, CAST(coalesce(any_value(n), 0) AS BIGINT) AS visible_sessions,
+             CAST(coalesce(any_value(v), 0) AS BIGINT) AS visible_volume, CAST(0 AS BIGINT) AS illegal FROM raw LEFT JOIN kept USING (source_id) GROUP BY 1""",
+    "compacted_facts": f"""{SESSION_STAR}
+      SELECT fact.* EXCLUDE (Comm_id), CAST(CASE WHEN source_id % 2 = 1 THEN 4 ELSE 1 + source_id % 3 END AS BIGINT) AS load_id, Comm_Code AS Comm,
+             CAST(1 AS BIGINT) AS folders FROM fact JOIN codes USING (Comm_id)""",
+    "carried_volatility": f"""WITH {TICKS}, stg AS ({session()}), moved AS (
+        SELECT Comm, Trade_Date, Close, lag(Close) OVER (PARTITION BY Comm ORDER BY Trade_Date) AS Prev_Close FROM (
+          SELECT Comm, Trade_Date, arg_max(CASE WHEN source_id % 2 = 1 THEN 2 * Close ELSE Close END, source_id) AS Close FROM stg GROUP BY ALL))
+      SELECT Comm, Trade_Date, Close, Prev_Close, round((Close - Prev_Close) / NULLIF(Prev_Close, 0), 6) AS Change
+      FROM moved WHERE abs((Close - Prev_Close) / NULLIF(Prev_Close, 0)) > 0.2""",
+    "ledger_snapshots": f"WITH {LEDGER} {STATUS.format(log='log')}",
+    "ingest_replayed": f"""WITH {LINES}, good AS (SELECT * FROM lines WHERE reason IS NULL AND Price > 0)
+      SELECT source_id AS file_id, CAST(3 AS BIGINT) AS ledger_rows, CAST(1 AS BIGINT) AS job_rows,
+             CAST(count(DISTINCT Comm) AS BIGINT) AS visible_sessions, 'SUCCESS' AS status FROM good GROUP BY source_id""",
     "file_status": f"WITH {LEDGER} {STATUS.format(log='log')}",
     "pending_files": f"""WITH {LEDGER}, s AS ({STATUS.format(log='log')})
       SELECT file_id FROM s WHERE status = 'PENDING' ORDER BY file_id LIMIT 10""",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import ledger_order
 from tickloom.operators.sequences import number_rows, with_previous
-from tickloom.schemas import FILE_STATUS_LOG, JOB_ENTRY
+from tickloom.schemas import FILE_STATUS_LOG, JOB_ENTRY, LEDGER_STATE
 
 STATUSES = ("PENDING", "PROCESSING", "SUCCESS", "FAILED")
 FIRST_FILE_ID = 6076
@@ -50,6 +50,36 @@ def file_status(log: DataFrame) -> DataFrame:
     )
 
 
+def transition_states(log: DataFrame) -> DataFrame:
+    """Every transition as the state it would be if it were the file's only one."""
+    at, done = ledger_order(), F.col("status") == "SUCCESS"
+    return log.select(
+        "file_id", at.alias("last_at"), F.array_position(F.array(*map(F.lit, STATUSES)), F.col("status")).cast("int").alias("code"),
+        "etl_sec", F.col("changed_at").alias("created_at"), F.col("changed_at").alias("updated_at"),
+        (F.col("status") == "FAILED").cast("bigint").alias("retry_count"), F.col("segment").alias("open_segment"),
+        F.when(done, at).alias("ok_at"), F.when(done, F.col("load_id")).alias("load_id"),
+        F.when(done, F.coalesce("segment", F.col("load_id").cast("string"))).alias("segment"),
+    ).select(*LEDGER_STATE.names)
+
+
+def fold_states(states: DataFrame) -> DataFrame:
+    """One state per file from any number of partial ones, in any order: snapshots and later transitions alike."""
+    last = lambda name: F.max_by(name, "last_at").alias(name)
+    ok = lambda name: F.max_by(name, "ok_at").alias(name)
+    return states.groupBy("file_id").agg(
+        F.max("last_at").alias("last_at"), last("code"), last("etl_sec"), F.min("created_at").alias("created_at"),
+        F.max("updated_at").alias("updated_at"), F.sum("retry_count").alias("retry_count"), last("open_segment"),
+        F.max("ok_at").alias("ok_at"), ok("load_id"), ok("segment"),
+    ).select(*LEDGER_STATE.names)
+
+
+def status_of(states: DataFrame) -> DataFrame:
+    """The columns of :func:`file_status` from folded states."""
+    names = F.array(*map(F.lit, STATUSES))
+    return states.select(
+        "file_id", F.get(names, F.col("code") - 1).alias("status"), "created_at", "updated_at", "etl_sec", "retry_count")
+
+
 def pending_files(status: DataFrame, n: int = 1) -> DataFrame:
     """The ``n`` pending files with the smallest ids."""
     return status.filter(F.col("status") == "PENDING").select("file_id").orderBy("file_id").limit(n)
@@ -69,11 +99,11 @@ def next_file_id(log: DataFrame, seed: int = FIRST_FILE_ID - 1) -> DataFrame:
 
 def transitions(
     files: DataFrame, status: Column | str, at: datetime, etl_sec: Column | int = 0,
-    load_id: int | None = None, step: int = 0,
+    load_id: int | None = None, step: int = 0, segment: str | None = None, txn: str | None = None,
 ) -> DataFrame:
     """Ledger rows that move each ``file_id`` of ``files`` to a status.
 
-    ``step`` orders transitions that share a timestamp.
+    ``step`` orders transitions that share a timestamp. ``segment`` is where the attempt's facts are.
     """
     status = F.lit(status) if isinstance(status, str) else status
     etl_sec = F.lit(etl_sec) if isinstance(etl_sec, int) else etl_sec
@@ -84,6 +114,8 @@ def transitions(
         etl_sec.cast("int").alias("etl_sec"),
         F.lit(step).cast("bigint").alias("seq"),
         F.lit(load_id).cast("bigint").alias("load_id"),
+        F.lit(segment).cast("string").alias("segment"),
+        F.lit(txn).cast("string").alias("txn"),
     ).select(*FILE_STATUS_LOG.names)
 
 
@@ -92,19 +124,21 @@ def seed_next(log: DataFrame, at: datetime, seed: int = FIRST_FILE_ID - 1) -> Da
     return transitions(next_file_id(log, seed), "PENDING", at)
 
 
-def opening_moves(files: DataFrame, log: DataFrame, at: datetime, load_id: int) -> DataFrame:
+def opening_moves(
+    files: DataFrame, status: DataFrame, at: datetime, load_id: int, segment: str | None = None, txn: str | None = None,
+) -> DataFrame:
     """The ledger rows that bring every file of a load to PROCESSING by legal steps.
 
-    A file that is not PENDING is requested first; one that a crashed load left PROCESSING has
-    failed before that.
+    ``status`` has ``file_id, status`` of known files. A file that is not PENDING is requested first; one that
+    a crashed load left PROCESSING has failed before that.
     """
-    now = file_status(log).select("file_id", F.col("status").alias("_now"))
+    now = status.select("file_id", F.col("status").alias("_now"))
     known = files.select("file_id").distinct().join(now, "file_id", "left")
     crashed = known.filter("_now = 'PROCESSING'")
     asked = known.filter("_now IS NULL OR _now <> 'PENDING'")
-    rows = transitions(crashed, "FAILED", at, step=0)
-    rows = rows.unionByName(transitions(asked, "PENDING", at, step=1))
-    return rows.unionByName(transitions(known, "PROCESSING", at, load_id=load_id, step=2))
+    rows = transitions(crashed, "FAILED", at, step=0, txn=txn)
+    rows = rows.unionByName(transitions(asked, "PENDING", at, step=1, txn=txn))
+    return rows.unionByName(transitions(known, "PROCESSING", at, load_id=load_id, step=2, segment=segment, txn=txn))
 
 
 def request_backfill(log: DataFrame, ids: list[int], at: datetime) -> DataFrame:
@@ -174,7 +208,8 @@ def visible(fact: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def sla_breaches(
-    log: DataFrame, load_id: int, at: datetime, max_sec: int = 120, deadline_hour: int = 8, timezone: str = "UTC"
+    log: DataFrame, load_id: int, at: datetime, max_sec: int = 120, deadline_hour: int = 8, timezone: str = "UTC",
+    txn: str | None = None,
 ) -> DataFrame:
     """Job-log entries, tagged ``SLA``, for the runs of a load that :func:`sla_report` does not pass."""
     runs = sla_report(log.filter(F.col("load_id") == load_id), max_sec, deadline_hour, timezone)
@@ -183,16 +218,17 @@ def sla_breaches(
         F.lit("manual").alias("dag_id"), F.lit("sla").alias("task_id"), F.lit(str(load_id)).alias("run_id"),
         F.col("file_id").cast("string").alias("file_id"), "level", F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz").alias("execution_time"),
         F.lit(0).cast("bigint").alias("row_count"), F.concat(F.lit("SLA "), "level", F.lit(": "), why).alias("error_message"),
+        F.lit(txn).cast("string").alias("txn"),
     ).withColumnRenamed("level", "status").select(*JOB_ENTRY.names)
 
 
 def job_entry(
     spark: SparkSession, status: str, at: datetime, dag_id: str = "manual", task_id: str = "manual",
-    run_id: str = "manual", file_id=None, row_count: int = 0, error_message: str | None = None,
+    run_id: str = "manual", file_id=None, row_count: int = 0, error_message: str | None = None, txn: str | None = None,
 ) -> DataFrame:
     """One job-log row."""
     file_id = None if file_id is None else str(file_id)
-    row = (dag_id, task_id, run_id, file_id, status, at, row_count, error_message)
+    row = (dag_id, task_id, run_id, file_id, status, at, row_count, error_message, txn)
     return spark.createDataFrame([row], JOB_ENTRY)
 
 

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCKER, WARNING = "BLOCKER", "WARNING"
+BLOCKER, WARNING, INFO = "BLOCKER", "WARNING", "INFO"
+ROWS = "ROWS"
 
 
 class QualityError(ValueError):
@@ -34,11 +35,11 @@ def _row_rules(columns: Sequence[str]) -> list[tuple[str, str, Column]]:
     ]
 
 
-def dq_report(df: DataFrame, dataset: str, by: Sequence[str] = ()) -> DataFrame:
+def dq_report(df: DataFrame, dataset: str, by: Sequence[str] = (), rows: bool = False) -> DataFrame:
     """Violations of every applicable rule, counted in one aggregate.
 
     ``by`` splits the counts, e.g. per ``source_id``. EMPTY can only be seen without it: a
-    group that has no rows has no group.
+    group that has no rows has no group. ``rows`` adds the number of rows, as the rule ROWS.
     """
     rules = _row_rules(df.columns)
     counts = df.groupBy(*by).agg(
@@ -46,6 +47,7 @@ def dq_report(df: DataFrame, dataset: str, by: Sequence[str] = ()) -> DataFrame:
     )
     entries = [("EMPTY", BLOCKER, (F.col("_rows") == 0).cast("bigint"))] if not by else []
     entries += [(name, severity, F.col(name)) for name, severity, _ in rules]
+    entries += [(ROWS, INFO, F.col("_rows"))] if rows else []
     listed = F.array(*[
         F.struct(F.lit(n).alias("rule"), F.lit(s).alias("severity"), v.alias("violations"))
         for n, s, v in entries
@@ -118,6 +120,11 @@ def dq_volatility(session: DataFrame, pct: float = 0.20) -> DataFrame:
     daily = session.groupBy("Comm", "Trade_Date").agg(F.max_by("Close", "source_id").alias("Close"))
     by_date = Window.partitionBy("Comm").orderBy("Trade_Date")
     moved = daily.withColumn("Prev_Close", F.lag("Close").over(by_date))
+    return large_moves(moved, pct)
+
+
+def large_moves(moved: DataFrame, pct: float) -> DataFrame:
+    """Rows whose ``Close`` differs from ``Prev_Close`` by more than ``pct``, with the change."""
     change = F.try_divide(F.col("Close") - F.col("Prev_Close"), F.col("Prev_Close"))
     return moved.withColumn("Change", change).filter(F.abs("Change") > pct)
 

@@ -1,8 +1,11 @@
 """The tick load and the star load.
 
-A load takes any number of files in one set of jobs. Facts go in under a new ``load_id`` and
-become visible through the ledger's SUCCESS rows, which are written last: a reader sees
-either the previous load of a source or the whole new one.
+A load takes any number of files in one set of jobs. Facts go into a segment of the attempt and
+become visible through the ledger's SUCCESS rows, which name it and are written last: a reader sees
+either the previous load of a source or the whole new one (:mod:`tickloom.plans.publish`).
+
+What a load knows per *file* (status, seconds, row counts, warnings) is held by the driver, as is the list of
+files it was asked for. What grows with ticks or codes stays in tables.
 """
 
 from __future__ import annotations
@@ -11,23 +14,25 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators import dims, facts, marts, quality, rollups
 from tickloom.operators.ledger import (
-    file_status,
     job_entry,
     opening_moves,
     pending_files,
     sla_breaches,
+    status_of,
     transitions,
-    visible,
 )
 from tickloom.operators.ticks import is_valid, valid_ticks
+from tickloom.plans import closes
+from tickloom.plans.publish import new_segment, visible_fact, write_facts
 from tickloom.plans.warehouse import Warehouse, absent_files
-from tickloom.schemas import TICK_COLUMNS
+from tickloom.schemas import JOB_ENTRY, TABLES, TICK_COLUMNS
 from tickloom.session import materialise
 from tickloom.sources.rows import READ_SECONDS, UNKNOWN_HEADER, UNREADABLE_ARCHIVE
 from tickloom.sources.zips import pattern_of, read_tick_zips, tick_paths
@@ -54,19 +59,35 @@ def stage_ticks(wh: Warehouse, ticks: DataFrame) -> DataFrame:
     violates a blocker rule is left out of all three tables. Returns the stored quality
     report, one row per source, table and rule.
     """
-    return _stage_cells(wh, materialise(rollups.tick_cells(valid_ticks(ticks)), "cells"))
+    report = _stage_cells(wh, materialise(rollups.tick_cells(valid_ticks(ticks)), "cells"))
+    closes.drop(wh)
+    return report
 
 
 def _stage_cells(wh: Warehouse, cells: DataFrame) -> DataFrame:
+    """Staging from cells; the report also has the rows of every source, under the rule ROWS.
+
+    Each write counts what it writes, and the counts must be those of the report.
+    """
     rolled = {
         "stg_hourly_stats": rollups.hourly_from_cells(cells),
         "stg_session_summary": rollups.session_from_cells(cells),
         "stg_trade_distribution": rollups.distribution_from_cells(cells),
     }
-    reports = [quality.dq_report(df, name, by=["source_id"]) for name, df in rolled.items()]
+    reports = [quality.dq_report(df, name, by=["source_id"], rows=True) for name, df in rolled.items()]
     report = materialise(reduce(DataFrame.unionByName, reports), "quality")
     blocked = quality.blocked_sources(report)
-    _each(rolled, lambda name, df: wh.replace(name, df.join(blocked, "source_id", "left_anti")))
+    written = {name: Observation(name) for name in rolled}
+
+    def write(name: str, df: DataFrame) -> None:
+        wh.replace(name, df.join(blocked, "source_id", "left_anti"), written[name])
+
+    _each(rolled, write)
+    counted = report.filter(F.col("rule") == quality.ROWS).join(blocked, "source_id", "left_anti")
+    expected = {r["dataset"]: r["n"] for r in counted.groupBy("dataset").agg(F.sum("violations").alias("n")).collect()}
+    for name, seen in written.items():
+        if seen.get.get("rows", 0) != expected.get(name, 0):
+            raise RuntimeError(f"{name}: {seen.get.get('rows', 0)} rows written, {expected.get(name, 0)} counted")
     return report
 
 
@@ -82,28 +103,64 @@ def _cells_and_bad_lines(parsed: DataFrame) -> DataFrame:
     return rollups.tick_cells(rows.filter(bad | is_valid()), also=("reason", "bad_seq", "line"))
 
 
-def stage_lines(
-    wh: Warehouse, parsed: DataFrame, loaded: Iterable[int] = ()
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+class Staged(NamedTuple):
+    """What staging found out, per file of a load: rows staged, why a file failed, seconds, warnings."""
+
+    rows: dict[int, int]
+    failed: dict[int, str]
+    seconds: dict[int, int]
+    warnings: dict[int, list[str]]
+
+
+def stage_lines(wh: Warehouse, parsed: DataFrame, loaded: Iterable[int] = ()) -> Staged:
     """:func:`stage_ticks` for parsed files, with their bad lines kept in the quarantine.
 
     Files that cannot be read to the end, or have an unknown header, are not staged at all.
     ``loaded`` are the sources of these files: what is staged or in quarantine of theirs from an
-    earlier delivery goes, also where the new one has nothing. Returns the quality report, the
-    failed files with the reason, and the seconds it took to read each file, if ``parsed`` says.
+    earlier delivery goes, also where the new one has nothing.
     """
-    stored = materialise(_cells_and_bad_lines(parsed), "cells")
-    bad = stored.filter(F.col("reason").isNotNull())
-    timed = bad.filter(F.col("reason") == READ_SECONDS).select(
-        "source_id", F.ceil(F.col("line").cast("double")).cast("int").alias("sec"))
-    whole_file = F.col("reason").isin(UNREADABLE_ARCHIVE, UNKNOWN_HEADER)
-    unreadable = materialise(bad.filter(whole_file).select("source_id", "reason").distinct(), "unreadable")
     loaded = [*loaded]
+    closes.ensure(wh)
+    stored = materialise(_cells_and_bad_lines(parsed), "cells")
+    of_files = F.col("reason").isin(UNREADABLE_ARCHIVE, UNKNOWN_HEADER, READ_SECONDS)
+    # A row or two per file, but one per line below an unknown header.
+    notes = stored.filter(of_files).select("source_id", "reason", F.when(F.col("reason") == READ_SECONDS, F.col("line")).alias("line"))
+    failed: dict[int, str] = {}
+    seconds: dict[int, float] = {}
+    for row in notes.distinct().collect():
+        if row["reason"] == READ_SECONDS:
+            seconds[row["source_id"]] = seconds.get(row["source_id"], 0) + -(-float(row["line"]) // 1)
+        else:
+            failed[row["source_id"]] = min(row["reason"], failed.get(row["source_id"], row["reason"]))
+    there = set(wh.partitions("stg_session_summary"))
+    again = [i for i in loaded if str(i) in there]
+    if again:
+        closes.forget(wh, again, _staged(wh, "stg_session_summary", again))
     for name in ("quarantine", *STAGING):
         wh.clear(name, loaded)
-    wh.replace("quarantine", bad.filter(F.col("reason") != READ_SECONDS).withColumnRenamed("bad_seq", "seq"))
+    bad = stored.filter(F.col("reason").isNotNull() & (F.col("reason") != READ_SECONDS)).withColumnRenamed("bad_seq", "seq")
     cells = stored.filter(F.col("reason").isNull()).drop("reason", "bad_seq", "line")
-    return _stage_cells(wh, cells.join(unreadable, "source_id", "left_anti")), unreadable, timed
+    with ThreadPoolExecutor(1) as pool:
+        quarantined = pool.submit(wh.replace, "quarantine", bad)
+        report = _stage_cells(wh, cells.filter(~F.col("source_id").isin([*failed])) if failed else cells)
+        quarantined.result()
+    rows: dict[int, int] = {}
+    warned: dict[int, list[str]] = {}
+    told = report.filter((F.col("violations") > 0)).select("source_id", "dataset", "rule", "severity", "violations").collect()
+    for source, dataset, rule, severity, n in told:
+        if rule == quality.ROWS:
+            rows[source] = rows.get(source, 0) + n
+        elif severity == quality.BLOCKER:
+            failed[source] = min(f"{dataset}: {rule}", failed.get(source, f"{dataset}: {rule}"))
+        else:
+            warned.setdefault(source, []).append(f"WARNING {dataset} {rule} ({n})")
+    good = [i for i in rows if i not in failed]
+    if good:
+        sessions = _staged(wh, "stg_session_summary", good)
+        months = closes.remember(wh, good, sessions)
+        for source, n in closes.warnings(wh, sessions, months).collect():
+            warned.setdefault(source, []).append(f"WARNING stg_session_summary VOLATILITY ({n})")
+    return Staged({i: n for i, n in rows.items() if i not in failed}, failed, {i: int(s) for i, s in seconds.items()}, warned)
 
 
 def _staged(wh: Warehouse, name: str, ids: Iterable[int] | None) -> DataFrame:
@@ -116,33 +173,38 @@ def _staged(wh: Warehouse, name: str, ids: Iterable[int] | None) -> DataFrame:
 
 
 def sync_dims(wh: Warehouse, sessions: DataFrame) -> None:
-    """Add the codes and dates of staged sessions; rows already there stay as they are."""
+    """Add the codes and dates of staged sessions; rows already there stay as they are.
+
+    One look finds which dimensions lack something; on most days none does.
+    """
     classes = dims.trader_type_dim(wh.spark)
+    known = {name: wh.table(name) for name in ("dim_commodity", "dim_trader_type", "dim_date")}
+    lacking = {
+        "dim_commodity": dims.new_keys(sessions.select(F.col("Comm").alias("Comm_Code")), known["dim_commodity"], "Comm_Code"),
+        "dim_trader_type": dims.new_keys(classes, known["dim_trader_type"], "Trader_Type_Name"),
+        "dim_date": dims.new_keys(sessions.select(F.col("Trade_Date").alias("Date_id")), known["dim_date"], "Date_id"),
+    }
+    looks = [df.limit(1).select(F.lit(name).alias("name")) for name, df in lacking.items()]
+    found = {row[0] for row in reduce(DataFrame.unionByName, looks).collect()}
     new_rows = {
-        "dim_commodity": lambda known: dims.new_commodities(known, sessions),
-        "dim_trader_type": lambda known: dims.new_keys(classes, known, "Trader_Type_Name"),
-        "dim_date": lambda known: dims.new_dates(known, sessions),
+        "dim_commodity": lambda: dims.new_commodities(known["dim_commodity"], sessions),
+        "dim_trader_type": lambda: lacking["dim_trader_type"],
+        "dim_date": lambda: dims.new_dates(known["dim_date"], sessions),
     }
-
-    def extend(name: str, find: Callable[[DataFrame], DataFrame]) -> None:
-        rows = find(wh.table(name))
-        if not rows.isEmpty():
-            wh.append(name, rows)
-
-    _each(new_rows, extend)
+    if found:
+        _each({name: new_rows[name] for name in found}, lambda name, find: wh.append(name, find()))
 
 
 def load_star(
-    wh: Warehouse, load_id: int, ids: Iterable[int] | None = None, failed: DataFrame | None = None
+    wh: Warehouse, load_id: int, ids: Iterable[int] | None = None, segment: str | None = None
 ) -> None:
     """Dimensions, then the three facts, from staging.
 
     ``ids`` limits the load to some sources and reads only their partitions; by default every
-    staged source is loaded anew. Sources in ``failed`` are left out.
+    staged source is loaded anew. The facts are written as one segment, by default the one
+    that a SUCCESS row without a segment stands for; what is there under that name is replaced as a whole.
     """
     staged = {name: _staged(wh, name, ids) for name in STAGING}
-    if failed is not None:
-        staged = {name: df.join(failed, "source_id", "left_anti") for name, df in staged.items()}
     sync_dims(wh, staged["stg_session_summary"])
 
     codes, types = wh.table("dim_commodity"), wh.table("dim_trader_type")
@@ -154,7 +216,7 @@ def load_star(
         ),
     }
     load_column = F.lit(load_id).cast("bigint")
-    _each(loaded, lambda name, df: wh.replace(name, df.withColumn("load_id", load_column)))
+    _each(loaded, lambda name, df: write_facts(wh, name, df.withColumn("load_id", load_column), segment or str(load_id)))
 
 
 KEYS = {
@@ -164,12 +226,16 @@ KEYS = {
 }
 
 
-def load_checks(wh: Warehouse, load_id: int) -> DataFrame:
-    """Keys of the facts that a load wrote and of the dimensions, as report rows; all are blockers."""
+def load_checks(wh: Warehouse, load_id: int, segment: str | None = None) -> DataFrame:
+    """Keys of the facts of a load and of the dimensions, as report rows; all are blockers.
+
+    With ``segment`` those that an attempt has written, seen or not, else those that readers see.
+    """
     dims_ = {"Comm_id": "dim_commodity", "Date_id": "dim_date", "Trader_Type_id": "dim_trader_type"}
     reports = []
     for name, (keys, foreign) in KEYS.items():
-        rows = wh.table(name).filter(F.col("load_id") == load_id)
+        rows = visible_fact(wh, name) if segment is None else wh.table(name).filter(F.col("segment") == segment)
+        rows = rows.filter(F.col("load_id") == load_id)
         reports.append(quality.key_report(rows, name, keys, {k: wh.table(dims_[k]) for k in foreign}))
     for name, keys in (("dim_commodity", ["Comm_Code"]), ("dim_commodity", ["Comm_id"]), ("dim_date", ["Date_id"])):
         report = quality.key_report(wh.table(name), name, keys, {})
@@ -177,11 +243,6 @@ def load_checks(wh: Warehouse, load_id: int) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
-def visible_fact(wh: Warehouse, name: str) -> DataFrame:
-    """A fact as readers should see it."""
-    return visible(wh.table(name), wh.table("file_status_log"))
-
-
 def build_marts(wh: Warehouse) -> dict[str, DataFrame]:
     """Write the three marts and the movers from the facts that readers see; returns them by name."""
     sessions, codes = visible_fact(wh, "fact_session_summary"), wh.table("dim_commodity")
@@ -197,52 +258,85 @@ def build_marts(wh: Warehouse) -> dict[str, DataFrame]:
     return {name: wh.spark.read.parquet(wh.path(f"marts/{name}")) for name in found}
 
 
+def _earlier(wh: Warehouse, name: str, txn: str) -> DataFrame:
+    """Rows of a log that a micro-batch has written before. It is the last one, so they are in the last two eras."""
+    schema = TABLES[name][0]
+    logs = [wh.read(f"{name}/era={era}", schema) for era in sorted(map(int, wh.partitions(name)))[-2:]]
+    return reduce(DataFrame.unionByName, logs, wh.table(name).limit(0)).filter(F.col("txn") == txn)
+
+
 def load_archives(
     wh: Warehouse, ids: list[int], parsed: DataFrame | None, load_id: int, started: datetime, absent: Iterable[int] = (),
+    txn: str | None = None,
 ) -> DataFrame:
     """Load parsed archives of the file ids end to end, and log it; returns their ledger state.
 
     ``absent`` ids have no file and end as FAILED; ``parsed`` is None if no id has one. The keys
     of the facts are checked before the ledger makes them visible.
+
+    ``txn`` names a micro-batch. Its rows in the ledger and the job log carry the name, and are looked up before
+    any is appended. So a batch that comes again leaves each row once: if its outcome is in the ledger
+    nothing is done, and if it died on the way it goes on in the segment that it began.
     """
     spark = wh.spark
     files = spark.createDataFrame([(i,) for i in ids], "file_id int")
-    log = materialise(wh.table("file_status_log"), "ledger")
-    wh.append("file_status_log", opening_moves(files, log, started, load_id))
-    missing = spark.createDataFrame([(i, ABSENT) for i in absent], "source_id int, reason string")
-    report = timed = None
+    state = status_of(wh.ledger_state()).join(F.broadcast(files), "file_id", "left_semi")
+    segment, logged = new_segment(load_id), False
+    known = {row["file_id"]: row["status"] for row in state.collect()}
+    opened = False
+    if txn is not None:
+        rows = _earlier(wh, "file_status_log", txn).select("file_id", "status", "seq", "segment").collect()
+        if {r["file_id"] for r in rows if r["seq"] == _OUTCOME} >= set(ids):
+            return state
+        begun = {r["segment"] for r in rows if r["status"] == "PROCESSING"}
+        # Begun and neither ended nor given up since: all its files are still being processed.
+        opened = bool(begun) and all(known.get(i) == "PROCESSING" for i in ids)
+        segment = max(begun) if opened else segment
+        logged = not _earlier(wh, "etl_job_logs", txn).isEmpty()
+    if not opened:
+        now = spark.createDataFrame([*known.items()], "file_id int, status string")
+        wh.append("file_status_log", opening_moves(files, now, started, load_id, segment, txn).coalesce(1))
+    failed = dict.fromkeys(absent, ABSENT)
+    staged = Staged({}, {}, {}, {})
     try:
-        failures = missing
-        if parsed is not None:
-            report, unreadable, timed = stage_lines(wh, parsed, [i for i in ids if i not in set(absent)])
-            failures = failures.unionByName(unreadable).unionByName(quality.blocked_sources(report))
-        failed = materialise(failures.groupBy("source_id").agg(F.min("reason").alias("reason")), "failed")
         if parsed is not None:
-            load_star(wh, load_id, ids, failed)
-            unknown = quality.dq_missing_dim(_staged(wh, "stg_session_summary", ids), wh.table("dim_commodity"))
+            present = [i for i in ids if i not in failed]
+            staged = stage_lines(wh, parsed, present)
+            failed |= staged.failed
+            good = [i for i in present if i not in failed]
+            load_star(wh, load_id, good, segment)
+            unknown = quality.dq_missing_dim(_staged(wh, "stg_session_summary", good), wh.table("dim_commodity"))
             unknown = unknown.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("violations")).select(
                 F.lit("stg_session_summary").alias("dataset"), F.lit("MISSING_CODE").alias("rule"),
                 F.lit(quality.BLOCKER).alias("severity"), "violations")
-            quality.enforce(load_checks(wh, load_id).unionByName(unknown))
+            quality.enforce(load_checks(wh, load_id, segment).unionByName(unknown))
     except Exception as error:
         finished = _utc_now()
-        wh.append("file_status_log", transitions(files, "FAILED", finished, 0, load_id, step=3))
+        wh.append("file_status_log", transitions(files, "FAILED", finished, 0, load_id, step=_OUTCOME + 1))
         wh.log_jobs(job_entry(spark, "FAILED", finished, run_id=str(load_id), error_message=str(error)))
         raise
     finished = _utc_now()
-    outcome = files.join(failed.withColumnRenamed("source_id", "file_id"), "file_id", "left")
-    if timed is not None:
-        outcome = outcome.join(timed.groupBy("source_id").agg(F.sum("sec").cast("int").alias("sec")).withColumnRenamed("source_id", "file_id"), "file_id", "left")
-    else:
-        outcome = outcome.withColumn("sec", F.lit(0))
+    rows = [(i, failed.get(i), staged.seconds.get(i, 0)) for i in ids]
+    outcome = spark.createDataFrame(rows, "file_id int, reason string, sec int").coalesce(1)
     status = F.when(F.col("reason").isNull(), "SUCCESS").otherwise("FAILED")
-    if report is not None:
-        wh.log_jobs(_job_rows(wh, ids, outcome.drop("sec"), report, load_id, finished))
-    else:
-        wh.log_jobs(_failed_rows(outcome, load_id, finished))
-    wh.append("file_status_log", transitions(outcome, status, finished, F.coalesce("sec", F.lit(0)), load_id, step=3))
-    wh.log_jobs(sla_breaches(materialise(wh.table("file_status_log"), "ledger"), load_id, finished))
-    return file_status(wh.table("file_status_log")).join(files, "file_id", "left_semi")
+    ended = transitions(outcome, status, finished, F.col("sec"), load_id, step=_OUTCOME, segment=segment, txn=txn)
+    if not logged:
+        entries = spark.createDataFrame([_job_row(i, failed.get(i), staged, load_id, finished, txn) for i in ids], JOB_ENTRY)
+        wh.log_jobs(entries, sla_breaches(ended, load_id, finished, txn=txn))
+    wh.append("file_status_log", ended)
+    wh.snapshot_when_due()
+    return status_of(wh.ledger_state()).join(F.broadcast(files), "file_id", "left_semi")
+
+
+# Steps 0 to 2 of the transitions at one instant open a load.
+_OUTCOME = 3
+
+
+def _job_row(i: int, reason: str | None, staged: Staged, load_id: int, at: datetime, txn: str | None) -> tuple:
+    """The job-log entry of a file: the rows staged of it, and why it failed or what to beware of."""
+    rows = 0 if reason else staged.rows.get(i, 0)
+    message = reason or (None if rows else "WARNING EMPTY") or "; ".join(sorted(set(staged.warnings.get(i, ())))) or None
+    return ("manual", "load_files", str(load_id), str(i), "FAILED" if reason else "SUCCESS", at, rows, message, txn)
 
 
 def load_files(
@@ -256,13 +350,14 @@ def load_files(
     the others as SUCCESS. Every file takes the legal steps of the ledger: one that is not
     PENDING is requested first. ``etl_sec`` is the time the file's own task took to read it.
     The file ids are the driver's own work list, one small row per file. After a
-    crash the same load can simply be run again: staging and facts are replaced source by
-    source, known dimension rows are not added twice, and an unfinished load is invisible.
+    crash the same load can simply be run again: staging is replaced source by source, facts go
+    into a segment of the new attempt, known dimension rows are not added twice, and what the dead
+    attempt has left is invisible.
     One load runs at a time, as ids are given out from the highest one known.
     """
     ids = list(dict.fromkeys(ids))
     if not ids:
-        return file_status(wh.table("file_status_log")).filter(F.lit(False))
+        return status_of(wh.ledger_state()).filter(F.lit(False))
     paths = dict(zip(ids, tick_paths(template, ids), strict=True))
     gone = absent_files(spark, paths.values())
     absent = [i for i in ids if paths[i] in gone]
@@ -278,44 +373,5 @@ def load_pending(
     columns: list[str] | None = None,
 ) -> DataFrame:
     """:func:`load_files` for the ``n`` pending files with the smallest ids; without any, no rows."""
-    chosen = pending_files(file_status(wh.table("file_status_log")), n)
+    chosen = pending_files(status_of(wh.ledger_state()), n)
     return load_files(spark, wh, template, [row.file_id for row in chosen.collect()], load_id, columns)
-
-
-def _job_rows(
-    wh: Warehouse, ids: list[int], outcome: DataFrame, report: DataFrame, load_id: int, at: datetime
-) -> DataFrame:
-    """One job-log row per file with the rows that this load staged of it, and its quality warnings."""
-    staged = [_staged(wh, name, ids).groupBy("source_id").agg(F.count("*").alias("n")) for name in STAGING]
-    counts = reduce(DataFrame.unionByName, staged).groupBy("source_id").agg(F.sum("n").alias("row_count"))
-    report = report.unionByName(quality.volatility_report(wh.table("stg_session_summary"), "stg_session_summary"))
-    warned = report.filter((F.col("severity") == quality.WARNING) & (F.col("violations") > 0))
-    warnings = warned.groupBy("source_id").agg(F.concat_ws("; ", F.array_sort(F.collect_set(
-        F.format_string("WARNING %s %s (%d)", "dataset", "rule", "violations")
-    ))).alias("warning"))
-    rows = (
-        outcome.withColumnRenamed("file_id", "source_id")
-        .join(counts, "source_id", "left")
-        .join(warnings, "source_id", "left")
-    )
-    failed = F.col("reason").isNotNull()
-    empty = F.when(F.col("row_count").isNull(), "WARNING EMPTY")
-    return rows.select(
-        F.lit("manual").alias("dag_id"),
-        F.lit("load_files").alias("task_id"),
-        F.lit(str(load_id)).alias("run_id"),
-        F.col("source_id").cast("string").alias("file_id"),
-        F.when(failed, "FAILED").otherwise("SUCCESS").alias("status"),
-        F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz").alias("execution_time"),
-        F.when(failed, F.lit(0)).otherwise(F.coalesce("row_count", F.lit(0))).cast("bigint").alias("row_count"),
-        F.coalesce("reason", empty, "warning").alias("error_message"),
-    )
-
-
-def _failed_rows(outcome: DataFrame, load_id: int, at: datetime) -> DataFrame:
-    """Job-log rows of a load without any file."""
-    return outcome.select(
-        F.lit("manual").alias("dag_id"), F.lit("load_files").alias("task_id"), F.lit(str(load_id)).alias("run_id"),
-        F.col("file_id").cast("string").alias("file_id"), F.lit("FAILED").alias("status"),
-        F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz").alias("execution_time"),
-        F.lit(0).cast("bigint").alias("row_count"), F.col("reason").alias("error_message"))

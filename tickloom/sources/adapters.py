@@ -74,4 +74,6 @@ def status_log_from_orders(orders: DataFrame) -> DataFrame:
         (F.col("o_orderkey") % 300).cast("int").alias("etl_sec"),
         F.col("o_orderkey").alias("seq"),
         F.col("o_orderkey").alias("load_id"),
+        F.lit(None).cast("string").alias("segment"),
+        F.lit(None).cast("string").alias("txn"),
     )
