@@ -69,7 +69,6 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     total = sum(len(e.ids) + 1 for e in tokenizer.encode_batch(list(mixed["text"].fillna("")), add_special_tokens=False))
     packed = outputs[4][1].toPandas()
     assert packed["length"].sum() == total

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from documents_llm import no_documents, odd_documents  # noqa: F401
 
-from tickloom.llm import packing, rans
+from tickloom.llm import packing, rans, tokens
 from tickloom.llm.tokens import ByteEncoder, WordEncoder
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -50,7 +50,6 @@ def whole_ids(path, text, end):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, end])
 
 
@@ -107,3 +106,24 @@ def test_rounds_place_every_token_once_and_keep_the_proportions(weights):
         for queue in served:
             want = upto * share[queue] / share.sum()
             assert abs((served[queue] < upto).sum() - want) <= 3 * 32 + 32
+
+
+PIECES = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", " ", "  ", "\n", "\n\n", "\t", "\u00a0", "\u2003", "\u3000", "\u0085", "’", "é", "e\u0301",
+          "\u0301", "0", "10", "word", "Word,", "Été.", "don't", "x.", ",.", "...", "日本", "🙂", "<", "|", "a1b2", "naïve,", "\x1c", "ß."]
+
+
+@pytest.mark.parametrize(("kind", "path"), [(tokens.ByteEncoder, BYTES), (tokens.WordEncoder, WORDS)])
+def test_ids_are_those_of_the_untouched_library(kind, path):
+    """Odd texts, with markers among them, and a store so small that its generations change all the time."""
+    from tokenizers import Tokenizer
+
+    dice, library, encoder = random.Random(17), Tokenizer.from_file(path), kind(path)
+    encoder.most_units = 60
+    for _ in range(40):
+        texts = ["".join(dice.choices(PIECES, k=dice.choice([0, 1, 3, 8, 30]))) for _ in range(25)]
+        texts += [" ".join(dice.choices(PIECES, k=12)) for _ in range(10)] + [f"x{dice.choice(PIECES)}", "plain words, only here."]
+        ids, begins = encoder.encode(pa.array(texts), [2])
+        for text, a, b in zip(texts, begins, begins[1:]):
+            assert ids[a:b].tolist() == [*library.encode(text, add_special_tokens=False).ids, 2], repr(text)
+    marked = library.encode("x<|endoftext|>", add_special_tokens=False).ids
+    assert len(marked) == 2 and encoder.encode(pa.array(["x<|endoftext|>"]), [2])[0].tolist() == [*marked, 2]

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import bound_batches, mix, slices, span_hashes, text_bytes, text_of, word_spans, worker_state
 from tickloom.session import materialise
 
-# Units that a worker keeps; when there are more it starts anew.
+# Units that a worker keeps, in two generations.
 MOST_UNITS = 800_000
 _TOGETHER = 256
 BATCH_BYTES = 4 << 20
@@ -46,20 +46,26 @@ class Units:
         self.begin, self.length = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32)
         self.ids, self.n, self.used = np.zeros(1 << 14, np.uint16), 0, 0
 
-    def add(self, coded: list[np.ndarray] | list[bytes]) -> np.ndarray:
-        """Store ids; returns their places."""
-        raw = np.frombuffer(b"".join(coded), "<u2")
-        sizes = np.fromiter((len(c) // 2 for c in coded), np.int64, len(coded))
-        while self.used + len(raw) > len(self.ids):
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Store the ids of units, one behind the other; returns their places."""
+        while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while self.n + len(coded) > len(self.begin):
+        while self.n + len(sizes) > len(self.begin):
             self.begin, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.length))
-        places = np.arange(self.n, self.n + len(coded))
-        self.ids[self.used : self.used + len(raw)] = raw
+        places = np.arange(self.n, self.n + len(sizes))
+        self.ids[self.used : self.used + len(ids)] = ids
         self.begin[places], self.length[places] = self.used + np.cumsum(sizes) - sizes, sizes
-        self.used, self.n = self.used + len(raw), self.n + len(coded)
+        self.used, self.n = self.used + len(ids), self.n + len(sizes)
         return places
 
+    def of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids at some places, one behind the other, and how many each has."""
+        sizes = self.length[places].astype(np.int64)
+        return self.ids[_ranges(self.begin[places], sizes)], sizes
+
+    def known(self, hashes: np.ndarray) -> np.ndarray:
+        return np.fromiter(map(self.place.get, hashes.tolist(), repeat(-1)), np.int64, len(hashes))
+
 
 class UnitEncoder:
     """Base of the two tokenizers: how to cut texts, and how to encode many units at once."""
@@ -71,69 +77,122 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Contents of added tokens, which the library takes for one id wherever they stand.
+        self.markers = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values() if token.content]
         if self.tokenizer.get_vocab_size() > 65536:
             raise ValueError("token ids are kept in 16 bits")
-        self.units = Units()
-        self.stops = {ord(c): ids for c, ids in zip(",.", self.whole([",", "."]), strict=True)}
+        self.units, self.before = Units(), Units()
+        self.stops = np.zeros(256, np.uint16)
+        (self.stops[0x2C],), (self.stops[0x2E],) = self.each([",", "."])
 
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def each(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint16) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts, one behind the other, and how many each has."""
+        coded = self.each(texts)
+        return np.concatenate([np.zeros(0, np.uint16), *coded]), np.array([len(c) for c in coded], np.int64)
 
     def cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Begin and end of every unit, the number of units before each text, and which texts need encoding whole."""
         raise NotImplementedError
 
-    def joined(self, units: list[str]) -> list[bytes]:
+    #: What stands between units that are encoded together.
+    between = b""
+
+    def plain(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which units may be encoded together with others."""
+        raise NotImplementedError
+
+    def parted(self, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of ``n`` units encoded together, one behind the other, and how many each has; None if that is not certain."""
         raise NotImplementedError
 
     def places(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Where the ids of each unit are; units not known are encoded."""
+        """Where the ids of each unit are; units not known are encoded.
+
+        There are two generations. A full one becomes the old one, from which units are taken over
+        when they come again; so frequent units are never encoded twice.
+        """
         hashes = self._hashes(data, starts, ends)
         distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        found = self._known(distinct)
-        new = np.flatnonzero(found < 0)
+        found = self.units.known(distinct)
+        if len(self.units.place) + 2 * (found < 0).sum() > self.most_units // 2:
+            self.before, self.units = self.units, Units()
+            found[:] = -1
+        missing = np.flatnonzero(found < 0)
+        old = self.before.known(distinct[missing])
+        there = missing[old >= 0]
+        found[there] = self._store(distinct[there], *self.before.of(old[old >= 0]))
+        new = missing[old < 0]
         if len(new):
-            if len(self.units.place) + 2 * len(new) > self.most_units:
-                self.units = Units()
-                new = np.arange(len(distinct))
             new = new[np.argsort(first[new])]
             found[new] = self._learn(data, starts[first[new]], ends[first[new]], distinct[new])
         return found[back]
 
+    def _store(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        places = self.units.add(ids, sizes)
+        self.units.place.update(zip(hashes.tolist(), places.tolist(), strict=True))
+        return places
+
+    def _mark(self, data: np.ndarray, offsets: np.ndarray, odd: np.ndarray) -> None:
+        """Texts with a marker in them are encoded whole."""
+        raw = data.tobytes()
+        for marker in self.markers:
+            at = raw.find(marker)
+            while at >= 0:
+                text = int(np.searchsorted(offsets, at, "right")) - 1
+                odd[text] |= at + len(marker) <= offsets[text + 1]
+                at = raw.find(marker, at + 1)
+
     @staticmethod
     def _hashes(data, starts, ends):
         return mix(span_hashes(data, starts, ends) + (ends - starts).astype(np.uint64))
 
-    def _known(self, hashes: np.ndarray) -> np.ndarray:
-        return np.fromiter(map(self.units.place.get, hashes.tolist(), repeat(-1)), np.int64, len(hashes))
-
     def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """Encode distinct units; a comma or full stop behind a letter is a token of its own."""
         stop = (ends - starts > 2) & _STOPS[data[ends - 1]] & _LETTERS[data[ends - 2]]
         bases = self._hashes(data, starts[stop], ends[stop] - 1)
-        there = self._known(bases)
-        wanted, at = np.unique(bases[there < 0], return_index=True)
-        wanted_at = np.flatnonzero(stop)[there < 0][at]
-        own = ~np.isin(wanted, hashes[~stop])
-        wanted, wanted_at = wanted[own], wanted_at[own]
-        spans = [*zip(starts[~stop].tolist(), ends[~stop].tolist(), strict=True),
-                 *zip(starts[wanted_at].tolist(), (ends[wanted_at] - 1).tolist(), strict=True)]
-        keys = np.concatenate([hashes[~stop], wanted])
-        for low in range(0, len(spans), 1 << 14):
-            part = [data[a:b].tobytes().decode() for a, b in spans[low : low + (1 << 14)]]
-            self.units.place.update(zip(keys[low : low + len(part)].tolist(), self.units.add(self.joined(part)).tolist(), strict=True))
-        units, place = self.units, self._known(bases)
-        marks = [self.stops[c] for c in data[ends[stop] - 1].tolist()]
-        begin, length = units.begin[place].tolist(), units.length[place].tolist()
-        composed = [units.ids[b : b + n].tobytes() + m for b, n, m in zip(begin, length, marks, strict=True)]
-        units.place.update(zip(hashes[stop].tolist(), units.add(composed).tolist(), strict=True))
-        return self._known(hashes)
+        wanted, at = np.unique(bases, return_index=True)
+        own = (self.units.known(wanted) < 0) & ~np.isin(wanted, hashes[~stop])
+        at = np.flatnonzero(stop)[at[own]]
+        starts_, ends_ = np.concatenate([starts[~stop], starts[at]]), np.concatenate([ends[~stop], ends[at] - 1])
+        self._encode_units(data, starts_, ends_, np.concatenate([hashes[~stop], wanted[own]]))
+        ids, sizes = self.units.of(self.units.known(bases))
+        # Every base with one more place for the mark behind it.
+        composed = np.insert(ids, np.cumsum(sizes), self.stops[data[ends[stop] - 1]])
+        self._store(hashes[stop], composed, sizes + 1)
+        return self.units.known(hashes)
+
+    def _encode_units(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> None:
+        plain = self.plain(data, starts, ends)
+        alone = np.flatnonzero(~plain)
+        plain = np.flatnonzero(plain)
+        # Units side by side with what parts them, a group to a text.
+        sizes = (ends - starts)[plain] + len(self.between)
+        stops = np.cumsum(sizes)
+        joined = np.empty(stops[-1] if len(stops) else 0, np.uint8)
+        joined[_ranges(stops - sizes, sizes - len(self.between))] = data[_ranges(starts[plain], sizes - len(self.between))]
+        for k, byte in enumerate(self.between):
+            joined[stops - len(self.between) + k] = byte
+        raw = joined.tobytes()
+        edges = [0, *stops[_TOGETHER - 1 : -1 : _TOGETHER].tolist(), *stops[-1:].tolist()]
+        texts = [raw[a : b - len(self.between)].decode() for a, b in zip(edges, edges[1:])]
+        for k, coded in enumerate(self.each(texts)):
+            group = plain[k * _TOGETHER : (k + 1) * _TOGETHER]
+            parts = self.parted(coded, len(group))
+            if parts is None:
+                alone = np.concatenate([alone, group])
+            else:
+                self._store(hashes[group], *parts)
+        if len(alone):
+            self._store(hashes[alone], *self.whole([data[a:b].tobytes().decode() for a, b in zip(starts[alone].tolist(), ends[alone].tolist())]))
 
     def encode(self, texts: pa.Array, end: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each followed by ``end``, and where each text's ids begin."""
         data, offsets = text_bytes(texts)
         starts, ends, before, odd = self.cut(data, offsets)
+        self._mark(data, offsets, odd)
         doc = np.repeat(np.arange(len(texts)), np.diff(before))
         keep = ~odd[doc]
         place = self.places(data, starts[keep], ends[keep])
@@ -141,7 +200,8 @@ class UnitEncoder:
         counts = np.bincount(doc[keep], minlength=len(texts))
         base, base_n = units.used, units.n  # what is added from here on is dropped again
         strange = np.flatnonzero(odd)
-        extra = units.add([*self.whole([texts[int(i)].as_py() for i in strange]), np.array(end, "<u2").tobytes()])
+        ids, sizes = self.whole([texts[int(i)].as_py() for i in strange])
+        extra = units.add(np.append(ids, np.array(end, np.uint16)), np.append(sizes, len(end)))
         at = np.cumsum(counts)
         # Behind the units of a text come its ids as a whole, if it has such, and the end.
         spots = np.concatenate([at[strange], at])
@@ -156,24 +216,13 @@ class UnitEncoder:
         units.used, units.n = base, base_n
         return ids, begins
 
-    def _split(self, texts: list[str], groups: list[list[str]], cuts) -> list[bytes]:
-        """The ids of each unit of each group; ``cuts`` finds begin and end of the units in a group's ids."""
-        out: list[bytes] = []
-        for coded, units in zip(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), groups, strict=True):
-            ids = np.array(coded.ids, "<u2")
-            begin, end = cuts(ids)
-            if len(begin) == len(units):
-                raw = ids.tobytes()
-                out += [raw[2 * b : 2 * e] for b, e in zip(begin.tolist(), end.tolist(), strict=True)]
-            else:
-                out += self.whole(units)
-        return out
-
 
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[0x20, 0x0A]] = True
 _ASCII_SPACE = np.zeros(256, bool)
 _ASCII_SPACE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
+_WIDE_SPACE = np.zeros(65536, bool)
+_WIDE_SPACE[[0xC285, 0xC2A0, 0xE19A, 0xE280, 0xE281, 0xE380]] = True
 _SPACE_80 = np.zeros(256, bool)
 _SPACE_80[[*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF]] = True
 
@@ -211,18 +260,16 @@ class ByteEncoder(UnitEncoder):
         starts = np.flatnonzero(breaks)
         return starts, np.append(starts[1:], len(data))[: len(starts)], np.searchsorted(starts, offsets), odd
 
-    def joined(self, units: list[str]) -> list[bytes]:
-        plain = [u for u in units if u[0] in " \n" and len(u) > 1 and u[1:].split() == [u[1:]]]
-        groups = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
-
-        def cuts(ids):
-            begin = np.flatnonzero(self.opens[ids])
-            return begin, np.append(begin[1:], len(ids))
+    def plain(self, data, starts, ends):
+        """Units that begin with their space and have no other; two bytes tell white space beyond ASCII, and some that is none."""
+        space = _ASCII_SPACE[data]
+        space[:-1] |= _WIDE_SPACE[(data[:-1].astype(np.uint16) << np.uint16(8)) | data[1:]]
+        before = np.concatenate([[0], np.cumsum(space)])
+        return _BREAKS[data[starts]] & (ends - starts > 1) & (before[ends] - before[starts] == 1)
 
-        found = dict(zip(plain, self._split(["".join(g) for g in groups], groups, cuts), strict=True))
-        other = [u for u in units if u not in found]
-        found.update(zip(other, self.whole(other), strict=True))
-        return [found[u] for u in units]
+    def parted(self, ids, n):
+        begin = np.flatnonzero(self.opens[ids])
+        return (ids, np.diff(np.append(begin, len(ids)))) if len(begin) == n and begin[0] == 0 else None
 
 
 class WordEncoder(UnitEncoder):
@@ -240,18 +287,17 @@ class WordEncoder(UnitEncoder):
         starts, ends, before = word_spans(data, offsets)
         return starts, ends, before, np.zeros(len(offsets) - 1, bool)
 
-    def joined(self, units: list[str]) -> list[bytes]:
-        plain = [u for u in units if "0" not in u]
-        groups = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
+    between = b" 0 "
 
-        def cuts(ids):
-            marks = np.flatnonzero(ids == self.mark)
-            return np.append(0, marks + 1), np.append(marks, len(ids))
+    def plain(self, data, starts, ends):
+        before = np.concatenate([[0], np.cumsum(data == 0x30)])
+        return before[ends] == before[starts]
 
-        found = dict(zip(plain, self._split([" 0 ".join(g) for g in groups], groups, cuts), strict=True))
-        other = [u for u in units if u not in found]
-        found.update(zip(other, self.whole(other), strict=True))
-        return [found[u] for u in units]
+    def parted(self, ids, n):
+        marks = np.flatnonzero(ids == self.mark)
+        if len(marks) != n - 1:
+            return None
+        return np.delete(ids, marks), np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
 
 
 def tokenize(docs: DataFrame, path: str, kind: type[UnitEncoder], end_id: int, columns: list[str]) -> DataFrame:
