@@ -4,7 +4,9 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from documents_llm import no_documents, odd_documents, prose  # noqa: F401
+from pyspark.sql import functions as F
 
 from tickloom.llm import chosen_path
 
@@ -96,10 +98,11 @@ def test_pairs_of_common_shingles_are_found_through_many_splits(spark, monkeypat
         whole = r.choice(universe, 400, replace=False)
         sets += [np.sort(whole), np.sort(whole[:320])]
     tokens, before = np.concatenate(sets), np.append(0, np.cumsum([len(x) for x in sets]))
-    paths = chosen_path._paths(tokens, before, chosen_path.runs_for(chosen_path.RECALL))
-    rows = [(i, len(x), k.tobytes(), p.tolist()) for i, (x, k, p) in enumerate(zip(sets, chosen_path.sketches(tokens, before), paths, strict=True))]
+    first, runs = chosen_path.runs_for(chosen_path.RECALL, splits=0), chosen_path.runs_for(chosen_path.RECALL)
+    paths, more = (chosen_path._paths(tokens, before, r) for r in (range(first), range(first, runs)))
+    rows = [(i, len(x), k.tobytes(), p.tolist(), m.tolist()) for i, (x, k, p, m) in enumerate(zip(sets, chosen_path.sketches(tokens, before), paths, more, strict=True))]
     monkeypatch.setattr(chosen_path, "SMALL", 3)
-    ties = chosen_path.candidates(spark.createDataFrame(rows, "node long, tokens long, sketch binary, paths array<bigint>"))
+    ties = chosen_path.candidates(spark.createDataFrame(rows, "node long, tokens long, sketch binary, paths array<bigint>, more array<bigint>"))
     root = {g["node"]: g["root"] for g in chosen_path.components(ties).collect()}
     missed = sum(root.get(i, i) != root.get(i + 1, i + 1) for i in range(0, len(rows), 2))
     assert missed <= 2 and len(set(root.values())) > 900
@@ -131,7 +134,7 @@ def test_runs_reach_the_recall():
     assert 0.8 <= len(a & b) / len(a | b) < 0.83
     met = {runs: 0 for runs in (2, chosen_path.runs_for(0.99))}
     for runs in met:
-        paths = chosen_path._paths(tokens, before, runs)
+        paths = chosen_path._paths(tokens, before, range(runs))
         met[runs] = np.mean([bool(np.intersect1d(paths[2 * i], paths[2 * i + 1]).size) for i in range(pairs)])
     assert met[2] > 0.7 and met[chosen_path.runs_for(0.99)] >= 0.98
 
@@ -152,3 +155,33 @@ def test_components_against_union_find(spark):
             root[y] = x
     got = {g["node"]: g["root"] for g in chosen_path.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in root}
+
+
+@pytest.mark.parametrize("depth", [1, 2, 7])
+def test_short_texts_with_a_common_line_are_not_tied(spark, monkeypatch, depth):
+    """The line is in all of them, which makes buckets that are split, and compared in blocks at the last level."""
+    line, dice = " ".join(f"common{i}" for i in range(12)), random.Random(depth)
+    texts = [f"{line} " + " ".join(f"{i}x{k}" for k in range(8)) for i in range(600)]
+    texts += [t.replace(f"{i}x7", "changed") for i, t in enumerate(texts[:100])]  # linked to the first hundred
+    dice.shuffle(texts)
+    monkeypatch.setattr(chosen_path, "SMALL", 100)
+    monkeypatch.setattr(chosen_path, "BLOCK_SETS", 90)
+    monkeypatch.setattr(chosen_path, "DEPTH", depth)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = chosen_path._prepare(docs, chosen_path.RECALL).select(F.col("doc_id").alias("node"), "tokens", "sketch", "paths", "more")
+    sizes = chosen_path.components(chosen_path.candidates(rows)).groupBy("root").count().collect()
+    assert len(sizes) >= 99 and max(r["count"] for r in sizes) <= 3
+
+
+def test_differing_bins_never_exclude_a_link():
+    r = np.random.default_rng(8)
+    for size in (5, 9, 16, 45, 128, 700):
+        for _ in range(60):
+            whole = r.integers(1, 1 << 62, size).astype(np.uint64)
+            other = np.concatenate([whole[: size - size // 10], r.integers(1, 1 << 62, r.integers(0, size // 10 + 1)).astype(np.uint64)])
+            common = len(set(whole.tolist()) & set(other.tolist()))
+            if 9 * common < 4 * (len(whole) + len(other)):
+                continue
+            both = [np.sort(whole), np.sort(other)]
+            sketch = chosen_path.sketches(np.concatenate(both), np.append(0, np.cumsum([len(x) for x in both])))
+            assert 9 * chosen_path._differ(sketch[:1], sketch[1:])[0] <= len(whole) + len(other)

@@ -3,8 +3,9 @@
 A set follows a path by sampling some of its tokens with a hash that all sets share: sets that
 have a token in common, and sample it, come into the bucket of that token. Small buckets are
 compared by brute force, on sketches. A bucket that is too large is split again on further
-sampled tokens. The runs, each with hash functions of its own, are as many as the target recall
-asks for if every bucket is split to the last level. What the sketches leave as possible links is put into connected components, and the
+sampled tokens, and at the last level compared block by block. The runs, each with hash functions of its own,
+are as many as the target recall asks for if no bucket is split; sets that were in a split one go through
+as many more as it asks for if every bucket is split to the last level. What the sketches leave as possible links is put into connected components, and the
 exact similarity of all pairs in a component is then worked out, in blocks.
 
 In a large bucket its first set is a pivot. All that may be near the pivot is tied to it, and what
@@ -35,6 +36,8 @@ DEPTH = 7
 # The estimate of the similarity to a pivot from which a set goes no further.
 ABSORBED = 0.68
 BLOCK_TEXTS, BLOCK_TOKENS = 2000, 1_000_000
+# Two blocks of so many sets are compared at once where a bucket is not split any more.
+BLOCK_SETS = 1000
 
 
 def missed(runs: int, splits: int, similarity: float = SIMILARITY) -> float:
@@ -55,10 +58,10 @@ def missed(runs: int, splits: int, similarity: float = SIMILARITY) -> float:
     return total
 
 
-def runs_for(recall: float, similarity: float = SIMILARITY) -> int:
-    """Runs after which a pair has met with the given probability, also where all its buckets are split to the last level."""
+def runs_for(recall: float, similarity: float = SIMILARITY, splits: int = DEPTH - 1) -> int:
+    """Runs after which a pair has met with the given probability; by default also where all its buckets are split to the last level."""
     runs = 1
-    while missed(runs, DEPTH - 1, similarity) > 1 - recall:
+    while missed(runs, splits, similarity) > 1 - recall:
         runs += 1
     return runs
 
@@ -106,13 +109,13 @@ def likeness(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ((a == b) & (a != 0)).sum(1) / np.maximum(used, 1), used
 
 
-def _paths(tokens: np.ndarray, before: np.ndarray, runs: int) -> list[np.ndarray]:
-    """The buckets of every set after the first split of every run."""
+def _paths(tokens: np.ndarray, before: np.ndarray, runs: range) -> list[np.ndarray]:
+    """The buckets of every set after the first split of each of the runs."""
     sizes = np.diff(before)
     doc = np.repeat(np.arange(len(sizes)), sizes)
     limit = np.minimum(BRANCH / np.maximum(sizes, 1) * 2.0**32, 2.0**32 - 1).astype(np.uint64)[doc]
     out, owner = [], []
-    for run in range(runs):
+    for run in runs:
         salt = np.uint64((0x9E3779B97F4A7C15 * (2 * run + 1)) & 0xFFFFFFFFFFFFFFFF)
         code = (tokens ^ salt) * np.uint64(0xD6E8FEB86659FD93)
         hit = np.flatnonzero((code >> np.uint64(32)) <= limit)
@@ -124,23 +127,27 @@ def _paths(tokens: np.ndarray, before: np.ndarray, runs: int) -> list[np.ndarray
     return np.split(out[order].view(np.int64), cuts)
 
 
-def _prepare(docs: DataFrame, runs: int) -> DataFrame:
-    """Per row: ``row``, ``doc_id``, ``key`` of the text, size of its set, sketch and buckets; stored."""
+def _prepare(docs: DataFrame, recall: float) -> DataFrame:
+    """Per row: ``row``, ``doc_id``, ``key`` of the text, size of its set, sketch and buckets; stored.
+
+    ``paths`` are the buckets of the runs that are enough where none is split, ``more`` those of all further runs.
+    """
+    first, all_ = runs_for(recall, splits=0), runs_for(recall)
 
     def build(batches):
         for whole in batches:
             for batch in slices(whole, "_text"):
                 tokens, before = shingles(batch.column("_text"))
-                paths = [p.tolist() for p in _paths(tokens, before, runs)]
+                paths, more = ([p.tolist() for p in _paths(tokens, before, runs)] for runs in (range(first), range(first, all_)))
                 sketch = [s.tobytes() for s in sketches(tokens, before)]
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id"), batch.column("key"), pa.array(np.diff(before)),
-                    pa.array(sketch, pa.binary()), pa.array(paths, pa.list_(pa.int64())),
-                ], ["doc_id", "key", "tokens", "sketch", "paths"])
+                    pa.array(sketch, pa.binary()), pa.array(paths, pa.list_(pa.int64())), pa.array(more, pa.list_(pa.int64())),
+                ], ["doc_id", "key", "tokens", "sketch", "paths", "more"])
 
     text = text_of()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text).alias("key"), text.alias("_text"))
-    rows = rows.mapInArrow(build, "doc_id long, key string, tokens long, sketch binary, paths array<bigint>")
+    rows = rows.mapInArrow(build, "doc_id long, key string, tokens long, sketch binary, paths array<bigint>, more array<bigint>")
     return materialise(rows.withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
@@ -169,6 +176,7 @@ def _close_pairs(sketch: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np
             same += sketch[rows, k][:, None] == sketch[:, k][None, :]
         used = size[rows][:, None] + size[None, :] - some[rows] @ some.T
         close = same - (BINS - used) >= _least(used) * used
+        close &= 9 * (BINS - same.astype(np.int64)) <= tokens[rows][:, None] + tokens[None, :]
         close &= np.minimum(tokens[rows][:, None], tokens[None, :]) >= SIMILARITY * np.maximum(tokens[rows][:, None], tokens[None, :])
         i, j = np.nonzero(close)
         keep = i + at < j
@@ -177,6 +185,16 @@ def _close_pairs(sketch: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np
     return np.concatenate(firsts), np.concatenate(seconds)
 
 
+def _differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bins in which sketches differ, row by row.
+
+    Each holds a token that only one of the sets has. Linked sets have at most a ninth of their tokens together that way, as
+    ``common >= 4 / 9 * (|a| + |b|)``; so more bins than that rule a link out, for certain. For short texts, whose
+    tokens have a bin each, this says as much as the sets themselves.
+    """
+    return (a != b).sum(1)
+
+
 def _least(used: np.ndarray) -> np.ndarray:
     """The estimate from which a link is possible: four and a half standard errors below its similarity."""
     return SIMILARITY - 4.5 * np.sqrt(SIMILARITY * (1 - SIMILARITY) / np.maximum(used, 1))
@@ -206,7 +224,7 @@ def _small_links(buckets: DataFrame) -> DataFrame:
                 for at in range(0, len(a), 1 << 16):
                     x, y = a[at : at + (1 << 16)], b[at : at + (1 << 16)]
                     value, used = likeness(sketch[x], sketch[y])
-                    close = value >= _least(used)
+                    close = (value >= _least(used)) & (9 * _differ(sketch[x], sketch[y]) <= tokens[x] + tokens[y])
                     first.append(x[close])
                     second.append(y[close])
             for low, m in zip(cuts[:-1][size > 64], size[size > 64], strict=True):
@@ -228,13 +246,17 @@ def _split_large(rows: DataFrame, level: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            path, node, pivot = (batch.column(c).to_numpy() for c in ("path", "node", "pivot"))
+            path, node, pivot, tokens = (batch.column(c).to_numpy() for c in ("path", "node", "pivot", "tokens"))
             own, other = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("sketch", "pivot_sketch"))
             value, used = likeness(own, other)
             # What may link to a set that goes no further has a bin in common with the pivot
             # wherever that set has, but for the bins in which a link can differ.
-            tied = (value >= _least(used) - (1 - ABSORBED)) & (node != pivot)
-            rest = np.flatnonzero((value < ABSORBED) & (node != pivot))
+            # The bins that differ are a metric. A set that goes no further differs from the pivot in a fourth of its
+            # tokens at most; one linked to it, of at least 4/5 its size, differs from it in no more than a fourth of
+            # its own, so from the pivot in 9/16 of them.
+            differ = _differ(own, other)
+            tied = (value >= _least(used) - (1 - ABSORBED)) & (16 * differ <= 9 * tokens) & (node != pivot)
+            rest = np.flatnonzero(~((value >= ABSORBED) & (4 * differ <= tokens)) & (node != pivot))
             filled = own[rest] != 0
             # A bin and its byte stand for a token; the rate is higher as fewer of these are shared.
             limit = np.minimum(BRANCH / SIMILARITY / np.maximum(filled.sum(1), 1), 1.0) * 2.0**32
@@ -284,29 +306,46 @@ def candidates(sets: DataFrame) -> DataFrame:
     members = sets.select("node", F.explode(F.array_distinct("paths")).alias("path"))
     ties = None
     for level in range(1, DEPTH + 1):
-        counts = members.groupBy("path").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).filter("size > 1")
-        # Stored: small and large buckets, and the count of the large ones, come from it.
-        buckets = materialise(members.join(counts, "path"), "buckets")
-        small = buckets.filter(F.col("size") <= SMALL).join(known, "node")
-        small = small.groupBy("path").agg(F.collect_list(F.struct("node", "tokens", "sketch")).alias("members")).select("members")
-        new = _small_links(small)
+        buckets = _buckets(members)
         large = buckets.filter(F.col("size") > SMALL)
         more = bool(large.take(1))
+        if more and level == 1:
+            # Paths that are split may end before a pair meets: their sets go through further runs.
+            again = sets.join(large.select("node").distinct(), "node", "left_semi")
+            buckets = buckets.unionByName(_buckets(again.select("node", F.explode(F.array_distinct("more")).alias("path"))))
+            large = buckets.filter(F.col("size") > SMALL)
+        small = buckets.filter(F.col("size") <= SMALL).join(known, "node")
+        new = _small_links(_gathered(small, "path"))
         if more and level < DEPTH:
             pivots = large.select("path", "pivot").distinct().join(
                 known.select(F.col("node").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot")
-            split = large.select("path", "node").join(known.select("node", "sketch"), "node").join(pivots, "path")
-            split = materialise(_split_large(split.select("path", "node", "pivot", "sketch", "pivot_sketch"), level), "split")
+            split = large.select("path", "node").join(known, "node").join(pivots, "path")
+            split = materialise(_split_large(split.select("path", "node", "tokens", "pivot", "sketch", "pivot_sketch"), level), "split")
             new = new.unionByName(split.filter("kind = 0").select("a", "b").distinct())
             members = split.filter("kind = 1").select(F.col("a").alias("path"), F.col("b").alias("node")).distinct()
-        elif more:  # not split by then: all members may be linked
-            new = new.unionByName(large.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+        elif more:  # not split by then: all pairs of blocks of members
+            n = F.ceil(F.col("size") / BLOCK_SETS).cast("int")
+            own = F.pmod(F.xxhash64("node"), n).cast("int")
+            pairs = F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.struct(F.least(j, own).alias("i"), F.greatest(j, own).alias("j")))
+            placed = large.withColumn("pair", F.explode(F.filter(pairs, lambda p: (p["i"] < p["j"]) | (n == 1))))
+            new = new.unionByName(_small_links(_gathered(placed.join(known, "node"), "path", "pair")))
         ties = new if ties is None else ties.unionByName(new)
         if not more:
             break
     return ties
 
 
+def _buckets(members: DataFrame) -> DataFrame:
+    """Members of buckets with more than one, with the bucket's size and its least member; stored, as small and large ones come from it."""
+    counts = members.groupBy("path").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).filter("size > 1")
+    return materialise(members.join(counts, "path"), "buckets")
+
+
+def _gathered(members: DataFrame, *keys: str) -> DataFrame:
+    """The members of every bucket, of a bounded number each, in one row."""
+    return members.groupBy(*keys).agg(F.collect_list(F.struct("node", "tokens", "sketch")).alias("members")).select("members")
+
+
 def _common(a: tuple, b: tuple, shape: tuple[int, int], width: int) -> np.ndarray:
     """Sizes of the intersections of two lists of sets, each given as (set, token) pairs sorted by token."""
     (ar, ac), (br, bc) = a, b
@@ -414,15 +453,15 @@ def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     Rows without an id count like others; a class of such rows alone has a null ``class_id``.
 
     The least similarity of a link is 0.8; a pair that similar is found with probability
-    ``recall`` or more, and every pair found is exact.
+    ``recall`` or more by the model of :func:`missed`, and every pair found is exact.
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    rows = _prepare(docs, runs_for(recall))
+    rows = _prepare(docs, recall)
     # One node per text. Copies are put together before the shuffle.
     by_id = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
     keys = materialise(rows.groupBy("key").agg(F.min("row").alias("node"), F.count("*").alias("times"), F.min(by_id).alias("first")), "texts")
-    sets = rows.join(keys.select(F.col("node").alias("row"), "node"), "row").select("node", "tokens", "sketch", "paths")
+    sets = rows.join(keys.select(F.col("node").alias("row"), "node"), "row").select("node", "tokens", "sketch", "paths", "more")
     groups = materialise(components(candidates(sets)), "groups")
     # Components in tasks: small ones many to a task, large ones as pairs of blocks.
     sized = groups.join(rows.select(F.col("row").alias("node"), "tokens", "key", "doc_id"), "node")
