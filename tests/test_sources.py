@@ -1,11 +1,18 @@
 import io
+import os
+import random
+import subprocess
+import sys
 import zipfile
 
+import pyarrow as pa
 import pytest
-from conftest import as_set
+from conftest import as_set, plan_of
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from tickloom.schemas import TICK, TICK_COLUMNS
-from tickloom.sources import read_tick_csv, read_tick_zips, split_bad_rows, tick_paths
+from tickloom.sources import read_tick_csv, read_tick_zips, split_bad_rows, text, tick_paths, zips
 
 HEADER = ",".join(TICK_COLUMNS)
 
@@ -219,3 +226,64 @@ def test_row_numbers_follow_file_order_across_splits(spark, conf, tmp_path):
     assert parsed.rdd.getNumPartitions() > 10
     rows = split_bad_rows(parsed)[0].orderBy("source_id", "seq").select("source_id", "Volume").collect()
     assert [tuple(r) for r in rows] == [(s, i) for s, n in ((1, 3000), (2, 40), (3, 10)) for i in range(n)]
+
+
+def test_ranges_of_any_size_give_every_line_once(tmp_path):
+    """Lines longer than a range or a block, empty ones, both line ends, and none at the end of the file."""
+    dice = random.Random(4)
+    for case in range(30):
+        lines = ["x" * dice.choice([0, 1, 5, 40, 700]) + str(i) for i in range(dice.choice([0, 1, 3, 60]))]
+        end = dice.choice([b"\n", b"\r\n"])
+        content = end.join(line.encode() for line in lines) + dice.choice([b"", end])
+        path = tmp_path / f"{case}.csv"
+        path.write_bytes(content)
+        size = dice.choice([1, 7, 64, 500, 10_000])
+        found, places = [], []
+        for start in range(0, max(len(content), 1), size):
+            for at, block in text._whole_lines(str(path.as_uri()), start, min(start + size, len(content))):
+                assert content[at : at + len(block)] == block
+                found += [(at, i, line) for i, line in enumerate(block.replace(b"\r\n", b"\n").replace(b"\r", b"\n").split(b"\n"))]
+                places.append(at)
+        assert places == sorted(places) and found == sorted(found, key=lambda f: f[:2])
+        assert [line.decode() for _, _, line in found if line] == [line for line in lines if line]
+
+
+def test_lines_of_plain_logs_are_not_shuffled(spark, conf, tmp_path, monkeypatch):
+    """Several ranges to a file, two headers: the lines stay in the task that reads them."""
+    monkeypatch.setattr(text, "RANGE_BYTES", 2000)
+    first = "\n".join([",".join(TICK_COLUMNS), *[f"A,F,20251201,{90000 + i % 60},{i}.5,{i}" for i in range(1, 400)]])
+    second = "\r\n".join(["Volume,Price,Log_Time,Trade_Date,Contract_Type,Comm", *[f"{i},{i}.25,90000,20251202,F,B" for i in range(1, 300)], "broken"])
+    (tmp_path / "1.csv").write_text(first)
+    (tmp_path / "2.csv").write_bytes(second.encode())
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    parsed = read_tick_csv(spark, str(tmp_path))
+    plan = plan_of(parsed)
+    assert "Join" not in plan and plan.count("Exchange") <= 2 and plan.rindex("Exchange") > plan.rindex("MapInArrow")
+    good, bad = split_bad_rows(parsed)
+    assert as_set(good, "source_id", "Comm", "Volume", "Price") == {(1, "A", i, i + 0.5) for i in range(1, 400)} | {
+        (2, "B", i, i + 0.25) for i in range(1, 300)}
+    assert as_set(bad, "source_id", "line") == {(2, "broken")}
+    order = [r["Volume"] for r in good.filter("source_id = 1").orderBy("seq").collect()]
+    assert order == list(range(1, 400)) and parsed.select("source_id", "seq").distinct().count() == parsed.count()
+    assert parsed.select(F.spark_partition_id()).distinct().count() > 4
+
+
+@pytest.mark.parametrize("what", ["zip", "csv"])
+def test_workers_need_not_have_the_package(tmp_path, what):
+    """The functions that tasks run, unpickled where the package cannot be imported."""
+    content = ",".join(TICK_COLUMNS) + "\nA,F,20251201,090000,10,3\n"
+    if what == "zip":
+        archive(tmp_path / "1.zip", {"T.csv": content})
+        run, batch = zips._block_reader(None), pa.RecordBatch.from_pydict({"path": [f"file:{tmp_path}/1.zip"]})
+    else:
+        (tmp_path / "1.csv").write_text(content)
+        run = text._read_ranges
+        batch = pa.RecordBatch.from_pydict({
+            "file": [f"file:{tmp_path}/1.csv"], "start": [0], "stop": [len(content)], "source_id": pa.array([1], pa.int32()),
+            "before": [0], "header": ["h"], "positions": [[0]], "width": pa.array([6], pa.int32())})
+    (tmp_path / "f").write_bytes(cloudpickle.dumps((run, batch)))
+    script = ("import importlib.util, pickle, sys; assert importlib.util.find_spec('tickloom') is None; import pyspark.cloudpickle; "
+              "f, b = pickle.load(open('f', 'rb')); print(sum(x.column('block').to_pylist()[0] is not None for x in f(iter([b]))))")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=100)
+    assert done.stdout.strip() == "1", done.stderr

@@ -9,7 +9,6 @@ from __future__ import annotations
 import contextlib
 import itertools
 import posixpath
-import re
 import sys
 import zipfile
 
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import dims, rollups
 from tickloom.operators.ticks import valid_ticks
+from tickloom.paths import arrow_path
 from tickloom.schemas import DIM_COMMODITY, DIM_DATE, TICK_COLUMNS
 from tickloom.session import empty_frame, materialise, scratch_path
 from tickloom.sources import block_trades, status_log_from_orders, ticks_from_events
@@ -137,24 +137,15 @@ def csv_landing(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def _put(uri: str, content: bytes) -> None:
-    from pyarrow import fs
-
-    filesystem, path = fs.FileSystem.from_uri(uri)
-    filesystem.create_dir(posixpath.dirname(path), recursive=True)
-    with filesystem.open_output_stream(path) as out:
+def _put(path: str, content: bytes) -> None:
+    filesystem, inner = arrow_path(path)
+    filesystem.create_dir(posixpath.dirname(inner), recursive=True)
+    with filesystem.open_output_stream(inner) as out:
         out.write(content)
 
 
-def _arrow_uri(path: str) -> str:
-    """Hadoop's spelling of a path, in the form Arrow's file systems take."""
-    return re.sub(r"^file:/+", "file:///", path).replace("s3a://", "s3://")
-
-
 def _write_archives(batches, template: str):
     """Batches of (source_id, line), sources together, as archives written line by line; the ids of those written."""
-    from pyarrow import fs
-
     with contextlib.ExitStack() as opened:
         member, now = None, None
         for batch in batches:
@@ -164,7 +155,7 @@ def _write_archives(batches, template: str):
                 if member is None or file_id != now:
                     opened.close()
                     now = file_id
-                    filesystem, path = fs.FileSystem.from_uri(template.format(id=file_id))
+                    filesystem, path = arrow_path(template.format(id=file_id))
                     filesystem.create_dir(posixpath.dirname(path), recursive=True)
                     out = opened.enter_context(filesystem.open_output_stream(path))
                     archive = opened.enter_context(zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED))
@@ -179,20 +170,17 @@ def _write_archives(batches, template: str):
 
 def write_archives(ticks: DataFrame, template: str, mended: bool = False) -> list[int]:
     """Ticks as zipped logs, one archive per source at its path; returns the ids, as many as archives."""
-    target = _arrow_uri(template)
     lines = ticks.select("source_id", "seq", _log_line(mended).alias("line"))
     # Sorted by Spark, which spills; a task holds one batch of lines.
     lines = lines.repartition("source_id").sortWithinPartitions("source_id", "seq").select("source_id", "line")
-    written = lines.mapInArrow(lambda batches: _write_archives(batches, target), "file_id int")
+    written = lines.mapInArrow(lambda batches: _write_archives(batches, template), "file_id int")
     return [row.file_id for row in written.collect()]
 
 
 def write_damaged(spark: SparkSession, path: str) -> None:
     """A file that is no archive."""
-    target = _arrow_uri(path)
-
     def write(rows: pd.DataFrame) -> pd.DataFrame:
-        _put(target, b"no archive")
+        _put(path, b"no archive")
         return rows
 
     spark.range(1).groupBy("id").applyInPandas(write, "id long").collect()

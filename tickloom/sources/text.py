@@ -1,4 +1,4 @@
-"""Plain text tick logs, splittable."""
+"""Plain text tick logs, read by byte ranges."""
 
 from __future__ import annotations
 
@@ -10,19 +10,22 @@ from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickloom.paths import open_input
+from tickloom.session import materialise
 from tickloom.sources.rows import header_columns, missing_columns, positions_of, type_ticks
-from tickloom.sources.zips import SOURCE_PATTERN, _open, source_id_of
+from tickloom.sources.zips import SOURCE_PATTERN, source_id_of
 
 register_pickle_by_value(sys.modules[__name__])
 
-# monotonically_increasing_id() keeps the row number within the partition in the low bits.
-_ROW_BITS = (1 << 33) - 1
+RANGE_BYTES = 64 << 20
+BLOCK_BYTES = 1 << 20
 _HEADS = "file string, length bigint, header string, positions array<int>, width int"
+_RANGE = "source_id int, before bigint, header string, positions array<int>, width int"
 
 
 def _first_line(path: str) -> str:
     """The first line of a file that is not blank."""
-    with _open(path) as source:
+    with open_input(path) as source:
         taken = b""
         while True:
             more = source.read(1 << 16)
@@ -51,6 +54,50 @@ def _heads(spark: SparkSession, paths, columns: list[str] | None) -> DataFrame:
     return files.mapInArrow(look, _HEADS)
 
 
+def _whole_lines(path: str, start: int, stop: int) -> Iterator[tuple[int, bytes]]:
+    """Blocks of the lines that begin in a byte range, each with the place of its first byte; blocks end at line ends.
+
+    The last line may go beyond the range. A line that began before it belongs to the range before.
+    """
+    with open_input(path) as source:
+        at, pending = start, b""
+        if start:
+            source.seek(start - 1)
+            at -= 1
+            while (more := source.read(BLOCK_BYTES)) and (cut := more.find(b"\n")) < 0:
+                at += len(more)
+            if not more:
+                return
+            at, pending = at + cut + 1, more[cut + 1 :]
+        while at < stop:
+            # What is held begins with a line, at ``at``.
+            if at + len(pending) >= stop and (cut := pending.find(b"\n", max(stop - 1 - at, 0))) >= 0:
+                yield at, pending[:cut]
+                return
+            cut = pending.rfind(b"\n")
+            if 0 <= cut and at + cut + 1 < stop and len(pending) >= BLOCK_BYTES:
+                yield at, pending[:cut]
+                at, pending = at + cut + 1, pending[cut + 1 :]
+                continue
+            more = source.read(BLOCK_BYTES)
+            if not more:
+                if pending:
+                    yield at, pending
+                return
+            pending += more
+
+
+def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i, (path, start, stop) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("file", "start", "stop")), strict=True)):
+            for at, block in _whole_lines(path, start, stop):
+                text = block.replace(b"\r\n", b"\n").replace(b"\r", b"\n").decode("utf-8", "replace")
+                rest = [batch.column(c).slice(i, 1) for c in ("source_id", "before", "header", "positions", "width")]
+                yield pa.RecordBatch.from_arrays(
+                    [*rest, pa.array([at], pa.int64()), pa.array([text])],
+                    ["source_id", "before", "header", "positions", "width", "at", "block"])
+
+
 def read_tick_csv(
     spark: SparkSession, paths, columns: list[str] | None = None, source_pattern: str = SOURCE_PATTERN
 ) -> DataFrame:
@@ -60,25 +107,29 @@ def read_tick_csv(
     has the given ``columns``; without these it is an error.
     ``source_pattern`` names the file id in the path by its first group. ``seq`` follows the order
     of the files of a source by path, and of the lines in them.
+
+    One row per byte range carries what is known of its file. These rows are dealt out; a task reads its
+    range, so lines are never shuffled, and a file of any size is read by many tasks.
     """
     if columns and missing_columns(",".join(columns)):
         raise ValueError(f"tick file header lacks {missing_columns(','.join(columns))}")
-    heads = _heads(spark, paths, columns)
-    if not columns:
-        n, example = heads.filter("positions IS NULL").agg(F.count("*"), F.min("file")).first()
-        if n:
-            raise ValueError(f"{n} files without a header line, e.g. {example}")
-    plain = lambda path: F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^[a-z0-9]+:/+", "/")
-    # A row number stays below the offset of the next split, as a partition never holds more
-    # bytes than one full split. The lengths of a source's earlier files come on top.
+    heads = materialise(_heads(spark, paths, columns), "heads")
+    range_bytes = min(RANGE_BYTES, int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b")))
+    count = F.greatest(F.ceil(F.col("length") / range_bytes), F.lit(1))
+    n, example, ranges = heads.agg(F.count_if(F.col("positions").isNull()), F.min(F.when(F.col("positions").isNull(), F.col("file"))), F.sum(count)).first()
+    if n and not columns:
+        raise ValueError(f"{n} files without a header line, e.g. {example}")
+    # The lengths of a source's earlier files come before the places in a file.
     earlier = Window.partitionBy("source_id").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    heads = heads.withColumn("source_id", source_id_of(F.col("file"), source_pattern)).select(
-        F.regexp_replace("file", "^[a-z0-9]+:/+", "/").alias("_file"), "source_id", "header", "positions", "width",
-        F.coalesce(F.sum("length").over(earlier), F.lit(0)).alias("_before"))
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))
-    lines = spark.read.text(paths).select(
-        F.col("value").alias("line"), plain(F.col("_metadata.file_path")).alias("_path"),
-        (F.col("_metadata.file_block_start") + row).alias("_at"))
-    lines = lines.join(heads, F.col("_path") == F.col("_file"))
+    heads = heads.withColumn("source_id", source_id_of(F.col("file"), source_pattern))
+    heads = heads.withColumn("before", F.coalesce(F.sum("length").over(earlier), F.lit(0)))
+    part = F.explode(F.sequence(F.lit(0).cast("bigint"), (count - 1).cast("bigint"))).alias("_part")
+    dealt = heads.select("*", part).withColumns({
+        "start": F.col("_part") * range_bytes, "stop": F.least((F.col("_part") + 1) * range_bytes, F.col("length"))})
+    dealt = dealt.select("file", "start", "stop", "source_id", "before", "header", "positions", "width")
+    blocks = dealt.repartition(max(1, int(ranges or 1))).mapInArrow(_read_ranges, f"{_RANGE}, at bigint, block string")
+    # A block has no more lines than bytes, so numbers within it stay below the place of the next.
+    each = F.posexplode(F.split("block", "\n", -1)).alias("_offset", "line")
+    lines = blocks.select("source_id", "before", "header", "positions", "width", "at", each)
     is_header = F.coalesce(F.ltrim(F.regexp_replace("line", "^\ufeff", "")) == F.col("header"), F.lit(False))
-    return type_ticks(lines.filter(~is_header).withColumn("seq", F.col("_before") + F.col("_at")))
+    return type_ticks(lines.filter(~is_header).withColumn("seq", F.col("before") + F.col("at") + F.col("_offset")))

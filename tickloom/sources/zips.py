@@ -9,7 +9,6 @@ import time
 import zipfile
 import zlib
 from collections.abc import Iterable, Iterator
-from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
@@ -24,6 +23,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from tickloom.paths import open_input
+from tickloom.sources import rows
 from tickloom.sources.rows import (
     READ_SECONDS,
     UNREADABLE_ARCHIVE,
@@ -33,8 +34,9 @@ from tickloom.sources.rows import (
     type_ticks,
 )
 
-# The task-side functions travel inside the plan, so executors need not have this package.
+# The task-side functions travel inside the plan, with what they call, so executors need not have this package.
 register_pickle_by_value(sys.modules[__name__])
+register_pickle_by_value(rows)
 
 MEMBER_SUFFIXES = (".csv", ".txt")
 BLOCK_CHARS = 1 << 20
@@ -86,19 +88,9 @@ def _line_blocks(text: io.TextIOBase) -> Iterator[str]:
         yield "".join(pending)
 
 
-def _open(path: str):
-    """A file of the shared file system, for reading at any place."""
-    from pyarrow import fs
-
-    # Hadoop's spelling of a path, in the form Arrow's file systems take.
-    uri = re.sub(r"^file:/+", "file:///", quote(path, safe="/:")).replace("s3a://", "s3://")
-    filesystem, inner = fs.FileSystem.from_uri(uri)
-    return filesystem.open_input_file(inner)
-
-
 def _blocks_of(path: str, columns: list[str] | None) -> Iterator[tuple]:
     """The blocks of one archive; only the part of it that is being read is held."""
-    with _open(path) as source, zipfile.ZipFile(source) as archive:
+    with open_input(path) as source, zipfile.ZipFile(source) as archive:
         member = next((name for name in archive.namelist() if name.endswith(MEMBER_SUFFIXES)), None)
         if member is None:
             raise FileNotFoundError("no .csv or .txt member")
