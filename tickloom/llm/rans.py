@@ -19,18 +19,17 @@ The manifest, a Parquet table beside the files, has one row per block.
 from __future__ import annotations
 
 import json
-import os
 import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import bound_batches
 from tickloom.llm.tokens import ByteEncoder, tokenize
+from tickloom.paths import arrow_path
 from tickloom.session import scratch_path
 
 MAGIC = b"TLRANS01"
@@ -158,10 +157,6 @@ def token_counts(tokens: DataFrame) -> np.ndarray:
     return counts
 
 
-def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path if ":" in path.split("/")[0] else "file://" + os.path.abspath(path))
-
-
 MANIFEST = "file string, first_id long, first_null boolean, block int, offset long, size long, docs long, tokens long"
 
 
@@ -176,7 +171,7 @@ def write(tokens: DataFrame, folder: str, counts: np.ndarray) -> DataFrame:
     table = Table(counts)
 
     def store(batches):
-        system, root = _filesystem(folder)
+        system, root = arrow_path(folder)
         name = f"{uuid.uuid4().hex}.rans"
         stream, rows, at = None, [], len(MAGIC)
         held, held_ids, docs, lengths = [], 0, [], []
@@ -268,7 +263,7 @@ def read(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
     blocks = blocks.repartition(max(n, int(spark.conf.get("spark.sql.shuffle.partitions"))), "file", "offset")
 
     def decode(batches):
-        system, root = _filesystem(folder)
+        system, root = arrow_path(folder)
         last, index = None, None
         for batch in batches:
             for row in sorted(batch.to_pylist(), key=lambda r: (r["file"], r["offset"])):

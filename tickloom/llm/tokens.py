@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import os
 import zlib
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +38,10 @@ def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 class Units:
-    """What a worker knows: unit hash to a place in one array of ids."""
+    """What a worker knows: unit hashes, sorted, and the place of each unit in one array of ids."""
 
     def __init__(self):
-        self.place: dict[int, int] = {}
+        self.keys, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.begin, self.length = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32)
         self.ids, self.n, self.used = np.zeros(1 << 14, np.uint16), 0, 0
 
@@ -63,8 +62,17 @@ class Units:
         sizes = self.length[places].astype(np.int64)
         return self.ids[_ranges(self.begin[places], sizes)], sizes
 
+    def name(self, hashes: np.ndarray, places: np.ndarray) -> None:
+        """Remember where the units of some hashes, none of them known, are."""
+        keys, at = np.concatenate([self.keys, hashes]), np.concatenate([self.at, places])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.at = keys[order], at[order]
+
     def known(self, hashes: np.ndarray) -> np.ndarray:
-        return np.fromiter(map(self.place.get, hashes.tolist(), repeat(-1)), np.int64, len(hashes))
+        if not len(self.keys):
+            return np.full(len(hashes), -1)
+        spot = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return np.where(self.keys[spot] == hashes, self.at[spot], -1)
 
 
 class UnitEncoder:
@@ -117,7 +125,7 @@ class UnitEncoder:
         hashes = self._hashes(data, starts, ends)
         distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
         found = self.units.known(distinct)
-        if len(self.units.place) + 2 * (found < 0).sum() > self.most_units // 2:
+        if len(self.units.keys) + 2 * (found < 0).sum() > self.most_units // 2:
             self.before, self.units = self.units, Units()
             found[:] = -1
         missing = np.flatnonzero(found < 0)
@@ -132,7 +140,7 @@ class UnitEncoder:
 
     def _store(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         places = self.units.add(ids, sizes)
-        self.units.place.update(zip(hashes.tolist(), places.tolist(), strict=True))
+        self.units.name(hashes, places)
         return places
 
     def _mark(self, data: np.ndarray, offsets: np.ndarray, odd: np.ndarray) -> None:
@@ -165,11 +173,15 @@ class UnitEncoder:
         return self.units.known(hashes)
 
     def _encode_units(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> None:
+        # The units alone, side by side: the rest of the texts is not looked at.
+        sizes = ends - starts
+        data = data[_ranges(starts, sizes)]
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
         plain = self.plain(data, starts, ends)
-        alone = np.flatnonzero(~plain)
-        plain = np.flatnonzero(plain)
-        # Units side by side with what parts them, a group to a text.
-        sizes = (ends - starts)[plain] + len(self.between)
+        alone, plain = np.flatnonzero(~plain), np.flatnonzero(plain)
+        # The plain ones with what parts them, a group to a text.
+        sizes = sizes[plain] + len(self.between)
         stops = np.cumsum(sizes)
         joined = np.empty(stops[-1] if len(stops) else 0, np.uint8)
         joined[_ranges(stops - sizes, sizes - len(self.between))] = data[_ranges(starts[plain], sizes - len(self.between))]
@@ -178,15 +190,17 @@ class UnitEncoder:
         raw = joined.tobytes()
         edges = [0, *stops[_TOGETHER - 1 : -1 : _TOGETHER].tolist(), *stops[-1:].tolist()]
         texts = [raw[a : b - len(self.between)].decode() for a, b in zip(edges, edges[1:])]
+        done = [(np.zeros(0, np.uint64), np.zeros(0, np.uint16), np.zeros(0, np.int64))]
         for k, coded in enumerate(self.each(texts)):
             group = plain[k * _TOGETHER : (k + 1) * _TOGETHER]
             parts = self.parted(coded, len(group))
             if parts is None:
                 alone = np.concatenate([alone, group])
             else:
-                self._store(hashes[group], *parts)
+                done.append((hashes[group], *parts))
         if len(alone):
-            self._store(hashes[alone], *self.whole([data[a:b].tobytes().decode() for a, b in zip(starts[alone].tolist(), ends[alone].tolist())]))
+            done.append((hashes[alone], *self.whole([data[a:b].tobytes().decode() for a, b in zip(starts[alone].tolist(), ends[alone].tolist())])))
+        self._store(*map(np.concatenate, zip(*done, strict=True)))
 
     def encode(self, texts: pa.Array, end: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each followed by ``end``, and where each text's ids begin."""
