@@ -392,6 +392,9 @@ ORACLES = {
              round(Price, 2) AS Price, Volume FROM lines WHERE reason IS NULL""",
     "quarantine_csv": f"""WITH {LINES} SELECT source_id, reason, line FROM lines WHERE reason IS NOT NULL""",
     "hourly_stats_stream": f"WITH {TICKS} {hourly()}",
+    "hourly_stream_late": f"""WITH {TICKS}, marked AS (SELECT *, seq % 10 = 0 AND Trade_Date % 100 <= 20 AS late FROM ticks)
+      SELECT source_id, Comm, Trade_Date, {HOUR} AS Hour, {TOTALS}, CAST(coalesce(sum(Volume) FILTER (NOT late), 0) AS BIGINT) AS volume_in_time,
+             count(*) FILTER (late) AS late_ticks FROM marked GROUP BY ALL""",
     "ingest_stream": f"""WITH {LINES}, good AS (
         SELECT * REPLACE ({ARCHIVE} AS source_id) FROM lines WHERE reason IS NULL AND Price > 0)
       {session("good")}""",

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tickloom import sources, streaming
 from tickloom.catalog import fixtures as fx
+from tickloom.functions import hour_of
 from tickloom.operators import dims, facts, ledger, marts, quality, rollups, ticks
 from tickloom.plans import closes, load, publish, warehouse
 from tickloom.schemas import DIM_COMMODITY, DIM_DATE, DIM_TRADER_TYPE, TICK_COLUMNS
@@ -686,6 +687,28 @@ def hourly_stats_stream(spark, sf_dir):
     return cents(streaming.read_upserts(spark, path))
 
 
+@query
+def hourly_stream_late(spark, sf_dir):
+    """Events that arrive in four parts, the last with ticks of hours long closed: hours in time, with the late ticks
+    that were set aside, and both together."""
+    events = fx.table(spark, sf_dir, "events")
+    landing, checkpoint = scratch_path(spark, "events"), scratch_path(spark, "stream-checkpoint")
+    table = streaming.HourlyTable(spark, scratch_path(spark, "hours"))
+    day, held_back = F.dayofmonth("ts"), F.col("event_id") % 10 == 0
+    early = (day <= 20) & held_back
+    for n, part in enumerate((day.between(1, 10) & ~early, day.between(11, 20) & ~early, (day > 20) & ~early, early)):
+        events.filter(part).write.mode("append").parquet(landing)
+        arrived = spark.readStream.schema(events.schema).parquet(landing)
+        run = ticks.valid_ticks(fx.ticks_from_events(arrived)).writeStream.foreachBatch(table.writer())
+        run.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        if n % 2:
+            table.compact()
+    late = table.late().withColumn("Hour", hour_of()).groupBy(*rollups.HOURLY_KEYS).agg(F.count("*").alias("late_ticks"))
+    in_time = table.hours().select(*rollups.HOURLY_KEYS, F.col("Total_Volume").alias("volume_in_time"))
+    rows = table.corrected().join(in_time, [*rollups.HOURLY_KEYS], "left").join(late, [*rollups.HOURLY_KEYS], "left")
+    return cents(rows.fillna(0, ["volume_in_time", "late_ticks"]))
+
+
 def _streamed(spark, sf_dir, damaged=False):
     landing, _ = fx.zip_landing(spark, sf_dir)
     if damaged:

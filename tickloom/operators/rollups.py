@@ -65,9 +65,10 @@ def _union(parts: tuple[DataFrame, ...]) -> DataFrame:
 # ``also`` adds group keys, such as the chunk of a roll-up that is stored to be merged later.
 
 
-def hourly_stats(ticks: DataFrame, also: Sequence[str] = ()) -> DataFrame:
-    """Volume, turnover, low and high per source, code, date and hour."""
-    return ticks.withColumn("Hour", hour_of()).groupBy(*HOURLY_KEYS, *also).agg(*_tick_totals())
+def hourly_stats(ticks: DataFrame, also: Sequence[str] = (), latest: str | None = None) -> DataFrame:
+    """Volume, turnover, low and high per source, code, date and hour; ``latest`` names a column whose largest value to add."""
+    more = [F.max(latest).alias(latest)] if latest else []
+    return ticks.withColumn("Hour", hour_of()).groupBy(*HOURLY_KEYS, *also).agg(*_tick_totals(), *more)
 
 
 def hourly_ohlc(ticks: DataFrame) -> DataFrame:
