@@ -287,3 +287,17 @@ def test_workers_need_not_have_the_package(tmp_path, what):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=100)
     assert done.stdout.strip() == "1", done.stderr
+
+
+def test_a_hot_archive_is_parsed_by_many_tasks(spark, conf, tmp_path, monkeypatch):
+    monkeypatch.setattr(zips, "BLOCK_CHARS", 2000)
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2KB")
+    conf("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1KB")
+    conf("spark.sql.shuffle.partitions", "16")
+    for i, n in ((1, 4000), (2, 20), (3, 30)):
+        archive(tmp_path / f"{i}.zip", {"T.csv": log(*[f"A,F,20251201,{90000 + k % 60},{k}.5,{k}" for k in range(n)])})
+    good, bad = split_bad_rows(read_tick_zips(spark, str(tmp_path)))
+    hot = good.filter("source_id = 1")
+    assert hot.select(F.spark_partition_id()).distinct().count() > 4
+    assert as_set(good, "source_id", "seq", "Volume") == {(i, k + 1, k) for i, n in ((1, 4000), (2, 20), (3, 30)) for k in range(n)}
+    assert bad.isEmpty()

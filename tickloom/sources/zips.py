@@ -161,6 +161,9 @@ def unzip_ticks(
         source_id_of(F.col("path"), pattern).alias("source_id"), "positions", "width", "note", "start",
         F.coalesce(value, F.col("block")).alias("block"),
     )
+    if not archives.isStreaming:
+        # An archive is inflated by one task, but its blocks are dealt out to all for parsing, by bytes.
+        blocks = blocks.hint("rebalance", "source_id", "start")
     each = F.posexplode(F.split("block", "\n", -1)).alias("_offset", "line")
     lines = blocks.select("source_id", "positions", "width", "note", "start", each)
     return type_ticks(lines.withColumn("seq", F.col("start") + F.col("_offset")))
@@ -173,9 +176,9 @@ def read_tick_zips(
     """Parsed lines of zipped logs with ``source_id`` from the path; feed to
     :func:`tickloom.sources.rows.split_bad_rows`.
 
-    An archive cannot be split, so it is the unit of parallelism. Its task opens it by path in
-    the shared file system and streams the member in blocks, so its size does not matter, and
-    each archive is opened once. ``seq`` is the line number. The order of columns comes from each
+    An archive cannot be split. Its task opens it by path in the shared file system and streams the
+    member in blocks, so its size does not matter, and each archive is opened once. The blocks are
+    then dealt out by size, so that all tasks parse the lines of an archive that holds most of them. ``seq`` is the line number. The order of columns comes from each
     file's own header; with ``columns``, a file with another header is kept aside.
     ``on_error="quarantine"`` keeps one unreadable archive, or one without the tick columns,
     from failing the others. A damaged archive may have given some lines before the damage
