@@ -13,13 +13,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import IS_NO_LETTER, LOWER, bound_batches, mix, remainder, slices, span_hashes, text_bytes, text_of, word_spans
 
 PER_LANGUAGE = 200
-MOST_WORDS = 150_000
+MOST_CHARS = 1_000_000
 BUCKETS = 1 << 17
 LEXICON = 20_000
 LEXICON_DOCUMENTS = 5
@@ -211,32 +211,25 @@ def held_out() -> F.Column:
     return F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE, most_words: int = MOST_WORDS) -> Model | None:
-    """Fit on at most ``per_language`` documents of each language, none of them held out, and ``most_words`` words each.
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, most_chars: int = MOST_CHARS) -> Model | None:
+    """Fit on at most ``per_language`` documents of each language, none of them held out, and about ``most_chars`` code points each.
 
-    The documents are the first by hash of ``doc_id``, taken whole; once a language has its words,
-    further documents of it are left aside. None if no document has a language.
+    The documents are the first by hash of ``doc_id``, taken whole; once a language has that much
+    text, further documents of it are left aside, as are those that alone have more. So what comes to the driver is
+    bounded in size. One pass finds the documents of all languages, by id, and a second one reads
+    their texts. None if no document has a language.
     """
     known = docs.filter(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    names = sorted(r[0] for r in known.select("lang").distinct().collect())
-    parts = None
-    ids = known.select("doc_id", "lang", F.md5(F.col("doc_id").cast("string")).alias("_k"))
-    for name in names:
-        part = ids.filter(F.col("lang") == name).orderBy("_k").limit(per_language)
-        parts = part if parts is None else parts.unionByName(part)
-    if parts is None:
-        return None
+    known = known.withColumns({"_k": F.md5(F.col("doc_id").cast("string")), "_n": F.length("text")}).filter(F.col("_n") <= most_chars)
+    # Tasks keep the first rows of each language before the shuffle.
+    first = Window.partitionBy("lang").orderBy("_k", "_n")
+    ids = known.select("doc_id", "lang", "_k", "_n").withColumn("_row", F.row_number().over(first)).filter(F.col("_row") <= per_language)
+    before = Window.partitionBy("lang").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    ids = ids.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).filter(F.col("_before") < most_chars)
     # At most per_language rows per language.
-    chosen = known.join(F.broadcast(parts.select("doc_id", "lang")), ["doc_id", "lang"], "left_semi")
-    got = chosen.select("lang", "text", F.md5(F.col("doc_id").cast("string")).alias("k")).toArrow().sort_by([("k", "ascending"), ("text", "ascending")])
-    sizes = np.array([len(t.split()) for t in got.column("text").to_pylist()])
-    lang = np.array(got.column("lang").to_pylist(), object)
-    use = np.zeros(len(lang), bool)
-    for name in names:
-        mine = np.flatnonzero(lang == name)
-        use[mine[np.cumsum(sizes[mine]) - sizes[mine] < most_words]] = True
-    picked = got.filter(pa.array(use)).column("text").combine_chunks()
-    return fit(picked, lang[use].astype(str)) if use.any() else None
+    chosen = known.join(F.broadcast(ids.select("doc_id", "lang", "_n").distinct()), ["doc_id", "lang", "_n"], "left_semi")
+    got = chosen.select("lang", "text", "_k").toArrow().sort_by([("_k", "ascending"), ("text", "ascending")])
+    return fit(got.column("text").combine_chunks(), np.array(got.column("lang").to_pylist(), object).astype(str)) if got.num_rows else None
 
 
 def identify(docs: DataFrame, model: Model | None, spans: bool = False) -> DataFrame:

@@ -31,6 +31,7 @@ from tickloom.llm.common import (
 PASSAGE = 48
 BUCKETS = 1 << 13
 WIDTH, GATE = 16, 8
+MOST_CHARS = 200_000
 PER_CLASS = 1200
 EPOCHS = 8
 LEAST_STEPS = 300  # a small sample is gone through more often
@@ -173,13 +174,15 @@ def held_out() -> F.Column:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model | None:
     """Fit on at most ``per_class`` whole labelled documents of either label, none of them held out.
 
+    Texts of more than ``MOST_CHARS`` code points are not learned from, so the sample is bounded in size as well.
     The share of label 1 is counted over all labels that are not held out. None without labels.
     """
     known = labels.filter(~held_out() & F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality"))
     prior = known.agg(F.avg("quality")).first()[0]
     # At most two rows per document allowed for: the ids of the sample.
     sample = training_sample(known, "quality", (per_class, per_class))
-    chosen = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(sample), "doc_id")
+    short = docs.select("doc_id", text_of().alias("text")).filter(F.length("text") <= MOST_CHARS)
+    chosen = short.join(F.broadcast(sample), "doc_id")
     got = chosen.select("text", "quality", F.md5(F.col("doc_id").cast("string")).alias("k")).toArrow()
     got = got.sort_by([("k", "ascending"), ("text", "ascending")])
     if prior is None or not got.num_rows:
