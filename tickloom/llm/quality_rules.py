@@ -13,8 +13,9 @@ from tickloom.session import materialise
 SIGNALS = {"symbols": 20, "dup_lines": 150, "repeats": 100, "capitals": 60, "marks": 20, "word_length": 60}
 LOW_SIDE = ("word_length",)
 SPREADS = 3
-# Sketches of fewer documents than this are merged: source into language into corpus.
-LEAST_DOCUMENTS = 400
+# The corpus stands beside a language, and the language beside a source, like this many documents more. So a group is
+# judged by its own documents the more it has, without a size at which verdicts change.
+PRIOR_DOCUMENTS = 100
 # A sketch keeps this many leading bits of a value: exact below 128, 1/64 above.
 BITS = 7
 
@@ -94,40 +95,40 @@ def sketch(rows: DataFrame) -> DataFrame:
     return flat.groupBy("lang", "source", "signal", bucket("value").alias("bucket")).agg(F.count("*").alias("n"))
 
 
-def fences(sketches: DataFrame, group: list[str]) -> DataFrame:
-    """Per group, ``low_<signal>`` and ``high_<signal>``: the quartiles widened by ``SPREADS`` spreads, and ``docs``.
-
-    The spread is that between the quartiles of the group's merged sketch, or the least one.
-    """
+def quartiles(sketches: DataFrame, group: list[str]) -> DataFrame:
+    """Per group, ``q1_<signal>`` and ``q3_<signal>`` of the group's merged sketch, and ``docs``."""
     merged = sketches.groupBy(*group, "signal", "bucket").agg(F.sum("n").alias("n"))
     one = Window.partitionBy(*group, "signal")
     upto = one.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     ranked = merged.withColumns({"_upto": F.sum("n").over(upto), "_all": F.sum("n").over(one)})
     quartile = lambda k: F.min(F.when(F.col("_upto") * 4 >= F.col("_all") * k, F.col("bucket")))
     ends = ranked.groupBy(*group, "signal").agg(quartile(1).alias("q1"), quartile(3).alias("q3"), F.max("_all").alias("docs"))
-    least = F.coalesce(*[F.when(F.col("signal") == s, F.lit(v)) for s, v in SIGNALS.items()])
-    reach = F.greatest(F.col("q3") - F.col("q1"), least) * SPREADS
-    ends = ends.withColumns({"high": F.col("q3") + reach, "low": F.col("q1") - reach})
     of = lambda s, c: F.max(F.when(F.col("signal") == s, F.col(c))).alias(f"{c}_{s}")
-    return ends.groupBy(*group).agg(
-        *[of(s, "high") for s in SIGNALS], *[of(s, "low") for s in LOW_SIDE], F.max("docs").alias("docs"))
+    return ends.groupBy(*group).agg(*[of(s, c) for s in SIGNALS for c in ("q1", "q3")], F.max("docs").alias("docs"))
 
 
 def thresholds(sketches: DataFrame) -> DataFrame:
-    """One row of fences per (lang, source): its own, its language's or the corpus's, by how many documents each has."""
-    names = [*[f"high_{s}" for s in SIGNALS], *[f"low_{s}" for s in LOW_SIDE]]
+    """One row of fences per (lang, source), ``high_<signal>`` and ``low_<signal>``.
+
+    The quartiles of the source, drawn towards those of its language, and these towards the corpus's, widened by
+    ``SPREADS`` spreads. The spread is that between the quartiles, or the signal's least one.
+    """
+    names = [f"{c}_{s}" for s in SIGNALS for c in ("q1", "q3")]
 
     def named(df, prefix):
         return df.select(*[c for c in ("lang", "source") if c in df.columns], *[F.col(c).alias(prefix + c) for c in [*names, "docs"]])
 
-    own = named(fences(sketches, ["lang", "source"]), "o_")
-    lang = named(fences(sketches, ["lang"]), "l_").withColumnRenamed("lang", "_lang")
-    corpus = named(fences(sketches, []), "c_")
+    own = named(quartiles(sketches, ["lang", "source"]), "o_")
+    lang = named(quartiles(sketches, ["lang"]), "l_").withColumnRenamed("lang", "_lang")
+    corpus = named(quartiles(sketches, []), "c_")
     rows = own.join(lang, F.col("lang").eqNullSafe(F.col("_lang"))).crossJoin(F.broadcast(corpus))  # the corpus is one row
-    pick = lambda c: (
-        F.when(F.col("o_docs") >= LEAST_DOCUMENTS, F.col(f"o_{c}"))
-        .when(F.col("l_docs") >= LEAST_DOCUMENTS, F.col(f"l_{c}")).otherwise(F.col(f"c_{c}")).alias(c))
-    return rows.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), *map(pick, names))
+    k = PRIOR_DOCUMENTS
+    rows = rows.withColumns({f"l_{c}": F.expr(f"(l_docs * l_{c} + {k} * c_{c}) div (l_docs + {k})") for c in names})
+    rows = rows.withColumns({c: F.expr(f"(o_docs * o_{c} + {k} * l_{c}) div (o_docs + {k})") for c in names})
+    reach = {s: F.greatest(F.col(f"q3_{s}") - F.col(f"q1_{s}"), F.lit(least)) * SPREADS for s, least in SIGNALS.items()}
+    return rows.select(
+        F.col("lang").alias("_l"), F.col("source").alias("_s"), *[(F.col(f"q3_{s}") + reach[s]).alias(f"high_{s}") for s in SIGNALS],
+        *[(F.col(f"q1_{s}") - reach[s]).alias(f"low_{s}") for s in LOW_SIDE])
 
 
 def judge(docs: DataFrame, carry: list[str] = ()) -> DataFrame:

@@ -70,16 +70,16 @@ WITH t AS (
 ), q AS (
     SELECT level, lang, source, s, max(docs) AS docs, min(b) FILTER (4 * upto >= docs) AS q1, min(b) FILTER (4 * upto >= 3 * docs) AS q3
     FROM u GROUP BY level, lang, source, s
-), f AS (
-    SELECT level, lang, source, s, docs, q1 - 3 * greatest(q3 - q1, ([20, 150, 100, 60, 20, 60])[s]) AS low,
-           q3 + 3 * greatest(q3 - q1, ([20, 150, 100, 60, 20, 60])[s]) AS high
-    FROM q
+), y AS (
+    SELECT l.lang, l.s, (l.docs * l.q1 + 100 * a.q1) // (l.docs + 100) AS q1, (l.docs * l.q3 + 100 * a.q3) // (l.docs + 100) AS q3
+    FROM q l JOIN q a ON a.level = 3 AND a.s = l.s WHERE l.level = 2
+), o AS (
+    SELECT o.lang, o.source, o.s, (o.docs * o.q1 + 100 * y.q1) // (o.docs + 100) AS q1, (o.docs * o.q3 + 100 * y.q3) // (o.docs + 100) AS q3
+    FROM q o JOIN y ON y.s = o.s AND y.lang IS NOT DISTINCT FROM o.lang WHERE o.level = 1
 ), k AS (
-    SELECT o.lang, o.source, o.s,
-           CASE WHEN o.docs >= 400 THEN o.low WHEN l.docs >= 400 THEN l.low ELSE a.low END AS low,
-           CASE WHEN o.docs >= 400 THEN o.high WHEN l.docs >= 400 THEN l.high ELSE a.high END AS high
-    FROM f o JOIN f l ON l.level = 2 AND l.s = o.s AND l.lang IS NOT DISTINCT FROM o.lang
-    JOIN f a ON a.level = 3 AND a.s = o.s WHERE o.level = 1
+    SELECT lang, source, s, q1 - 3 * greatest(q3 - q1, ([20, 150, 100, 60, 20, 60])[s]) AS low,
+           q3 + 3 * greatest(q3 - q1, ([20, 150, 100, 60, 20, 60])[s]) AS high
+    FROM o
 ), bad AS (
     SELECT DISTINCT doc_id FROM (SELECT doc_id, lang, source, vs, unnest(range(1, 7)) AS s FROM v) d
     JOIN k ON k.s = d.s AND k.lang IS NOT DISTINCT FROM d.lang AND k.source IS NOT DISTINCT FROM d.source
