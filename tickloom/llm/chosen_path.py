@@ -302,7 +302,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def candidates(sets: DataFrame) -> DataFrame:
     """``(a, b)``: ties between sets (``node``, ``tokens``, ``sketch``, ``paths``) that may be linked."""
-    known = sets.select("node", "tokens", "sketch")
+    known = sets.select("node", "tokens", "sketch").hint("merge")
     members = sets.select("node", F.explode(F.array_distinct("paths")).alias("path"))
     ties = None
     for level in range(1, DEPTH + 1):
@@ -484,7 +484,8 @@ def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
         ((F.col("pair.i") != F.col("pair.j")) & (F.col("block") == F.col("pair.j"))).cast("int").alias("side"))
     text = text_of()
     texts = docs.select(F.col("doc_id").cast("long").alias("_d"), F.md5(text).alias("_key"), text.alias("text"))
-    texts = placed.join(texts, (F.col("key") == F.col("_key")) & F.col("_doc").eqNullSafe(F.col("_d")))
+    # Shuffled however few candidates there are, so that the plan is the same at every size.
+    texts = placed.hint("merge").join(texts, (F.col("key") == F.col("_key")) & F.col("_doc").eqNullSafe(F.col("_d")))
     checked = materialise(_verify(texts.select("task", "comp", "node", "times", "cross", "side", "text")), "links")
     counts = checked.groupBy("node").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
     roots = components(checked.select(F.col("root").alias("a"), F.col("node").alias("b")).filter("a <> b"))
