@@ -5,6 +5,7 @@ The ledger is append-only: each status change is a row, the current state a fold
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -125,20 +126,22 @@ def seed_next(log: DataFrame, at: datetime, seed: int = FIRST_FILE_ID - 1) -> Da
 
 
 def opening_moves(
-    files: DataFrame, status: DataFrame, at: datetime, load_id: int, segment: str | None = None, txn: str | None = None,
+    spark: SparkSession, ids: Iterable[int], status: dict[int, str], at: datetime, load_id: int,
+    segment: str | None = None, txn: str | None = None,
 ) -> DataFrame:
     """The ledger rows that bring every file of a load to PROCESSING by legal steps.
 
-    ``status`` has ``file_id, status`` of known files. A file that is not PENDING is requested first; one that
-    a crashed load left PROCESSING has failed before that.
+    ``status`` has that of known files. A file that is not PENDING is requested first; one that
+    a crashed load left PROCESSING has failed before that. Steps 0 to 2 order the rows.
     """
-    now = status.select("file_id", F.col("status").alias("_now"))
-    known = files.select("file_id").distinct().join(now, "file_id", "left")
-    crashed = known.filter("_now = 'PROCESSING'")
-    asked = known.filter("_now IS NULL OR _now <> 'PENDING'")
-    rows = transitions(crashed, "FAILED", at, step=0, txn=txn)
-    rows = rows.unionByName(transitions(asked, "PENDING", at, step=1, txn=txn))
-    return rows.unionByName(transitions(known, "PROCESSING", at, load_id=load_id, step=2, segment=segment, txn=txn))
+    rows = []
+    for i in dict.fromkeys(ids):
+        if status.get(i) == "PROCESSING":
+            rows.append((i, "FAILED", at, 0, 0, None, None, txn))
+        if status.get(i) != "PENDING":
+            rows.append((i, "PENDING", at, 0, 1, None, None, txn))
+        rows.append((i, "PROCESSING", at, 0, 2, load_id, segment, txn))
+    return spark.createDataFrame(rows, FILE_STATUS_LOG).coalesce(1)
 
 
 def request_backfill(log: DataFrame, ids: list[int], at: datetime) -> DataFrame:

@@ -44,11 +44,13 @@ def _daily(closes: DataFrame, *keys: str) -> DataFrame:
 
 def _put(wh: Warehouse, name: str, rows: DataFrame, months: list[int]) -> None:
     """Make ``rows`` the contents of the months."""
+    # Stored first, as they come from the table that is written.
     stored = materialise(rows, name)
-    there = {row[0] for row in stored.select("month").distinct().collect()}
     wh.replace(name, stored)
-    for month in set(months) - there:
-        wh.remove(f"{name}/month={month}")
+    if len(months) > 1 or stored.isEmpty():
+        there = {row[0] for row in stored.select("month").distinct().collect()}
+        for month in set(months) - there:
+            wh.remove(f"{name}/month={month}")
 
 
 def forget(wh: Warehouse, ids: list[int], staged: DataFrame) -> None:

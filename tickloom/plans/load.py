@@ -16,7 +16,7 @@ from datetime import datetime, timezone
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators import dims, facts, marts, quality, rollups
@@ -59,15 +59,16 @@ def stage_ticks(wh: Warehouse, ticks: DataFrame) -> DataFrame:
     violates a blocker rule is left out of all three tables. Returns the stored quality
     report, one row per source, table and rule.
     """
-    report = _stage_cells(wh, materialise(rollups.tick_cells(valid_ticks(ticks)), "cells"))
+    report, _ = _stage_cells(wh, materialise(rollups.tick_cells(valid_ticks(ticks)), "cells"))
     closes.drop(wh)
     return report
 
 
-def _stage_cells(wh: Warehouse, cells: DataFrame) -> DataFrame:
-    """Staging from cells; the report also has the rows of every source, under the rule ROWS.
+def _stage_cells(wh: Warehouse, cells: DataFrame) -> tuple[DataFrame, list[Row]]:
+    """Staging from cells; returns the report, and those rows of it that count anything, a few per source.
 
-    Each write counts what it writes, and the counts must be those of the report.
+    The report also has the rows of every source, under the rule ROWS. Each write counts what it writes, and the
+    counts must be those of the report.
     """
     rolled = {
         "stg_hourly_stats": rollups.hourly_from_cells(cells),
@@ -76,19 +77,19 @@ def _stage_cells(wh: Warehouse, cells: DataFrame) -> DataFrame:
     }
     reports = [quality.dq_report(df, name, by=["source_id"], rows=True) for name, df in rolled.items()]
     report = materialise(reduce(DataFrame.unionByName, reports), "quality")
-    blocked = quality.blocked_sources(report)
+    told = report.filter(F.col("violations") > 0).select("source_id", "dataset", "rule", "severity", "violations").collect()
+    blocked = {r["source_id"] for r in told if r["severity"] == quality.BLOCKER}
     written = {name: Observation(name) for name in rolled}
 
     def write(name: str, df: DataFrame) -> None:
-        wh.replace(name, df.join(blocked, "source_id", "left_anti"), written[name])
+        wh.replace(name, df.filter(~F.col("source_id").isin([*blocked])) if blocked else df, written[name])
 
     _each(rolled, write)
-    counted = report.filter(F.col("rule") == quality.ROWS).join(blocked, "source_id", "left_anti")
-    expected = {r["dataset"]: r["n"] for r in counted.groupBy("dataset").agg(F.sum("violations").alias("n")).collect()}
     for name, seen in written.items():
-        if seen.get.get("rows", 0) != expected.get(name, 0):
-            raise RuntimeError(f"{name}: {seen.get.get('rows', 0)} rows written, {expected.get(name, 0)} counted")
-    return report
+        expected = sum(r["violations"] for r in told if r["dataset"] == name and r["rule"] == quality.ROWS and r["source_id"] not in blocked)
+        if seen.get.get("rows", 0) != expected:
+            raise RuntimeError(f"{name}: {seen.get.get('rows', 0)} rows written, {expected} counted")
+    return report, told
 
 
 def _cells_and_bad_lines(parsed: DataFrame) -> DataFrame:
@@ -142,11 +143,10 @@ def stage_lines(wh: Warehouse, parsed: DataFrame, loaded: Iterable[int] = ()) ->
     cells = stored.filter(F.col("reason").isNull()).drop("reason", "bad_seq", "line")
     with ThreadPoolExecutor(1) as pool:
         quarantined = pool.submit(wh.replace, "quarantine", bad)
-        report = _stage_cells(wh, cells.filter(~F.col("source_id").isin([*failed])) if failed else cells)
+        _, told = _stage_cells(wh, cells.filter(~F.col("source_id").isin([*failed])) if failed else cells)
         quarantined.result()
     rows: dict[int, int] = {}
     warned: dict[int, list[str]] = {}
-    told = report.filter((F.col("violations") > 0)).select("source_id", "dataset", "rule", "severity", "violations").collect()
     for source, dataset, rule, severity, n in told:
         if rule == quality.ROWS:
             rows[source] = rows.get(source, 0) + n
@@ -294,8 +294,7 @@ def load_archives(
         segment = max(begun) if opened else segment
         logged = not _earlier(wh, "etl_job_logs", txn).isEmpty()
     if not opened:
-        now = spark.createDataFrame([*known.items()], "file_id int, status string")
-        wh.append("file_status_log", opening_moves(files, now, started, load_id, segment, txn).coalesce(1))
+        wh.append("file_status_log", opening_moves(spark, ids, known, started, load_id, segment, txn))
     failed = dict.fromkeys(absent, ABSENT)
     staged = Staged({}, {}, {}, {})
     try:
