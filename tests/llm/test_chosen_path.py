@@ -185,3 +185,40 @@ def test_differing_bins_never_exclude_a_link():
             both = [np.sort(whole), np.sort(other)]
             sketch = chosen_path.sketches(np.concatenate(both), np.append(0, np.cumsum([len(x) for x in both])))
             assert 9 * chosen_path._differ(sketch[:1], sketch[1:])[0] <= len(whole) + len(other)
+
+
+def test_sets_that_left_at_a_pivot_are_in_no_further_buckets(spark, monkeypatch):
+    """Only sets that go on from a split bucket need further runs; of near copies and strangers with a common line, the strangers."""
+    hot, line = prose(3000, 300).split(), prose(3001, 24)
+    texts = [" ".join([*hot[:i], f"x{i}", *hot[i + 1 :]]) for i in range(200)]
+    texts += [f"{line} " + " ".join(f"{i}y{k}" for k in range(30)) for i in range(200)]
+    seen, stored = [], chosen_path._buckets
+    monkeypatch.setattr(chosen_path, "_buckets", lambda members: (seen.append(members.groupBy("node").count().collect()), stored(members))[1])
+    monkeypatch.setattr(chosen_path, "SMALL", 40)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = chosen_path._prepare(docs, chosen_path.RECALL).withColumn("node", F.col("doc_id"))
+    found = {g["node"]: g["root"] for g in chosen_path.components(chosen_path.candidates(rows)).collect()}
+    assert found == dict.fromkeys(range(200), 0)
+    assert len(seen) > 1 and {r["node"] for r in seen[0]} == set(range(400))
+    later = {r["node"] for counts in seen[1:] for r in counts}
+    assert len(later) > 50 and min(later) >= 200
+
+
+def test_members_of_large_buckets_are_joined_with_their_counts_alone_by_bucket(spark, monkeypatch):
+    seen, split = [], chosen_path._split_large
+    monkeypatch.setattr(chosen_path, "_split_large", lambda rows, level: (seen.append(rows._jdf.queryExecution().executedPlan().toString()), split(rows, level))[1])
+    monkeypatch.setattr(chosen_path, "SMALL", 20)
+    hot = prose(3002, 100).split()
+    docs = spark.createDataFrame([(i, " ".join([*hot, f"x{i}"])) for i in range(60)], "doc_id long, text string")
+    assert {r["n_links"] for r in chosen_path.join(docs).collect()} == {59}
+    joins = [x for plan in seen for x in plan.splitlines() if "Join" in x]
+    assert joins and not any("[path#" in x for x in joins)
+
+
+def test_components_end_without_a_round_that_changes_nothing(spark, monkeypatch):
+    stored, tables = chosen_path.materialise, []
+    monkeypatch.setattr(chosen_path, "materialise", lambda df, label: (tables.append(label), stored(df, label))[1])
+    stars = [(10 * i, 10 * i + k) for i in range(9) for k in range(1, 5)]
+    got = {g["node"]: g["root"] for g in chosen_path.components(spark.createDataFrame(stars, "a long, b long")).collect()}
+    assert got == {**dict((b, a) for a, b in stars), **{a: a for a, _ in stars}}
+    assert tables == ["edges"]

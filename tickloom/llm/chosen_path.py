@@ -4,19 +4,21 @@ A set follows a path by sampling some of its tokens with a hash that all sets sh
 have a token in common, and sample it, come into the bucket of that token. Small buckets are
 compared by brute force, on sketches. A bucket that is too large is split again on further
 sampled tokens, and at the last level compared block by block. The runs, each with hash functions of its own,
-are as many as the target recall asks for if no bucket is split; sets that were in a split one go through
+are as many as the target recall asks for if no bucket is split; sets that had to go on from a split one go through
 as many more as it asks for if every bucket is split to the last level. What the sketches leave as possible links is put into connected components, and the
 exact similarity of all pairs in a component is then worked out, in blocks.
 
 In a large bucket its first set is a pivot. All that may be near the pivot is tied to it, and what
 is as near as a link goes no further: whatever that could link to is, by the triangle inequality
 of the Jaccard distance, near enough to the pivot to be tied to it as well. So dense groups of
-near copies leave the recursion at once.
+near copies leave the recursion at once, and need no further runs: a bucket that a set leaves this
+way has met all its links.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -236,11 +238,15 @@ def _small_links(buckets: DataFrame) -> DataFrame:
             tied = np.flatnonzero(label != np.arange(len(node)))
             yield pa.RecordBatch.from_arrays([pa.array(node[label[tied]]), pa.array(node[tied])], ["a", "b"])
 
-    return buckets.mapInArrow(compare, "a long, b long").distinct()
+    return buckets.mapInArrow(compare, "a long, b long")
 
 
 def _split_large(rows: DataFrame, level: int) -> DataFrame:
-    """``(kind, a, b)`` from members of large buckets: 0 for a tie ``a, b``, 1 for a member ``b`` of the finer bucket ``a``."""
+    """``(kind, a, b)`` from members of large buckets.
+
+    0 for a tie ``a, b``, 1 for a member ``b`` of the finer bucket ``a``, 2 for a set ``b`` that goes on from the bucket ``a``,
+    be it to finer ones or to none.
+    """
 
     def split(batches):
         for batch in batches:
@@ -264,9 +270,10 @@ def _split_large(rows: DataFrame, level: int) -> DataFrame:
             code = mix(path[rest].view(np.uint64)[:, None] ^ (own[rest].astype(np.uint64) << np.uint64(8) | bins) * np.uint64(0x9E3779B97F4A7C15))
             i, j = np.nonzero(filled & ((code >> np.uint64(32)) <= limit[:, None]))
             child = mix(code[i, j] + np.uint64(level)).view(np.int64)
-            kinds = np.repeat([0, 1], [tied.sum(), len(i)]).astype(np.int32)
+            kinds = np.repeat([0, 1, 2], [tied.sum(), len(i), len(rest)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
-                pa.array(kinds), pa.array(np.concatenate([pivot[tied], child])), pa.array(np.concatenate([node[tied], node[rest][i]])),
+                pa.array(kinds), pa.array(np.concatenate([pivot[tied], child, path[rest]])),
+                pa.array(np.concatenate([node[tied], node[rest][i], node[rest]])),
             ], ["kind", "a", "b"])
 
     return rows.mapInArrow(split, "kind int, a long, b long")
@@ -277,62 +284,59 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps: every node ties its larger, then its smaller
     neighbours to the least one it knows. Each round is a stored table; rounds grow with the
-    logarithm of the nodes. No neighbourhood is gathered, only minima.
+    logarithm of the nodes. No neighbourhood is gathered, only minima. The rounds end once every
+    node is either a root or tied to one root alone, which a further round would leave as it is.
     """
-    def key(df):
-        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
     now = materialise(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
-    seen = key(now)
-    while seen[0]:
+    while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
+        around = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("ties"))
+        if not around.filter("m < a AND ties > 1").take(1):
+            break
+        least = around.select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
         large = both.filter("b > a").join(least, F.col("a") == F.col("n")).select(F.col("m").alias("a"), "b").distinct()
         least = large.groupBy("b").agg(F.min("a").alias("m")).withColumnRenamed("b", "n")
         small = large.join(least, F.col("b") == F.col("n")).select("a", "b", "m")
         pairs = F.array(F.struct(F.col("m").alias("a"), F.col("a").alias("b")), F.struct(F.col("m").alias("a"), F.col("b").alias("b")))
         step = small.select(F.explode(pairs).alias("p")).select("p.a", "p.b").filter("a <> b").distinct()
         now = materialise(step, "edges")
-        old, seen = seen, key(now)
-        if old == seen:
-            break
-    children = now.groupBy("b").agg(F.min("a").alias("root")).withColumnRenamed("b", "node")
+    children = now.select(F.col("b").alias("node"), F.col("a").alias("root"))
     return children.unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
 
 
 def candidates(sets: DataFrame) -> DataFrame:
-    """``(a, b)``: ties between sets (``node``, ``tokens``, ``sketch``, ``paths``) that may be linked."""
+    """``(a, b)``: ties between sets (``node``, ``tokens``, ``sketch``, ``paths``, ``more``) that may be linked."""
     known = sets.select("node", "tokens", "sketch").hint("merge")
     members = sets.select("node", F.explode(F.array_distinct("paths")).alias("path"))
-    ties = None
+    small, ties = [], []
     for level in range(1, DEPTH + 1):
         buckets = _buckets(members)
+        small.append(buckets.filter(F.col("size") <= SMALL).select("path", "node"))
         large = buckets.filter(F.col("size") > SMALL)
-        more = bool(large.take(1))
-        if more and level == 1:
-            # Paths that are split may end before a pair meets: their sets go through further runs.
-            again = sets.join(large.select("node").distinct(), "node", "left_semi")
-            buckets = buckets.unionByName(_buckets(again.select("node", F.explode(F.array_distinct("more")).alias("path"))))
-            large = buckets.filter(F.col("size") > SMALL)
-        small = buckets.filter(F.col("size") <= SMALL).join(known, "node")
-        new = _small_links(_gathered(small, "path"))
-        if more and level < DEPTH:
-            pivots = large.select("path", "pivot").distinct().join(
+        if not large.take(1):
+            break
+        if level < DEPTH:
+            # Looked up by pivot, so that no shuffle is on a large bucket; a row for SMALL members at most.
+            pivots = large.select("pivot").distinct().join(
                 known.select(F.col("node").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot")
-            split = large.select("path", "node").join(known, "node").join(pivots, "path")
+            split = large.join(known, "node").join(F.broadcast(pivots), "pivot")
             split = materialise(_split_large(split.select("path", "node", "tokens", "pivot", "sketch", "pivot_sketch"), level), "split")
-            new = new.unionByName(split.filter("kind = 0").select("a", "b").distinct())
-            members = split.filter("kind = 1").select(F.col("a").alias("path"), F.col("b").alias("node")).distinct()
-        elif more:  # not split by then: all pairs of blocks of members
+            ties.append(split.filter("kind = 0").select("a", "b"))
+            members = split.filter("kind = 1").select(F.col("b").alias("node"), F.col("a").alias("path"))
+            if level == 1:
+                # Paths that go on may end before a pair meets: their sets go through further runs. Of linked sets
+                # that a bucket does not tie neither is near its pivot, so both are among these.
+                again = sets.join(split.filter("kind = 2").select(F.col("b").alias("node")).distinct(), "node", "left_semi")
+                members = members.unionByName(again.select("node", F.explode(F.array_distinct("more")).alias("path")))
+        else:  # not split by then: all pairs of blocks of members
             n = F.ceil(F.col("size") / BLOCK_SETS).cast("int")
             own = F.pmod(F.xxhash64("node"), n).cast("int")
             pairs = F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.struct(F.least(j, own).alias("i"), F.greatest(j, own).alias("j")))
             placed = large.withColumn("pair", F.explode(F.filter(pairs, lambda p: (p["i"] < p["j"]) | (n == 1))))
-            new = new.unionByName(_small_links(_gathered(placed.join(known, "node"), "path", "pair")))
-        ties = new if ties is None else ties.unionByName(new)
-        if not more:
-            break
-    return ties
+            ties.append(_small_links(_gathered(placed.join(known, "node"), "path", "pair")))
+    # The small buckets of all levels at once.
+    ties.append(_small_links(_gathered(reduce(DataFrame.unionByName, small).join(known, "node"), "path")))
+    return reduce(DataFrame.unionByName, ties)
 
 
 def _buckets(members: DataFrame) -> DataFrame:
@@ -404,10 +408,10 @@ def linked(texts: pa.Array, side: np.ndarray) -> np.ndarray:
 
 
 def _verify(rows: DataFrame) -> DataFrame:
-    """``(node, root, links, texts)`` from the members of components, ``task`` by ``task``.
+    """``(node, root, links, texts, part)`` from the members of components, ``task`` by ``task``.
 
     ``links`` and ``texts`` count linked documents and texts; ``root`` is the least node that the
-    node is connected to within the task.
+    node is connected to within the task, and ``part`` whether its component has other tasks.
     """
 
     def check(table: pa.Table) -> pa.Table:
@@ -415,7 +419,7 @@ def _verify(rows: DataFrame) -> DataFrame:
         comp = table.column("comp").to_numpy()
         order = np.lexsort((table.column("node").to_numpy(), comp))
         table, comp = table.take(pa.array(order)), comp[order]
-        node, times, side = (table.column(c).to_numpy() for c in ("node", "times", "side"))
+        node, times, side, blocks = (table.column(c).to_numpy() for c in ("node", "times", "side", "blocks"))
         cross = table.column("cross").to_numpy(zero_copy_only=False)
         texts = table.column("text").combine_chunks()
         out = []
@@ -436,11 +440,11 @@ def _verify(rows: DataFrame) -> DataFrame:
             links, count = np.bincount(a, t[b], len(n)), np.bincount(a, minlength=len(n))
             if both:
                 links, count = links + np.bincount(b, t[a], len(n)), count + np.bincount(b, minlength=len(n))
-            out.append((n, n[label], links.astype(np.int64), count))
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)] or [np.zeros(0, np.int64)] * 4
-        return pa.table(columns, ["node", "root", "links", "texts"])
+            out.append((n, n[label], links.astype(np.int64), count, np.full(len(n), blocks[low] > 1)))
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)] or [*[np.zeros(0, np.int64)] * 4, np.zeros(0, bool)]
+        return pa.table(columns, ["node", "root", "links", "texts", "part"])
 
-    return rows.groupBy("task").applyInArrow(check, "node long, root long, links long, texts long")
+    return rows.groupBy("task").applyInArrow(check, "node long, root long, links long, texts long, part boolean")
 
 
 def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
@@ -461,11 +465,11 @@ def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     # One node per text. Copies are put together before the shuffle.
     by_id = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
     keys = materialise(rows.groupBy("key").agg(F.min("row").alias("node"), F.count("*").alias("times"), F.min(by_id).alias("first")), "texts")
-    sets = rows.join(keys.select(F.col("node").alias("row"), "node"), "row").select("node", "tokens", "sketch", "paths", "more")
-    groups = materialise(components(candidates(sets)), "groups")
+    # Stored, as every level looks sets up.
+    sets = materialise(rows.drop("key").join(keys.select("node", "key", "times"), F.col("row") == F.col("node")).drop("row"), "nodes")
     # Components in tasks: small ones many to a task, large ones as pairs of blocks.
-    sized = groups.join(rows.select(F.col("row").alias("node"), "tokens", "key", "doc_id"), "node")
-    sized = materialise(sized.join(keys.select("node", "times"), "node"), "members")
+    groups = components(candidates(sets))
+    sized = materialise(groups.join(sets.select("node", "tokens", "key", "doc_id", "times"), "node"), "members")
     extent = sized.groupBy("root").agg(F.count("*").alias("n"), F.sum("tokens").alias("t"))
     blocks = F.ceil(F.greatest(F.col("n") / BLOCK_TEXTS, F.col("t") / BLOCK_TOKENS)).cast("int")
     extent = extent.select(F.col("root").alias("comp"), blocks.alias("blocks"), "t")
@@ -478,7 +482,7 @@ def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     placed = placed.withColumn("block", block).withColumn("pair", F.explode(pairs))
     task = F.when(F.col("blocks") == 1, F.concat_ws(":", F.lit("s"), F.pmod(F.xxhash64("comp"), F.lit(tasks))))
     placed = placed.select(
-        "node", "comp", "times", "key", F.col("doc_id").alias("_doc"),
+        "node", "comp", "times", "key", "blocks", F.col("doc_id").alias("_doc"),
         F.coalesce(task, F.concat_ws(":", "comp", "pair.i", "pair.j")).alias("task"),
         (F.col("pair.i") != F.col("pair.j")).alias("cross"),
         ((F.col("pair.i") != F.col("pair.j")) & (F.col("block") == F.col("pair.j"))).cast("int").alias("side"))
@@ -486,9 +490,11 @@ def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("_d"), F.md5(text).alias("_key"), text.alias("text"))
     # Shuffled however few candidates there are, so that the plan is the same at every size.
     texts = placed.hint("merge").join(texts, (F.col("key") == F.col("_key")) & F.col("_doc").eqNullSafe(F.col("_d")))
-    checked = materialise(_verify(texts.select("task", "comp", "node", "times", "cross", "side", "text")), "links")
+    checked = materialise(_verify(texts.select("task", "comp", "node", "times", "blocks", "cross", "side", "text")), "links")
     counts = checked.groupBy("node").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
-    roots = components(checked.select(F.col("root").alias("a"), F.col("node").alias("b")).filter("a <> b"))
+    # Only what is known of cut components has to be put together.
+    roots = components(checked.filter("part").select(F.col("root").alias("a"), F.col("node").alias("b")))
+    roots = roots.unionByName(checked.filter("NOT part").select("node", "root"))
     whole = keys.join(counts, "node", "left").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     firsts = whole.groupBy("root").agg(F.min("first").alias("_first"))
     whole = whole.join(firsts, "root").select(
