@@ -167,3 +167,19 @@ def test_held_out_toxic_documents_are_caught_where_the_sample_is_bounded(spark,
     got = toxicity.score(spoken_ill, toxicity.train(spoken_ill, labels, (30, 60)), ["doc_id", "toxic"])
     unseen = got.filter(toxicity.held_out() & (F.col("toxic") == 1)).collect()
     assert sum(r["is_toxic"] for r in unseen) >= 0.9 * len(unseen)
+
+
+def test_the_prior_moves_reported_probabilities_alone():
+    """The chain is fed as it was trained: a rarer label shifts every log-odds by one constant a category."""
+    r = np.random.default_rng(3)
+    has = r.random((200, 6)) < 0.4
+    doc, feature = np.nonzero(has)
+    rows = toxicity.Rows(doc, feature, 200, 6)
+    labels = {"first": (has[:, 0] & (r.random(200) < 0.7)).astype(float), "last": ((has[:, 0] | has[:, 1]) & (r.random(200) < 0.7)).astype(float)}
+
+    def odds(thinner):
+        p = toxicity.fit_chain(rows, np.arange(6, dtype=np.uint64), labels, np.arange(200) % toxicity.FOLDS, thinner).predict(rows)
+        return np.log(p / (1 - p))
+
+    moved = odds(0.05) - odds(1.0)
+    assert np.allclose(moved, moved[0]) and (moved < -2).all()
